@@ -1 +1,9 @@
 """Retail catalogue analytics as Spark jobs: DataFrames in, DataFrames out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run in Python workers travel with their task, so executors need no copy
+# of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

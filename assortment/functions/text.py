@@ -54,5 +54,6 @@ def fill(template: str, **columns: Column) -> Column:
 
 
 def product_text(name="name", brand="brand", category="category", department="department") -> Column:
-    """Text of a product that is turned into a vector."""
-    return F.concat_ws(" | ", name, brand, category, department)
+    """Text of a product that is turned into a vector; NULL if a part is, so that a write fails."""
+    bar = F.lit(" | ")
+    return F.concat(F.col(name), bar, F.col(brand), bar, F.col(category), bar, F.col(department))
