@@ -102,103 +102,76 @@ def level_components(edges: DataFrame, cores: DataFrame, limits: list[float]) ->
     return connected_components(nodes, links, ("level",))
 
 
-def _chains(components: DataFrame, min_cluster_size: int, levels: int) -> DataFrame:
-    """Big components with the top of their chain.
+def _paths(components: DataFrame, min_cluster_size: int) -> DataFrame:
+    """Big components seen from the smallest product of each of them, tight to loose.
 
-    (level, component, size, parent, top_level, top): a chain runs from loose to tight through
-    components that are the only big child of their parent.
+    (node, level, component, size, starts, top, up, depth): `starts` marks a component that opens a
+    cluster: a root, or one of several big children. `top` is the start that a component belongs to,
+    `up` the start above that one, `depth` the number of starts above. A node has one row per level
+    at most, so the windows hold few rows each.
     """
     big = components.groupBy("level", "component").agg(F.count(F.lit(1)).alias("size"))
-    big = big.where(F.col("size") >= min_cluster_size)
-    above = components.select(
-        (F.col("level") - 1).alias("level"), F.col("node").alias("component"), F.col("component").alias("parent")
+    big = cut(big.where(F.col("size") >= min_cluster_size))
+    heads = big.select(F.col("component").alias("node")).distinct()
+    upwards = Window.partitionBy("node").orderBy("level")
+    seen = (
+        components.join(heads, "node", "left_semi").join(big, ["level", "component"])
+        .withColumn("parent", F.lead("component").over(upwards))
     )
-    tree = cut(big.join(above, ["level", "component"], "left"))
-    children = tree.where("parent IS NOT NULL").groupBy(
-        (F.col("level") + 1).alias("_level"), F.col("parent").alias("_parent")
-    ).agg(F.count(F.lit(1)).alias("children"))
-    same_parent = (F.col("level") + 1 == F.col("_level")) & (F.col("parent") == F.col("_parent"))
-    starts = F.col("parent").isNull() | (F.col("children") > 1)
-    chained = cut(
-        tree.join(children, same_parent, "left").select(
-            "level", "component", "size", "parent",
-            F.when(starts, F.col("level")).otherwise(F.col("level") + 1).alias("top_level"),
-            F.when(starts, F.col("component")).otherwise(F.col("parent")).alias("top"),
-        )
+    own = seen.where("node = component")
+    siblings = own.where("parent IS NOT NULL").groupBy(
+        (F.col("level") + 1).alias("level"), F.col("parent").alias("component")
+    ).agg((F.count(F.lit(1)) > 1).alias("splits"))
+    opened = own.select(
+        "level", "component", (F.col("level") + 1).alias("_level"), "parent"
+    ).join(
+        siblings.withColumnsRenamed({"level": "_level", "component": "parent"}), ["_level", "parent"], "left"
+    ).select("level", "component", F.coalesce("splits", F.lit(True)).alias("starts"))
+    onwards = upwards.rowsBetween(0, Window.unboundedFollowing)
+    above = upwards.rowsBetween(1, Window.unboundedFollowing)
+    start = F.when(F.col("starts"), F.struct("level", "component"))
+    marked = seen.join(opened, ["level", "component"])
+    return marked.select(
+        "node", "level", "component", "size", "starts",
+        F.first(start, ignorenulls=True).over(onwards).alias("top"),
+        F.first(start, ignorenulls=True).over(above).alias("up"),
+        F.coalesce(F.sum(F.col("starts").cast("int")).over(above), F.lit(0)).alias("depth"),
     )
-    hops = 1
-    while hops < levels:
-        up = chained.select(
-            F.col("level").alias("top_level"), F.col("component").alias("top"),
-            F.col("top_level").alias("_top_level"), F.col("top").alias("_top"),
-        )
-        chained = cut(chained.join(up, ["top_level", "top"]).select(
-            "level", "component", "size", "parent",
-            F.col("_top_level").alias("top_level"), F.col("_top").alias("top"),
-        ))
-        hops *= 2
-    return chained
 
 
-def _pick(chains: DataFrame, limits: list[float], allow_single: bool) -> DataFrame:
-    """(top_level, top, tight_level) of the clusters of largest total stability."""
+def _pick(paths: DataFrame, limits: list[float], allow_single: bool) -> DataFrame:
+    """(top, tight_level) of the clusters of largest total stability."""
     inverse = F.array(*[F.lit(1.0 / limit) for limit in limits])
     here, looser = F.element_at(inverse, F.col("level")), F.try_element_at(inverse, F.col("level") + 1)
     share = F.coalesce(F.col("size") * (here - looser), F.lit(0.0))
-    own = chains.groupBy("top_level", "top").agg(
-        F.sum(share).alias("stability"), F.min("level").alias("tight_level")
-    )
-    tops = chains.where("level = top_level AND component = top").select("top_level", "top", "parent")
-    holder = chains.select(
-        (F.col("level") - 1).alias("top_level"), F.col("component").alias("parent"),
-        F.col("top_level").alias("up_level"), F.col("top").alias("up"),
+    own = paths.where("node = component")
+    figures = own.groupBy("top").agg(
+        F.round(F.sum(share), 6).alias("stability"), F.min("level").alias("tight_level")
     )
-    clusters = cut(own.join(tops, ["top_level", "top"]).join(holder, ["top_level", "parent"], "left").select(
-        "top_level", "top", "stability", "tight_level", "up_level", "up"
-    ))
+    opened = own.where("starts").select("top", "up", "depth")
+    state = figures.join(opened, "top")
     if not allow_single:
-        # A root that holds everything never counts as a cluster.
-        roots = clusters.where("up IS NULL").agg(F.count(F.lit(1))).scalar()
-        alone = F.col("up").isNull() & (roots == 1)
+        # A lone root holds everything and never counts as a cluster.
+        roots = opened.where("depth = 0").agg(F.count(F.lit(1))).scalar()
+        state = state.withColumn("lone", (F.col("depth") == 0) & (roots == 1))
     else:
-        alone = F.lit(False)
-    state = cut(clusters.withColumn("alone", alone).withColumn("best", F.col("stability")).withColumn(
-        "below", F.lit(0.0)
-    ))
-    while True:
-        below = state.where("up IS NOT NULL").groupBy(
-            F.col("up_level").alias("top_level"), F.col("up").alias("top")
-        ).agg(F.sum(F.round("best", 6)).alias("_below"))
-        following = cut(
-            state.join(below, ["top_level", "top"], "left")
-            .withColumn("_below", F.coalesce("_below", F.lit(0.0)))
-            .withColumn("changed", F.col("_below") != F.col("below"))
-            .withColumn("below", F.col("_below"))
-            .withColumn("best", F.greatest("stability", "below")).drop("_below")
-        )
-        changed = not following.where("changed").isEmpty()
-        state = following.drop("changed")
-        if not changed:
-            break
-    kept = state.withColumn("keep", ~F.col("alone") & (F.col("stability") >= F.col("below")))
-    kept = cut(kept.withColumn("covered", F.lit(False)))
-    while True:
-        # A cluster under a kept (or covered) one is covered.
-        up = kept.select(
-            F.col("top_level").alias("up_level"), F.col("top").alias("up"),
-            (F.col("keep") | F.col("covered")).alias("_covered"),
-        )
-        following = cut(
-            kept.join(up, ["up_level", "up"], "left")
-            .withColumn("_covered", F.coalesce("_covered", F.lit(False)))
-            .withColumn("changed", F.col("_covered") != F.col("covered"))
-            .withColumn("covered", F.col("_covered")).drop("_covered")
+        state = state.withColumn("lone", F.lit(False))
+    state = cut(state.withColumns({"best": F.col("stability"), "below": F.lit(0.0)}))
+    deepest = state.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
+    for depth in range(deepest, 0, -1):
+        below = state.where(F.col("depth") == depth).groupBy(F.col("up").alias("top")).agg(
+            F.round(F.sum("best"), 6).alias("_below")
         )
-        changed = not following.where("changed").isEmpty()
-        kept = following.drop("changed")
-        if not changed:
-            break
-    return kept.where("keep AND NOT covered").select("top_level", "top", "tight_level")
+        state = state.join(below, "top", "left").withColumn("below", F.coalesce("_below", "below"))
+        state = cut(state.drop("_below").withColumn("best", F.greatest("stability", "below")))
+    kept = state.where((F.col("stability") >= F.col("below")) & ~F.col("lone")).select("top", "tight_level")
+    # A kept cluster under another kept one gives way.
+    holders = paths.where("starts").select(
+        F.col("node"), "level", F.struct("level", "component").alias("top")
+    ).join(kept.select("top"), "top", "left_semi").groupBy("node").agg(F.max("level").alias("loosest"))
+    return kept.withColumn("node", F.col("top.component")).join(holders, "node").where(
+        F.col("loosest") == F.col("top.level")
+    ).select("top", "tight_level", F.col("node").alias("smallest"))
 
 
 def select_clusters(
@@ -215,11 +188,10 @@ def select_clusters(
         return cores.sparkSession.createDataFrame(
             [], "product_id long, cluster_id long, cluster_probability double"
         )
-    components = cut(level_components(edges, cores, limits))
-    chains = _chains(components, min_cluster_size, len(limits))
-    picked = _pick(chains, limits, allow_single)
-    numbered = with_position(picked, "top", "cluster_id")
-    places = chains.select("level", "component", "top_level", "top").join(numbered, ["top_level", "top"])
+    components = level_components(edges, cores, limits)
+    paths = cut(_paths(components, min_cluster_size))
+    numbered = with_position(_pick(paths, limits, allow_single), "smallest", "cluster_id")
+    places = paths.where("node = component").join(numbered, "top")
     members = components.join(places.select("level", "component", "cluster_id", "tight_level"), ["level", "component"])
     first = members.groupBy("node", "cluster_id").agg(
         F.min("level").alias("level"), F.min("tight_level").alias("tight_level")

@@ -58,7 +58,7 @@ def ivf_build(vectors: DataFrame, lists: int = fixed.IVF_LISTS, seed: int = 42)
     share = min(1.0, TRAIN_ROWS_PER_LIST * lists / total)
     train = rows if share == 1.0 else rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
     train = train.select(array_to_vector("embedding").alias("features"))
-    model = KMeans(k=min(lists, total), distanceMeasure="cosine", seed=seed, maxIter=10).fit(train)
+    model = KMeans(k=min(lists, total), distanceMeasure="cosine", seed=seed, maxIter=10, solver="block").fit(train)
     centroids = np.array(model.clusterCenters())
     centroids = unit_rows(centroids[np.linalg.norm(centroids, axis=1) > 0])
     return VectorIndex(centroids, _assign(rows, centroids))

@@ -82,11 +82,11 @@ RUN_EVENTS = """
 SELECT ts AS event_at, CAST(user_id AS VARCHAR(20)) AS run_id, event_type, event_id, value, props FROM {events}
 """
 
-# A JSON reply per product; every third lacks the price range, every fifth the action.
+# A JSON reply per product (`{{` stands for one brace); every third lacks the price range, every fifth the action.
 REPLIES = """
-SELECT p_partkey AS reply_id, '{"positioning": "' || p_name || '"' ||
+SELECT p_partkey AS reply_id, '{{"positioning": "' || p_name || '"' ||
  CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ', "price_range": "€' || CAST(p_size AS VARCHAR(20)) || '"' END ||
- CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ', "buyer_action": "Buy ' || p_brand || '"' END || '}' AS reply
+ CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ', "buyer_action": "Buy ' || p_brand || '"' END || '}}' AS reply
 FROM {part}
 """
 

@@ -3,6 +3,7 @@
 import re
 
 from assortment import fixed
+from assortment.functions.prices import phrase_patterns
 from assortment.sources import fixtures
 
 
@@ -259,6 +260,241 @@ for _name, (_id, _observed, _limit) in _RULES.items():
     )
 ORACLES["run_rules"] = " UNION ALL ".join(f"({ORACLES[name]})" for name in _RULES)
 
+# --- vectors, retrieval, texts, clusters ------------------------------------------
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _filled(template: str, **values: str) -> str:
+    """A fixed text with SQL expressions put into its marks."""
+    parts = re.split(r"\{(" + "|".join(values) + r")\}", template)
+    return " || ".join(values[p] if i % 2 else _literal(p) for i, p in enumerate(parts))
+
+
+TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+FIRST = "(SELECT embedding FROM products_embedded ORDER BY product_id LIMIT 1)"
+NEAR = "round(list_cosine_distance({}, {}), 10)"
+
+
+def _hashed(rows: str, key: str, text: str, dim: int = 64) -> str:
+    """(key, place, value) of the hashed unit vectors."""
+    return f"""
+SELECT {key}, place, sum(coalesce(v, 0)) / any_value(n) AS value FROM (
+ SELECT {key}, sqrt(sum(v * v)) AS n FROM {rows}_sums GROUP BY {key}) sizes
+ JOIN (SELECT unnest(range({dim})) AS place) places ON n > 0
+ LEFT JOIN {rows}_sums USING ({key}, place) GROUP BY {key}, place"""
+
+
+def _sums(rows: str, key: str, text: str, dim: int = 64) -> str:
+    return f"""
+SELECT {key}, CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % {dim} AS place,
+ CAST(sum(CASE WHEN substr(md5(t), 9, 1) < '8' THEN 1 ELSE -1 END) AS DOUBLE) AS v
+FROM (SELECT {key}, unnest({TOKENS.format(text)}) AS t FROM {rows}) GROUP BY 1, 2"""
+
+
+CTE |= {
+    "documents_sums": _sums("documents", "doc_id", "text"),
+    "embedding_texts": """
+SELECT product_id, name || ' | ' || brand || ' | ' || category || ' | ' || department AS embedding_text FROM products_clean""",
+    "pending": """
+SELECT product_id, name, brand, category, department FROM products_clean
+WHERE product_id NOT IN (SELECT product_id FROM products_embedded)""",
+    "batches": """
+SELECT product_id, embedding_text, position, CAST(floor(position / 250) AS BIGINT) AS batch FROM (
+ SELECT product_id, embedding_text, row_number() OVER (ORDER BY product_id) - 1 AS position
+ FROM embedding_texts WHERE product_id IN (SELECT product_id FROM pending))""",
+    "all_batches": """
+SELECT product_id, embedding_text, position, CAST(floor(position / 250) AS BIGINT) AS batch FROM (
+ SELECT product_id, embedding_text, row_number() OVER (ORDER BY product_id) - 1 AS position FROM embedding_texts)""",
+    "near": f"""
+SELECT product_id, distance FROM (SELECT product_id, {NEAR.format("embedding", FIRST)} AS distance FROM products_embedded)""",
+    "intent_hits": """
+SELECT product_id, name, brand, retail_price, cluster_id, cluster_label, distance
+FROM (SELECT * FROM near ORDER BY distance, product_id LIMIT 120) JOIN products_clean USING (product_id)
+JOIN products_clustered USING (product_id) WHERE cluster_id <> -1""",
+    "intent_clusters": """
+SELECT cluster_id, count(*) AS hit_count, min(distance) AS nearest_distance, arg_min(product_id, (distance, product_id)) AS nearest_id
+FROM intent_hits GROUP BY cluster_id ORDER BY hit_count DESC, nearest_distance, nearest_id LIMIT 5""",
+    "intent_stats": f"""
+SELECT cluster_id, min(cluster_label) AS cluster_label, count(*) AS products_total, {r2("avg(retail_price)")} AS avg_price,
+ avg(retail_price) AS mean_price FROM products_clustered JOIN products_clean USING (product_id)
+WHERE cluster_id IN (SELECT cluster_id FROM intent_clusters) GROUP BY cluster_id""",
+    "intent_samples": """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY distance, product_id) AS position FROM intent_hits)
+WHERE position <= 5""",
+    "enrichment_pending": """
+SELECT p.product_id, name, brand, category, department, cluster_id, cluster_label
+FROM products_clean p LEFT JOIN products_clustered c ON p.product_id = c.product_id
+WHERE p.product_id NOT IN (SELECT product_id FROM products_enriched)""",
+    "all_products": """
+SELECT p.product_id, name, brand, category, department, cluster_id, cluster_label
+FROM products_clean p LEFT JOIN products_clustered c ON p.product_id = c.product_id""",
+    "graph": f"""
+SELECT product_id, neighbour_id, distance, rank FROM (
+ SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY distance, neighbour_id) AS rank FROM (
+  SELECT a.product_id, b.product_id AS neighbour_id, {NEAR.format("a.embedding", "b.embedding")} AS distance
+  FROM planted a JOIN planted b ON a.product_id <> b.product_id)) WHERE rank <= 15""",
+    "cores": "SELECT product_id, distance AS core FROM graph WHERE rank = 10",
+    "edges": """
+SELECT a, b, greatest(ca.core, cb.core, distance) AS weight FROM (
+ SELECT least(product_id, neighbour_id) AS a, greatest(product_id, neighbour_id) AS b, min(distance) AS distance
+ FROM graph GROUP BY 1, 2) JOIN cores ca ON a = ca.product_id JOIN cores cb ON b = cb.product_id""",
+    "samples": """
+SELECT cluster_id, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY s.product_id) - 1 AS INTEGER) AS place,
+ name || ' (' || category || ')' AS sample
+FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY product_id) AS rn FROM products_clustered WHERE cluster_id <> -1) s
+JOIN products_clean USING (product_id) WHERE rn <= 20 QUALIFY place < 15""",
+    "sample_words": f"""
+SELECT cluster_id, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY word) AS total
+FROM (SELECT cluster_id, unnest({TOKENS.format("sample")}) AS word FROM samples) GROUP BY cluster_id, word""",
+}
+
+
+def _exact(base: str, asked: str, k: int) -> str:
+    """The k nearest rows of a base table for each row of another, distances to six decimals."""
+    return f"""
+SELECT query_id, product_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM (
+ SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, product_id) AS rank FROM (
+  SELECT q.product_id AS query_id, b.product_id, {NEAR.format("q.embedding", "b.embedding")} AS distance
+  FROM {asked} q CROSS JOIN {base} b)) WHERE rank <= {k}"""
+
+
+def _prompt(cluster: str = "cluster_label") -> str:
+    sentence = f"CASE WHEN {cluster} <> '' THEN " + _filled(fixed.CLUSTER_SENTENCE, cluster_label=cluster) + " ELSE '' END"
+    return _filled(
+        fixed.DESCRIPTION_PROMPT, name="name", brand="brand", category="category", department="department",
+        cluster=sentence,
+    )
+
+
+_TEXT = "name || ' by ' || brand || ', ' || category || ' / ' || department"
+_TOKENS_IN, _TOKENS_OUT = f"len({TOKENS.format(_prompt())})", f"len({TOKENS.format(_TEXT)})"
+_SPLIT = f"""
+SELECT product_id, embedding_text, batch, batch_tokens, CAST(floor(batch_tokens / CAST(n AS DOUBLE))
+ + CASE WHEN position = last THEN batch_tokens - floor(batch_tokens / CAST(n AS DOUBLE)) * n ELSE 0 END AS BIGINT) AS embedding_tokens
+FROM (SELECT *, count(*) OVER (PARTITION BY batch) AS n, max(position) OVER (PARTITION BY batch) AS last,
+ CAST(sum(len({TOKENS.format("embedding_text")})) OVER (PARTITION BY batch) AS BIGINT) AS batch_tokens FROM {{}})"""
+_SEARCH = f"""
+SELECT product_id, name, brand, category, department, retail_price, cluster_label, description_enriched, round(distance, 6) AS distance
+FROM {{}} JOIN products_clean USING (product_id) LEFT JOIN products_clustered USING (product_id)
+LEFT JOIN newest_descriptions USING (product_id) WHERE retail_price <= 990 AND retail_price >= 905
+ORDER BY distance, product_id LIMIT 20"""
+
+
+def _described(pending: str, cluster_id: str) -> str:
+    return f"""
+SELECT product_id, CAST(NULL AS BIGINT) AS cluster_id, CAST(NULL AS VARCHAR) AS cluster_label, description_enriched,
+ 'given' AS description_model, CAST(0 AS BIGINT) AS description_tokens_input, CAST(0 AS BIGINT) AS description_tokens_output
+FROM products_enriched UNION ALL
+SELECT product_id, CAST({cluster_id} AS BIGINT), cluster_label, trim({_TEXT}), 'template', {_TOKENS_IN}, {_TOKENS_OUT} FROM {pending}"""
+
+
+def _limit(pattern: str, group: int = 1) -> str:
+    found = f"nullif(regexp_extract(lower(query), {_literal(pattern)}, {group}), '')"
+    return f"CAST(replace({found}, ',', '.') AS DOUBLE)"
+
+
+def _limits() -> tuple[str, str]:
+    p = phrase_patterns()
+    low = f"coalesce({_limit(p['range'], 1)}, {_limit(p['min_before'])}, {_limit(p['min_after'])})"
+    high = f"coalesce({_limit(p['range'], 2)}, {_limit(p['max_before'])}, {_limit(p['max_after'])})"
+    return low, high
+
+
+CTE["priced_log"] = "SELECT query_id, {} AS min_price, {} AS max_price FROM query_log".format(*_limits())
+CTE["query_log_sums"] = _sums("query_log", "query_id", "query")
+CTE["embedding_texts_sums"] = _sums("embedding_texts", "product_id", "embedding_text")
+CTE["query_vectors"] = f"""
+SELECT query_id, list(value ORDER BY place) AS embedding FROM ({_hashed("query_log", "query_id", "query")}) GROUP BY query_id"""
+CTE["product_vectors"] = f"""
+SELECT product_id, list(value ORDER BY place) AS embedding FROM ({_hashed("embedding_texts", "product_id", "embedding_text")})
+GROUP BY product_id"""
+
+ORACLES |= {
+    "cosine_distance": """
+SELECT product_id, round(list_cosine_distance(e.embedding, p.embedding), 6) AS distance
+FROM products_embedded e JOIN planted p USING (product_id)""",
+    "vector_top_k": "SELECT product_id, round(distance, 6) AS distance FROM near ORDER BY near.distance, product_id LIMIT 25",
+    "vector_top_k_batch": _exact("products_embedded", "planted", 5),
+    "ivf_search_all_lists": f"""
+SELECT product_id, round(distance, 6) AS distance FROM (SELECT product_id, {NEAR.format("embedding", FIRST)} AS distance FROM planted) p
+ORDER BY p.distance, product_id LIMIT 25""",
+    "ivf_search_batch": _exact("planted", "planted", 5),
+    "index_coverage": f"""
+SELECT 'idx_embedding' AS index_name, 'products_clean' AS table_name, 'ACTIVE' AS index_status,
+ {r2("100.0 * count(*) FILTER (product_id IN (SELECT product_id FROM products_embedded)) / CAST(count(*) AS DOUBLE)")} AS coverage_percentage
+FROM products_clean""",
+    "search_products": _SEARCH.replace("{}", "(SELECT * FROM near ORDER BY distance, product_id LIMIT 100)"),
+    "search_products_prefilter": _SEARCH.replace("{}", "near"),
+    "intent_hits": "SELECT * REPLACE (round(distance, 6) AS distance) FROM intent_hits",
+    "intent_clusters": "SELECT * REPLACE (round(nearest_distance, 6) AS nearest_distance) FROM intent_clusters",
+    "intent_stats": "SELECT * EXCLUDE (mean_price) FROM intent_stats",
+    "intent_briefs": """
+SELECT cluster_id, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label, hit_count, products_total,
+ avg_price, CAST(position AS INTEGER) AS position, product_id, name, brand, retail_price
+FROM intent_clusters JOIN intent_stats s USING (cluster_id) JOIN (SELECT * EXCLUDE (cluster_label) FROM intent_samples) USING (cluster_id)""",
+    "brief_prompt": "SELECT cluster_id, " + _filled(
+        fixed.BRIEF_PROMPT, intent="'a gift under 50'", names="names", avg_price="printf('%.0f', mean_price)",
+        cluster_label="coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id)",
+    ) + """ AS prompt FROM intent_clusters JOIN intent_stats s USING (cluster_id)
+JOIN (SELECT cluster_id, string_agg(name, ', ' ORDER BY position) AS names FROM intent_samples GROUP BY cluster_id) USING (cluster_id)""",
+    "parse_brief": "SELECT p_partkey AS reply_id, p_name AS positioning, "
+    "CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '€' || p_size END AS price_range, "
+    "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'Buy ' || p_brand END AS buyer_action FROM part",
+    "price_constraints": "SELECT query_id, {} AS min_price, {} AS max_price FROM search_texts".format(*_limits()),
+    "search_log": f"""
+SELECT query_id, min_price, max_price, CAST(place AS INTEGER) AS rank, product_id, name, brand, category, department, retail_price, cluster_label,
+ description_enriched, round(distance, 6) AS distance FROM (
+ SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, product_id) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, product_id) AS near_rank FROM (
+   SELECT q.query_id, b.product_id, {NEAR.format("q.embedding", "b.embedding")} AS distance
+   FROM query_vectors q CROSS JOIN product_vectors b)) JOIN priced_log USING (query_id) JOIN products_clean USING (product_id)
+ WHERE near_rank <= CASE WHEN min_price IS NULL AND max_price IS NULL THEN 3 ELSE 15 END
+  AND coalesce(retail_price <= max_price, true) AND coalesce(retail_price >= min_price, true))
+LEFT JOIN products_clustered USING (product_id) LEFT JOIN newest_descriptions USING (product_id) WHERE place <= 3""",
+    "embedding_text": "SELECT * FROM embedding_texts",
+    "pending_embedding": "SELECT * FROM pending",
+    "assign_batches": "SELECT product_id, position, batch FROM batches",
+    "split_batch_tokens": "SELECT * EXCLUDE (embedding_text) FROM (" + _SPLIT.replace("{}", "batches") + ")",
+    "embedding_cost": "SELECT product_id, round(embedding_tokens * CAST(0.00000002 AS DOUBLE), 12) AS embedding_cost_usd FROM ("
+    + _SPLIT.replace("{}", "batches") + ")",
+    "embed_texts": "SELECT doc_id, CAST(place AS INTEGER) AS place, round(value, 6) AS value FROM ("
+    + _hashed("documents", "doc_id", "text") + ")",
+    "embed_incremental": """SELECT product_id, embedding_text, 'signed-feature-hashing' AS embedding_model, embedding_tokens,
+ round(embedding_tokens * CAST(0.00000002 AS DOUBLE), 12) AS embedding_cost_usd FROM (""" + _SPLIT.replace("{}", "all_batches") + ")",
+    "incremental_stream": "SELECT * FROM embedding_texts",
+    "pending_enrichment": "SELECT * FROM enrichment_pending",
+    "description_prompt": f"SELECT product_id, {_prompt()} AS prompt FROM enrichment_pending",
+    "generate_text": f"""
+SELECT product_id, {_TEXT} AS text, {_TOKENS_IN} AS tokens_input, {_TOKENS_OUT} AS tokens_output FROM enrichment_pending""",
+    "generation_cost": f"""
+SELECT count(*) AS enriched, round(sum({_TOKENS_IN} * CAST(0.00000015 AS DOUBLE) + {_TOKENS_OUT} * CAST(0.0000006 AS DOUBLE)), 4) AS total_cost_usd
+FROM enrichment_pending""",
+    "enrich_incremental": _described("enrichment_pending", "cluster_id"),
+    "enrich_selected": _described("all_products", "NULL"),
+    "knn_graph": "SELECT * REPLACE (round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank) FROM graph",
+    "core_distance": "SELECT product_id, round(core, 6) AS core FROM cores",
+    "reachability_edges": "SELECT a, b, round(weight, 6) AS weight FROM edges",
+    "components_at_level": """
+SELECT product_id, min(reached) AS component FROM reach GROUP BY product_id""",
+    "cluster_stats": """
+SELECT count(DISTINCT cluster_id) FILTER (cluster_id <> -1) AS clusters, count(*) FILTER (cluster_id = -1) AS noise_points,
+ count(*) AS total_products FROM products_clustered""",
+    "label_samples": "SELECT * FROM samples",
+    "label_prompt": "SELECT cluster_id, " + _filled(fixed.LABEL_PROMPT, samples="lines") + """ AS prompt FROM (
+ SELECT cluster_id, string_agg('- ' || sample, chr(10) ORDER BY place) AS lines FROM samples GROUP BY cluster_id)""",
+    "label_clusters": """
+SELECT cluster_id, string_agg(upper(word[1]) || substr(word, 2), ' ' ORDER BY n / CAST(total AS DOUBLE) DESC, n DESC, word) AS cluster_label
+FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, word) AS rn FROM sample_words) WHERE rn <= 3 GROUP BY cluster_id""",
+}
+CTE["linked"] = """
+SELECT a, b FROM edges WHERE weight <= 0.4 UNION SELECT b, a FROM edges WHERE weight <= 0.4"""
+CTE["reach"] = """
+SELECT product_id, product_id AS reached FROM cores WHERE core <= 0.4
+UNION SELECT l.b, r.reached FROM reach r JOIN linked l ON r.product_id = l.a"""
+
 
 def with_ctes(sql: str) -> str:
     """Put the common table expressions that `sql` mentions in front of it."""
@@ -267,14 +503,14 @@ def with_ctes(sql: str) -> str:
     def visit(text: str) -> None:
         for name in CTE:
             if name not in needed and re.search(rf"\b{name}\b", text):
-                visit(CTE[name])
+                visit(re.sub(rf"\b{name}\b", "", CTE[name]))
                 if name not in needed:
                     needed.append(name)
 
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in needed) + "\n" + sql
+    return ("WITH RECURSIVE " if "reach" in needed else "WITH ") + ",\n".join(f"{n} AS ({CTE[n]})" for n in needed) + "\n" + sql
 
 
 def all_oracles() -> dict[str, str]:

@@ -2,14 +2,18 @@
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assortment import fixed
-from assortment.functions import numbers, text
-from assortment.operators import dashboard, quality, staging, transform, views
-from assortment.sources import fixtures, tables
+from assortment.functions import numbers, text, vectors
+from assortment.operators import (
+    clusters, dashboard, embed, enrich, labels, quality, retrieval, staging, transform, vector, views,
+)
+from assortment.plans import run
+from assortment.sources import fixtures, lineage, tables
 from assortment.sources.fixtures import AS_OF
+from assortment.streaming import incremental
 
 
 class Inputs:
@@ -383,3 +387,376 @@ def dashboard_bundle(i):
 def registered_views(i):
     names = views.register_views(i.all_views, prefix="assortment_")
     return tables.table_counts({n: i.spark.table(n) for n in names}).withColumnRenamed("layer", "view")
+
+
+# --- vectors and retrieval --------------------------------------------------------
+
+DIM = 64
+
+
+def _first_vector(i) -> list[float]:
+    return i.embedded.orderBy("product_id").first().embedding
+
+
+def _six(df, *columns):
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+@query
+def cosine_distance(i):
+    """Distance of every raw vector to its planted one."""
+    both = i.embedded.join(i.planted.select("product_id", F.col("embedding").alias("other")), "product_id")
+    distance = vectors.cosine_distance(F.col("embedding"), F.col("other"))
+    return both.select("product_id", F.round(distance, 6).alias("distance"))
+
+
+@query
+def vector_top_k(i):
+    return _six(vector.vector_top_k(i.embedded, _first_vector(i), 25), "distance")
+
+
+@query
+def vector_top_k_batch(i):
+    """Every planted vector against all raw vectors."""
+    asked = i.planted.select(F.col("product_id").alias("query_id"), "embedding")
+    return _six(vector.vector_top_k_batch(i.embedded, asked, 5), "distance")
+
+
+@query
+def ivf_build(i):
+    index = vector.ivf_build(i.planted.select("product_id", "embedding"), lists=16)
+    return index.rows.groupBy("list_id").agg(F.count(F.lit(1)).alias("vectors"))
+
+
+def _written_index(i):
+    path = lineage.work_path(i.spark, "index")
+    vector.write_index(vector.ivf_build(i.planted.select("product_id", "embedding"), lists=16), path)
+    return vector.read_index(i.spark, path)
+
+
+@query
+def ivf_search(i):
+    """Top ten of the two nearest lists."""
+    return _six(vector.ivf_search(_written_index(i), _first_vector(i), 10, nprobe=2), "distance")
+
+
+@query
+def ivf_search_all_lists(i):
+    """With every list probed the index gives the exact answer."""
+    return _six(vector.ivf_search(_written_index(i), _first_vector(i), 25, nprobe=16), "distance")
+
+
+@query
+def ivf_search_batch(i):
+    """Every planted vector, all lists probed: exact neighbours through the block join."""
+    index = vector.ivf_build(i.planted.select("product_id", "embedding"), lists=4)
+    asked = i.planted.select(F.col("product_id").alias("query_id"), "embedding")
+    return _six(vector.ivf_search_batch(index, asked, 5, nprobe=4), "distance")
+
+
+@query
+def index_coverage(i):
+    """Products of the clean table that have an indexed vector."""
+    return vector.index_coverage(i.clean, i.embedded, "idx_embedding", "products_clean")
+
+
+@query
+def search_products(i):
+    found = retrieval.search_products(
+        _first_vector(i), i.clean, i.embedded, i.clustered, i.enriched, 20, min_price=905, max_price=990
+    )
+    return _six(found, "distance")
+
+
+@query
+def search_products_prefilter(i):
+    found = retrieval.search_products(
+        _first_vector(i), i.clean, i.embedded, i.clustered, i.enriched, 20, min_price=905, max_price=990,
+        prefilter=True,
+    )
+    return _six(found, "distance")
+
+
+def _hits(i):
+    return retrieval.intent_hits(_first_vector(i), i.clean, i.embedded, i.clustered)
+
+
+@query
+def intent_hits(i):
+    return _six(_hits(i), "distance")
+
+
+@query
+def intent_clusters(i):
+    return _six(retrieval.intent_clusters(_hits(i)), "nearest_distance")
+
+
+@query
+def intent_stats(i):
+    chosen = retrieval.intent_clusters(_hits(i))
+    return retrieval.intent_stats(chosen, i.clean, i.clustered).drop("mean_price")
+
+
+def _briefs(i):
+    return retrieval.intent_briefs(_hits(i), i.clean, i.clustered)
+
+
+@query
+def intent_briefs(i):
+    """One row per sample product of each brief."""
+    rows = _briefs(i).withColumn("sample", F.explode("sample_products"))
+    return rows.select("cluster_id", "cluster_label", "hit_count", "products_total", "avg_price", "sample.*")
+
+
+@query
+def brief_prompt(i):
+    return retrieval.brief_prompt(F.lit("a gift under 50"), _briefs(i)).select("cluster_id", "prompt")
+
+
+@query
+def parse_brief(i):
+    return retrieval.parse_brief(i.derive(fixtures.REPLIES)).drop("reply")
+
+
+@query
+def price_constraints(i):
+    return retrieval.price_constraints(i.derive(fixtures.SEARCH_TEXTS)).drop("query")
+
+
+def _product_vectors(i):
+    return embed.embed_texts(embed.embedding_text(i.clean), "embedding_text", DIM).drop("embedding_text")
+
+
+@query
+def search_log(i):
+    """Every search text against the hashed vectors of all products."""
+    asked = embed.embed_texts(i.derive(fixtures.QUERY_LOG), "query", DIM)
+    found = retrieval.search_log(asked, _product_vectors(i), i.clean, i.clustered, i.enriched, top_k=3)
+    return _six(found, "distance")
+
+
+# --- texts, batches, generation ---------------------------------------------------
+
+@query
+def embedding_text(i):
+    return embed.embedding_text(i.clean)
+
+
+@query
+def pending_embedding(i):
+    return embed.pending_embedding(i.clean, i.embedded)
+
+
+def _batches(i):
+    texts = embed.embedding_text(embed.pending_embedding(i.clean, i.embedded))
+    return embed.assign_batches(texts)
+
+
+@query
+def assign_batches(i):
+    return _batches(i).select("product_id", "position", "batch")
+
+
+def _split(i):
+    total = F.sum(embed.token_count(F.col("embedding_text"))).over(Window.partitionBy("batch"))
+    return embed.split_batch_tokens(_batches(i).withColumn("batch_tokens", total))
+
+
+@query
+def split_batch_tokens(i):
+    return _split(i).select("product_id", "batch", "batch_tokens", "embedding_tokens")
+
+
+@query
+def embedding_cost(i):
+    cost = embed.embedding_cost(F.col("embedding_tokens"))
+    return _split(i).select("product_id", F.round(cost, 12).alias("embedding_cost_usd"))
+
+
+@query
+def embed_texts(i):
+    """Hashed vectors of whole documents, one row per value."""
+    rows = embed.embed_texts(i.table("documents").select("doc_id", "text"), "text", DIM)
+    return _six(rows.select("doc_id", F.posexplode("embedding").alias("place", "value")), "value")
+
+
+def _catalogue(i):
+    catalogue = tables.Catalogue(i.spark, lineage.work_path(i.spark, "catalogue"))
+    for name in run.LAYERS:
+        catalogue.create(name)
+    catalogue.overwrite(i.clean, "products_clean")
+    return catalogue
+
+
+@query
+def embed_incremental(i):
+    """Two runs over the same products; the second finds nothing to do."""
+    catalogue = _catalogue(i)
+    for _ in range(2):
+        embed.embed_incremental(catalogue, AS_OF, dim=DIM)
+    return catalogue.read("products_embedded").select(
+        "product_id", "embedding_text", "embedding_model", "embedding_tokens",
+        F.round("embedding_cost_usd", 12).alias("embedding_cost_usd"),
+    )
+
+
+@query
+def incremental_stream(i):
+    """The embedding step as a stream over the files of the clean table, started twice."""
+    catalogue = _catalogue(i)
+    for _ in range(2):
+        job = incremental.incremental_stream(
+            catalogue, catalogue.path("products_clean"), catalogue.path("progress"), AS_OF, dim=DIM
+        )
+        job.awaitTermination()
+    return catalogue.read("products_embedded").select("product_id", "embedding_text")
+
+
+@query
+def pending_enrichment(i):
+    return enrich.pending_enrichment(i.clean, i.clustered, i.enriched)
+
+
+def _prompts(i):
+    return enrich.description_prompt(enrich.pending_enrichment(i.clean, i.clustered, i.enriched))
+
+
+@query
+def description_prompt(i):
+    return _prompts(i).select("product_id", "prompt")
+
+
+@query
+def generate_text(i):
+    return enrich.generate_text(_prompts(i)).select("product_id", "text", "tokens_input", "tokens_output")
+
+
+@query
+def generation_cost(i):
+    products = enrich.pending_enrichment(i.clean, i.clustered, i.enriched)
+    return enrich.total_cost(enrich.enriched_rows(products, AS_OF))
+
+
+def _with_layers(i):
+    catalogue = _catalogue(i)
+    named = i.clustered.select("cluster_id", "cluster_label").distinct()
+    found = i.clustered.select("product_id", "cluster_id", F.lit(1.0).alias("cluster_probability"))
+    catalogue.reload(clusters.assign_clusters(found, named, AS_OF), "products_clustered", AS_OF)
+    old = i.enriched.select(
+        "product_id", F.lit(None).alias("cluster_id"), F.lit(None).alias("cluster_label"), "description_enriched",
+        F.lit("given").alias("description_model"), F.lit(fixed.DESCRIPTION_TONE).alias("description_tone"),
+        F.lit(0).alias("description_tokens_input"), F.lit(0).alias("description_tokens_output"),
+        F.lit(0.0).alias("description_cost_usd"), "description_created_at",
+    )
+    catalogue.append(old, "products_enriched")
+    return catalogue
+
+
+def _described(catalogue):
+    return catalogue.read("products_enriched").select(
+        "product_id", "cluster_id", "cluster_label", "description_enriched", "description_model",
+        "description_tokens_input", "description_tokens_output",
+    )
+
+
+@query
+def enrich_incremental(i):
+    """Two runs; the second finds nothing to do."""
+    catalogue = _with_layers(i)
+    for _ in range(2):
+        enrich.enrich_incremental(catalogue, AS_OF)
+    return _described(catalogue)
+
+
+@query
+def enrich_selected(i):
+    """Describe all products of the clean table, also those described before."""
+    catalogue = _with_layers(i)
+    enrich.enrich_selected(catalogue, i.clean.select("product_id"), AS_OF)
+    return _described(catalogue)
+
+
+# --- clusters ---------------------------------------------------------------------
+
+EPS = 0.4
+
+
+def _graph(i):
+    return clusters.knn_graph(i.planted.select("product_id", "embedding"))
+
+
+def _edges(i):
+    graph = lineage.cut(_graph(i))
+    cores = clusters.core_distance(graph)
+    return clusters.reachability_edges(graph, cores), cores
+
+
+@query
+def reduce_dims(i):
+    reduced = clusters.reduce_dims(i.planted.select("product_id", "embedding"), 50)
+    return reduced.select("product_id", F.size("embedding").alias("dims"))
+
+
+@query
+def knn_graph(i):
+    return _six(_graph(i), "distance")
+
+
+@query
+def core_distance(i):
+    return _six(clusters.core_distance(_graph(i)), "core")
+
+
+@query
+def reachability_edges(i):
+    return _six(_edges(i)[0], "weight")
+
+
+@query
+def components_at_level(i):
+    edges, cores = _edges(i)
+    return clusters.components_at_level(lineage.cut(edges), cores, EPS)
+
+
+@query
+def select_clusters(i):
+    edges, cores = _edges(i)
+    return _six(clusters.select_clusters(lineage.cut(edges), cores), "cluster_probability")
+
+
+@query
+def assign_clusters(i):
+    """Vectors to `products_clustered` rows with word labels."""
+    found = lineage.cut(clusters.cluster_vectors(i.planted.select("product_id", "embedding")))
+    named = labels.label_clusters(labels.label_samples(found, i.clean))
+    return clusters.assign_clusters(found, named, AS_OF).drop("clustering_created_at")
+
+
+@query
+def cluster_stats(i):
+    return clusters.cluster_stats(i.clustered)
+
+
+@query
+def label_samples(i):
+    rows = labels.label_samples(i.clustered, i.clean)
+    return rows.select("cluster_id", F.posexplode("samples").alias("place", "sample"))
+
+
+@query
+def label_prompt(i):
+    return labels.label_prompt(labels.label_samples(i.clustered, i.clean)).select("cluster_id", "prompt")
+
+
+@query
+def label_clusters(i):
+    return labels.label_clusters(labels.label_samples(i.clustered, i.clean))
+
+
+@query
+def catalogue_run(i):
+    """Source rows to described clusters in one logged run; returns the cluster rows."""
+    catalogue = tables.Catalogue(i.spark, lineage.work_path(i.spark, "catalogue"))
+    run.run_sql_layers(catalogue, i.source, AS_OF)
+    run.run_catalogue(catalogue, AS_OF, embedding={"dim": DIM})
+    return catalogue.read_reloaded("products_clustered").drop("clustering_created_at")
