@@ -1,11 +1,16 @@
 """Vector columns."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+NO_TOKEN = r"[^\p{L}\p{N}]+"
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -62,24 +67,40 @@ def distance_to(vector: Column, query: list[float]) -> Column:
     return distance(vector)
 
 
-def hashed_vector(buckets: Column, dim: int) -> Column:
-    """Signed buckets (+-(bucket + 1)) of a row summed into one unit vector; NULL when all cancel."""
+def bucket_of(token: str, dim: int) -> int:
+    """Signed bucket of a token: +-(bucket + 1), from its md5 digest; 0 for no token."""
+    if not token:
+        return 0
+    digest = hashlib.md5(token.encode()).hexdigest()
+    place = int(digest[:8], 16) % dim + 1
+    return place if digest[8] < "8" else -place
+
+
+def hashed_vector(text: Column, dim: int) -> Column:
+    """Unit vector of a text: the signed buckets of its lower-case tokens, summed.
+
+    NULL when there is no token or all of them cancel out. A batch is split, encoded and summed as
+    arrays; only its distinct tokens are hashed one by one.
+    """
+
+    def assemble(part: pa.Array) -> pa.Array:
+        words = pc.split_pattern_regex(pc.utf8_lower(part), NO_TOKEN)
+        rows = np.repeat(np.arange(len(part)), words.value_lengths().fill_null(0).to_numpy())
+        coded = words.flatten().dictionary_encode()
+        buckets = np.array([bucket_of(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+        signed = buckets[coded.indices.to_numpy()] if len(buckets) else np.empty(0, np.int64)
+        filled = signed != 0
+        cell = rows[filled] * dim + np.abs(signed[filled]) - 1
+        sums = np.bincount(cell, weights=np.sign(signed[filled]), minlength=len(part) * dim)
+        sums = sums.reshape(-1, dim)
+        size = np.linalg.norm(sums, axis=1)
+        unit = list_array(sums / np.where(size > 0, size, 1.0)[:, None])
+        return pc.if_else(pa.array(size > 0), unit, pa.scalar(None, unit.type))
 
     @arrow_udf("array<double>")
-    def assemble(b: pa.Array) -> pa.Array:
-        parts = []
+    def embed(texts: pa.Array) -> pa.Array:
         step = max(1, (1 << 22) // dim)
-        for start in range(0, len(b), step):
-            part = b.slice(start, step)
-            lengths = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(part)), lengths)
-            signed = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            cell = rows * dim + np.abs(signed) - 1
-            m = np.bincount(cell, weights=np.sign(signed), minlength=len(part) * dim).reshape(-1, dim)
-            size = np.linalg.norm(m, axis=1)
-            unit = list_array(m / np.where(size > 0, size, 1.0)[:, None])
-            keep = pa.array(size > 0)
-            parts.append(pa.compute.if_else(keep, unit, pa.scalar(None, unit.type)))
+        parts = [assemble(texts.slice(start, step)) for start in range(0, len(texts), step)]
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
 
-    return assemble(buckets)
+    return embed(text)

@@ -57,23 +57,12 @@ def embedding_cost(count: Column) -> Column:
     return count * fixed.EMBEDDING_USD_PER_TOKEN
 
 
-def text_buckets(text: Column, dim: int) -> Column:
-    """One signed bucket per token: +-(bucket + 1)."""
-
-    def bucket(token: Column) -> Column:
-        digest = F.md5(token)
-        place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim + 1
-        return F.when(F.substring(digest, 9, 1) < "8", place).otherwise(-place)
-
-    return F.transform(tokens(text), bucket)
-
-
 def embed_texts(rows: DataFrame, text: str, dim: int = fixed.EMBEDDING_DIM, name: str = "embedding") -> DataFrame:
     """Add a unit vector per text by signed feature hashing of its tokens.
 
     It needs no figures of other rows, so vectors of different runs compare. Row by row: no shuffle.
     """
-    return rows.withColumn(name, hashed_vector(text_buckets(F.col(text), dim), dim))
+    return rows.withColumn(name, hashed_vector(F.col(text), dim))
 
 
 def _embed_batches(rows: DataFrame, embedder: Embedder) -> DataFrame:

@@ -37,9 +37,9 @@ def category_median(
 ) -> DataFrame:
     """Lower median of the valid prices per category.
 
-    Exact without gathering a category in one task: prices are counted per value, then per price
-    band of one unit (the valid range bounds the bands), which tells the band that holds the middle
-    rank; only the values of that band are ranked.
+    Exact without gathering a category in one task: prices are counted per price band of one unit
+    (the valid range bounds the bands), which tells the band that holds the middle rank; only the
+    values of that band are counted one by one and ranked.
     """
     if median_key not in ("raw", "normalised"):
         raise ValueError("median_key is 'raw' or 'normalised'")
@@ -49,11 +49,10 @@ def category_median(
         middle = F.approx_percentile("retail_price", 0.5, 10000)
         return prices.groupBy("category").agg(middle.alias("median_price"))
 
-    counts = prices.groupBy("category", "retail_price").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("band", F.floor("retail_price"))
+    prices = prices.withColumn("band", F.floor("retail_price"))
     upwards = Window.partitionBy("category").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
     bands = (
-        counts.groupBy("category", "band").agg(F.sum("n").alias("n"))
+        prices.groupBy("category", "band").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("up_to", F.sum("n").over(upwards))
         .withColumn("middle", F.ceil(F.sum("n").over(Window.partitionBy("category")) / 2))
         .where("up_to >= middle AND up_to - n < middle")
@@ -61,7 +60,8 @@ def category_median(
     )
     in_band = Window.partitionBy("category").orderBy("retail_price").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.join(bands, ["category", "band"])
+        prices.join(bands, ["category", "band"])
+        .groupBy("category", "rank_in_band", "retail_price").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("up_to", F.sum("n").over(in_band))
         .where("up_to >= rank_in_band")
         .groupBy("category").agg(F.min("retail_price").alias("median_price"))

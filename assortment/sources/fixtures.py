@@ -47,8 +47,10 @@ SELECT vec_id, 'Newer description ' || CAST(vec_id AS VARCHAR(10)), TIMESTAMP '2
 FROM {embeddings} WHERE vec_id % 50 = 1
 """
 
+# Nine clear clusters; label 9 is noise. The test on n keeps it a column of its own: inlined into the
+# lambda it would be computed anew for every element.
 PLANTED_SPARK = """
-SELECT vec_id AS product_id, label, transform(u, x -> x / n) AS embedding FROM (
+SELECT vec_id AS product_id, label, CASE WHEN n > 0 THEN transform(u, x -> x / n) END AS embedding FROM (
  SELECT vec_id, label, u, sqrt(aggregate(u, 0D, (a, x) -> a + x * x)) AS n FROM (
   SELECT vec_id, label, transform(embedding, (x, i) -> CAST(x AS DOUBLE) + CASE WHEN i = label AND label <> 9 THEN 2D ELSE 0D END) AS u FROM {embeddings}) a) b
 """

@@ -5,30 +5,32 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in `spark.checkpoint.dir`; a temporary one only for a local master without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
         return folder
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="assortment-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="assortment-")
+    return _local_folders[application]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` as a table in the shared folder and go on from there.
+
+    The files survive lost executors, and later joins plan with the real size of the rows.
+    """
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

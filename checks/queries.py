@@ -62,7 +62,7 @@ class Inputs:
 
     @cached_property
     def planted(self):
-        return self.derive(fixtures.PLANTED_SPARK)
+        return lineage.cut(self.derive(fixtures.PLANTED_SPARK))
 
     @cached_property
     def order_items(self):
@@ -524,13 +524,13 @@ def price_constraints(i):
 
 
 def _product_vectors(i):
-    return embed.embed_texts(embed.embedding_text(i.clean), "embedding_text", DIM).drop("embedding_text")
+    return lineage.cut(embed.embed_texts(embed.embedding_text(i.clean), "embedding_text", DIM))
 
 
 @query
 def search_log(i):
     """Every search text against the hashed vectors of all products."""
-    asked = embed.embed_texts(i.derive(fixtures.QUERY_LOG), "query", DIM)
+    asked = lineage.cut(embed.embed_texts(i.derive(fixtures.QUERY_LOG), "query", DIM))
     found = retrieval.search_log(asked, _product_vectors(i), i.clean, i.clustered, i.enriched, top_k=3)
     return _six(found, "distance")
 
