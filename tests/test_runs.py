@@ -109,18 +109,18 @@ def test_selected_products_get_another_description(spark, catalogue):
     assert enrich.enrich_incremental(catalogue, AS_OF)["enriched"] == 193
 
 
-def by_department(texts):
-    """Vectors that differ by department, with a little spread."""
-    out = []
-    for text in texts:
-        place = ["WOMEN", "MEN", "KIDS", "GENERAL"].index(text.split(" | ")[3])
-        spread = [int(hashlib.md5(f"{i}{text}".encode()).hexdigest()[:4], 16) / 65536 * 0.3 for i in range(4)]
-        out.append([s + 2.0 * (i == place) for i, s in enumerate(spread)])
-    return out, len(texts)
-
-
 def test_whole_run_twice(spark, catalogue):
     with_clean(spark, catalogue)
+
+    def by_department(texts):
+        """Vectors that differ by department, with a little spread."""
+        out = []
+        for text in texts:
+            place = ["WOMEN", "MEN", "KIDS", "GENERAL"].index(text.split(" | ")[3])
+            spread = [int(hashlib.md5(f"{i}{text}".encode()).hexdigest()[:4], 16) / 65536 * 0.3 for i in range(4)]
+            out.append([s + 2.0 * (i == place) for i, s in enumerate(spread)])
+        return out, len(texts)
+
     first = run.run_catalogue(catalogue, AS_OF, by_department)
     assert first["embedded"] == 195 == first["total_products"] and first["enrichment"]["enriched"] == 195
     later = AS_OF + dt.timedelta(days=1)
