@@ -4,14 +4,13 @@ import datetime as dt
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.text import product_text, tokens
 from assortment.functions.vectors import hashed_vector
 from assortment.operators.numbering import with_position
-from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue
 
 HASHING_MODEL = "signed-feature-hashing"
@@ -85,12 +84,13 @@ def embed_rows(
     """`products_embedded` rows for products that have none."""
     batched = assign_batches(embedding_text(pending), batch_size)
     if embedder is None:
-        rows = embed_texts(batched, "embedding_text", dim).withColumn(
-            "batch_tokens", F.sum(token_count(F.col("embedding_text"))).over(Window.partitionBy("batch"))
-        )
+        used = F.sum(token_count(F.col("embedding_text"))).over(Window.partitionBy("batch"))
+        # Vectors come last, so that they are not part of a shuffle.
+        rows = embed_texts(split_batch_tokens(batched.withColumn("batch_tokens", used)), "embedding_text", dim)
     else:
-        rows = _embed_batches(batched.select("product_id", "embedding_text", "position", "batch"), embedder)
-    return split_batch_tokens(rows).select(
+        texts = batched.select("product_id", "embedding_text", "position", "batch")
+        rows = split_batch_tokens(_embed_batches(texts, embedder))
+    return rows.select(
         "product_id", "embedding_text", "embedding",
         F.lit(model or (HASHING_MODEL if embedder is None else "custom")).alias("embedding_model"),
         "embedding_tokens", embedding_cost(F.col("embedding_tokens")).alias("embedding_cost_usd"),
@@ -101,9 +101,13 @@ def embed_rows(
 def embed_incremental(catalogue: Catalogue, at: dt.datetime, embedder: Embedder | None = None, **options) -> dict:
     """Embed what is pending and append it; returns counts."""
     pending = pending_embedding(catalogue.read("products_clean"), catalogue.read("products_embedded"))
-    rows = cut(embed_rows(pending, at, embedder, **options))
+    written = Observation()
+    rows = embed_rows(pending, at, embedder, **options).observe(
+        written, F.count(F.lit(1)).alias("embedded"), F.sum("embedding_tokens").alias("tokens")
+    )
     catalogue.append(rows, "products_embedded")
-    done = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("embedding_tokens"), F.lit(0))).first()
+    total = written.get["tokens"] or 0
     return {
-        "embedded": done[0], "total_tokens": done[1], "total_cost_usd": done[1] * fixed.EMBEDDING_USD_PER_TOKEN,
+        "embedded": written.get["embedded"], "total_tokens": total,
+        "total_cost_usd": total * fixed.EMBEDDING_USD_PER_TOKEN,
     }

@@ -4,7 +4,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assortment import fixed
@@ -97,10 +97,14 @@ def enriched_rows(
     )
 
 
+def _totals() -> list[Column]:
+    cost = F.round(F.coalesce(F.sum("description_cost_usd"), F.lit(0.0)), 4)
+    return [F.count(F.lit(1)).alias("enriched"), cost.alias("total_cost_usd")]
+
+
 def total_cost(rows: DataFrame) -> DataFrame:
     """Rows and their cost, four decimals."""
-    cost = F.round(F.coalesce(F.sum("description_cost_usd"), F.lit(0.0)), 4)
-    return rows.agg(F.count(F.lit(1)).alias("enriched"), cost.alias("total_cost_usd"))
+    return rows.agg(*_totals())
 
 
 def enrich_incremental(
@@ -111,9 +115,10 @@ def enrich_incremental(
         catalogue.read("products_clean"), catalogue.read_reloaded("products_clustered"),
         catalogue.read("products_enriched"),
     )
-    rows = cut(enriched_rows(pending, at, generator, model))
+    written = Observation()
+    rows = enriched_rows(pending, at, generator, model).observe(written, *_totals())
     catalogue.append(rows, "products_enriched")
-    return total_cost(rows).first().asDict()
+    return dict(written.get)
 
 
 def enrich_selected(

@@ -144,8 +144,12 @@ def intent_stats(chosen: DataFrame, clean: DataFrame, clustered: DataFrame) -> D
 
 
 def intent_briefs(hits: DataFrame, clean: DataFrame, clustered: DataFrame, top_n: int = 5) -> DataFrame:
-    """Chosen clusters with name, totals and their five nearest products, best cluster first."""
-    chosen = intent_clusters(hits, top_n)
+    """Chosen clusters with name, totals and their five nearest products, best cluster first.
+
+    The hits, bounded by the search pool, are written once and read three times.
+    """
+    hits = cut(hits)
+    chosen = cut(intent_clusters(hits, top_n))
     nearest = Window.partitionBy("cluster_id").orderBy("distance", "product_id")
     sample = (
         hits.withColumn("position", F.row_number().over(nearest))

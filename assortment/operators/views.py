@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.numbers import round2
+from assortment.sources.lineage import cut
 from assortment.sources.tables import latest_snapshot
 
 
@@ -77,9 +78,10 @@ def sales_timeline(
 ) -> DataFrame:
     """Orders and revenue per day and label over the trailing window.
 
-    The date filter reaches the scan of the order lines. Lines are summed per (product, day, order)
-    in the map tasks before the join; a product with a large share of the lines is split by the
-    skew handling of adaptive execution, since its other side has one row per product.
+    The date filter reaches the scan of the order lines. The catalogue side has one row per product,
+    so adaptive execution broadcasts it when it is small and otherwise splits a product that holds a
+    large share of the lines. Joined lines are summed per (day, label, order) in the map tasks, which
+    spreads a label with very many lines over its orders.
     """
     as_of_here = F.lit(as_of).cast(order_items.schema["created_at"].dataType)
     start = as_of_here - F.expr(f"INTERVAL {fixed.SALES_WINDOW_DAYS} DAY")
@@ -108,7 +110,8 @@ def heatmap_cat_dept(clean: DataFrame) -> DataFrame:
 
 
 def all_views(clean, clustered, order_items, report, as_of: dt.datetime) -> dict[str, DataFrame]:
-    catalogue = clustered_catalogue(clean, clustered)
+    """The six views by name. The joined catalogue four of them start from is written once."""
+    catalogue = cut(clustered_catalogue(clean, clustered))
     return {
         "cluster_distribution": cluster_distribution(catalogue),
         "brands_per_cluster": brands_per_cluster(catalogue),

@@ -22,8 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under the folder of this application in the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/assortment-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -82,7 +82,8 @@ class Inputs:
 
     @cached_property
     def all_views(self):
-        return views.all_views(self.clean, self.clustered, self.order_items, self.report, AS_OF)
+        clean = lineage.cut(self.clean)
+        return views.all_views(clean, self.clustered, self.order_items, self.report, AS_OF)
 
 
 QUERIES = {}
@@ -308,7 +309,7 @@ def _money_and_days(df):
 
 @query
 def sales_timeline(i):
-    return _money_and_days(i.all_views["sales_timeline"])
+    return _money_and_days(views.sales_timeline(i.order_items, i.catalogue, AS_OF))
 
 
 @query
@@ -338,7 +339,7 @@ def brand_cards(i):
 
 @query
 def timeline_daily(i):
-    daily = dashboard.timeline_daily(i.all_views["sales_timeline"])
+    daily = dashboard.timeline_daily(views.sales_timeline(i.order_items, i.catalogue, AS_OF))
     return daily.withColumn("sale_date", F.col("sale_date").cast("string"))
 
 
@@ -354,7 +355,7 @@ def heatmap_intensity(i):
 
 @query
 def kpi_cards(i):
-    return dashboard.kpi_cards(i.all_views["data_quality"])
+    return dashboard.kpi_cards(views.data_quality_latest(i.report))
 
 
 @query
