@@ -730,7 +730,7 @@ def assign_clusters(i):
     """Vectors to `products_clustered` rows with word labels."""
     found = lineage.cut(clusters.cluster_vectors(i.planted.select("product_id", "embedding")))
     named = labels.label_clusters(labels.label_samples(found, i.clean))
-    return clusters.assign_clusters(found, named, AS_OF).drop("clustering_created_at")
+    return _six(clusters.assign_clusters(found, named, AS_OF), "cluster_probability").drop("clustering_created_at")
 
 
 @query
