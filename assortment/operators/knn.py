@@ -138,10 +138,11 @@ class Rings:
 
 
 def directed(vectors: DataFrame) -> DataFrame:
-    """(id, embedding) rows whose vector has a direction."""
+    """(id, embedding) rows whose vector has a direction: no NULL or NaN part, and not all zero."""
     out = vectors.select("id", F.col("embedding").cast("array<double>").alias("embedding"))
     some = F.exists("embedding", lambda x: x != 0)
-    return out.where(has_vector(F.col("embedding")) & some)
+    numbers = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x))
+    return out.where(has_vector(F.col("embedding")) & numbers & some)
 
 
 def choose_pivots(base: DataFrame, rows: int) -> np.ndarray:

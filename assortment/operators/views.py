@@ -83,7 +83,7 @@ def sales_timeline(
     large share of the lines. Joined lines are summed per (day, label, order) in the map tasks, which
     spreads a label with very many lines over its orders.
     """
-    as_of_here = F.lit(as_of).cast(order_items.schema["created_at"].dataType)
+    as_of_here = F.lit(str(as_of)).cast(order_items.schema["created_at"].dataType)
     start = as_of_here - F.expr(f"INTERVAL {fixed.SALES_WINDOW_DAYS} DAY")
     sold = order_items.where(F.col("created_at") >= start).select(
         "product_id", "order_id", F.to_date("created_at").alias("sale_date"), "sale_price"

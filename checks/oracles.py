@@ -423,7 +423,7 @@ SELECT product_id, round(distance, 6) AS distance FROM (SELECT product_id, {NEAR
 ORDER BY p.distance, product_id LIMIT 25""",
     "ivf_search_batch": _exact("planted", "planted", 5),
     "index_coverage": f"""
-SELECT 'idx_embedding' AS index_name, 'products_clean' AS table_name, 'ACTIVE' AS index_status,
+SELECT 'vector_lists' AS index_name, 'products_clean' AS table_name, 'ACTIVE' AS index_status,
  {r2("100.0 * count(*) FILTER (product_id IN (SELECT product_id FROM products_embedded)) / CAST(count(*) AS DOUBLE)")} AS coverage_percentage
 FROM products_clean""",
     "search_products": _SEARCH.replace("{}", "(SELECT * FROM near ORDER BY distance, product_id LIMIT 100)"),
@@ -440,6 +440,13 @@ FROM intent_clusters JOIN intent_stats s USING (cluster_id) JOIN (SELECT * EXCLU
         cluster_label="coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id)",
     ) + """ AS prompt FROM intent_clusters JOIN intent_stats s USING (cluster_id)
 JOIN (SELECT cluster_id, string_agg(name, ', ' ORDER BY position) AS names FROM intent_samples GROUP BY cluster_id) USING (cluster_id)""",
+    "analyze_intent": """
+SELECT cluster_id, cluster_label, hit_count, products_total, avg_price, cluster_label || ': ' || hit_count || ' near products' AS positioning,
+ '€' || CAST(floor(low) AS BIGINT) || '–€' || CAST(ceil(high) AS BIGINT) AS price_range, 'Review ' || nearest_name AS buyer_action
+FROM (SELECT cluster_id, hit_count, products_total, avg_price, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label
+ FROM intent_clusters JOIN intent_stats s USING (cluster_id))
+JOIN (SELECT cluster_id, min(retail_price) AS low, max(retail_price) AS high, arg_min(name, position) AS nearest_name
+ FROM intent_samples GROUP BY cluster_id) USING (cluster_id)""",
     "parse_brief": "SELECT p_partkey AS reply_id, p_name AS positioning, "
     "CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '€' || p_size END AS price_range, "
     "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'Buy ' || p_brand END AS buyer_action FROM part",

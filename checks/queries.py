@@ -10,7 +10,7 @@ from assortment.functions import numbers, text, vectors
 from assortment.operators import (
     clusters, dashboard, embed, enrich, labels, quality, retrieval, staging, transform, vector, views,
 )
-from assortment.plans import run
+from assortment.plans import requests, run
 from assortment.sources import fixtures, lineage, tables
 from assortment.sources.fixtures import AS_OF
 from assortment.streaming import incremental
@@ -458,7 +458,7 @@ def ivf_search_batch(i):
 @query
 def index_coverage(i):
     """Products of the clean table that have an indexed vector."""
-    return vector.index_coverage(i.clean, i.embedded, "idx_embedding", "products_clean")
+    return vector.index_coverage(i.clean, i.embedded, "vector_lists", "products_clean")
 
 
 @query
@@ -514,6 +514,13 @@ def brief_prompt(i):
     return retrieval.brief_prompt(F.lit("a gift under 50"), _briefs(i)).select("cluster_id", "prompt")
 
 
+@query
+def analyze_intent(i):
+    """Briefs with their reply texts."""
+    replies = requests.intent_replies(_briefs(i), "a gift under 50")
+    return replies.drop("sample_products")
+
+
 @query
 def parse_brief(i):
     return retrieval.parse_brief(i.derive(fixtures.REPLIES)).drop("reply")
