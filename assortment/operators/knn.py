@@ -35,6 +35,7 @@ CHUNK_ROWS = 8192
 CELL_ROWS = 2048
 MAX_CELLS = 1024
 RINGS = 8
+BROADCAST_BLOCKS = 1_000_000
 SLACK = 1e-6
 DECIMALS = 10
 RESULT = "query long, id long, distance double"
@@ -252,6 +253,8 @@ def _search(queries: DataFrame, base: DataFrame, k: int, pivots, rings: Rings, m
         "query", "embedding", F.explode(F.sequence("first_block", "last_block")).alias("block")
     )
     load = sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    if rings.blocks.sum() <= BROADCAST_BLOCKS:
+        load = F.broadcast(load)
     left = sent.join(load, "block").withColumn(
         "chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int")
     ).drop("chunks")
