@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assortment.llm import decontaminate, simhash
+from assortment.llm import decontaminate, packing, quality_gam, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,12 +20,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_gam.fit(docs, table(spark, sf_dir, "labels"))
+    held = quality_gam.held_out(F.col("doc_id")).alias("held_out")
+    scored = docs.select("doc_id", held, quality_gam.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality_gam.KEEP_FROM).cast("int"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.spans(F.col("text")).alias("found"))
+    kinds = [rule.kind for rule in secret_scan.BASE]
+    of = lambda *names: F.filter("found", lambda s: s["kind"].isin(*names))
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    digest = F.sha2(secret_scan.listed(of(*kinds)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.listed(F.col("found")).alias("spans"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
