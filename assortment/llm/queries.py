@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assortment.llm import decontaminate, packing, quality_gam, secret_scan, simhash
+from assortment.llm import chat_windows, decontaminate, packing, quality_gam, quality_rules, secret_scan, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.sharded(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.spans(F.col("text")).alias("found"))
@@ -86,3 +102,17 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    kind = "conv_id long, turn long, role string, text string"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], kind)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    found = chat_windows.read_back(chat_windows.formatted(turns))
+    return found.select(
+        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
