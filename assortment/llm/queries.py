@@ -5,7 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assortment.llm import chat_windows, decontaminate, packing, quality_gam, quality_rules, secret_scan, shards, simhash
+from assortment.llm import (
+    chat_windows,
+    decontaminate,
+    packing,
+    quality_gam,
+    quality_rules,
+    secret_scan,
+    shards,
+    simhash,
+    url_rules,
+    warc_index,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +40,46 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality_gam.KEEP_FROM).cast("int"))
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = warc_index.archived(pages)
+    found = archive.find(pages.select(warc_index.url_key(F.col("url")).alias("url_key")))
+    return found.select(
+        F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"), "refers_to",
+    )
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest
+"""
+
+
+@query
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged(table(spark, sf_dir, "pages"), url_rules.rule_rows(spark))
+
+
+ORACLES["op3_url_rules"] = """
+WITH u AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(verdict, rh, rp) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+m AS (
+  SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
+  FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m ON u.page_id = m.page_id
+"""
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
