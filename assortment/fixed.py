@@ -31,6 +31,8 @@ LABEL_MAX_CHARS = 100
 
 # --- Fixed values: vector index and retrieval -------------------------------------
 IVF_LISTS = 100
+INDEX_MIN_ROWS = 5000
+NPROBE = 10
 SEARCH_OVERFETCH = 5
 INTENT_POOL = 120
 BRIEF_PRODUCTS = 5
@@ -41,7 +43,6 @@ EMBEDDING_USD_PER_TOKEN = 0.00000002
 GENERATION_USD_PER_TOKEN_IN = 0.00000015
 GENERATION_USD_PER_TOKEN_OUT = 0.00000060
 DESCRIPTION_TONE = "luxury_retail"
-DESCRIPTION_WORDS = 50
 ERROR_MAX_CHARS = 500
 
 # --- Fixed values: dashboard limits -----------------------------------------------

@@ -10,11 +10,9 @@ from assortment import fixed
 TOKEN = r"[\p{L}\p{N}]+"
 
 
-def strip(value: Column, whitespace: bool = False) -> Column:
-    """Remove outer spaces, or every outer blank when `whitespace` is set."""
-    if whitespace:
-        return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
-    return F.trim(value)
+def strip(value: Column) -> Column:
+    """Remove outer white space of any kind: blanks, tabs, newlines, no-break and other Unicode spaces."""
+    return F.regexp_replace(value, r"(?U)\A\s+|\s+\z", "")
 
 
 def cluster_name(label: Column, cluster_id: Column) -> Column:
@@ -23,8 +21,8 @@ def cluster_name(label: Column, cluster_id: Column) -> Column:
 
 
 def tidy_label(label: Column) -> Column:
-    """Strip blanks, then double quotes, then single quotes; cut to the label length."""
-    out = F.btrim(F.btrim(F.btrim(label), F.lit('"')), F.lit("'"))
+    """Strip white space, then double quotes, then single quotes; cut to the label length."""
+    out = F.btrim(F.btrim(strip(label), F.lit('"')), F.lit("'"))
     return F.substring(out, 1, fixed.LABEL_MAX_CHARS)
 
 

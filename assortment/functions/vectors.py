@@ -31,8 +31,20 @@ def has_vector(a: Column) -> Column:
     return a.isNotNull() & (F.size(a) > 0)
 
 
+def has_direction(a: Column, length: int | None = None) -> Column:
+    """The one rule for vectors that take part in a search: every part a finite number, a finite norm over 0,
+    and `length` parts if given. False for NULL."""
+    size = norm(a)
+    fits = has_vector(a) & (size > 0) & (size < float("inf"))
+    fits = fits & (F.size(a) == length) if length else fits
+    return F.coalesce(fits, F.lit(False))
+
+
 def matrix(vectors: pa.Array) -> np.ndarray:
     """Rows of a non-null list array of equal lengths as a 2-d array, without copying."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError("vectors of unequal lengths")
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(len(vectors), -1)
 
@@ -49,19 +61,27 @@ def list_array(m: np.ndarray) -> pa.ListArray:
 
 
 def distance_to(vector: Column, query: list[float]) -> Column:
-    """Cosine distance of a column of vectors to one fixed vector, one matrix product per batch."""
+    """Cosine distance of a column of vectors to one fixed vector, one matrix product per batch.
+
+    NULL for a vector without direction and for one of another length.
+    """
     q = np.asarray(query, dtype=np.float64)
+    if not 0 < np.linalg.norm(q) < np.inf:
+        raise ValueError("the query vector has no direction")
     q = q / np.linalg.norm(q)
 
     @arrow_udf("double")
     def distance(v: pa.Array) -> pa.Array:
         out = np.full(len(v), np.nan)
-        ok = v.is_valid().to_numpy(zero_copy_only=False)
-        if ok.any():
-            m = matrix(v.drop_null())
-            size = np.sqrt(np.einsum("ij,ij->i", m, m))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                out[ok] = np.maximum(0.0, 1.0 - (m @ q) / size)
+        ok = pc.fill_null(pc.equal(pc.list_value_length(v), len(q)), False)
+        rows = v.filter(ok)
+        if len(rows):
+            m = matrix(rows)
+            with np.errstate(all="ignore"):
+                size = np.sqrt(np.einsum("ij,ij->i", m, m))
+                found = np.maximum(0.0, 1.0 - (m @ q) / size)
+            found[~((size > 0) & (size < np.inf))] = np.nan
+            out[ok.to_numpy(zero_copy_only=False)] = found
         return pa.array(out, mask=np.isnan(out))
 
     return distance(vector)

@@ -17,8 +17,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ..
     minimum is combined in the map tasks and equal edges are merged before the next round, so a
     node with very many edges shrinks to one pointer. Rounds end when no edge is left.
 
-    The edges of a round are checkpointed, so a lost executor costs one round at most; pointers are
-    kept for the end and come back from those edges if their blocks are lost.
+    Edges and pointers of a round are written tables, so a lost executor costs one round at most.
     """
     keys = list(keys)
     edges = cut(_between(edges, keys))
@@ -30,7 +29,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ..
         for _ in range(HOPS):
             further = to.select(*keys, F.col("node").alias("to"), F.col("to").alias("_next"))
             to = to.join(further, [*keys, "to"]).select(*keys, "node", F.col("_next").alias("to"))
-        to = to.persist()
+        to = cut(to)
         steps.append(to)
         for end in ("a", "b"):
             moved = to.withColumnsRenamed({"node": end, "to": "_to"})
@@ -43,10 +42,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ..
         found = found.join(moved, [*keys, "component"], "left").select(
             *keys, "node", F.coalesce("_to", "component").alias("component")
         )
-    found = cut(found)
-    for to in steps:
-        to.unpersist()
-    return found
+    return cut(found)
 
 
 def _between(edges: DataFrame, keys: list[str]) -> DataFrame:

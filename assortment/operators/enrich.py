@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assortment import fixed
-from assortment.functions.text import fill
+from assortment.functions.text import fill, strip
 from assortment.operators.embed import token_count
 from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue
@@ -87,7 +87,7 @@ def enriched_rows(
     cluster_id = F.col("cluster_id") if keep_cluster_id else F.lit(None)
     return made.select(
         "product_id", cluster_id.cast("long").alias("cluster_id"), "cluster_label",
-        F.trim("text").alias("description_enriched"),
+        strip(F.col("text")).alias("description_enriched"),
         F.lit(model or (TEMPLATE_MODEL if generator is None else "custom")).alias("description_model"),
         F.lit(fixed.DESCRIPTION_TONE).alias("description_tone"),
         F.col("tokens_input").alias("description_tokens_input"),

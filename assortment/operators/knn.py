@@ -1,22 +1,24 @@
-"""Nearest neighbour join of two vector tables.
+"""Nearest neighbour join of two vector tables, one way for every size.
 
-A side whose vectors fit into SMALL_VALUES numbers is counted first, then handed to every task, and
-the other side is only mapped over: no shuffle of vectors at all. Two large sides are joined in
-blocks. Unit vectors are grouped into cells around pivots, cells into rings by distance to the
-pivot, and rings into blocks of bounded size. Query rows are sent to the blocks that can hold a
-neighbour; a task multiplies one chunk of queries with one block and keeps k rows per query. No pair
-of rows ever leaves a task except those k.
+Unit vectors are grouped into cells around pivots, cells into rings by distance to the pivot, and rings into
+blocks of bounded size. Cells grow in number with the rows, and beyond some millions of rows with their square
+root, so that pivots stay a small table and cells stay small. Query rows are sent to the blocks that can hold a
+neighbour; a task multiplies one chunk of queries with one block and keeps k rows per query. No pair of rows ever
+leaves a task except those k.
 
-Exact mode first searches the home ring of a query. The k-th distance found there bounds the rest:
-by the triangle inequality a ring further away than that holds no neighbour. Probe mode visits the
-cells of the nearest pivots only (an inverted-file search).
+Exact mode first searches the home ring of a query. The k-th distance found there bounds the rest: by the
+triangle inequality a ring further away than that holds no neighbour. Probe mode visits the cells of the nearest
+pivots only (an inverted-file search).
 
-In the block join equal vectors are joined once, so a vector with very many copies costs as much as
-any other.
+Equal vectors are joined once, so a vector with very many copies costs as much as any other. They are told apart
+by 128 bits of hash; no key of a shuffle holds a vector.
+
+Vectors of one length with a direction take part (`has_direction`); the length is that of the pivots or else the
+most frequent one of the base, the shorter on a tie.
 """
 
-from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -24,24 +26,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from assortment.functions.vectors import has_vector, matrix, unit_rows
+from assortment.functions.vectors import has_direction, matrix, unit_rows
 from assortment.sources.lineage import cut
 
-SMALL_VALUES = 8_000_000
-PAIRS_PER_TASK = 50_000_000
-MAX_TASKS = 20_000
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 8192
 CELL_ROWS = 2048
-MAX_CELLS = 1024
 RINGS = 8
-BROADCAST_BLOCKS = 1_000_000
 SLACK = 1e-6
 DECIMALS = 10
 RESULT = "query long, id long, distance double"
 
 
-def nearest_rows(asked_ids, asked, ids, units, k: int, exclude_self: bool = False):
+def nearest_rows(asked_ids, asked, ids, units, k: int):
     """(query, id, distance) arrays: the k nearest of `ids` per asked row, ties to the smaller id."""
     order = np.argsort(ids, kind="stable")
     ids, units = ids[order], units[order]
@@ -50,10 +47,6 @@ def nearest_rows(asked_ids, asked, ids, units, k: int, exclude_self: bool = Fals
     for start in range(0, len(asked_ids), step):
         part_ids = asked_ids[start:start + step]
         d = np.round(np.maximum(0.0, 1.0 - asked[start:start + step] @ units.T), DECIMALS)
-        if exclude_self:
-            at = np.minimum(np.searchsorted(ids, part_ids), len(ids) - 1)
-            own = np.nonzero(ids[at] == part_ids)[0]
-            d[own, at[own]] = np.inf
         top = min(k, len(ids))
         worst = np.partition(d, top - 1, axis=1)[:, top - 1]
         row, col = np.nonzero((d <= worst[:, None]) & np.isfinite(d))
@@ -83,53 +76,9 @@ def _columns(batch, id_name: str):
     return batch.column(id_name).to_numpy(), unit_rows(matrix(vectors))
 
 
-def _spread(df: DataFrame, rows: int, other: int, key: str) -> DataFrame:
-    """As many partitions as the number of vector products asks for, not the bytes."""
-    tasks = min(MAX_TASKS, max(1, rows * other // PAIRS_PER_TASK))
-    return df.repartition(tasks, key) if tasks > 1 else df
-
-
-def _map_queries(queries: DataFrame, ids, units, k: int, exclude_self: bool) -> DataFrame:
-    """Small base: every query row gets its final neighbours where it is."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and len(ids):
-                asked_ids, asked = _columns(batch, "id")
-                out = nearest_rows(asked_ids, asked, ids, units, k, exclude_self)
-                starts = np.flatnonzero(np.diff(out[0], prepend=out[0][:1] - 1))
-                sizes = np.diff(np.append(starts, len(out[0])))
-                rank = np.arange(len(out[0])) - np.repeat(starts, sizes) + 1
-                yield pa.RecordBatch.from_pydict(_result(*out) | {"rank": rank.astype(np.int32)})
-
-    return queries.mapInArrow(search, RESULT + ", rank int")
-
-
-def _map_base(base: DataFrame, ids, units, k: int, exclude_self: bool) -> DataFrame:
-    """Small query side: each task keeps the k best rows per query over all its batches."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
-        for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
-            stored_ids, stored = _columns(batch, "id")
-            new = nearest_rows(ids, units, stored_ids, stored, k, exclude_self)
-            if best is not None:
-                new = [np.concatenate(pair) for pair in zip(best, new)]
-            by = np.lexsort((new[1], new[2], new[0]))
-            query = new[0][by]
-            kept = np.arange(len(query)) - np.searchsorted(query, query) < k
-            best = [column[by][kept] for column in new]
-        if best is not None:
-            yield pa.RecordBatch.from_pydict(_result(*best))
-
-    return base.mapInArrow(search, RESULT)
-
-
 @dataclass
 class Rings:
-    """Ring figures by position, MAX_CELLS x RINGS rows at most: they fit into a task closure."""
+    """Ring figures by position, RINGS rows per pivot."""
 
     cell: np.ndarray
     low: np.ndarray
@@ -138,17 +87,23 @@ class Rings:
     blocks: np.ndarray
 
 
-def directed(vectors: DataFrame) -> DataFrame:
-    """(id, embedding) rows whose vector has a direction: no NULL or NaN part, and not all zero."""
+def common_length(vectors: DataFrame) -> int | None:
+    """The most frequent length of the vectors with a direction, the shorter on a tie; None without any."""
+    own = F.col("embedding").cast("array<double>")
+    lengths = vectors.where(has_direction(own)).groupBy(F.size("embedding").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    first = lengths.orderBy(F.desc("n"), "length").first()
+    return first and first.length
+
+
+def directed(vectors: DataFrame, length: int | None) -> DataFrame:
+    """(id, embedding) rows whose vector has a direction and `length` parts."""
     out = vectors.select("id", F.col("embedding").cast("array<double>").alias("embedding"))
-    some = F.exists("embedding", lambda x: x != 0)
-    numbers = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x))
-    return out.where(has_vector(F.col("embedding")) & numbers & some)
+    return out.where(has_direction(F.col("embedding"), length))
 
 
 def choose_pivots(base: DataFrame, rows: int) -> np.ndarray:
-    """Unit pivots: rows picked by id hash, about one per CELL_ROWS rows, MAX_CELLS at most."""
-    count = min(MAX_CELLS, max(1, rows // CELL_ROWS))
+    """Unit pivots: rows picked by id hash, one per CELL_ROWS rows but not more than the square root of the rows."""
+    count = max(1, min(rows // CELL_ROWS, isqrt(rows)))
     picked = base.orderBy(F.xxhash64("id"), "id").limit(count).select("embedding").toArrow()
     return unit_rows(matrix(picked.column(0).combine_chunks()))
 
@@ -177,14 +132,19 @@ def tag_cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
     return tagged.select(*base.columns, "_near.cell", "_near.gap")
 
 
+def _keyed(vectors: DataFrame) -> DataFrame:
+    """Add two 64-bit hashes that tell vectors apart."""
+    return vectors.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
+
+
 def _distinct(vectors: DataFrame, keep: int) -> DataFrame:
     """Up to `keep` smallest ids per vector, with the smallest one as `rep`.
 
     The filter on the row number limits the rows per vector in the map tasks already.
     """
-    copies = Window.partitionBy("embedding").orderBy("id")
-    few = vectors.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= keep)
-    return few.withColumn("rep", F.min("id").over(Window.partitionBy("embedding")))
+    copies = Window.partitionBy("h1", "h2").orderBy("id")
+    few = _keyed(vectors).withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= keep)
+    return few.withColumn("rep", F.min("id").over(Window.partitionBy("h1", "h2")))
 
 
 def _ring_table(tagged: DataFrame) -> tuple[DataFrame, Rings]:
@@ -248,13 +208,14 @@ def _search(queries: DataFrame, base: DataFrame, k: int, pivots, rings: Rings, m
         "ring int, first_block int, last_block int",
     )
     visited = _visits(F.col("embedding"), F.col("theta"), pivots, rings, mode, nprobe)
-    sent = queries.select("query", "embedding", F.explode(visited).alias("ring"))
-    sent = sent.join(F.broadcast(blocks), "ring").select(
-        "query", "embedding", F.explode(F.sequence("first_block", "last_block")).alias("block")
-    )
-    load = sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
-    if rings.blocks.sum() <= BROADCAST_BLOCKS:
-        load = F.broadcast(load)
+    asked = cut(queries.select("query", "embedding", visited.alias("rings")))
+
+    def to_blocks(*columns: str) -> DataFrame:
+        each = asked.select(*columns, F.explode("rings").alias("ring")).join(F.broadcast(blocks), "ring")
+        return each.select(*columns, F.explode(F.sequence("first_block", "last_block")).alias("block"))
+
+    load = to_blocks().groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    load, sent = cut(load), to_blocks("query", "embedding")
     left = sent.join(load, "block").withColumn(
         "chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int")
     ).drop("chunks")
@@ -262,13 +223,17 @@ def _search(queries: DataFrame, base: DataFrame, k: int, pivots, rings: Rings, m
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     ).drop("chunks")
 
+    pairs = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
+    return pairs.applyInArrow(_block_search(k), RESULT)
+
+
+def _block_search(k: int):
     def nearest(asked: pa.Table, stored: pa.Table) -> pa.Table:
         if not len(asked) or not len(stored):
             return pa.schema([("query", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())]).empty_table()
         return pa.table(_result(*nearest_rows(*_columns(asked, "query"), *_columns(stored, "id"), k)))
 
-    pairs = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
-    return pairs.applyInArrow(nearest, RESULT)
+    return nearest
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -280,11 +245,17 @@ def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool,
     keep = k + 1 if exclude_self else k
     members = cut(_distinct(base, keep))
     stored = members.where("copy = 1").select("id", "embedding")
+    rows = stored.count()
+    if not rows:
+        return queries.sparkSession.createDataFrame([], RESULT)
     if pivots is None:
-        pivots = choose_pivots(stored, stored.count())
+        pivots = choose_pivots(stored, rows)
     blocked, rings = _ring_table(tag_cells(stored, pivots))
+    blocked = cut(blocked)
 
-    reps = queries.groupBy("embedding").agg(F.min("id").alias("query"))
+    asking = _keyed(queries).withColumn("query", F.min("id").over(Window.partitionBy("h1", "h2")))
+    asking = cut(asking.select("id", "query", F.when(F.col("id") == F.col("query"), F.col("embedding")).alias("embedding")))
+    reps = asking.where("embedding IS NOT NULL").select("query", "embedding")
     each = reps.withColumn("theta", F.lit(None).cast("double"))
     if nprobe is not None:
         found = _search(each, blocked, keep, pivots, rings, "probe", nprobe)
@@ -301,15 +272,51 @@ def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool,
     copies = members.select(F.col("rep").alias("id"), F.col("id").alias("copy_id"))
     nearest = nearest.join(copies, "id").select("query", F.col("copy_id").alias("id"), "distance")
     nearest = _top(nearest, keep).drop("rank")
-    asking = queries.join(reps, "embedding").select(F.col("id").alias("asked"), "query")
-    out = asking.join(nearest, "query").select(F.col("asked").alias("query"), "id", "distance")
+    out = asking.select(F.col("id").alias("asked"), "query").join(nearest, "query")
+    out = out.select(F.col("asked").alias("query"), "id", "distance")
     return out.where(F.col("query") != F.col("id")) if exclude_self else out
 
 
-def _size(vectors: DataFrame) -> tuple[int, int]:
-    """Rows, and numbers in all vectors."""
-    counted = vectors.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("embedding")), F.lit(0))).first()
-    return counted[0], counted[1]
+def probe_lists(queries: DataFrame, lists: DataFrame, k: int, pivots: np.ndarray, nprobe: int) -> DataFrame:
+    """(query, id, distance, rank) from stored lists of (id, embedding, list_id): each query visits the lists of
+    its `nprobe` nearest pivots. Lists are spread over chunks of queries and blocks of rows of bounded size."""
+    probed = list_choice(F.col("embedding"), pivots, nprobe)
+    asked = directed(queries, pivots.shape[1]).select(F.col("id").alias("query"), "embedding", probed.alias("lists"))
+    asked = cut(asked)
+    each = asked.select("query", F.explode("lists").alias("list_id"))
+    load = each.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    wanted = [row.list_id for row in load.select("list_id").distinct().collect()]  # one number per list
+    lists = lists.where(F.col("list_id").isin(wanted))
+    sizes = lists.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    shape = F.broadcast(cut(load.join(sizes, "list_id")))  # one row per list
+
+    left = asked.select("query", "embedding", F.explode("lists").alias("list_id")).join(shape, "list_id").select(
+        "query", "embedding", "list_id", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+    )
+    right = lists.join(shape, "list_id").select(
+        "id", "embedding", "list_id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+    )
+    keys = ["list_id", "block", "chunk"]
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return _top(pairs.applyInArrow(_block_search(k), RESULT), k)
+
+
+def list_choice(vector, pivots: np.ndarray, nprobe: int):
+    """array<int>: the numbers of the `nprobe` nearest pivots."""
+
+    @arrow_udf("array<int>")
+    def nearest(v: pa.Array) -> pa.Array:
+        found = [np.empty((0, min(nprobe, len(pivots))), np.int32)]
+        for start in range(0, len(v), 4096):
+            dots = unit_rows(matrix(v.slice(start, 4096))) @ pivots.T
+            found.append(np.argsort(-dots, axis=1, kind="stable")[:, :nprobe].astype(np.int32))
+        out = np.concatenate(found)
+        offsets = np.arange(0, out.size + 1, max(1, out.shape[1]), dtype=np.int32)[: len(out) + 1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return nearest(vector)
 
 
 def knn_join(
@@ -318,20 +325,11 @@ def knn_join(
 ) -> DataFrame:
     """(query, id, distance, rank): the k nearest base rows of each query by cosine distance.
 
-    Both inputs hold (id, embedding) with unique long ids; rows without a direction are left out.
-    Exact unless `nprobe` is given. Ties go to the smaller id; distances have ten decimals.
+    Both inputs hold (id, embedding) with unique long ids; rows without a direction and those of another length
+    are left out. Exact unless `nprobe` is given. Ties go to the smaller id; distances have ten decimals.
     """
     same = queries is base
-    base = directed(base)
-    queries = base if same else directed(queries)
-    if nprobe is None:
-        rows, values = _size(base)
-        if values <= SMALL_VALUES:
-            ids, units = _columns(base.toArrow(), "id") if rows else (np.empty(0, np.int64), None)
-            asked = _spread(queries, rows if same else queries.count(), rows, "id")
-            return _map_queries(asked, ids, units, k, exclude_self)
-        asked_rows, asked_values = (rows, values) if same else _size(queries)
-        if asked_values <= SMALL_VALUES // 8:
-            ids, units = _columns(queries.toArrow(), "id") if asked_rows else (np.empty(0, np.int64), None)
-            return _top(_map_base(base, ids, units, k, exclude_self), k)
+    length = common_length(base) if pivots is None else pivots.shape[1]
+    base = directed(base, length)
+    queries = base if same else directed(queries, length)
     return _top(_block_join(queries, base, k, exclude_self, pivots, nprobe), k)

@@ -40,10 +40,16 @@ def label_prompt(samples: DataFrame) -> DataFrame:
     return samples.withColumn("prompt", fill(fixed.LABEL_PROMPT, samples=lines))
 
 
-def word_labels(samples: DataFrame) -> DataFrame:
-    """(cluster_id, cluster_label): the three most frequent sample words, most distinctive first."""
-    words = samples.select("cluster_id", F.explode("samples").alias("sample"))
-    words = words.select("cluster_id", F.explode(tokens(F.col("sample"))).alias("word"))
+def word_labels(clustered: DataFrame, clean: DataFrame) -> DataFrame:
+    """(cluster_id, cluster_label): the three most frequent words of all members, most distinctive first.
+
+    Counts are made in the map tasks, so a hot cluster or word sends one row per task and word.
+    """
+    members = real_clusters(clustered).select("cluster_id", "product_id")
+    texts = clean.select("product_id", "name", "category")
+    words = members.join(texts, "product_id").select(
+        "cluster_id", F.explode(tokens(F.concat_ws(" ", "name", "category"))).alias("word")
+    )
     counts = words.groupBy("cluster_id", "word").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("word").agg(F.sum("n").alias("total"))
     most = Window.partitionBy("cluster_id").orderBy(F.desc("n"), "word")
@@ -55,9 +61,9 @@ def word_labels(samples: DataFrame) -> DataFrame:
     return ranked.select("cluster_id", tidy_label(title_case(label)).alias("cluster_label"))
 
 
-def label_clusters(samples: DataFrame, generator: Callable | None = None) -> DataFrame:
-    """(cluster_id, cluster_label) from the words of the samples, or from a text generator."""
+def label_clusters(clustered: DataFrame, clean: DataFrame, generator: Callable | None = None) -> DataFrame:
+    """(cluster_id, cluster_label) from the words of all members, or from a text generator that sees samples."""
     if generator is None:
-        return word_labels(samples)
-    made = generate_text(label_prompt(samples).select("cluster_id", "prompt"), generator)
-    return made.select("cluster_id", tidy_label(F.col("text")).alias("cluster_label"))
+        return word_labels(clustered, clean)
+    prompts = label_prompt(label_samples(clustered, clean)).select("cluster_id", "prompt")
+    return generate_text(prompts, generator).select("cluster_id", tidy_label(F.col("text")).alias("cluster_label"))

@@ -8,9 +8,9 @@ from assortment.functions.numbers import price_range, round2, whole_number
 from assortment.functions.prices import price_limits
 from assortment.functions.text import cluster_name, fill
 from assortment.operators.dashboard import newest_descriptions
-from assortment.operators.vector import vector_top_k, vector_top_k_batch
+from assortment.operators.vector import VectorIndex, ivf_search, ivf_search_batch, vector_top_k, vector_top_k_batch
 from assortment.operators.views import real_clusters
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, local
 
 
 def check_search(query: str, top_k: int, min_price: float | None, max_price: float | None) -> None:
@@ -31,6 +31,16 @@ def check_intent(intent: str, top_k_clusters: int) -> None:
         raise ValueError("top_k_clusters is 1 to 10")
 
 
+def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
+    """The `pool` nearest rows, from the probed lists of an index if there is one.
+
+    At most `pool` rows of an id and a distance: they stay in the plan as a local relation, and a request writes
+    nothing.
+    """
+    hits = vector_top_k(embedded, vector, pool) if index is None else ivf_search(index, vector, pool, nprobe)
+    return local(hits)
+
+
 def _rows_of(table: DataFrame, hits: DataFrame) -> DataFrame:
     """Rows of a table for the products hit: a map-only join, since hits are bounded by k."""
     return table.join(F.broadcast(hits.select("product_id").distinct()), "product_id", "left_semi")
@@ -57,8 +67,9 @@ def search_products(
     vector: list[float], clean: DataFrame, embedded: DataFrame, clustered: DataFrame, enriched: DataFrame,
     top_k: int = 10, min_price: float | None = None, max_price: float | None = None,
     prefilter: bool = False, newest_only: bool = True, query: str = "query",
+    index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
 ) -> DataFrame:
-    """Nearest products with their cluster and description, filtered by price.
+    """Nearest products with their cluster and description, filtered by price; from `index` if there is one.
 
     As a price filter runs after the vector search, five times the rows are fetched for it and fewer
     than `top_k` may remain; `prefilter` searches among the products in the price range instead.
@@ -67,9 +78,11 @@ def search_products(
     bounded = min_price is not None or max_price is not None
     in_range = price_range("retail_price", min_price, max_price)
     if bounded and prefilter:
-        embedded = embedded.join(clean.where(in_range).select("product_id"), "product_id", "left_semi")
+        priced = clean.where(in_range).select("product_id")
+        embedded = embedded.join(priced, "product_id", "left_semi")
+        index = index and VectorIndex(index.centroids, index.rows.join(priced, "product_id", "left_semi"))
     pool = top_k * fixed.SEARCH_OVERFETCH if bounded and not prefilter else top_k
-    hits = cut(vector_top_k(embedded, vector, pool))
+    hits = _nearest(vector, embedded, pool, index, nprobe)
     found = _with_products(hits, clean, clustered, enriched, newest_only).where(in_range)
     return found.select(*_RESULT).orderBy("distance", "product_id", "description_enriched").limit(top_k)
 
@@ -82,14 +95,22 @@ def price_constraints(queries: DataFrame, strict: bool = False) -> DataFrame:
 
 def search_log(
     queries: DataFrame, vectors: DataFrame, clean: DataFrame, clustered: DataFrame, enriched: DataFrame,
-    top_k: int = 10, strict: bool = False,
+    top_k: int = 10, strict: bool = False, index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
 ) -> DataFrame:
-    """`search_products` for a table of (query_id, query, embedding), with the prices of each text."""
+    """`search_products` for a table of (query_id, query, embedding), with the prices of each text.
+
+    Texts without a price ask for `top_k` rows, the others for five times as many.
+    """
     priced = price_constraints(queries, strict).select("query_id", "min_price", "max_price")
     bounded = F.col("min_price").isNotNull() | F.col("max_price").isNotNull()
-    hits = vector_top_k_batch(vectors, queries, top_k * fixed.SEARCH_OVERFETCH)
-    pool = F.when(bounded, top_k * fixed.SEARCH_OVERFETCH).otherwise(top_k)
-    hits = hits.join(priced, "query_id").where(F.col("rank") <= pool)
+    priced = cut(queries.select("query_id", "embedding").join(priced, "query_id"))
+
+    def nearest(asked: DataFrame, k: int) -> DataFrame:
+        asked = asked.select("query_id", "embedding")
+        return vector_top_k_batch(vectors, asked, k) if index is None else ivf_search_batch(index, asked, k, nprobe)
+
+    hits = nearest(priced.where(bounded), top_k * fixed.SEARCH_OVERFETCH).unionByName(nearest(priced.where(~bounded), top_k))
+    hits = hits.join(priced.drop("embedding"), "query_id")
     products = clean.select("product_id", "name", "brand", "category", "department", "retail_price")
     price = F.col("retail_price")
     kept = hits.join(products, "product_id").where(
@@ -105,10 +126,11 @@ def search_log(
 
 
 def intent_hits(
-    vector: list[float], clean: DataFrame, embedded: DataFrame, clustered: DataFrame, pool: int = fixed.INTENT_POOL
+    vector: list[float], clean: DataFrame, embedded: DataFrame, clustered: DataFrame, pool: int = fixed.INTENT_POOL,
+    index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
 ) -> DataFrame:
-    """The nearest products that lie in a real cluster."""
-    hits = cut(vector_top_k(embedded, vector, pool))
+    """The nearest products that lie in a real cluster; from `index` if there is one."""
+    hits = _nearest(vector, embedded, pool, index, nprobe)
     products = clean.select("product_id", "name", "brand", "retail_price")
     clusters = real_clusters(clustered).select("product_id", "cluster_id", "cluster_label")
     found = hits.join(_rows_of(products, hits), "product_id").join(_rows_of(clusters, hits), "product_id")
@@ -146,10 +168,10 @@ def intent_stats(chosen: DataFrame, clean: DataFrame, clustered: DataFrame) -> D
 def intent_briefs(hits: DataFrame, clean: DataFrame, clustered: DataFrame, top_n: int = 5) -> DataFrame:
     """Chosen clusters with name, totals and their five nearest products, best cluster first.
 
-    The hits, bounded by the search pool, are written once and read three times.
+    The hits, bounded by the search pool, are found once and used three times.
     """
-    hits = cut(hits)
-    chosen = cut(intent_clusters(hits, top_n))
+    hits = local(hits)
+    chosen = local(intent_clusters(hits, top_n))
     nearest = Window.partitionBy("cluster_id").orderBy("distance", "product_id")
     sample = (
         hits.withColumn("position", F.row_number().over(nearest))

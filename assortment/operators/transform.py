@@ -8,24 +8,27 @@ from pyspark.sql import functions as F
 from assortment import fixed
 from assortment.functions.numbers import round2, valid_price
 from assortment.functions.text import strip
+from assortment.sources.lineage import cut
 
+BROADCAST_MEDIANS = 100_000
 
-def _tidy(name: str, whitespace: bool) -> Column:
-    return F.upper(strip(F.col(name), whitespace))
 
+def _tidy(name: str) -> Column:
+    return F.upper(strip(F.col(name)))
 
-def _tidy_or(name: str, default: str, whitespace: bool) -> Column:
-    return F.coalesce(F.nullif(_tidy(name, whitespace), F.lit("")), F.lit(default))
 
+def _tidy_or(name: str, default: str) -> Column:
+    return F.coalesce(F.nullif(_tidy(name), F.lit("")), F.lit(default))
 
-def normalise_strings(raw: DataFrame, whitespace: bool = False) -> DataFrame:
-    """Upper case and trim; blank brand and department get their default."""
+
+def normalise_strings(raw: DataFrame) -> DataFrame:
+    """Upper case and trim white space; blank brand and department get their default."""
     return raw.select(
         "product_id",
-        _tidy("name", whitespace).alias("name"),
-        _tidy_or("brand", fixed.DEFAULT_BRAND, whitespace).alias("brand"),
-        _tidy("category", whitespace).alias("category"),
-        _tidy_or("department", fixed.DEFAULT_DEPARTMENT, whitespace).alias("department"),
+        _tidy("name").alias("name"),
+        _tidy_or("brand", fixed.DEFAULT_BRAND).alias("brand"),
+        _tidy("category").alias("category"),
+        _tidy_or("department", fixed.DEFAULT_DEPARTMENT).alias("department"),
         "retail_price",
         "cost",
         F.col("created_at").alias("source_created_at"),
@@ -33,7 +36,7 @@ def normalise_strings(raw: DataFrame, whitespace: bool = False) -> DataFrame:
 
 
 def category_median(
-    raw: DataFrame, median_key: str = "raw", approximate: bool = False, whitespace: bool = False
+    raw: DataFrame, median_key: str = "raw", approximate: bool = False
 ) -> DataFrame:
     """Lower median of the valid prices per category.
 
@@ -43,7 +46,7 @@ def category_median(
     """
     if median_key not in ("raw", "normalised"):
         raise ValueError("median_key is 'raw' or 'normalised'")
-    key = F.col("category") if median_key == "raw" else _tidy("category", whitespace)
+    key = F.col("category") if median_key == "raw" else _tidy("category")
     prices = raw.where(valid_price("retail_price")).select(key.alias("category"), "retail_price")
     if approximate:
         middle = F.approx_percentile("retail_price", 0.5, 10000)
@@ -71,9 +74,12 @@ def category_median(
 def impute_price(products: DataFrame, medians: DataFrame) -> DataFrame:
     """Valid price, else the median of the category, else the fallback.
 
-    No broadcast hint: Catalyst and adaptive execution pick it by size, and split a category that
-    holds a large share of the rows otherwise.
+    The medians are written and counted: up to BROADCAST_MEDIANS rows go to the tasks, so that no product is
+    shuffled by a handful of categories; more are joined by a shuffle, whose hot keys adaptive execution splits.
     """
+    medians = cut(medians)
+    if medians.count() <= BROADCAST_MEDIANS:
+        medians = F.broadcast(medians)
     joined = products.join(medians, "category", "left")
     price = F.when(valid_price("retail_price"), F.col("retail_price")).otherwise(
         F.coalesce("median_price", F.lit(fixed.FALLBACK_PRICE))
@@ -126,11 +132,10 @@ def clean_products(
     cleaned_at: dt.datetime,
     median_key: str = "raw",
     approximate_median: bool = False,
-    whitespace: bool = False,
 ) -> DataFrame:
     """All cleaning steps: `products_raw` to `products_clean`."""
-    medians = category_median(raw, median_key, approximate_median, whitespace)
-    out = impute_price(normalise_strings(raw, whitespace), medians)
+    medians = category_median(raw, median_key, approximate_median)
+    out = impute_price(normalise_strings(raw), medians)
     out = validation_errors(is_valid(margin_pct(repair_cost(out))))
     return out.select(
         "product_id", "name", "brand", "category", "department", "retail_price", "cost", "margin_pct",

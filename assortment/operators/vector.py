@@ -1,5 +1,6 @@
 """Vector search: exact top k, and inverted lists."""
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,8 +13,9 @@ from assortment import fixed
 from assortment.functions.numbers import round2
 from assortment.functions.vectors import distance_to, has_vector, unit_rows
 from assortment.operators import knn
+from assortment.sources.lineage import cut
 
-TRAIN_ROWS_PER_LIST = 256
+MAX_ITERATIONS = 50
 ROWS_PER_FILE = 1_000_000
 
 
@@ -45,20 +47,31 @@ class VectorIndex:
     centroids: np.ndarray
     rows: DataFrame
 
+    def spark_centroids(self) -> DataFrame:
+        """(number, centroid), one row per list."""
+        rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
+        return self.rows.sparkSession.createDataFrame(rows, "number int, centroid array<double>")
 
-def ivf_build(vectors: DataFrame, lists: int = fixed.IVF_LISTS, seed: int = 42) -> VectorIndex:
-    """Centroids by cosine k-means, and every vector with its nearest list.
 
-    Centroids are trained on rows picked by id hash, some hundreds per list; all rows are assigned.
+def ivf_build(
+    vectors: DataFrame, lists: int = fixed.IVF_LISTS, seed: int = 42, max_iterations: int = MAX_ITERATIONS,
+    tolerance: float = 1e-4,
+) -> VectorIndex:
+    """Centroids by cosine k-means over all vectors, and every vector with its nearest list.
+
+    Training ends when no centroid moves by more than `tolerance`; a warning says when `max_iterations` came first.
     """
-    rows = knn.directed(_as_ids(vectors, "product_id"))
-    total = rows.count()
+    named = _as_ids(vectors, "product_id")
+    rows = knn.directed(named, knn.common_length(named))
+    train = cut(rows.select(array_to_vector("embedding").alias("features")))
+    total = train.count()
     if total == 0:
         raise ValueError("no vectors to index")
-    share = min(1.0, TRAIN_ROWS_PER_LIST * lists / total)
-    train = rows if share == 1.0 else rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
-    train = train.select(array_to_vector("embedding").alias("features"))
-    model = KMeans(k=min(lists, total), distanceMeasure="cosine", seed=seed, maxIter=10, solver="block").fit(train)
+    model = KMeans(
+        k=min(lists, total), distanceMeasure="cosine", seed=seed, maxIter=max_iterations, tol=tolerance, solver="block"
+    ).fit(train)
+    if model.summary.numIter >= max_iterations:
+        warnings.warn(f"centroids still moved after {max_iterations} rounds", stacklevel=2)
     centroids = np.array(model.clusterCenters())
     centroids = unit_rows(centroids[np.linalg.norm(centroids, axis=1) > 0])
     return VectorIndex(centroids, _assign(rows, centroids))
@@ -101,19 +114,22 @@ def ivf_search(index: VectorIndex, query: list[float], k: int, nprobe: int) -> D
 
 
 def ivf_search_batch(index: VectorIndex, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
-    """`ivf_search` for a table of (query_id, embedding)."""
-    found = knn.knn_join(
-        _as_ids(queries, "query_id"), _as_ids(index.rows, "product_id"), k, pivots=index.centroids, nprobe=nprobe
+    """`ivf_search` for a table of (query_id, embedding). Lists that no query probes are not read."""
+    found = knn.probe_lists(
+        _as_ids(queries, "query_id"), index.rows.select(F.col("product_id").alias("id"), "embedding", "list_id"),
+        k, index.centroids, nprobe,
     )
     return found.withColumnsRenamed({"query": "query_id", "id": "product_id"})
 
 
-def index_coverage(vectors: DataFrame, indexed: DataFrame, index_name: str, table_name: str) -> DataFrame:
-    """Share of the rows of a table that the lists hold; NULL and empty vectors are not held."""
-    held = indexed.select("product_id", F.lit(True).alias("_held"))
+def index_coverage(vectors: DataFrame, index: VectorIndex, index_name: str, table_name: str) -> DataFrame:
+    """Share of the rows of a table that the stored lists hold; vectors without direction are not held. The index
+    is active if it holds a row."""
+    held = index.rows.select("product_id", F.lit(True).alias("_held"))
     joined = vectors.select("product_id").join(held, "product_id", "left")
     covered = F.try_divide(100.0 * F.count("_held"), F.count(F.lit(1)))
-    return joined.agg(round2(covered).alias("coverage_percentage")).select(
+    figures = joined.agg(round2(covered).alias("coverage_percentage"), F.count("_held").alias("_rows"))
+    return figures.select(
         F.lit(index_name).alias("index_name"), F.lit(table_name).alias("table_name"),
-        F.lit("ACTIVE").alias("index_status"), "coverage_percentage",
+        F.when(F.col("_rows") > 0, "ACTIVE").otherwise("EMPTY").alias("index_status"), "coverage_percentage",
     )

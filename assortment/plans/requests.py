@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.operators import dashboard, embed, enrich, retrieval, views
+from assortment.plans.run import stored_index
 from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue, latest_snapshot
 
@@ -31,7 +32,7 @@ def search(
     return retrieval.search_products(
         query_vector(catalogue, query, embedder, dim), catalogue.read("products_clean"),
         catalogue.read("products_embedded"), catalogue.read_reloaded("products_clustered"),
-        catalogue.read("products_enriched"), top_k, min_price, max_price, query=query, **options,
+        catalogue.read("products_enriched"), top_k, min_price, max_price, query=query, index=stored_index(catalogue), **options,
     )
 
 
@@ -69,7 +70,9 @@ def analyze_intent(
     retrieval.check_intent(intent, top_k_clusters)
     clean, clustered = catalogue.read("products_clean"), catalogue.read_reloaded("products_clustered")
     vector = query_vector(catalogue, intent, embedder, dim)
-    hits = retrieval.intent_hits(vector, clean, catalogue.read("products_embedded"), clustered)
+    hits = retrieval.intent_hits(
+        vector, clean, catalogue.read("products_embedded"), clustered, index=stored_index(catalogue)
+    )
     return intent_replies(retrieval.intent_briefs(hits, clean, clustered, top_k_clusters), intent, generator)
 
 

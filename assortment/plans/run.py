@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assortment import fixed
-from assortment.operators import clusters, embed, enrich, labels, quality, staging, transform
+from assortment.operators import clusters, embed, enrich, labels, quality, staging, transform, vector
+from assortment.operators.vector import VectorIndex
 from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue, run_event, table_counts
 
@@ -29,13 +30,29 @@ def cluster_catalogue(
     """Cluster all vectors anew and replace `products_clustered`; returns counts."""
     vectors = catalogue.read("products_embedded").select("product_id", "embedding")
     found = cut(clusters.cluster_vectors(vectors, min_cluster_size, **options))
-    samples = labels.label_samples(found, catalogue.read("products_clean"))
-    named = labels.label_clusters(samples, labeller)
+    named = labels.label_clusters(found, catalogue.read("products_clean"), labeller)
     rows = clusters.assign_clusters(found, named, at, min_cluster_size)
-    catalogue.reload(rows, "products_clustered", at)
+    catalogue.reload(rows, "products_clustered")
     return clusters.cluster_stats(found).first().asDict()
 
 
+def build_index(catalogue: Catalogue, lists: int = fixed.IVF_LISTS, min_rows: int = fixed.INDEX_MIN_ROWS) -> VectorIndex | None:
+    """Store inverted lists of all vectors and return them; None, and no index, for fewer than `min_rows`."""
+    vectors = catalogue.read("products_embedded").select("product_id", "embedding")
+    if vectors.limit(min_rows).count() < min_rows:
+        return None
+    path = catalogue.new_index()
+    vector.write_index(vector.ivf_build(vectors, lists), path)
+    catalogue.name_index(path)
+    return stored_index(catalogue)
+
+
+def stored_index(catalogue: Catalogue) -> VectorIndex | None:
+    """The newest stored index, if there is one."""
+    path = catalogue.index()
+    return path and vector.read_index(catalogue.spark, path)
+
+
 def append_quality_report(catalogue: Catalogue, at: dt.datetime) -> None:
     """Add a snapshot of `products_clean` to the quality report."""
     catalogue.append(quality.quality_snapshot(catalogue.read("products_clean"), at), "quality_report")
@@ -43,9 +60,9 @@ def append_quality_report(catalogue: Catalogue, at: dt.datetime) -> None:
 
 def run_catalogue(
     catalogue: Catalogue, at: dt.datetime, embedder=None, labeller=None, generator=None,
-    embedding: dict | None = None, clustering: dict | None = None,
+    embedding: dict | None = None, clustering: dict | None = None, index: dict | None = None,
 ) -> dict:
-    """Log the start, embed what is new, cluster all, describe what is new, log the outcome."""
+    """Log the start, embed what is new, store the index, cluster all, describe what is new, log the outcome."""
     for name in LAYERS:
         catalogue.create(name)
     one = catalogue.spark.range(1)
@@ -58,6 +75,7 @@ def run_catalogue(
     log("IN_PROGRESS")
     try:
         figures = embed.embed_incremental(catalogue, at, embedder, **(embedding or {}))
+        build_index(catalogue, **(index or {}))
         figures |= cluster_catalogue(catalogue, at, labeller, **(clustering or {}))
         figures["enrichment"] = enrich.enrich_incremental(catalogue, at, generator)
     except Exception as error:

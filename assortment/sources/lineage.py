@@ -1,24 +1,16 @@
 """Lineage cuts and work folders in the shared folder of the cluster."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`; a temporary one only for a local master without it."""
+    """The folder in `spark.checkpoint.dir`, which driver and executors must share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="assortment-")
-    return _local_folders[application]
+    return folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -27,6 +19,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/assortment-{application}/{name}-{uuid.uuid4().hex}"
 
 
+def local(df: DataFrame) -> DataFrame:
+    """`df` as rows of the plan; only for rows whose number a parameter bounds. Nothing is written."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared folder and go on from there.
 

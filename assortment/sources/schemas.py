@@ -7,53 +7,90 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-_TYPES = {
-    "long": LongType(), "str": StringType(), "dbl": DoubleType(), "bool": BooleanType(),
-    "ts": TimestampType(), "date": DateType(), "vec": ArrayType(DoubleType()),
-}
-
-
-def _table(columns: str) -> StructType:
-    """`name type` pairs; `!` marks NOT NULL."""
-    fields = []
-    for item in columns.split(","):
-        name, kind = item.split()
-        fields.append(StructField(name.rstrip("!"), _TYPES[kind], not name.endswith("!")))
-    return StructType(fields)
-
+LONG, TEXT, DOUBLE, BOOLEAN = LongType(), StringType(), DoubleType(), BooleanType()
+TIME, DATE, VECTOR = TimestampType(), DateType(), ArrayType(DoubleType())
 
+# The columns of each table.
 TABLES = {
-    "products_raw": _table(
-        "product_id! long, name! str, brand str, category! str, department str, retail_price dbl,"
-        "cost dbl, created_at ts, ingestion_date! date"
-    ),
-    "products_clean": _table(
-        "product_id! long, name! str, brand! str, category! str, department! str, retail_price! dbl,"
-        "cost! dbl, margin_pct dbl, is_valid! bool, validation_errors str, cleaned_at! ts,"
-        "source_created_at ts"
-    ),
-    "products_embedded": _table(
-        "product_id! long, embedding_text! str, embedding vec, embedding_model! str,"
-        "embedding_tokens! long, embedding_cost_usd dbl, embedding_created_at! ts"
-    ),
-    "products_clustered": _table(
-        "product_id! long, cluster_id! long, cluster_label str, cluster_probability dbl, is_noise! bool,"
-        "clustering_algorithm! str, min_cluster_size_param! long, clustering_created_at! ts"
-    ),
-    "products_enriched": _table(
-        "product_id! long, cluster_id long, cluster_label str, description_enriched! str,"
-        "description_model! str, description_tone! str, description_tokens_input long,"
-        "description_tokens_output long, description_cost_usd dbl, description_created_at! ts"
-    ),
-    "quality_report": _table(
-        "report_timestamp! ts, total_records! long, valid_records! long, completeness_pct! dbl,"
-        "field_name_completeness long, field_brand_completeness long, field_cat_completeness long,"
-        "field_price_completeness long, price_mean dbl, price_stddev dbl, price_min dbl, price_max dbl"
-    ),
-    "pipeline_runs": _table(
-        "run_id! str, started_at! ts, completed_at ts, status! str, products_processed long,"
-        "clusters_created long, error_message str"
-    ),
+    "products_raw": StructType([
+        StructField("product_id", LONG, False),
+        StructField("name", TEXT, False),
+        StructField("brand", TEXT),
+        StructField("category", TEXT, False),
+        StructField("department", TEXT),
+        StructField("retail_price", DOUBLE),
+        StructField("cost", DOUBLE),
+        StructField("created_at", TIME),
+        StructField("ingestion_date", DATE, False),
+    ]),
+    "products_clean": StructType([
+        StructField("product_id", LONG, False),
+        StructField("name", TEXT, False),
+        StructField("brand", TEXT, False),
+        StructField("category", TEXT, False),
+        StructField("department", TEXT, False),
+        StructField("retail_price", DOUBLE, False),
+        StructField("cost", DOUBLE, False),
+        StructField("margin_pct", DOUBLE),
+        StructField("is_valid", BOOLEAN, False),
+        StructField("validation_errors", TEXT),
+        StructField("cleaned_at", TIME, False),
+        StructField("source_created_at", TIME),
+    ]),
+    "products_embedded": StructType([
+        StructField("product_id", LONG, False),
+        StructField("embedding_text", TEXT, False),
+        StructField("embedding", VECTOR),
+        StructField("embedding_model", TEXT, False),
+        StructField("embedding_tokens", LONG, False),
+        StructField("embedding_cost_usd", DOUBLE),
+        StructField("embedding_created_at", TIME, False),
+    ]),
+    "products_clustered": StructType([
+        StructField("product_id", LONG, False),
+        StructField("cluster_id", LONG, False),
+        StructField("cluster_label", TEXT),
+        StructField("cluster_probability", DOUBLE),
+        StructField("is_noise", BOOLEAN, False),
+        StructField("clustering_algorithm", TEXT, False),
+        StructField("min_cluster_size_param", LONG, False),
+        StructField("clustering_created_at", TIME, False),
+    ]),
+    "products_enriched": StructType([
+        StructField("product_id", LONG, False),
+        StructField("cluster_id", LONG),
+        StructField("cluster_label", TEXT),
+        StructField("description_enriched", TEXT, False),
+        StructField("description_model", TEXT, False),
+        StructField("description_tone", TEXT, False),
+        StructField("description_tokens_input", LONG),
+        StructField("description_tokens_output", LONG),
+        StructField("description_cost_usd", DOUBLE),
+        StructField("description_created_at", TIME, False),
+    ]),
+    "quality_report": StructType([
+        StructField("report_timestamp", TIME, False),
+        StructField("total_records", LONG, False),
+        StructField("valid_records", LONG, False),
+        StructField("completeness_pct", DOUBLE, False),
+        StructField("field_name_completeness", LONG),
+        StructField("field_brand_completeness", LONG),
+        StructField("field_cat_completeness", LONG),
+        StructField("field_price_completeness", LONG),
+        StructField("price_mean", DOUBLE),
+        StructField("price_stddev", DOUBLE),
+        StructField("price_min", DOUBLE),
+        StructField("price_max", DOUBLE),
+    ]),
+    "pipeline_runs": StructType([
+        StructField("run_id", TEXT, False),
+        StructField("started_at", TIME, False),
+        StructField("completed_at", TIME),
+        StructField("status", TEXT, False),
+        StructField("products_processed", LONG),
+        StructField("clusters_created", LONG),
+        StructField("error_message", TEXT),
+    ]),
 }
 
 

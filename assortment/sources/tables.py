@@ -1,6 +1,6 @@
 """Parquet tables of a catalogue: read, replace, append, reload, run log."""
 
-import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from assortment.sources.schemas import TABLES, enforce_schema
 
 RUN_EVENTS = "run_events"
 SNAPSHOTS = "snapshots"
+SNAPSHOT_NAME = "table string, snapshot string, commit long"
 
 
 class Catalogue:
@@ -38,26 +39,52 @@ class Catalogue:
         empty = self.spark.createDataFrame([], TABLES[table])
         empty.write.mode("ignore").parquet(self.path(table))
 
-    def reload(self, df: DataFrame, table: str, at: dt.datetime) -> None:
+    def reload(self, df: DataFrame, table: str) -> None:
         """Replace all rows: write a new snapshot, then name it as the current one.
 
-        Readers keep the former snapshot until the name is switched, so `df` may read the table.
+        Every call writes a snapshot of its own and the newest commit counts, so a run that failed may be started
+        again with the same clock. Readers keep the former snapshot until the name is switched, so `df` may read
+        the table. Snapshots that no name stands for are never read.
         """
-        snapshot = at.strftime("%Y%m%d%H%M%S%f")
+        snapshot = uuid.uuid4().hex
         rows = enforce_schema(df, table).withColumn("snapshot", F.lit(snapshot))
         rows.write.mode("append").partitionBy("snapshot").parquet(self.path(table))
-        name = self.spark.range(1).select(F.lit(table).alias("table"), F.lit(snapshot).alias("snapshot"))
+        commit = (self._newest(table) or (0, None))[0] + 1
+        name = self.spark.createDataFrame([(table, snapshot, commit)], SNAPSHOT_NAME)
         name.coalesce(1).write.mode("append").parquet(self.path(SNAPSHOTS))
 
+    def _newest(self, table: str) -> tuple[int, str] | None:
+        """Number and snapshot of the newest commit of a table."""
+        self.spark.createDataFrame([], SNAPSHOT_NAME).write.mode("ignore").parquet(self.path(SNAPSHOTS))
+        names = self.spark.read.schema(SNAPSHOT_NAME).parquet(self.path(SNAPSHOTS)).where(F.col("table") == table)
+        newest = names.orderBy(F.desc("commit"), "snapshot").first()
+        return newest and (newest["commit"], newest["snapshot"])
+
     def read_reloaded(self, table: str) -> DataFrame:
-        """Rows of the current snapshot; only its partition is scanned."""
-        names = self.spark.read.schema("table string, snapshot string").parquet(self.path(SNAPSHOTS))
-        current = names.where(F.col("table") == table).agg(F.max("snapshot")).first()[0]
+        """Rows of the current snapshot; only its partition is scanned. No rows before the first reload."""
+        newest = self._newest(table)
+        if not newest:
+            return self.spark.createDataFrame([], TABLES[table])
         schema = "snapshot string, " + ", ".join(
             f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table]
         )
         rows = self.spark.read.schema(schema).parquet(self.path(table))
-        return rows.where(F.col("snapshot") == current).drop("snapshot")
+        return rows.where(F.col("snapshot") == newest[1]).drop("snapshot")
+
+    def new_index(self) -> str:
+        """The path of an index that is about to be written."""
+        return f"{self.path('indexes')}/{uuid.uuid4().hex}"
+
+    def name_index(self, path: str) -> None:
+        """From now on `path` is the index of this catalogue."""
+        commit = (self._newest("index") or (0, None))[0] + 1
+        name = self.spark.createDataFrame([("index", path, commit)], SNAPSHOT_NAME)
+        name.coalesce(1).write.mode("append").parquet(self.path(SNAPSHOTS))
+
+    def index(self) -> str | None:
+        """The path of the newest index."""
+        newest = self._newest("index")
+        return newest and newest[1]
 
     def run_events(self) -> DataFrame:
         return self.spark.read.schema(run_event_schema()).parquet(self.path(RUN_EVENTS))
@@ -119,5 +146,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_snapshot(report: DataFrame) -> DataFrame:
-    """Newest quality row."""
-    return report.orderBy(F.desc("report_timestamp")).limit(1)
+    """Newest quality row; of equal times the one with most products, then by the other columns."""
+    others = [F.desc(c) for c in report.columns if c != "report_timestamp"]
+    return report.orderBy(F.desc("report_timestamp"), *others).limit(1)

@@ -3,7 +3,6 @@
 import re
 
 from assortment import fixed
-from assortment.functions.prices import phrase_patterns
 from assortment.sources import fixtures
 
 
@@ -13,10 +12,32 @@ def _fixture(text: str, **values: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", text)
 
 
+def stripped(text: str) -> str:
+    """Outer white space of any kind removed."""
+    blank = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    return f"regexp_replace({text}, '\\A{blank}+|{blank}+\\z', '', 'g')"
+
+
 def r2(value: str) -> str:
     return f"floor(({value}) * 100 + 0.5 + 1e-7) / 100"
 
 
+QUALITY = (
+    "completeness_pct* field_brand_completeness field_cat_completeness field_name_completeness field_price_completeness "
+    "price_max* price_mean* price_min* total_records valid_records"
+)
+
+
+def as_text(name: str, frames: dict[str, tuple[str, str]]) -> str:
+    """Rows as text: columns in order of their names, those with a star as hundredths."""
+    parts = []
+    for key, (columns, source) in frames.items():
+        texts = [f"CAST(floor({c[:-1]} * 100 + 0.5) AS BIGINT)" if c.endswith("*") else c for c in columns.split()]
+        line = " || '|' || ".join(f"coalesce(CAST({t} AS VARCHAR), '-')" for t in texts)
+        parts.append(f"SELECT '{key}' AS {name}, {line} AS line FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
 # Common table expressions by name; a query pulls in those it mentions.
 CTE: dict[str, str] = {
     "source_products": _fixture(fixtures.SOURCE_PRODUCTS),
@@ -38,15 +59,15 @@ SELECT * EXCLUDE (rn) FROM (
   name NULLS LAST, brand NULLS LAST, category NULLS LAST, department NULLS LAST) AS rn
  FROM source_products WHERE id IS NOT NULL AND name <> '' AND category <> '')
 WHERE rn = 1""",
-    "normalised": """
-SELECT product_id, upper(trim(name)) AS name, coalesce(nullif(upper(trim(brand)), ''), 'UNBRANDED') AS brand,
- upper(trim(category)) AS category, coalesce(nullif(upper(trim(department)), ''), 'GENERAL') AS department,
+    "normalised": f"""
+SELECT product_id, upper({stripped("name")}) AS name, coalesce(nullif(upper({stripped("brand")}), ''), 'UNBRANDED') AS brand,
+ upper({stripped("category")}) AS category, coalesce(nullif(upper({stripped("department")}), ''), 'GENERAL') AS department,
  retail_price, cost FROM products_raw""",
     "medians": """
 SELECT category, quantile_disc(retail_price, 0.5) AS median_price FROM products_raw
 WHERE retail_price > 0 AND retail_price < 100000 GROUP BY category""",
-    "medians_normalised": """
-SELECT upper(trim(category)) AS category, quantile_disc(retail_price, 0.5) AS median_price FROM products_raw
+    "medians_normalised": f"""
+SELECT upper({stripped("category")}) AS category, quantile_disc(retail_price, 0.5) AS median_price FROM products_raw
 WHERE retail_price > 0 AND retail_price < 100000 GROUP BY 1""",
 }
 
@@ -184,6 +205,9 @@ ORDER BY product_count DESC, cluster_id, cluster_label LIMIT 40""",
     "top_pricing_chart": """
 SELECT cluster_label, avg_price, price_min, price_max, product_count FROM pricing_per_cluster
 ORDER BY avg_price DESC, cluster_label LIMIT 20""",
+    "heatmap_chart": "SELECT category, department, product_count, avg_price FROM heatmap",
+    "quality_chart": "SELECT * FROM data_quality",
+    "timeline_chart": "SELECT sale_date, cluster_label, sales_count, sales_revenue FROM sales_timeline",
     "brands_chart": "SELECT * FROM brands_chart",
     "brand_cards": """
 SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY cluster_label) AS card,
@@ -212,20 +236,25 @@ SELECT category, department, product_count,
 SELECT *, (SELECT CAST(ceil(count(*) / 30.0) AS BIGINT) FROM clusters_list WHERE contains(lower(cluster_label), 'family')) AS total_pages
 FROM clusters_list WHERE contains(lower(cluster_label), 'family')
 ORDER BY product_count DESC, cluster_id LIMIT 30""",
-    "dashboard_bundle": """
-SELECT 'cluster_distribution' AS chart, least(count(*), 40) AS record_count FROM cluster_distribution
-UNION ALL SELECT 'pricing', least(count(*), 20) FROM pricing_per_cluster
-UNION ALL SELECT 'heatmap', count(*) FROM heatmap
-UNION ALL SELECT 'quality', count(*) FROM data_quality
-UNION ALL SELECT 'timeline', count(*) FROM sales_timeline
-UNION ALL SELECT 'brands', count(*) FROM brands_chart""",
-    "registered_views": """
-SELECT 'assortment_cluster_distribution' AS view, count(*) AS record_count FROM cluster_distribution
-UNION ALL SELECT 'assortment_brands_per_cluster', count(*) FROM brands_per_cluster
-UNION ALL SELECT 'assortment_pricing_per_cluster', count(*) FROM pricing_per_cluster
-UNION ALL SELECT 'assortment_data_quality', count(*) FROM data_quality
-UNION ALL SELECT 'assortment_sales_timeline', count(*) FROM sales_timeline
-UNION ALL SELECT 'assortment_heatmap_cat_dept', count(*) FROM heatmap""",
+    "dashboard_bundle": as_text("chart", {
+        "cluster_distribution": ("avg_price* cluster_label product_count",
+            "(SELECT * FROM cluster_distribution ORDER BY product_count DESC, cluster_id, cluster_label LIMIT 40)"),
+        "pricing": ("avg_price* cluster_label price_max* price_min* product_count",
+            "(SELECT * FROM pricing_per_cluster ORDER BY avg_price DESC, cluster_label LIMIT 20)"),
+        "heatmap": ("avg_price* category department product_count", "heatmap"),
+        "quality": (QUALITY, "data_quality"),
+        "timeline": ("cluster_label sale_date sales_count sales_revenue*", "sales_timeline"),
+        "brands": ("brand cluster_label product_count", "brands_chart"),
+    }),
+    "registered_views": as_text("view", {
+        "assortment_cluster_distribution": ("avg_price* cluster_id cluster_label product_count", "cluster_distribution"),
+        "assortment_brands_per_cluster": ("brand cluster_label product_count", "brands_per_cluster"),
+        "assortment_pricing_per_cluster": ("avg_price* cluster_label price_max* price_min* price_stddev* product_count", "pricing_per_cluster"),
+        "assortment_data_quality": (QUALITY.replace("total", "report_timestamp total"),
+            "(SELECT * FROM quality_report ORDER BY report_timestamp DESC LIMIT 1)"),
+        "assortment_sales_timeline": ("cluster_label sale_date sales_count sales_revenue*", "sales_timeline"),
+        "assortment_heatmap_cat_dept": ("avg_price* category department product_count", "heatmap"),
+    }),
 }
 
 # --- quality rules: name -> (rule id, observed, limit) ----------------------------
@@ -348,7 +377,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY product_id)
 JOIN products_clean USING (product_id) WHERE rn <= 20 QUALIFY place < 15""",
     "sample_words": f"""
 SELECT cluster_id, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY word) AS total
-FROM (SELECT cluster_id, unnest({TOKENS.format("sample")}) AS word FROM samples) GROUP BY cluster_id, word""",
+FROM (SELECT cluster_id, unnest({TOKENS.format("name || ' ' || category")}) AS word
+ FROM (SELECT * FROM products_clustered WHERE cluster_id <> -1) JOIN products_clean USING (product_id)) GROUP BY cluster_id, word""",
 }
 
 
@@ -388,7 +418,7 @@ def _described(pending: str, cluster_id: str) -> str:
 SELECT product_id, CAST(NULL AS BIGINT) AS cluster_id, CAST(NULL AS VARCHAR) AS cluster_label, description_enriched,
  'given' AS description_model, CAST(0 AS BIGINT) AS description_tokens_input, CAST(0 AS BIGINT) AS description_tokens_output
 FROM products_enriched UNION ALL
-SELECT product_id, CAST({cluster_id} AS BIGINT), cluster_label, trim({_TEXT}), 'template', {_TOKENS_IN}, {_TOKENS_OUT} FROM {pending}"""
+SELECT product_id, CAST({cluster_id} AS BIGINT), cluster_label, {stripped(_TEXT)}, 'template', {_TOKENS_IN}, {_TOKENS_OUT} FROM {pending}"""
 
 
 def _limit(pattern: str, group: int = 1) -> str:
@@ -396,18 +426,36 @@ def _limit(pattern: str, group: int = 1) -> str:
     return f"CAST(replace({found}, ',', '.') AS DOUBLE)"
 
 
+# The price phrases once more, written out, so that a wrong pattern in the code shows.
+_GAP = r"[\s\x{0b}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*[$€£]?" + (
+    r"[\s\x{0b}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*"
+)
+_BLANKS = _GAP.split("[$")[0]
+_NUMBER = r"(\d+[,.]\d+|\d+)"
+_CHEAPER = r"(?:moins de|under|maximum|max|jusqu'à|jusqu`à|jusquà|pas plus de|au dessus de)"
+_DEARER = r"(?:plus de|over|minimum|min|au moins|à partir de)"
+_PHRASES = {
+    "range": "(?:entre|between)" + _GAP + _NUMBER + _BLANKS + "(?:et|and|-)" + _GAP + _NUMBER,
+    "max_before": _CHEAPER + _GAP + _NUMBER, "max_after": _NUMBER + _GAP + "(?:maximum|max|ou moins|et moins)",
+    "min_before": _DEARER + _GAP + _NUMBER, "min_after": _NUMBER + _GAP + "(?:minimum|min|ou plus|et plus)",
+}
+
+
 def _limits() -> tuple[str, str]:
-    p = phrase_patterns()
+    p = _PHRASES
     low = f"coalesce({_limit(p['range'], 1)}, {_limit(p['min_before'])}, {_limit(p['min_after'])})"
     high = f"coalesce({_limit(p['range'], 2)}, {_limit(p['max_before'])}, {_limit(p['max_after'])})"
     return low, high
 
 
-CTE["priced_log"] = "SELECT query_id, {} AS min_price, {} AS max_price FROM query_log".format(*_limits())
-CTE["query_log_sums"] = _sums("query_log", "query_id", "query")
+CTE["priced_log"] = "SELECT query_id, {} AS min_price, {} AS max_price FROM search_texts".format(*_limits())
+CTE["search_texts_sums"] = _sums("search_texts", "query_id", "query")
 CTE["embedding_texts_sums"] = _sums("embedding_texts", "product_id", "embedding_text")
 CTE["query_vectors"] = f"""
-SELECT query_id, list(value ORDER BY place) AS embedding FROM ({_hashed("query_log", "query_id", "query")}) GROUP BY query_id"""
+SELECT query_id, list(value ORDER BY place) AS embedding FROM ({_hashed("search_texts", "query_id", "query")}) GROUP BY query_id"""
+_CHECKSUM = f"""
+SELECT product_id, round(sum(value * (place + 1)), 6) AS checksum
+FROM ({_hashed("embedding_texts", "product_id", "embedding_text")}) GROUP BY product_id"""
 CTE["product_vectors"] = f"""
 SELECT product_id, list(value ORDER BY place) AS embedding FROM ({_hashed("embedding_texts", "product_id", "embedding_text")})
 GROUP BY product_id"""
@@ -418,6 +466,8 @@ SELECT product_id, round(list_cosine_distance(e.embedding, p.embedding), 6) AS d
 FROM products_embedded e JOIN planted p USING (product_id)""",
     "vector_top_k": "SELECT product_id, round(distance, 6) AS distance FROM near ORDER BY near.distance, product_id LIMIT 25",
     "vector_top_k_batch": _exact("products_embedded", "planted", 5),
+    "ivf_build": "SELECT product_id, true AS in_nearest_list FROM planted",
+    "ivf_search": "SELECT CAST(rank AS INTEGER) AS rank, true AS same FROM (SELECT unnest(range(1, 11)) AS rank)",
     "ivf_search_all_lists": f"""
 SELECT product_id, round(distance, 6) AS distance FROM (SELECT product_id, {NEAR.format("embedding", FIRST)} AS distance FROM planted) p
 ORDER BY p.distance, product_id LIMIT 25""",
@@ -440,13 +490,6 @@ FROM intent_clusters JOIN intent_stats s USING (cluster_id) JOIN (SELECT * EXCLU
         cluster_label="coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id)",
     ) + """ AS prompt FROM intent_clusters JOIN intent_stats s USING (cluster_id)
 JOIN (SELECT cluster_id, string_agg(name, ', ' ORDER BY position) AS names FROM intent_samples GROUP BY cluster_id) USING (cluster_id)""",
-    "analyze_intent": """
-SELECT cluster_id, cluster_label, hit_count, products_total, avg_price, cluster_label || ': ' || hit_count || ' near products' AS positioning,
- '€' || CAST(floor(low) AS BIGINT) || '–€' || CAST(ceil(high) AS BIGINT) AS price_range, 'Review ' || nearest_name AS buyer_action
-FROM (SELECT cluster_id, hit_count, products_total, avg_price, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label
- FROM intent_clusters JOIN intent_stats s USING (cluster_id))
-JOIN (SELECT cluster_id, min(retail_price) AS low, max(retail_price) AS high, arg_min(name, position) AS nearest_name
- FROM intent_samples GROUP BY cluster_id) USING (cluster_id)""",
     "parse_brief": "SELECT p_partkey AS reply_id, p_name AS positioning, "
     "CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '€' || p_size END AS price_range, "
     "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'Buy ' || p_brand END AS buyer_action FROM part",
@@ -470,12 +513,14 @@ LEFT JOIN products_clustered USING (product_id) LEFT JOIN newest_descriptions US
     "embed_texts": "SELECT doc_id, CAST(place AS INTEGER) AS place, round(value, 6) AS value FROM ("
     + _hashed("documents", "doc_id", "text") + ")",
     "embed_incremental": """SELECT product_id, embedding_text, 'signed-feature-hashing' AS embedding_model, embedding_tokens,
- round(embedding_tokens * CAST(0.00000002 AS DOUBLE), 12) AS embedding_cost_usd FROM (""" + _SPLIT.replace("{}", "all_batches") + ")",
-    "incremental_stream": "SELECT * FROM embedding_texts",
+ round(embedding_tokens * CAST(0.00000002 AS DOUBLE), 12) AS embedding_cost_usd, checksum FROM (""" + _SPLIT.replace("{}", "all_batches")
+    + f") LEFT JOIN ({_CHECKSUM}) USING (product_id)",
+    "incremental_stream": f"""SELECT product_id, embedding_text, checksum FROM embedding_texts LEFT JOIN ({_CHECKSUM}) USING (product_id)""",
     "pending_enrichment": "SELECT * FROM enrichment_pending",
     "description_prompt": f"SELECT product_id, {_prompt()} AS prompt FROM enrichment_pending",
     "generate_text": f"""
-SELECT product_id, {_TEXT} AS text, {_TOKENS_IN} AS tokens_input, {_TOKENS_OUT} AS tokens_output FROM enrichment_pending""",
+SELECT product_id, ' ' || right({_prompt()}, 12) || chr(9) AS text, length({_prompt()}) AS tokens_input, CAST(7 AS BIGINT) AS tokens_output
+FROM enrichment_pending""",
     "generation_cost": f"""
 SELECT count(*) AS enriched, round(sum({_TOKENS_IN} * CAST(0.00000015 AS DOUBLE) + {_TOKENS_OUT} * CAST(0.0000006 AS DOUBLE)), 4) AS total_cost_usd
 FROM enrichment_pending""",
@@ -496,6 +541,10 @@ SELECT count(DISTINCT cluster_id) FILTER (cluster_id <> -1) AS clusters, count(*
 SELECT cluster_id, string_agg(upper(word[1]) || substr(word, 2), ' ' ORDER BY n / CAST(total AS DOUBLE) DESC, n DESC, word) AS cluster_label
 FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, word) AS rn FROM sample_words) WHERE rn <= 3 GROUP BY cluster_id""",
 }
+ORACLES["analyze_intent"] = f"""
+SELECT cluster_id, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label, hit_count, products_total, avg_price,
+ CAST(length(prompt) AS VARCHAR) AS positioning, CAST(length(prompt) - length(replace(prompt, '€', '')) AS VARCHAR) AS price_range,
+ 'ok' AS buyer_action FROM intent_clusters JOIN intent_stats s USING (cluster_id) JOIN ({ORACLES["brief_prompt"]}) USING (cluster_id)"""
 CTE["linked"] = """
 SELECT a, b FROM edges WHERE weight <= 0.4 UNION SELECT b, a FROM edges WHERE weight <= 0.4"""
 CTE["reach"] = """
@@ -563,11 +612,9 @@ JOIN levels here ON here.level = n.level JOIN levels tight ON tight.level = c.ti
 SELECT p.product_id, coalesce(cluster_id, -1) AS cluster_id, coalesce(cluster_probability, 0) AS cluster_probability
 FROM planted p LEFT JOIN found f ON f.product_id = p.product_id""",
 }
-for _name in ("samples", "sample_words"):
-    CTE["assigned_" + _name] = CTE[_name].replace("products_clustered", "assigned").replace("FROM samples", "FROM assigned_samples")
+CTE["assigned_sample_words"] = CTE["sample_words"].replace("products_clustered", "assigned")
 _LABELS = ORACLES["label_clusters"]
 ORACLES |= {
-    "reduce_dims": "SELECT product_id, CAST(50 AS INTEGER) AS dims FROM planted",
     "select_clusters": "SELECT * FROM found",
     "assign_clusters": f"""
 SELECT product_id, cluster_id, cluster_label, cluster_probability, cluster_id = -1 AS is_noise,

@@ -167,7 +167,9 @@ def transform_checks(i):
 
 @query
 def run_sql_layers(i):
-    return tables.table_counts({"products_raw": i.raw, "products_clean": i.clean})
+    """The job itself: source rows to written layers, and their counts read back."""
+    catalogue = tables.Catalogue(i.spark, lineage.work_path(i.spark, "catalogue"))
+    return run.run_sql_layers(catalogue, i.source, AS_OF)
 
 
 @query
@@ -327,6 +329,21 @@ def top_pricing_chart(i):
     return dashboard.top_pricing_chart(views.pricing_per_cluster(i.catalogue))
 
 
+@query
+def heatmap_chart(i):
+    return dashboard.heatmap_chart(views.heatmap_cat_dept(i.clean))
+
+
+@query
+def quality_chart(i):
+    return dashboard.quality_chart(i.all_views["data_quality"])
+
+
+@query
+def timeline_chart(i):
+    return dashboard.timeline_chart(i.all_views["sales_timeline"])
+
+
 @query
 def brands_chart(i):
     return dashboard.brands_chart(views.brands_per_cluster(i.catalogue))
@@ -378,16 +395,29 @@ def cluster_page(i):
     return dashboard.cluster_page(dashboard.clusters_list(i.catalogue), "FAMILY")
 
 
+def _as_text(frames, name):
+    """(name, line): the columns of each row in order of their names, fractions as hundredths."""
+    out = None
+    for key, df in frames.items():
+        kinds = dict(df.dtypes)
+        parts = [F.floor(F.col(c) * 100 + 0.5) if kinds[c] == "double" else F.col(c) for c in sorted(df.columns)]
+        line = F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("-")) for p in parts))
+        rows = df.select(F.lit(key).alias(name), line.alias("line"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def dashboard_bundle(i):
-    charts = dashboard.dashboard_bundle(i.all_views)
-    return tables.table_counts(charts).withColumnRenamed("layer", "chart")
+    """Every row of every chart as text."""
+    return _as_text(dashboard.dashboard_bundle(i.all_views), "chart")
 
 
 @query
 def registered_views(i):
+    """Every row of every registered view as text."""
     names = views.register_views(i.all_views, prefix="assortment_")
-    return tables.table_counts({n: i.spark.table(n) for n in names}).withColumnRenamed("layer", "view")
+    return _as_text({n: i.spark.table(n) for n in names}, "view")
 
 
 # --- vectors and retrieval --------------------------------------------------------
@@ -425,8 +455,14 @@ def vector_top_k_batch(i):
 
 @query
 def ivf_build(i):
-    index = vector.ivf_build(i.planted.select("product_id", "embedding"), lists=16)
-    return index.rows.groupBy("list_id").agg(F.count(F.lit(1)).alias("vectors"))
+    """Whether each vector lies in the list of its nearest stored centroid."""
+    index = _written_index(i)
+    centroids = index.spark_centroids()
+    distance = F.round(vectors.cosine_distance(F.col("embedding"), F.col("centroid")), 9)
+    best = Window.partitionBy("product_id")
+    each = index.rows.join(F.broadcast(centroids)).withColumn("distance", distance)
+    each = each.withColumn("least", F.min("distance").over(best)).where(F.col("list_id") == F.col("number"))
+    return each.select("product_id", (F.col("distance") == F.col("least")).alias("in_nearest_list"))
 
 
 def _written_index(i):
@@ -437,8 +473,19 @@ def _written_index(i):
 
 @query
 def ivf_search(i):
-    """Top ten of the two nearest lists."""
-    return _six(vector.ivf_search(_written_index(i), _first_vector(i), 10, nprobe=2), "distance")
+    """Whether the answer from the two nearest lists is that of a plain join over their rows, rank by rank."""
+    index, query = _written_index(i), _first_vector(i)
+    asked = F.array(*map(F.lit, query))
+    near = index.spark_centroids().orderBy(vectors.cosine_distance(asked, F.col("centroid")), "number").limit(2)
+    plain = index.rows.join(F.broadcast(near), F.col("list_id") == F.col("number"), "left_semi").select(
+        "product_id", F.round(vectors.cosine_distance(F.col("embedding"), asked), 9).alias("distance")
+    )
+    by = Window.orderBy("distance", "product_id")
+    ranked = lambda df, name: df.select(F.row_number().over(by).alias("rank"), F.col("product_id").alias(name))
+    plain = ranked(plain.orderBy("distance", "product_id").limit(10), "plain")
+    found = vector.ivf_search(index, query, 10, nprobe=2).withColumn("distance", F.round("distance", 9))
+    both = ranked(found, "found").join(plain, "rank", "full")
+    return both.select("rank", F.col("plain").eqNullSafe(F.col("found")).alias("same"))
 
 
 @query
@@ -449,8 +496,10 @@ def ivf_search_all_lists(i):
 
 @query
 def ivf_search_batch(i):
-    """Every planted vector, all lists probed: exact neighbours through the block join."""
-    index = vector.ivf_build(i.planted.select("product_id", "embedding"), lists=4)
+    """Every planted vector, all stored lists probed: exact neighbours."""
+    path = lineage.work_path(i.spark, "index")
+    vector.write_index(vector.ivf_build(i.planted.select("product_id", "embedding"), lists=4), path)
+    index = vector.read_index(i.spark, path)
     asked = i.planted.select(F.col("product_id").alias("query_id"), "embedding")
     return _six(vector.ivf_search_batch(index, asked, 5, nprobe=4), "distance")
 
@@ -458,7 +507,7 @@ def ivf_search_batch(i):
 @query
 def index_coverage(i):
     """Products of the clean table that have an indexed vector."""
-    return vector.index_coverage(i.clean, i.embedded, "vector_lists", "products_clean")
+    return vector.index_coverage(i.clean, _written_index(i), "vector_lists", "products_clean")
 
 
 @query
@@ -516,11 +565,17 @@ def brief_prompt(i):
 
 @query
 def analyze_intent(i):
-    """Briefs with their reply texts."""
-    replies = requests.intent_replies(_briefs(i), "a gift under 50")
+    """Briefs with the texts of a model's replies."""
+    replies = requests.intent_replies(_briefs(i), "a gift under 50", _strategist)
     return replies.drop("sample_products")
 
 
+def _strategist(prompts):
+    """A model stand-in whose replies can be told from the prompts."""
+    replies = [f'{{"positioning": "{len(p)}", "price_range": "{p.count("€")}", "buyer_action": "ok"}}' for p in prompts]
+    return [(r, len(p), 3) for p, r in zip(prompts, replies)]
+
+
 @query
 def parse_brief(i):
     return retrieval.parse_brief(i.derive(fixtures.REPLIES)).drop("reply")
@@ -538,7 +593,7 @@ def _product_vectors(i):
 @query
 def search_log(i):
     """Every search text against the hashed vectors of all products."""
-    asked = lineage.cut(embed.embed_texts(i.derive(fixtures.QUERY_LOG), "query", DIM))
+    asked = lineage.cut(embed.embed_texts(i.derive(fixtures.SEARCH_TEXTS), "query", DIM))
     found = retrieval.search_log(asked, _product_vectors(i), i.clean, i.clustered, i.enriched, top_k=3)
     return _six(found, "distance")
 
@@ -596,6 +651,11 @@ def _catalogue(i):
     return catalogue
 
 
+def _checksum():
+    """Places times values of the vector, summed."""
+    return F.round(F.aggregate(F.transform("embedding", lambda x, p: x * (p + 1)), F.lit(0.0), lambda s, x: s + x), 6)
+
+
 @query
 def embed_incremental(i):
     """Two runs over the same products; the second finds nothing to do."""
@@ -604,7 +664,7 @@ def embed_incremental(i):
         embed.embed_incremental(catalogue, AS_OF, dim=DIM)
     return catalogue.read("products_embedded").select(
         "product_id", "embedding_text", "embedding_model", "embedding_tokens",
-        F.round("embedding_cost_usd", 12).alias("embedding_cost_usd"),
+        F.round("embedding_cost_usd", 12).alias("embedding_cost_usd"), _checksum().alias("checksum"),
     )
 
 
@@ -617,7 +677,7 @@ def incremental_stream(i):
             catalogue, catalogue.path("products_clean"), catalogue.path("progress"), AS_OF, dim=DIM
         )
         job.awaitTermination()
-    return catalogue.read("products_embedded").select("product_id", "embedding_text")
+    return catalogue.read("products_embedded").select("product_id", "embedding_text", _checksum().alias("checksum"))
 
 
 @query
@@ -636,7 +696,12 @@ def description_prompt(i):
 
 @query
 def generate_text(i):
-    return enrich.generate_text(_prompts(i)).select("product_id", "text", "tokens_input", "tokens_output")
+    """Texts of a function that is handed in."""
+
+    def writer(prompts):
+        return [(f" {p[-12:]}\t", len(p), 7) for p in prompts]
+
+    return enrich.generate_text(_prompts(i), writer).select("product_id", "text", "tokens_input", "tokens_output")
 
 
 @query
@@ -649,7 +714,7 @@ def _with_layers(i):
     catalogue = _catalogue(i)
     named = i.clustered.select("cluster_id", "cluster_label").distinct()
     found = i.clustered.select("product_id", "cluster_id", F.lit(1.0).alias("cluster_probability"))
-    catalogue.reload(clusters.assign_clusters(found, named, AS_OF), "products_clustered", AS_OF)
+    catalogue.reload(clusters.assign_clusters(found, named, AS_OF), "products_clustered")
     old = i.enriched.select(
         "product_id", F.lit(None).alias("cluster_id"), F.lit(None).alias("cluster_label"), "description_enriched",
         F.lit("given").alias("description_model"), F.lit(fixed.DESCRIPTION_TONE).alias("description_tone"),
@@ -701,8 +766,9 @@ def _edges(i):
 
 @query
 def reduce_dims(i):
+    """Places and values of the shorter vectors; tests hold them against another decomposition."""
     reduced = clusters.reduce_dims(i.planted.select("product_id", "embedding"), 50)
-    return reduced.select("product_id", F.size("embedding").alias("dims"))
+    return reduced.select("product_id", F.posexplode("embedding").alias("place", "value"))
 
 
 @query
@@ -736,7 +802,7 @@ def select_clusters(i):
 def assign_clusters(i):
     """Vectors to `products_clustered` rows with word labels."""
     found = lineage.cut(clusters.cluster_vectors(i.planted.select("product_id", "embedding")))
-    named = labels.label_clusters(labels.label_samples(found, i.clean))
+    named = labels.label_clusters(found, i.clean)
     return _six(clusters.assign_clusters(found, named, AS_OF), "cluster_probability").drop("clustering_created_at")
 
 
@@ -758,7 +824,7 @@ def label_prompt(i):
 
 @query
 def label_clusters(i):
-    return labels.label_clusters(labels.label_samples(i.clustered, i.clean))
+    return labels.label_clusters(i.clustered, i.clean)
 
 
 @query

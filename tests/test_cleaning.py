@@ -93,10 +93,9 @@ def test_all_codes(spark):
     ]
 
 
-def test_blank_trimming_option(spark):
-    row = (1, "\tjean \n", "b", "c", "d", 1.0, 0.5)
-    assert cleaned(spark, row)[1].name == "\tJEAN \n"
-    assert cleaned(spark, row, whitespace=True)[1].name == "JEAN"
+def test_all_white_space_is_trimmed(spark):
+    got = cleaned(spark, (1, "\tjean\u00a0bleu \n", "\t\u2003", "\u00a0c\r", "\n", 1.0, 0.5))[1]
+    assert (got.name, got.brand, got.category, got.department) == ("JEAN\u00a0BLEU", "UNBRANDED", "C", "GENERAL")
 
 
 def test_empty_tables_give_null_percentages(spark):

@@ -216,11 +216,11 @@ def test_samples_and_labels(spark):
     )
     got = {r.cluster_id: r.samples for r in labels.label_samples(clustered, clean).collect()}
     assert got[1] == [f"RED RING {i} (GOLD)" for i in range(16) if i != 3] and got[2] == ["RED BOLT (IRON)"]
-    named = {r.cluster_id: r.cluster_label for r in labels.label_clusters(labels.label_samples(clustered, clean)).collect()}
+    named = {r.cluster_id: r.cluster_label for r in labels.label_clusters(clustered, clean).collect()}
     assert named == {1: "Gold Ring Red", 2: "Bolt Iron Red"}
 
     def shout(prompts):
         return [(' "Soft Gold" ', len(p), 2) for p in prompts]
 
-    named = labels.label_clusters(labels.label_samples(clustered, clean), shout)
+    named = labels.label_clusters(clustered, clean, shout)
     assert {r.cluster_label for r in named.collect()} == {"Soft Gold"}

@@ -25,8 +25,8 @@ def test_requests(spark, catalogue):
     embed.embed_incremental(catalogue, AS_OF, dim=64)
     department = F.dense_rank().over(Window.orderBy("department")).cast("long")
     found = clean.select("product_id", department.alias("cluster_id"), F.lit(1.0).alias("cluster_probability"))
-    named = labels.label_clusters(labels.label_samples(found, clean))
-    catalogue.reload(clusters.assign_clusters(found, named, AS_OF), "products_clustered", AS_OF)
+    named = labels.label_clusters(found, clean)
+    catalogue.reload(clusters.assign_clusters(found, named, AS_OF), "products_clustered")
     run.append_quality_report(catalogue, AS_OF)
 
     text = "SMALL RING | BRAND#2"

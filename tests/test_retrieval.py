@@ -41,32 +41,63 @@ def found(rows):
     return out
 
 
-@pytest.mark.parametrize("path", ["small base", "small queries", "blocks"])
+@pytest.mark.parametrize("cells", [{}, {"CELL_ROWS": 40, "BLOCK_ROWS": 30, "CHUNK_ROWS": 64}])
 @pytest.mark.parametrize("exclude_self", [False, True])
-def test_neighbours_equal_brute_force(spark, monkeypatch, path, exclude_self):
+def test_neighbours_equal_brute_force(spark, monkeypatch, cells, exclude_self):
     good, rows = copies_and_ties()
     base = spark.createDataFrame(rows, VECTORS).repartition(5)
-    asked, queries = good, base
-    if path == "small queries":
-        asked = good[:20]
-        queries = spark.createDataFrame(asked, VECTORS)
-        monkeypatch.setattr(knn, "SMALL_VALUES", 8 * 20 * 8)
-    if path == "blocks":
-        for name, value in {"SMALL_VALUES": 0, "CELL_ROWS": 40, "BLOCK_ROWS": 30, "CHUNK_ROWS": 64}.items():
-            monkeypatch.setattr(knn, name, value)
-    got = found(knn.knn_join(queries, base, 7, exclude_self))
-    want = brute_force(asked, good, 7, exclude_self)
+    for name, value in cells.items():
+        monkeypatch.setattr(knn, name, value)
+    got = found(knn.knn_join(base, base, 7, exclude_self))
+    want = brute_force(good, good, 7, exclude_self)
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
     for q, pairs in want.items():
         assert np.allclose([d for _, d in got[q]], [d for _, d in pairs], atol=1e-9)
 
 
+BAD = [(9001, None), (9002, []), (9003, [0.0] * 8), (9004, [1.0] * 3), (9005, [1.0] * 16), (9006, [float("inf")] + [1.0] * 7),
+       (9007, [float("nan")] * 8), (9008, [None] + [1.0] * 7), (9009, [1e200] * 8)]
+
+
+def test_bad_vectors_are_left_out_everywhere(spark):
+    good, _ = copies_and_ties()
+    rows = spark.createDataFrame(good + BAD, VECTORS).repartition(3)
+    named = rows.withColumnRenamed("id", "product_id")
+    want = brute_force(good[:1], good, 9)[good[0][0]]
+    top = [(r.product_id, r.distance) for r in vector.vector_top_k(named, good[0][1], 9).collect()]
+    batch = vector.vector_top_k_batch(named, rows.withColumnRenamed("id", "query_id"), 9)
+    index = vector.ivf_build(named, lists=5)
+    probed = [(r.product_id, r.distance) for r in vector.ivf_search(index, good[0][1], 9, 5).collect()]
+    own = [(r.product_id, r.distance) for r in batch.where(F.col("query_id") == good[0][0]).orderBy("rank").collect()]
+    for got in (top, own, probed):
+        assert [i for i, _ in got] == [i for i, _ in want]
+    assert {r.query_id for r in batch.select("query_id").distinct().collect()} == {i for i, _ in good}
+    assert index.rows.count() == len(good)
+
+
+def test_vectors_sent_grow_with_the_rows(spark):
+    """The join's tables hold a small multiple of the vectors at either size."""
+    sent = []
+    for n in (2000, 20000):
+        random = np.random.default_rng(1)
+        centres = random.normal(size=(20, 8)) * 4
+        units = [(i, (centres[i % 20] + random.normal(size=8) * 0.2).tolist()) for i in range(n)]
+        rows = spark.createDataFrame(units, VECTORS)
+        pivots = knn.choose_pivots(rows, n)
+        blocked, rings = knn._ring_table(knn.tag_cells(rows, pivots))
+        asked = rows.select(F.col("id").alias("query"), "embedding", F.lit(None).cast("double").alias("theta"))
+        home = asked.select(F.size(knn._visits(F.col("embedding"), F.col("theta"), pivots, rings, "home", 0)).alias("n"))
+        sent.append(home.agg(F.sum("n")).first()[0] / n)
+    assert sent == [1.0, 1.0]
+
+
 def test_fewer_rows_than_k_and_empty_sides(spark):
     base = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], VECTORS)
     assert found(knn.knn_join(base, base, 5, exclude_self=True)) == {1: [(2, 1.0)], 2: [(1, 1.0)]}
     none = base.where("id < 0")
     assert knn.knn_join(base, none, 3).count() == 0
     assert knn.knn_join(none, base, 3).count() == 0
+    assert knn.knn_join(none, none, 3).count() == 0
 
 
 def planted(spark):

@@ -39,11 +39,11 @@ def test_schema_is_enforced(spark, catalogue):
 def test_reload_switches_snapshots_and_may_read_itself(spark, catalogue):
     found = spark.createDataFrame([(1, 0, 1.0), (2, -1, 0.0)], "product_id long, cluster_id long, cluster_probability double")
     names = spark.createDataFrame([(0, "A")], "cluster_id long, cluster_label string")
-    catalogue.reload(clusters.assign_clusters(found, names, AS_OF), "products_clustered", AS_OF)
+    catalogue.reload(clusters.assign_clusters(found, names, AS_OF), "products_clustered")
     now = catalogue.read_reloaded("products_clustered")
     assert {(r.product_id, r.cluster_label, r.is_noise) for r in now.collect()} == {(1, "A", False), (2, None, True)}
     later = AS_OF + dt.timedelta(hours=1)
-    catalogue.reload(now.where("product_id = 2"), "products_clustered", later)
+    catalogue.reload(now.where("product_id = 2"), "products_clustered")
     assert [r.product_id for r in catalogue.read_reloaded("products_clustered").collect()] == [2]
 
 
@@ -91,7 +91,7 @@ def test_selected_products_get_another_description(spark, catalogue):
     with_clean(spark, catalogue)
     found = spark.createDataFrame([(1, 4, 1.0)], "product_id long, cluster_id long, cluster_probability double")
     names = spark.createDataFrame([(4, "Rings")], "cluster_id long, cluster_label string")
-    catalogue.reload(clusters.assign_clusters(found, names, AS_OF), "products_clustered", AS_OF)
+    catalogue.reload(clusters.assign_clusters(found, names, AS_OF), "products_clustered")
     seen = []
 
     def generator(prompts):
