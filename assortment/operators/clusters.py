@@ -15,7 +15,7 @@ from assortment.operators.numbering import with_position
 from assortment.sources.lineage import cut
 
 ALGORITHM = "reachability-levels"
-LEVELS = 16
+LEVELS = 32
 GRID = 1_000_000
 
 

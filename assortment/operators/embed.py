@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from assortment import fixed
 from assortment.functions.text import product_text, tokens
 from assortment.functions.vectors import hashed_vector
+from assortment.operators.calls import in_groups, retried
 from assortment.operators.numbering import with_position
+from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue
 
+GROUP_BATCHES = 64
 HASHING_MODEL = "signed-feature-hashing"
 
 # texts of one batch -> (one vector per text, tokens used by the batch)
@@ -67,8 +70,10 @@ def embed_texts(rows: DataFrame, text: str, dim: int = fixed.EMBEDDING_DIM, name
 def _embed_batches(rows: DataFrame, embedder: Embedder) -> DataFrame:
     """One call per batch; a batch has a fixed number of rows."""
 
+    embed = retried(embedder)
+
     def call(batch: pd.DataFrame) -> pd.DataFrame:
-        vectors, used = embedder(list(batch.embedding_text))
+        vectors, used = embed(list(batch.embedding_text))
         if len(vectors) != len(batch):
             raise ValueError(f"{len(vectors)} vectors for {len(batch)} texts")
         return batch.assign(embedding=[list(map(float, v)) for v in vectors], batch_tokens=used)
@@ -78,11 +83,10 @@ def _embed_batches(rows: DataFrame, embedder: Embedder) -> DataFrame:
 
 
 def embed_rows(
-    pending: DataFrame, at: dt.datetime, embedder: Embedder | None = None, model: str | None = None,
-    dim: int = fixed.EMBEDDING_DIM, batch_size: int = fixed.EMBEDDING_BATCH,
+    batched: DataFrame, at: dt.datetime, embedder: Embedder | None = None, model: str | None = None,
+    dim: int = fixed.EMBEDDING_DIM,
 ) -> DataFrame:
-    """`products_embedded` rows for products that have none."""
-    batched = assign_batches(embedding_text(pending), batch_size)
+    """`products_embedded` rows for texts in batches."""
     if embedder is None:
         used = F.sum(token_count(F.col("embedding_text"))).over(Window.partitionBy("batch"))
         # Vectors come last, so that they are not part of a shuffle.
@@ -98,16 +102,28 @@ def embed_rows(
     )
 
 
-def embed_incremental(catalogue: Catalogue, at: dt.datetime, embedder: Embedder | None = None, **options) -> dict:
-    """Embed what is pending and append it; returns counts."""
+def embed_incremental(
+    catalogue: Catalogue, at: dt.datetime, embedder: Embedder | None = None,
+    batch_size: int = fixed.EMBEDDING_BATCH, group_batches: int = GROUP_BATCHES, **options,
+) -> dict:
+    """Embed what is pending and append it; returns counts.
+
+    With an embedder, `group_batches` batches are called side by side and appended before the next ones are: a
+    failure keeps all groups before it, and the next run calls only for the rest. Hashed vectors cost nothing and
+    are appended by one job.
+    """
     pending = pending_embedding(catalogue.read("products_clean"), catalogue.read("products_embedded"))
-    written = Observation()
-    rows = embed_rows(pending, at, embedder, **options).observe(
-        written, F.count(F.lit(1)).alias("embedded"), F.sum("embedding_tokens").alias("tokens")
-    )
-    catalogue.append(rows, "products_embedded")
-    total = written.get["tokens"] or 0
+    batched = assign_batches(embedding_text(pending), batch_size)
+    groups = [batched] if embedder is None else in_groups(cut(batched), "batch", group_batches)
+    embedded = tokens_used = 0
+    for group in groups:
+        written = Observation()
+        rows = embed_rows(group, at, embedder, **options).observe(
+            written, F.count(F.lit(1)).alias("embedded"), F.sum("embedding_tokens").alias("tokens")
+        )
+        catalogue.append(rows, "products_embedded")
+        embedded, tokens_used = embedded + written.get["embedded"], tokens_used + (written.get["tokens"] or 0)
     return {
-        "embedded": written.get["embedded"], "total_tokens": total,
-        "total_cost_usd": total * fixed.EMBEDDING_USD_PER_TOKEN,
+        "embedded": embedded, "total_tokens": tokens_used,
+        "total_cost_usd": tokens_used * fixed.EMBEDDING_USD_PER_TOKEN,
     }

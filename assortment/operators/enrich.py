@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.text import fill, strip
+from assortment.operators.calls import in_groups, retried
 from assortment.operators.embed import token_count
+from assortment.operators.numbering import with_position
 from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue
 
+CALL_ROWS = 20
+GROUP_ROWS = 1280
 TEMPLATE_MODEL = "template"
 
 # prompts -> one (text, tokens in, tokens out) per prompt
@@ -52,8 +56,8 @@ def template_text(prompt: Column) -> Column:
 def generate_text(rows: DataFrame, generator: Generator | None = None) -> DataFrame:
     """Add `text`, `tokens_input`, `tokens_output` for the `prompt` column.
 
-    Without a generator the template text is made by columns. A generator gets the prompts of an
-    Arrow batch; a failing call fails its task, which Spark retries.
+    Without a generator the template text is made by columns. A generator gets up to CALL_ROWS prompts at a
+    time; a failing call is tried again, then fails its task.
     """
     if generator is None:
         out = rows.withColumn("text", template_text(F.col("prompt")))
@@ -64,9 +68,11 @@ def generate_text(rows: DataFrame, generator: Generator | None = None) -> DataFr
     names = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema]
     schema = ", ".join(names + [f"{n} {t}" for n, t in added.items()])
 
+    generate = retried(generator)
+
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            replies = generator(list(batch.prompt))
+        for batch in (b.iloc[at:at + CALL_ROWS] for b in batches for at in range(0, len(b), CALL_ROWS)):
+            replies = generate(list(batch.prompt))
             yield batch.assign(**{n: [r[i] for r in replies] for i, n in enumerate(added)})
 
     return rows.mapInPandas(call, schema)
@@ -108,17 +114,25 @@ def total_cost(rows: DataFrame) -> DataFrame:
 
 
 def enrich_incremental(
-    catalogue: Catalogue, at: dt.datetime, generator: Generator | None = None, model: str | None = None
+    catalogue: Catalogue, at: dt.datetime, generator: Generator | None = None, model: str | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> dict:
-    """Describe the products that have no description and append them; returns counts."""
+    """Describe the products that have no description and append them; returns counts.
+
+    With a generator, `group_rows` products are described side by side and appended before the next ones are, so a
+    failure keeps what was paid for before it.
+    """
     pending = pending_enrichment(
         catalogue.read("products_clean"), catalogue.read_reloaded("products_clustered"),
         catalogue.read("products_enriched"),
     )
-    written = Observation()
-    rows = enriched_rows(pending, at, generator, model).observe(written, *_totals())
-    catalogue.append(rows, "products_enriched")
-    return dict(written.get)
+    groups = [pending] if generator is None else in_groups(cut(with_position(pending, "product_id")), "position", group_rows)
+    figures = {"enriched": 0, "total_cost_usd": 0.0}
+    for group in groups:
+        written = Observation()
+        catalogue.append(enriched_rows(group, at, generator, model).observe(written, *_totals()), "products_enriched")
+        figures = {name: value + written.get[name] for name, value in figures.items()}
+    return figures | {"total_cost_usd": round(figures["total_cost_usd"], 4)}
 
 
 def enrich_selected(

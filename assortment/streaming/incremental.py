@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from assortment.operators.embed import embed_rows, pending_embedding
+from assortment.operators.embed import assign_batches, embed_rows, embedding_text, pending_embedding
 from assortment.sources.schemas import TABLES
 from assortment.sources.tables import Catalogue
 
@@ -24,7 +24,7 @@ def incremental_stream(
     def add(batch: DataFrame, _: int) -> None:
         fresh = batch.dropDuplicates(["product_id"])
         pending = pending_embedding(fresh, catalogue.read("products_embedded"))
-        catalogue.append(embed_rows(pending, at, embedder, **options), "products_embedded")
+        catalogue.append(embed_rows(assign_batches(embedding_text(pending)), at, embedder, **options), "products_embedded")
 
     stream = catalogue.spark.readStream.schema(TABLES["products_clean"])
     return (

@@ -557,7 +557,7 @@ CTE |= {
     "levels": """
 SELECT CAST(row_number() OVER (ORDER BY cell) AS INTEGER) AS level, greatest(cell, 1) / CAST(1000000 AS DOUBLE) AS eps
 FROM (SELECT step, min(cell) AS cell FROM (
- SELECT cell, floor(CAST(sum(n) OVER (ORDER BY cell) * 16 AS DOUBLE) / CAST((SELECT sum(n) FROM level_cells) AS DOUBLE)) AS step
+ SELECT cell, floor(CAST(sum(n) OVER (ORDER BY cell) * 32 AS DOUBLE) / CAST((SELECT sum(n) FROM level_cells) AS DOUBLE)) AS step
  FROM level_cells) WHERE step >= 1 GROUP BY step)""",
     "level_links": """
 SELECT level, a, b FROM edges JOIN levels ON weight <= eps UNION SELECT level, b, a FROM edges JOIN levels ON weight <= eps""",
@@ -589,14 +589,14 @@ SELECT s.top_level, s.top, min(up_level) AS up_level, arg_min(up_component, up_l
 FROM stable s JOIN lines l ON l.level = s.top_level AND l.component = s.top AND l.up_level > s.top_level GROUP BY 1, 2""",
     "best_0": "SELECT top_level, top, tight, stability, CAST(0 AS DOUBLE) AS below, stability AS best FROM stable",
 }
-for _step in range(1, 16):
+for _step in range(1, 32):
     CTE[f"best_{_step}"] = f"""
 SELECT s.*, coalesce(c.below, 0) AS below, greatest(s.stability, coalesce(c.below, 0)) AS best FROM stable s LEFT JOIN (
  SELECT a.up_level, a.up, round(sum(best), 6) AS below FROM best_{_step - 1} b JOIN above a
  ON a.top_level = b.top_level AND a.top = b.top GROUP BY 1, 2) c ON c.up_level = s.top_level AND c.up = s.top"""
 CTE |= {
     "kept": """
-SELECT * FROM best_15 b WHERE stability >= below AND NOT (
+SELECT * FROM best_31 b WHERE stability >= below AND NOT (
  NOT EXISTS (SELECT 1 FROM above a WHERE a.top_level = b.top_level AND a.top = b.top)
  AND (SELECT count(*) FROM stable) - (SELECT count(*) FROM above) = 1)""",
     "chosen": """

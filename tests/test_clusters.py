@@ -224,3 +224,13 @@ def test_samples_and_labels(spark):
 
     named = labels.label_clusters(clustered, clean, shout)
     assert {r.cluster_label for r in named.collect()} == {"Soft Gold"}
+
+
+def test_reduced_vectors_keep_the_largest_directions(spark):
+    """The projection equals that of another decomposition, up to the sign of each direction."""
+    rows = Inputs(spark, "/root/testdata/sf0.001").planted.select("product_id", "embedding").orderBy("product_id").collect()
+    whole = np.array([r.embedding for r in rows])
+    frame = spark.createDataFrame([(r.product_id, r.embedding) for r in rows], "product_id long, embedding array<double>")
+    short = np.array([r.embedding for r in clusters.reduce_dims(frame, 50).orderBy("product_id").collect()])
+    _, _, directions = np.linalg.svd(whole - whole.mean(axis=0), full_matrices=False)
+    assert np.allclose(np.abs(short), np.abs(whole @ directions[:50].T), atol=1e-6)

@@ -148,6 +148,76 @@ def test_failed_run_is_logged_and_raised(spark, catalogue):
     assert catalogue.read("products_embedded").count() == 0
 
 
+def test_failure_keeps_earlier_groups_and_later_run_calls_for_the_rest(spark, catalogue, tmp_path):
+    with_clean(spark, catalogue)
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def embedder(broken):
+        def call(texts):
+            (calls / f"{broken}-{hashlib.md5(texts[0].encode()).hexdigest()}").write_text(str(len(texts)))
+            if broken and any("ZZ-AWAY" in t for t in texts):
+                raise RuntimeError("model is away")
+            return [[1.0, 2.0] for _ in texts], len(texts)
+
+        return call
+
+    clean = catalogue.read("products_clean")
+    last = clean.agg(F.max("product_id")).first()[0]
+    name = F.when(F.col("product_id") == last, "ZZ-AWAY").otherwise(F.col("name"))
+    clean.withColumn("name", name).write.parquet(str(tmp_path / "named"))
+    catalogue.overwrite(spark.read.parquet(str(tmp_path / "named")), "products_clean")
+    options = {"batch_size": 20, "group_batches": 2}
+    with pytest.raises(Exception, match="model is away"):
+        embed.embed_incremental(catalogue, AS_OF, embedder(True), **options)
+    assert catalogue.read("products_embedded").count() == 160
+    assert embed.embed_incremental(catalogue, AS_OF, embedder(False), **options)["embedded"] == 35
+    assert sum(int(p.read_text()) for p in calls.glob("False-*")) == 35
+
+    def writer(prompts):
+        if any("ZZ-AWAY" in p for p in prompts):
+            raise RuntimeError("model is away")
+        return [("text", 1, 1) for _ in prompts]
+
+    clean = catalogue.read("products_clean")
+    found = clean.select("product_id", F.lit(-1).cast("long").alias("cluster_id"), F.lit(0.0).alias("cluster_probability"))
+    none = spark.createDataFrame([], "cluster_id long, cluster_label string")
+    catalogue.reload(clusters.assign_clusters(found, none, AS_OF), "products_clustered")
+    with pytest.raises(Exception, match="model is away"):
+        enrich.enrich_incremental(catalogue, AS_OF, writer, group_rows=50)
+    assert catalogue.read("products_enriched").count() == 150
+
+
+def test_reload_may_be_repeated_with_any_clock(spark, catalogue):
+    found = lambda *ids: spark.createDataFrame([(i, 0, 1.0) for i in ids], "product_id long, cluster_id long, cluster_probability double")
+    names = spark.createDataFrame([(0, "A")], "cluster_id long, cluster_label string")
+    assert catalogue.read_reloaded("products_clustered").count() == 0
+    for at, ids in ((AS_OF, (1, 2)), (AS_OF, (1, 2)), (AS_OF - dt.timedelta(days=9), (3,))):
+        catalogue.reload(clusters.assign_clusters(found(*ids), names, at), "products_clustered")
+        assert sorted(r.product_id for r in catalogue.read_reloaded("products_clustered").collect()) == sorted(ids)
+
+
+def test_stored_index_serves_searches_without_writing(spark, catalogue, tmp_path):
+    from pathlib import Path
+
+    from assortment.plans import requests
+
+    with_clean(spark, catalogue)
+    embed.embed_incremental(catalogue, AS_OF, dim=16)
+    assert run.build_index(catalogue, 5) is None and run.stored_index(catalogue) is None
+    query = "large brushed tin"
+    exact = requests.search(catalogue, query, 10, dim=16).collect()
+    index = run.build_index(catalogue, 5, min_rows=100)
+    assert index.rows.count() == catalogue.read("products_embedded").where("embedding IS NOT NULL").count()
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = sorted(shared.glob("*/*"))
+    assert requests.search(catalogue, query, 10, dim=16, nprobe=5).collect() == exact
+    for _ in range(3):
+        near = requests.search(catalogue, query, 10, dim=16, nprobe=1)
+        assert near.count() <= 10
+    assert sorted(shared.glob("*/*")) == before
+
+
 def test_stream_adds_only_what_is_new(spark, catalogue, tmp_path):
     with_clean(spark, catalogue)
     clean = catalogue.read("products_clean")
