@@ -98,7 +98,7 @@ RULES = (
     Rule("capitals", r"2 * regexp_count(text, '[A-Z]') > word_chars"),
     Rule("shouting", r"10 * regexp_count(text, '[!?]') > word_chars"),
     Rule("digits", r"2 * regexp_count(text, '[0-9]') > word_chars"),
-    Rule("list_marks", r"4 * regexp_count(text, '(?m)^[\\x20\\t]*[-*\\u2022|]') > 3 * (regexp_count(text, '\\n') + 1) and n_words > 40"),
+    Rule("list_marks", r"4 * regexp_count(text, '(?md)^[\\x20\\t]*[-*\\u2022|]') > 3 * (regexp_count(text, '\\n') + 1) and n_words > 40"),
 )
 
 

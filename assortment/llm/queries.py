@@ -94,6 +94,35 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op5_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], chr(10)) AS span
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+again AS (SELECT *, count(*) OVER (PARTITION BY doc_id, span) AS n FROM wins),
+inside AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(t, '[^!?]', '', 'g')) AS shouts,
+    length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits, len(string_split(t, chr(10))) AS all_lines,
+    len(regexp_extract_all(t, '(?m)^[\x20\t]*[-*\x{2022}|]')) AS marks,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN inside USING (doc_id)),
+b AS (
+  SELECT *, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (
+  base_failed OR 20 * n_symbols > word_chars OR word_chars > 20 * n_words OR word_chars < 2 * n_words
+  OR (n_dup_lines > 3 AND 10 * n_dup_lines > 3 * all_lines) OR 2 * capitals > word_chars OR 10 * shouts > word_chars
+  OR 2 * digits > word_chars OR (4 * marks > 3 * all_lines AND n_words > 40)) AS kept
+FROM b
+"""
+
+
 @query
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shards.sharded(table(spark, sf_dir, "documents"))
@@ -112,6 +141,41 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, secret_scan.listed(F.col("found")).alias("spans"))
 
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _secret_oracle() -> str:
+    """Positions from the texts between matches; letters of keywords are written out in either case."""
+    keywords = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+    value = r"""[A-Za-z0-9+/_.=-]+"""
+    # kind, expression, group whose length counts, least length
+    kinds = [
+        ("assign", rf"""({keywords})[\"\x27]?\x20*[:=]\x20*[\"\x27]?({value})""", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16),
+        ("hex", "[0-9a-f]+", 0, 32), ("private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+        ("github", "gh[opsur]_[A-Za-z0-9]{36,}", 0, 0),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ]
+    size = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    spans = " UNION ALL ".join(f"""
+  SELECT doc_id, '{kind}' AS kind, {number} AS number, {size.format("gaps[1:i]")} + {size.format("hits[1:i - 1]")} AS start, length(hits[i]) AS n
+  FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits,
+      regexp_extract_all(t, '{pattern}', {group}) AS parts, unnest(range(1, len(regexp_extract_all(t, '{pattern}')) + 1)) AS i FROM d)
+  WHERE length(parts[i]) >= {least}""" for number, (kind, pattern, group, least) in enumerate(kinds))
+    listed = "string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + n AS BIGINT), ',' ORDER BY start, number)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind, *_ in kinds[:3])
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({spans})
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN (
+  SELECT doc_id, {counts}, {listed} FILTER (number < 3) AS base, {listed} AS spans FROM s GROUP BY doc_id) USING (doc_id)
+"""
+
+
+ORACLES["op7_secrets"] = _secret_oracle()
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
