@@ -454,7 +454,7 @@ CTE["embedding_texts_sums"] = _sums("embedding_texts", "product_id", "embedding_
 CTE["query_vectors"] = f"""
 SELECT query_id, list(value ORDER BY place) AS embedding FROM ({_hashed("search_texts", "query_id", "query")}) GROUP BY query_id"""
 _CHECKSUM = f"""
-SELECT product_id, round(sum(value * (place + 1)), 6) AS checksum
+SELECT product_id, round(sum(value * (place + 1)), 6) + CAST(0 AS DOUBLE) AS checksum
 FROM ({_hashed("embedding_texts", "product_id", "embedding_text")}) GROUP BY product_id"""
 CTE["product_vectors"] = f"""
 SELECT product_id, list(value ORDER BY place) AS embedding FROM ({_hashed("embedding_texts", "product_id", "embedding_text")})

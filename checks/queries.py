@@ -653,7 +653,7 @@ def _catalogue(i):
 
 def _checksum():
     """Places times values of the vector, summed."""
-    return F.round(F.aggregate(F.transform("embedding", lambda x, p: x * (p + 1)), F.lit(0.0), lambda s, x: s + x), 6)
+    return F.round(F.aggregate(F.transform("embedding", lambda x, p: x * (p + 1)), F.lit(0.0), lambda s, x: s + x), 6) + F.lit(0.0)
 
 
 @query
