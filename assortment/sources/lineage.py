@@ -19,6 +19,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/assortment-{application}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_work(spark: SparkSession) -> None:
+    """Delete the work folder of this application; tables cut from it can no longer be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_path(spark, "x")).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local(df: DataFrame) -> DataFrame:
     """`df` as rows of the plan; only for rows whose number a parameter bounds. Nothing is written."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)

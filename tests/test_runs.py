@@ -235,3 +235,13 @@ def test_stream_adds_only_what_is_new(spark, catalogue, tmp_path):
     both = clean.where("product_id <= 80").count()
     assert feed(30, 80)[:2] == (both, both)
     assert feed(30, 80)[:2] == (both, both)
+
+
+def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
+    from assortment.sources import lineage
+
+    monkeypatch.setattr(lineage, "shared_folder", lambda _: str(tmp_path))
+    assert lineage.cut(spark.range(3)).count() == 3
+    assert len(list(tmp_path.glob("assortment-*/*"))) == 1
+    lineage.remove_work(spark)
+    assert not list(tmp_path.glob("assortment-*"))
