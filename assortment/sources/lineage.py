@@ -1,15 +1,25 @@
 """Lineage cuts and work folders in the shared folder of the cluster."""
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`, which driver and executors must share."""
+    """The folder in `spark.checkpoint.dir`, which driver and executors must share.
+
+    Where it is unset a session on one machine gets a folder of its own; a cluster has to name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        application = spark.sparkContext.applicationId
+        folder = _own_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="assortment-")
+        _own_folders[application] = folder
     return folder
 
 
