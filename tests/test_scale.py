@@ -130,3 +130,19 @@ def test_rules_shuffle_the_catalogue_once(spark, tmp_path):
     clean = spark.read.parquet(str(tmp_path / "clean"))
     text = plan(quality.run_rules(clean, i.embedded, i.clustered, i.enriched))
     assert text.count("Scan parquet") - text.count("embeddings.parquet") <= 2
+
+
+def test_medians_do_not_shuffle_products_by_category(spark):
+    i = Inputs(spark, SMALL)
+    i.raw.write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/raw")
+    raw = spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/raw")
+    text = plan(transform.clean_products(raw, AT))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_many_medians_are_joined_by_a_shuffle(spark, monkeypatch, tight):
+    monkeypatch.setattr(transform, "BROADCAST_MEDIANS", 0)
+    i = Inputs(spark, SMALL)
+    few = transform.clean_products(i.raw, AT).drop("cleaned_at").collect()
+    monkeypatch.undo()
+    assert sorted(few) == sorted(transform.clean_products(i.raw, AT).drop("cleaned_at").collect())
