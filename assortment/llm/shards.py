@@ -3,7 +3,8 @@
 The rows of each source are shuffled by a seeded hash and ranked; the rank as a fraction of the source's rows
 is a position on one line on which all sources are spread evenly. The line is cut into shards of equal counts,
 so each shard holds every source in proportion, give or take a row. Ranks come from range partitions and their
-counts: no window and no task holds a source or the table, however hot a source is.
+counts: no window and no task holds a source or the table, however hot a source is. The figures of the sources,
+one row each, are counted and go to the tasks up to BROADCAST_SOURCES of them; more are joined by a shuffle.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +14,7 @@ from assortment.sources.lineage import cut
 
 SHARDS = 40
 SEED = 17
+BROADCAST_SOURCES = 100_000
 _INSIDE = (1 << 33) - 1
 
 
@@ -55,7 +57,9 @@ def sharded(
     ties = ["shuffle", "key", "print", "size"]
     total = own.count()
     ranked = positions(own, ["stratum", *ties], "place")
-    strata = ranked.groupBy("stratum").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    strata = cut(ranked.groupBy("stratum").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows")))
+    if strata.count() <= BROADCAST_SOURCES:
+        strata = F.broadcast(strata)
     rank = (F.col("place") - F.col("first")).cast("double")
     line = ranked.join(strata, "stratum").select(
         "key", "size", "print", "source", "stratum", "shuffle", ((2 * rank + 1) / (2 * F.col("rows"))).alias("fraction")
