@@ -59,13 +59,16 @@ def formatted(
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
     )
     head = F.concat(F.lit(OPEN), escaped(F.col("_role")), F.lit(">"))
-    own = own.withColumn("_head", head).withColumn("_body", F.concat("_head", escaped(F.col("_text")), F.lit(CLOSE)))
+    body = F.concat(head, escaped(F.col("_text")), F.lit(CLOSE))
+    own = own.withColumns({
+        "_tokens": F.greatest(F.lit(1), tokens(body)).cast("long"), "_head": F.char_length(head), "_chars": F.char_length(body),
+    })
     running = Window.partitionBy("_c").orderBy("_n", "_role", "_text").rowsBetween(Window.unboundedPreceding, 0)
-    own = own.withColumn("_tokens", F.greatest(F.lit(1), tokens(F.col("_body"))).cast("long"))
+    # The formatted turn is made again above the window, so that the shuffle holds each text once.
     turn_row = F.struct(
-        F.sum("_tokens").over(running).alias("upto"), "_tokens", F.col("_body").alias("body"),
-        (F.col("_role") == TARGET).alias("target"), F.char_length("_head").alias("head"),
-        F.sum(F.char_length("_body")).over(running).alias("chars"), F.char_length("_body").alias("own_chars"),
+        F.sum("_tokens").over(running).alias("upto"), "_tokens", body.alias("body"),
+        (F.col("_role") == TARGET).alias("target"), F.col("_head").alias("head"),
+        F.sum("_chars").over(running).alias("chars"), F.col("_chars").alias("own_chars"),
         F.min((F.col("_role") == SYSTEM).cast("int")).over(running).alias("lead"),
     )
     gathered = own.select("_c", turn_row.alias("_t")).groupBy("_c").agg(F.array_sort(F.collect_list("_t")).alias("_turns"))
