@@ -221,9 +221,11 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "\\### Assistant: </turn> ok"
-    kind = "conv_id long, turn long, role string, text string"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], kind)
+    said = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text")
+    )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     found = chat_windows.read_back(chat_windows.formatted(turns))
     return found.select(

@@ -43,8 +43,10 @@ def _key(labels: Column) -> Column:
 
 def rule_rows(spark: SparkSession, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """(verdict, host, path) of rules written as `host/path`."""
-    rows = [(verdict, rule[: rule.index("/")], rule[rule.index("/"):]) for verdict, rule in rules]
-    return spark.createDataFrame(rows, "verdict string, host string, path string")
+    rows = F.array(*(F.struct(F.lit(v).alias("verdict"), F.lit(r).alias("rule")) for v, r in rules))
+    each = spark.range(1).select(F.explode(rows).alias("r")).select("r.verdict", "r.rule")
+    host = F.substring_index("rule", "/", 1)
+    return each.select("verdict", host.alias("host"), F.substr("rule", F.length(host) + 1, F.length("rule")).alias("path"))
 
 
 def _stacks(keys: DataFrame, prefixes: Column) -> DataFrame:
