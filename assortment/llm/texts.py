@@ -1,12 +1,15 @@
-"""Helpers of the operators: Arrow texts as bytes, words of very long texts, values bound once."""
+"""Helpers of the operators: Arrow texts as bytes, words of very long texts, values bound once, join sides."""
 
 import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assortment.sources.lineage import cut
+
+SMALL_ROWS = 500_000
 PIECE = 1 << 20
 _BLANK = re.compile(rb"[\x09-\x0D\x20]")
 
@@ -32,3 +35,10 @@ def word_pieces(text: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once per row, even where `body` uses it inside a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def side(keys: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Keys of a few bytes as one side of a join: written and counted, handed to the tasks up to `rows` of them; more
+    are joined by a shuffle."""
+    keys = cut(keys)
+    return F.broadcast(keys) if keys.count() <= rows else keys

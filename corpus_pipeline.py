@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assortment.llm import decontaminate, packing, quality_gam, secret_scan, simhash
+from assortment.llm.texts import side
 from assortment.sources.lineage import cut
 
 #: The fingerprints of stage 2 and the fitted model of stage 1 have no SQL form; tests hold the whole pipeline
@@ -17,6 +18,12 @@ from assortment.sources.lineage import cut
 ORACLE_SQL = None
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among the distinct `_id` of `ids`; null is an id like any other."""
+    ids = side(ids)
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_anti")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold; learned from the labels that are not held out."""
     model = quality_gam.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -29,18 +36,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with one doc_id, and those without any, count as one document, of which the row with the least text
     hash stays.
     """
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["_first"])).drop("_first")
+    found = cut(simhash.near_duplicates(docs.select("doc_id", "text")).select("doc_id", "component"))
+    later = found.where(~F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"))
+    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"))
+    kept = _without(docs, later.subtract(firsts))
+    counts = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
+    again = cut(counts.where("n > 1").select("_id"))
+    if again.isEmpty():
+        return kept
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
+    repeated = kept.join(again, kept["doc_id"].eqNullSafe(again["_id"])).drop("_id")
+    repeated = repeated.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
+    return _without(kept, again).unionByName(repeated)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
     found = decontaminate.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct())
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
