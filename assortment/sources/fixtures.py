@@ -12,7 +12,7 @@ AS_OF = dt.datetime(2001, 11, 4)
 SOURCE_PRODUCTS = """
 SELECT p_partkey AS id,
  CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 89 = 0 THEN '' WHEN p_partkey % 83 = 0 THEN '   ' WHEN p_partkey % 3 = 0 THEN chr(9) || p_name || chr(10) || chr(160) ELSE ' ' || p_name END AS name,
- CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN '  ' WHEN p_partkey % 29 = 0 THEN chr(9) ELSE p_brand END AS brand,
+ CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN ' ' || chr(9) || chr(160) ELSE p_brand END AS brand,
  CASE WHEN p_partkey % 101 = 0 THEN NULL WHEN p_partkey % 103 = 0 THEN ' ' WHEN p_type = 'LARGE' THEN ' Large' WHEN p_partkey % 5 = 0 THEN lower(p_type) WHEN p_partkey % 11 = 0 THEN chr(160) || p_type || chr(13) ELSE p_type END AS category,
  CASE WHEN p_partkey % 41 = 0 THEN NULL WHEN p_size <= 16 THEN ' women' WHEN p_size <= 33 THEN 'Men ' ELSE 'kids' END AS department,
  CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN CAST(-1 AS DOUBLE) WHEN p_partkey % 23 = 0 THEN CAST(250000 AS DOUBLE) ELSE p_retailprice END AS retail_price,
