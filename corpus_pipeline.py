@@ -6,7 +6,7 @@ next stage's docs. All stages but the last return the columns of documents.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assortment.llm import decontaminate, packing, quality_gam, secret_scan, simhash
@@ -18,10 +18,14 @@ from assortment.sources.lineage import cut
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among the distinct `_id` of `ids`; null is an id like any other."""
-    ids = side(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`docs` written once with a `_row` of its own for each row; a doc_id may be null or repeated."""
+    return cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Numbered rows whose `_row` is not in `rows`, without their number."""
+    return docs.join(side(rows), "_row", "left_anti").drop("_row")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,29 +35,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document with the smallest doc_id.
+    """Of the rows of each component of near duplicates the one with the smallest doc_id.
 
-    Rows with one doc_id, and those without any, count as one document, of which the row with the least text
-    hash stays.
+    Null ids come last; equal ids go by text hash, then row. Rows in different components all stay, whatever
+    their ids are.
     """
-    found = cut(simhash.near_duplicates(docs.select("doc_id", "text")).select("doc_id", "component"))
-    later = found.where(~F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"))
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id"))
-    kept = _without(docs, later.subtract(firsts))
-    counts = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
-    again = cut(counts.where("n > 1").select("_id"))
-    if again.isEmpty():
-        return kept
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    repeated = kept.join(again, kept["doc_id"].eqNullSafe(again["_id"])).drop("_id")
-    repeated = repeated.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
-    return _without(kept, again).unionByName(repeated)
+    rows = _numbered(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("print"), "_row")
+    found = simhash.near_duplicates(rows.select(order.alias("order"), "text"), key="order")
+    return _without(rows, found.where(F.col("order._row") != F.col("component._row")).select("order._row"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    found = decontaminate.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct())
+    """Rows that are not contaminated by the benchmark."""
+    rows = _numbered(docs)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(rows.select("_row", "text"), benchmark, key="_row")
+    return _without(rows, found.where("contaminated").select("_row"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,20 @@ def test_hard_rows_and_extra_columns(spark):
     assert sorted(x for x in one if x is not None) == [1, 3, 5]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents(spark, []), DATA).count() == 0
+
+
+def test_null_and_repeated_ids_are_judged_row_by_row(spark):
+    def prose(name):
+        return " ".join(f"{name}{i} and" for i in range(60))
+
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, prose(f"n{i}x")) for i in range(8)]
+    rows += [(7, prose(f"r{i}x")) for i in range(8)]
+    rows += [(1, prose("a")), (9, prose("a")), (9, prose("b")), (None, prose("b")), (None, prose("c")), (None, prose("c"))]
+    one = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.one_of_each(spark, documents(spark, rows), DATA).collect())
+    kept = [*rows[:16], (1, prose("a")), (9, prose("b")), (None, prose("c"))]
+    assert one == sorted((k or 0, t) for k, t in kept)
+
+    dirty = [(None, item), (7, item)]
+    clean = corpus_pipeline.uncontaminated(spark, documents(spark, rows + dirty), DATA)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in clean.collect()) == sorted((k or 0, t) for k, t in rows)
