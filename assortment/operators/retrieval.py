@@ -12,6 +12,8 @@ from assortment.operators.vector import VectorIndex, ivf_search, ivf_search_batc
 from assortment.operators.views import real_clusters
 from assortment.sources.lineage import cut, local
 
+FEW_IDS = 100_000
+
 
 def check_search(query: str, top_k: int, min_price: float | None, max_price: float | None) -> None:
     """Bounds of a search request."""
@@ -31,16 +33,47 @@ def check_intent(intent: str, top_k_clusters: int) -> None:
         raise ValueError("top_k_clusters is 1 to 10")
 
 
+def _not_held(embedded: DataFrame, index: VectorIndex) -> DataFrame | None:
+    """Rows added after the index was stored, None if there are none. Ids are compared first, so that no vector moves
+    for it."""
+    held = index.rows.select("product_id")
+    ids = embedded.select("product_id").join(held, "product_id", "left_anti")
+    some = local(ids.limit(FEW_IDS + 1))
+    found = some.count()
+    if not found:
+        return None
+    return embedded.join(F.broadcast(some) if found <= FEW_IDS else ids, "product_id", "left_semi")
+
+
 def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
-    """The `pool` nearest rows, from the probed lists of an index if there is one.
+    """The `pool` nearest rows: from the probed lists of an index if there is one, and from all rows that it does not
+    hold.
 
     At most `pool` rows of an id and a distance: they stay in the plan as a local relation, and a request writes
     nothing.
     """
-    hits = vector_top_k(embedded, vector, pool) if index is None else ivf_search(index, vector, pool, nprobe)
+    if index is None:
+        return local(vector_top_k(embedded, vector, pool))
+    hits = ivf_search(index, vector, pool, nprobe)
+    added = _not_held(embedded, index)
+    if added is not None:
+        hits = hits.unionByName(vector_top_k(added, vector, pool)).orderBy("distance", "product_id").limit(pool)
     return local(hits)
 
 
+def _nearest_batch(vectors: DataFrame, asked: DataFrame, k: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
+    """`_nearest` for a table of (query_id, embedding); (query_id, product_id, distance, rank)."""
+    if index is None:
+        return vector_top_k_batch(vectors, asked, k)
+    hits = ivf_search_batch(index, asked, k, nprobe)
+    added = _not_held(vectors, index)
+    if added is None:
+        return hits
+    order = Window.partitionBy("query_id").orderBy("distance", "product_id")
+    both = hits.unionByName(vector_top_k_batch(added, asked, k))
+    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def _rows_of(table: DataFrame, hits: DataFrame) -> DataFrame:
     """Rows of a table for the products hit: a map-only join, since hits are bounded by k."""
     return table.join(F.broadcast(hits.select("product_id").distinct()), "product_id", "left_semi")
@@ -106,8 +139,7 @@ def search_log(
     priced = cut(queries.select("query_id", "embedding").join(priced, "query_id"))
 
     def nearest(asked: DataFrame, k: int) -> DataFrame:
-        asked = asked.select("query_id", "embedding")
-        return vector_top_k_batch(vectors, asked, k) if index is None else ivf_search_batch(index, asked, k, nprobe)
+        return _nearest_batch(vectors, asked.select("query_id", "embedding"), k, index, nprobe)
 
     hits = nearest(priced.where(bounded), top_k * fixed.SEARCH_OVERFETCH).unionByName(nearest(priced.where(~bounded), top_k))
     hits = hits.join(priced.drop("embedding"), "query_id")

@@ -237,6 +237,42 @@ def test_stream_adds_only_what_is_new(spark, catalogue, tmp_path):
     assert feed(30, 80)[:2] == (both, both)
 
 
+def test_searches_find_what_a_stream_adds_after_the_index(spark, catalogue, tmp_path):
+    from assortment.operators import retrieval
+    from assortment.plans import requests
+
+    with_clean(spark, catalogue)
+    clean = catalogue.read("products_clean")
+    source = str(tmp_path / "incoming")
+
+    def feed(rows):
+        rows.write.mode("append").parquet(source)
+        incremental_stream(catalogue, source, str(tmp_path / "progress"), AS_OF, dim=16).awaitTermination()
+
+    feed(clean.where("product_id % 2 = 0"))
+    held = run.build_index(catalogue, 5, min_rows=50).rows.count()
+    feed(clean.where("product_id % 2 = 1"))
+    embedded, index = catalogue.read("products_embedded"), run.stored_index(catalogue)
+    assert index.rows.count() == held < embedded.where("embedding IS NOT NULL").count()
+
+    query = "large brushed tin"
+    vector = requests.query_vector(catalogue, query, dim=16)
+    exact = [tuple(r) for r in retrieval.vector_top_k(embedded, vector, 10).collect()]
+    assert {k % 2 for k, _ in exact} == {0, 1}
+    found = requests.search(catalogue, query, 10, dim=16, nprobe=5)
+    assert [(r.product_id, r.distance) for r in found.collect()] == exact
+
+    groups = clean.select("product_id", F.lit(1).cast("long").alias("cluster_id"), F.lit("a").alias("cluster_label"))
+    hits = retrieval.intent_hits(vector, clean, embedded, groups, 10, index, 5)
+    assert sorted((r.distance, r.product_id) for r in hits.collect()) == [(d, k) for k, d in exact]
+    asked = spark.createDataFrame([(1, query, vector)], "query_id long, query string, embedding array<double>")
+    logged = retrieval.search_log(
+        asked, embedded.select("product_id", "embedding"), clean, groups, catalogue.read("products_enriched"), 10,
+        index=index, nprobe=5,
+    )
+    assert [r.product_id for r in logged.orderBy("rank").collect()] == [k for k, _ in exact]
+
+
 def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     from assortment.sources import lineage
 
