@@ -32,7 +32,7 @@ LABEL_MAX_CHARS = 100
 # --- Fixed values: vector index and retrieval -------------------------------------
 IVF_LISTS = 100
 INDEX_MIN_ROWS = 5000
-NPROBE = 10
+NPROBE = 20
 SEARCH_OVERFETCH = 5
 INTENT_POOL = 120
 BRIEF_PRODUCTS = 5

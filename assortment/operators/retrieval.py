@@ -47,14 +47,16 @@ def _not_held(embedded: DataFrame, index: VectorIndex) -> DataFrame | None:
 
 def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
     """The `pool` nearest rows: from the probed lists of an index if there is one, and from all rows that it does not
-    hold.
+    hold. Where the probed lists have fewer than `pool` rows all lists are read.
 
     At most `pool` rows of an id and a distance: they stay in the plan as a local relation, and a request writes
     nothing.
     """
     if index is None:
         return local(vector_top_k(embedded, vector, pool))
-    hits = ivf_search(index, vector, pool, nprobe)
+    hits = local(ivf_search(index, vector, pool, nprobe))
+    if hits.count() < pool and nprobe < len(index.centroids):
+        hits = ivf_search(index, vector, pool, len(index.centroids))
     added = _not_held(embedded, index)
     if added is not None:
         hits = hits.unionByName(vector_top_k(added, vector, pool)).orderBy("distance", "product_id").limit(pool)
@@ -66,6 +68,12 @@ def _nearest_batch(vectors: DataFrame, asked: DataFrame, k: int, index: VectorIn
     if index is None:
         return vector_top_k_batch(vectors, asked, k)
     hits = ivf_search_batch(index, asked, k, nprobe)
+    if nprobe < len(index.centroids):
+        hits = cut(hits)
+        full = hits.where(F.col("rank") == k).select("query_id")
+        short = cut(asked.join(full, "query_id", "left_anti"))
+        more = ivf_search_batch(index, short, k, len(index.centroids))
+        hits = hits.join(full, "query_id", "left_semi").unionByName(more)
     added = _not_held(vectors, index)
     if added is None:
         return hits
@@ -105,15 +113,14 @@ def search_products(
     """Nearest products with their cluster and description, filtered by price; from `index` if there is one.
 
     As a price filter runs after the vector search, five times the rows are fetched for it and fewer
-    than `top_k` may remain; `prefilter` searches among the products in the price range instead.
+    than `top_k` may remain; `prefilter` scans the products in the price range instead, without the index.
     """
     check_search(query, top_k, min_price, max_price)
     bounded = min_price is not None or max_price is not None
     in_range = price_range("retail_price", min_price, max_price)
     if bounded and prefilter:
         priced = clean.where(in_range).select("product_id")
-        embedded = embedded.join(priced, "product_id", "left_semi")
-        index = index and VectorIndex(index.centroids, index.rows.join(priced, "product_id", "left_semi"))
+        embedded, index = embedded.join(priced, "product_id", "left_semi"), None
     pool = top_k * fixed.SEARCH_OVERFETCH if bounded and not prefilter else top_k
     hits = _nearest(vector, embedded, pool, index, nprobe)
     found = _with_products(hits, clean, clustered, enriched, newest_only).where(in_range)

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from assortment import fixed
 from assortment.functions.prices import price_limits
 from assortment.operators import embed, knn, retrieval, vector
+from assortment.sources.lineage import cut
 from checks.queries import Inputs
 
 VECTORS = "id long, embedding array<double>"
@@ -116,6 +118,23 @@ def test_recall_grows_with_probes_and_ends_exact(spark):
     assert recall == sorted(recall) and recall[0] > 0.5 and recall[-1] == 1.0
 
 
+def test_recall_of_the_production_lists_and_probes(spark):
+    text = embed.embedding_text(Inputs(spark, "/root/testdata/sf0.1").clean)
+    vectors = cut(embed.embed_texts(text, "embedding_text", fixed.EMBEDDING_DIM).select("product_id", "embedding"))
+    index = vector.ivf_build(vectors, fixed.IVF_LISTS)
+    rows = index.rows.select("product_id", "list_id", F.col("embedding").cast("array<float>").alias("e")).toPandas()
+    assert len(rows) > fixed.INDEX_MIN_ROWS
+    ids, lists, parts = rows.product_id.to_numpy(), rows.list_id.to_numpy(), np.stack(rows.e.to_numpy())
+    parts /= np.linalg.norm(parts, axis=1, keepdims=True)
+    pools = {10: [], 10 * fixed.SEARCH_OVERFETCH: [], fixed.INTENT_POOL: [], 100 * fixed.SEARCH_OVERFETCH: []}
+    for i in np.flatnonzero(ids % 50 == 0):
+        nearest = np.lexsort((ids, np.round(1 - parts @ parts[i], 5)))
+        probed = np.isin(lists, np.argsort(-(index.centroids @ parts[i]), kind="stable")[: fixed.NPROBE])
+        for pool, found in pools.items():
+            found.append(probed[nearest[:pool]].mean())
+    assert all(np.mean(found) >= 0.9 for found in pools.values())
+
+
 def test_written_index_reads_probed_folders_only(spark, tmp_path):
     vectors = planted(spark)
     vector.write_index(vector.ivf_build(vectors, lists=9), str(tmp_path))

@@ -273,6 +273,32 @@ def test_searches_find_what_a_stream_adds_after_the_index(spark, catalogue, tmp_
     assert [r.product_id for r in logged.orderBy("rank").collect()] == [k for k, _ in exact]
 
 
+def test_short_lists_and_price_ranges_search_on(spark, catalogue):
+    from assortment.operators import retrieval
+    from assortment.plans import requests
+
+    with_clean(spark, catalogue)
+    embed.embed_incremental(catalogue, AS_OF, dim=16)
+    query = "large brushed tin"
+
+    def searches():
+        every = requests.search(catalogue, query, 100, dim=16, nprobe=1).collect()
+        return every, requests.search(catalogue, query, 20, 905, 930, dim=16, nprobe=1, prefilter=True).collect()
+
+    exact = searches()
+    index = run.build_index(catalogue, 5, min_rows=100)
+    assert searches() == exact and len(exact[0]) == 100
+
+    clean, embedded = catalogue.read("products_clean"), catalogue.read("products_embedded")
+    groups = clean.select("product_id", F.lit("a").alias("cluster_label"))
+    asked = spark.createDataFrame(
+        [(1, query, requests.query_vector(catalogue, query, dim=16))], "query_id long, query string, embedding array<double>"
+    )
+    enriched = catalogue.read("products_enriched")
+    logged = retrieval.search_log(asked, embedded, clean, groups, enriched, 100, index=index, nprobe=1)
+    assert [r.product_id for r in logged.orderBy("rank").collect()] == [r.product_id for r in exact[0]]
+
+
 def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     from assortment.sources import lineage
 
