@@ -82,11 +82,12 @@ def packed(
 
     A token is a byte of the text's UTF-8 form or its end mark, so a null or empty text is one token. Every
     row is packed, repeated ones too, and rows with a null key; ties go by key, text checksum and piece. An empty
-    table gives no rows. Other columns are ignored. `group` is the expected number of pieces in a group.
+    table gives no rows. Other columns are ignored. `group` is the expected number of pieces in a group, whatever
+    their keys and texts are: pieces are dealt by a number of their own too.
     """
-    all_pieces = cut(pieces(docs, key, text, max(lengths)))
+    all_pieces = cut(pieces(docs, key, text, max(lengths)).withColumn("number", F.monotonically_increasing_id()))
     groups = max(1, -(-all_pieces.count() // group))
-    own = F.pmod(F.xxhash64("key", "print", "piece", "size"), F.lit(groups))
+    own = F.pmod(F.xxhash64("key", "print", "piece", "size", "number"), F.lit(groups))
 
     def fill(batch: pa.Table) -> pa.Table:
         batch = batch.sort_by([("size", "descending"), ("key", "ascending"), ("print", "ascending"), ("piece", "ascending")])

@@ -86,3 +86,13 @@ def test_same_result_for_any_partitions(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     a, b = (sorted(map(tuple, packing.packed(docs.repartition(n)).collect())) for n in (1, 7))
     assert a == b
+
+
+def test_equal_rows_are_dealt_over_groups(spark):
+    docs = [(None, "")] * 600 + [(7, "the same text")] * 600 + [(i, f"text {i}") for i in range(600)]
+    rows = packing.packed(documents(spark, docs), group=100).collect()
+    check(rows, docs)
+    sizes = {}
+    for r in rows:
+        sizes[r["bin"] >> 32] = sizes.get(r["bin"] >> 32, 0) + 1
+    assert len(sizes) == 18 and max(sizes.values()) < 200
