@@ -16,6 +16,7 @@ from assortment.llm import (
     simhash,
     url_rules,
     warc_index,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +234,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
