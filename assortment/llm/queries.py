@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assortment.llm import (
     chat_windows,
     decontaminate,
+    hard_negatives,
     packing,
     quality_gam,
     quality_rules,
@@ -236,6 +237,36 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.rows_of_vectors(
+        table(spark, sf_dir, "embeddings"), "vec_id", moved, "embedding", anchor=key % 100 == 0, scale=256
+    )
+    return hard_negatives.mined(rows)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened(table(spark, sf_dir, "embeddings"))
