@@ -365,8 +365,9 @@ def mined(
     own = rows.select("id", F.col("label").cast("long").alias("label"), "x", F.coalesce("anchor", F.lit(False)).alias("anchor"))
     own = own.where(F.col("label").isNotNull() & F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull()))
     own = cut(own.withColumn("row", F.monotonically_increasing_id()))
-    most = own.agg(F.max(F.size("x"))).scalar()
-    own = own.withColumn("x", F.concat("x", F.array_repeat(F.lit(0).cast("long"), most - F.size("x"))))
+    sizes = own.agg(F.min(F.size("x")).alias("least"), F.max(F.size("x")).alias("most")).first()
+    if sizes.least != sizes.most:
+        own = own.withColumn("x", F.concat("x", F.array_repeat(F.lit(0).cast("long"), F.lit(sizes.most) - F.size("x"))))
     index = indexed(own)
     kind = rows.schema["id"].dataType.simpleString()
     if index is None:
