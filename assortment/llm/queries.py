@@ -9,6 +9,7 @@ from assortment.llm import (
     chat_windows,
     decontaminate,
     hard_negatives,
+    log_bilinear,
     packing,
     quality_gam,
     quality_rules,
@@ -267,6 +268,12 @@ QUALIFY row_number() OVER w <= 5
 """
 
 
+@query
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return log_bilinear.scored(table(spark, sf_dir, "documents"), held)
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whitened(table(spark, sf_dir, "embeddings"))
