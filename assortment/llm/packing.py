@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from assortment.sources.lineage import cut
 
 LENGTHS = (2048, 4096, 8192, 16384, 32768)
+COPIES = 1 << 16
 START_COST = 64
 EVEN_AT = 65536
 GROUP = 8192
@@ -75,6 +76,20 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", largest: in
     return many.select("key", "print", "piece", begin.alias("begin"), F.least(F.col("all") - begin, F.lit(largest)).alias("size"))
 
 
+def numbered(all_pieces: DataFrame) -> DataFrame:
+    """Add `number`, which counts the pieces that are equal in all columns from 0.
+
+    Equal pieces are counted and written out again, COPIES of them in a task at most, so neither the numbers nor
+    the work hang on how the rows were dealt.
+    """
+    own = all_pieces.columns
+    counted = all_pieces.groupBy(*own).agg(F.count(F.lit(1)).alias("copies"))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("first")
+    parts = counted.select(*own, "copies", first).repartition(*own, "first")
+    last = F.least(F.col("copies"), F.col("first") + COPIES) - 1
+    return parts.select(*own, F.explode(F.sequence("first", last)).alias("number"))
+
+
 def packed(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lengths: tuple[int, ...] = LENGTHS, group: int = GROUP,
 ) -> DataFrame:
@@ -82,10 +97,11 @@ def packed(
 
     A token is a byte of the text's UTF-8 form or its end mark, so a null or empty text is one token. Every
     row is packed, repeated ones too, and rows with a null key; ties go by key, text checksum and piece. An empty
-    table gives no rows. Other columns are ignored. `group` is the expected number of pieces in a group, whatever
-    their keys and texts are: pieces are dealt by a number of their own too.
+    table gives no rows. Other columns are ignored. Very long texts are cut into pieces of the largest length; their
+    bytes are not read. `group` is the expected number of pieces in a group: pieces are dealt by what they are and by a
+    number among those equal to them, so equal pieces spread over groups, and the bins are the same for any partitions.
     """
-    all_pieces = cut(pieces(docs, key, text, max(lengths)).withColumn("number", F.monotonically_increasing_id()))
+    all_pieces = cut(numbered(pieces(docs, key, text, max(lengths))))
     groups = max(1, -(-all_pieces.count() // group))
     own = F.pmod(F.xxhash64("key", "print", "piece", "size", "number"), F.lit(groups))
 

@@ -222,14 +222,17 @@ def fit(
     """Train on at most `max_rows` labelled rows that are not held out.
 
     Rows without key or label, and labels of unknown documents, are left out; a key labelled twice counts with
-    each label once. Without any label the score of every text is a half. The labelled keys are broadcast: at
-    most `max_rows` of them.
+    each label once, a key with several texts with the one of the least hash. Without any label the score of every text
+    is a half. Null and empty texts have zeros as features; very long ones are read whole. Other columns are not read.
+    The labelled keys are broadcast: at most `max_rows` of them.
     """
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).dropna()
     known = known.where(~held_out(F.col("_key"))).orderBy(F.xxhash64("_key"), "_key", "_label").limit(max_rows)
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    rows = own.join(F.broadcast(known), "_key").select("_key", "_label", features(F.col("_text")).alias("_row"))
-    got = rows.dropDuplicates(["_key", "_label"]).orderBy("_key", "_label").select("_label", "_row").toArrow()
+    print_of = F.struct(F.xxhash64("_text"), F.crc32(F.coalesce("_text", F.lit("")).cast("binary"))).alias("_print")
+    rows = own.join(F.broadcast(known), "_key").select("_key", "_label", print_of, features(F.col("_text")).alias("_row"))
+    rows = rows.groupBy("_key", "_label").agg(F.min_by("_row", "_print").alias("_row"))
+    got = rows.orderBy("_key", "_label").select("_label", "_row").toArrow()
     if not got.num_rows:
         return Model(0.0)
     matrix = got["_row"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)

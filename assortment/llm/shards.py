@@ -49,12 +49,14 @@ def sharded(
     body = F.coalesce(F.col(text), F.lit(""))
     stratum = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
     shuffle = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
-    own = cut(docs.select(
+    own = docs.select(
         F.col(key).alias("key"), (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("print"), F.col(source).alias("source"),
         stratum.alias("stratum"), shuffle.alias("shuffle"),
-    ))
-    ties = ["shuffle", "key", "print", "size"]
+    )
+    # The number lets the range partitions split rows that are equal in all else.
+    own = cut(own.withColumn("number", F.monotonically_increasing_id()))
+    ties = ["shuffle", "key", "print", "size", "number"]
     total = own.count()
     ranked = positions(own, ["stratum", *ties], "place")
     strata = cut(ranked.groupBy("stratum").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows")))
@@ -62,7 +64,7 @@ def sharded(
         strata = F.broadcast(strata)
     rank = (F.col("place") - F.col("first")).cast("double")
     line = ranked.join(strata, "stratum").select(
-        "key", "size", "print", "source", "stratum", "shuffle", ((2 * rank + 1) / (2 * F.col("rows"))).alias("fraction")
+        "key", "size", "print", "source", "stratum", "shuffle", "number", ((2 * rank + 1) / (2 * F.col("rows"))).alias("fraction")
     )
     placed = positions(cut(line), ["fraction", "stratum", *ties], "place")
     shard = F.expr(f"(place * {shards}) div {max(1, total)}")

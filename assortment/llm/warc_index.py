@@ -23,11 +23,15 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assortment.llm.texts import side
 from assortment.llm.url_rules import LOWER, UPPER
 from assortment.sources.lineage import cut, work_path
 
 LEAST_SHARED = 100
 BLOCK_LINES = 2000
+#: Archive bytes that a task reads, and those read together.
+TASK_BYTES = 64 << 20
+NEAR_BYTES = 2 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
@@ -55,7 +59,8 @@ def with_types(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     shared = own.where(F.octet_length("payload") >= LEAST_SHARED).groupBy("digest").agg(
         F.min("page").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    joined = own.join(shared.where("n > 1").drop("n"), "digest", "left")
+    first = side(shared.where("n > 1").select(F.unhex("digest").alias("same"), "first"))
+    joined = own.join(first, F.unhex("digest") == F.col("same"), "left").drop("same")
     other = F.when(F.coalesce(F.col("page") != F.col("first"), F.lit(True)), F.col("first"))
     return joined.withColumn("refers_to", other).drop("first")
 
@@ -252,14 +257,18 @@ def lookup(keys: DataFrame, ranges: DataFrame, folder: str) -> DataFrame:
 
     wanted = keys.select(F.coalesce("url_key", F.lit("")).alias("url_key")).distinct()
     routed = wanted.select(F.explode(files("url_key")).alias("file"), "url_key")
-    return routed.repartition("file").sortWithinPartitions("file", "url_key").mapInArrow(
+    # A number of its own: the keys are small, but each stands for a read from an index file.
+    return routed.repartition(max(1, len(known)), "file").sortWithinPartitions("file", "url_key").mapInArrow(
         read, "url_key string, page long, file string, at long, size long"
     )
 
 
 def fetch(captures: DataFrame, folder: str) -> DataFrame:
     """(page, payload_bytes, digest, kind, refers_to, payload) read from the archives by range reads; the payload is
-    null for a revisit."""
+    null for a revisit.
+
+    Captures are written first; the number of reading tasks follows the bytes that they name, not their own.
+    """
     kinds = {
         "page": pa.int64(), "payload_bytes": pa.int64(), "digest": pa.string(), "kind": pa.string(),
         "refers_to": pa.int64(), "payload": pa.binary(),
@@ -284,7 +293,10 @@ def fetch(captures: DataFrame, folder: str) -> DataFrame:
                     rows, size = [], 0
             yield _batch(rows, kinds)
 
-    near = captures.select("file", "at", "size").repartition("file", F.floor(F.col("at") / (16 << 20)))
+    wanted = cut(captures.select("file", "at", "size"))
+    total = wanted.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = max(wanted.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    near = wanted.repartition(tasks, "file", F.floor(F.col("at") / NEAR_BYTES))
     return near.sortWithinPartitions("file", "at").mapInArrow(
         read, "page long, payload_bytes long, digest string, kind string, refers_to long, payload binary"
     )

@@ -8,7 +8,8 @@ HARD_TEXTS = [
 
 def documents(spark, rows=None):
     """Documents with columns that clash with names the operators use."""
-    rows = [(i, t, "en", "s", len(t or ""), i, "x") for i, t in (HARD_TEXTS if rows is None else rows)]
+    rows = [(i, t, "en", "s", len(t or ""), i, "x", "r", "k", "t", 1, 2.5, "m") for i, t in (HARD_TEXTS if rows is None else rows)]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars long, row long, key string"
+        rows, "doc_id long, text string, lang string, source string, n_chars long, row long, key string, _row string, "
+        "_key string, _text string, _label int, _c double, _m string"
     )

@@ -84,8 +84,18 @@ def test_hard_rows(spark):
 
 def test_same_result_for_any_partitions(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    a, b = (sorted(map(tuple, packing.packed(docs.repartition(n)).collect())) for n in (1, 7))
-    assert a == b
+    hot = docs.limit(300).select(docs["doc_id"], docs["text"]).unionByName(spark.range(400).selectExpr("cast(null as long) doc_id", "'same' text"))
+    for rows, group in ((docs, packing.GROUP), (docs, 100), (hot, 50)):
+        rows = spark.createDataFrame(rows.select("doc_id", "text").collect(), "doc_id long, text string")
+        a, b = (sorted(map(repr, packing.packed(rows.repartition(n), group=group).collect())) for n in (1, 7))
+        assert a == b and len(a) >= rows.count()
+
+
+def test_copies_are_written_out_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES", 7)
+    docs = documents(spark, [(1, "a")] * 50 + [(2, "b")] + [(None, None)] * 7 + [(3, "c")] * 8)
+    found = packing.numbered(packing.pieces(docs)).groupBy("key").agg({"number": "collect_set"}).collect()
+    assert {r["key"]: sorted(r[1]) for r in found} == {1: list(range(50)), 2: [0], None: list(range(7)), 3: list(range(8))}
 
 
 def test_equal_rows_are_dealt_over_groups(spark):

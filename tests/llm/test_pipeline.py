@@ -61,9 +61,17 @@ def test_hard_rows_and_extra_columns(spark):
     rows = [(1, None), (2, ""), (3, prose), (3, prose), (4, prose), (None, prose + " more"), (None, "other " + prose), (5, prose[::-1])]
     docs = documents(spark, rows)
     for name, stage in corpus_pipeline.STAGES[1:4]:
+        columns = [c for c in docs.columns if c not in ("text", "n_chars")]
+        given = {tuple(r) for r in docs.select(columns).collect()}
+        assert {tuple(r) for r in stage(spark, docs, DATA).select(columns).collect()} <= given, name
         out = cut(stage(spark, docs, DATA))
         assert out.columns == docs.columns, name
         assert out.where("doc_id = 3").count() == (1 if name == "simhash_near_dedup" else 2)
+    good = cut(corpus_pipeline.good_quality(spark, docs, DATA))
+    model = quality_gam.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    want = [k for k, t in rows if model.scores(np.array([quality_gam.features_of((t or "").encode())]))[0] >= 0.7]
+    assert good.columns == docs.columns and sorted(map(repr, (r["doc_id"] for r in good.collect()))) == sorted(map(repr, want))
+    check(corpus_pipeline.sequences(spark, docs, DATA).collect(), rows)
     one = [r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, DATA).collect()]
     assert sorted(x for x in one if x is not None) == [1, 3, 5]
     for _, stage in corpus_pipeline.STAGES:

@@ -1,5 +1,6 @@
 """The quality model: held-out accuracy, tables by hand, hard rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -77,3 +78,67 @@ def test_sample_is_bounded(spark):
 def test_empty_text_has_zeros():
     assert quality_gam.features_of(b"") == [0.0] * len(quality_gam.FEATURES)
     assert len(quality_gam.features_of("é |\n".encode())) == len(quality_gam.FEATURES)
+
+
+def plain_features(text):
+    """Second version of the numbers, from characters and words one by one."""
+    body = text.encode()
+    if not body:
+        return [0.0] * 18
+    words = [w for w in __import__("re").split(rb"[\x20\x09-\x0D]+", body) if w]
+    blank = b" \t\n\r\v\f"
+    lines = [x.strip(blank) for x in body.split(b"\n") if x.strip(blank)]
+    share = lambda characters: sum(c in characters for c in body) / len(body)
+    capitals = sum(65 <= c <= 90 for c in body)
+    letters = sum(65 <= c <= 90 or 97 <= c <= 122 or c > 127 for c in body)
+    each = max(1, len(words))
+    return [
+        math.log(1 + len(body)), math.log(1 + len(words)), sum(c not in blank for c in body) / each, len(set(words)) / each,
+        max((words.count(w) for w in set(words)), default=0) / each, capitals / max(1, letters), share(b"0123456789"),
+        share(b"#$%&*+<=>@\\^_~{}[]"), share(b"!?"), share(b"|"), share(b".,;:'\"()-"), sum(c > 127 for c in body) / len(body),
+        share(blank), math.log(1 + len(words) / max(1, len(lines))), 1 - len(set(lines)) / len(lines) if lines else 0.0,
+        sum(x[-1:] in (b".", b"!", b"?", b'"', b"'") for x in lines) / max(1, len(lines)),
+        sum(w[-1:] in [bytes([c]) for c in b"#$%&*+<=>@\\^_~|!"] for w in words) / each, math.log(1 + max(map(len, words), default=0)),
+    ]
+
+
+def test_features_against_a_second_version(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for text in texts[:80] + [t or "" for _, t in HARD_TEXTS] + ["A!! b|\n\n  c? \x85 x\x0b", "|", "é", "\n \n"]:
+        if len(text) < 8000:
+            assert np.allclose(quality_gam.features_of(text.encode()), plain_features(text)), text[:60]
+
+
+def test_first_round_against_a_second_version(monkeypatch):
+    """One feature, one round: the best tree of three leaves grown greedily, cut by cut."""
+    monkeypatch.setattr(quality_gam, "ROUNDS", 1)
+    monkeypatch.setattr(quality_gam, "PAIR_ROUNDS", 0)
+    rng = np.random.default_rng(8)
+    x = rng.random((300, 1))
+    y = (rng.random(300) < np.where(x[:, 0] < 0.3, 0.9, np.where(x[:, 0] < 0.7, 0.2, 0.6))).astype(float)
+    model = quality_gam.train(x, y)
+    start = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    p = 1 / (1 + math.exp(-start))
+    bins = [sum(e < v for e in model.edges[0]) for v in x[:, 0]]
+    size = len(model.edges[0]) + 1
+    g = [sum(yi - p for b, yi in zip(bins, y) if b == i) for i in range(size)]
+    h = [sum(p * (1 - p) for b in bins if b == i) for i in range(size)]
+    worth = lambda a, b: sum(g[a:b]) ** 2 / (sum(h[a:b]) + 1)
+    parts = [(0, size)]
+    for _ in range(2):
+        gain, (a, b), at = max((worth(a, c) + worth(c, b) - worth(a, b), (a, b), c) for a, b in parts for c in range(a + 1, b))
+        parts.remove((a, b))
+        parts += [(a, at), (at, b)]
+    want = np.zeros(size)
+    for a, b in parts:
+        want[a:b] = 0.2 * sum(g[a:b]) / (sum(h[a:b]) + 1)
+    assert model.intercept == start and np.allclose(model.tables[0], want)
+
+
+def test_a_key_with_several_texts_gives_one_model(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i) % 30, " ".join(map(str, rng.integers(0, 99, int(rng.integers(5, 60)))))) for i in range(240)] + [(3, None), (4, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    one, other = (quality_gam.fit(documents(spark, rows).repartition(n), labels) for n in (1, 9))
+    assert one.intercept == other.intercept and all(np.array_equal(a, b) for a, b in zip(one.tables, other.tables))
+    assert one.pairs.keys() == other.pairs.keys()

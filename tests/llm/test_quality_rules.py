@@ -5,6 +5,7 @@ from collections import Counter
 
 from assortment.llm import quality_rules
 from assortment.llm.queries import QUERIES
+from assortment.sources.lineage import cut
 
 from .helpers import HARD_TEXTS, documents
 
@@ -72,9 +73,21 @@ def test_order_does_not_change_the_verdict(spark):
 
 
 def test_rules_are_ordered_by_rejection_per_cost(spark):
-    sample = spark.range(2000).selectExpr("string(id) text", "id n_words")
-    rules = (quality_rules.Rule("never", "n_words < 0"), quality_rules.Rule("often", "n_words < 1500"))
-    assert [r.name for r in quality_rules.ordered(sample, rules)] == ["often", "never"]
+    sample = cut(spark.range(2000).selectExpr("repeat(string(id), 200) text", "id + 20 n_words", "0L n_repeat_words"))
+    rules = (
+        quality_rules.Rule("never", "n_words < 0"), quality_rules.Rule("dear", "regexp_count(text, '(1|2)+3') > 10 or n_words < 1500"),
+        quality_rules.Rule("often", "n_words < 1500"), quality_rules.Rule("also", "n_words < 1500"),
+    )
+    for given in (rules, rules[::-1], rules):
+        assert [r.name for r in quality_rules.ordered(sample, given)] == ["also", "often", "dear", "never"]
+
+
+def test_only_rows_that_reach_the_rules_count(spark):
+    """Texts that fail the base rule would make `short` the best rule."""
+    sample = cut(spark.range(2000).selectExpr("string(id) text", "if(id < 1900, 5L, 100L) n_words", "0L n_repeat_words"))
+    rules = (quality_rules.Rule("short", "n_words < 20"), quality_rules.Rule("some", "n_words = 100"))
+    assert [r.name for r in quality_rules.ordered(sample, rules)] == ["some", "short"]
+    assert quality_rules.ordered(sample.where("n_words = 5"), rules) == list(rules)
 
 
 def test_native_plan(spark):

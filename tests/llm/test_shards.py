@@ -4,8 +4,11 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from assortment.llm import shards
 from assortment.llm.queries import QUERIES
+from assortment.sources.lineage import cut
 
 from .helpers import documents
 
@@ -57,3 +60,28 @@ def test_hard_rows(spark):
     got = shards.sharded(frame, shards=4).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
     assert sorted((tuple(r) for r in got), key=repr) == plain(rows, 4)
     assert shards.sharded(documents(spark, [])).count() == 0
+
+
+def test_equal_rows_spread_over_tasks(spark, monkeypatch):
+    """A third of all rows equal in everything: no range partition holds much more than the others."""
+    sizes = []
+
+    def counted(df):
+        out = cut(df)
+        if "_at" in df.columns:
+            sizes.append([r["n"] for r in out.groupBy(F.shiftright("_at", 33)).agg(F.count("*").alias("n")).collect()])
+        return out
+
+    monkeypatch.setattr(shards, "cut", counted)
+    docs = spark.range(60_000).selectExpr(
+        "case when id % 3 = 0 then null else id end doc_id", "case when id % 3 = 0 then 'same' else string(id) end text", "'s' source"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = shards.sharded(docs, shards=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.groupBy("shard").count().select("count").distinct().count() == 1
+    assert len(sizes) == 2
+    for own in sizes:
+        assert max(own) < 2 * sum(own) / len(own) and len(own) >= 4

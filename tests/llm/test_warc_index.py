@@ -81,3 +81,21 @@ def test_damage_is_seen():
     member = warc_index.record_bytes(1, "u", b"abc", "0" * 64, None)
     with pytest.raises(ValueError, match="page 1"):
         warc_index.parsed(member)
+
+
+def test_reading_tasks_follow_the_archive_bytes(spark, monkeypatch):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    archive = warc_index.archived(pages)
+    captures = warc_index.lookup(pages.select(warc_index.url_key(F.col("url")).alias("url_key")), archive.ranges, archive.folder)
+    total = captures.agg(F.sum("size")).first()[0]
+    monkeypatch.setattr(warc_index, "TASK_BYTES", 1000)
+    monkeypatch.setattr(warc_index, "NEAR_BYTES", 500)
+    read = warc_index.fetch(captures, archive.folder).withColumn("task", F.spark_partition_id())
+    sizes = [r["n"] for r in read.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    assert total > 20_000 and len(sizes) > 20 and max(sizes) < sum(sizes) / 4
+
+
+def test_payloads_do_not_cross_a_shuffle(spark):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    plan = warc_index.with_types(pages, "page_id", "url", "html")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
