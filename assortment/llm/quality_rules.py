@@ -9,6 +9,7 @@ which rule is named first, never the verdict. All is one pass over the texts wit
 import math
 import time
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from assortment.sources.lineage import cut
 SAMPLE_ROWS = 2000
 SAMPLE_PART = 16
 #: Seconds that a rule is asked for at least, the most times, and the step in which its cost counts.
-MEASURABLE = 0.1
-MOST_TIMES = 512
+MEASURABLE = 0.05
+MOST_TIMES = 64
 COST_STEP = 4
 WINDOW = 8
 BLANKS = r"[\x20\x09-\x0D]"
@@ -126,12 +127,15 @@ def ordered(sample: DataFrame, rules: tuple[Rule, ...] = RULES) -> list[Rule]:
         own.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(times)))).agg(found).collect()
         return time.perf_counter() - start
 
+    @cache
+    def idle(times: int) -> float:
+        return min(seconds(F.sum(F.octet_length("text")), times) for _ in range(2))
+
     def cost(rule: Rule) -> int:
         times, taken = 1, 0.0
         while taken < MEASURABLE and times < MOST_TIMES:
             times *= 8
-            idle, asked = (min(seconds(f, times) for _ in range(2)) for f in (F.sum(F.octet_length("text")), F.count_if(F.expr(rule.fails))))
-            taken = asked - idle
+            taken = min(seconds(F.count_if(F.expr(rule.fails)), times) for _ in range(2)) - idle(times)
         return round(math.log(max(taken, MEASURABLE) / times, COST_STEP))
 
     costs = {rule.name: cost(rule) for rule in rules}
