@@ -1,22 +1,20 @@
-"""Density clusters of product vectors: neighbour graph, level components, stable clusters."""
+"""Density clusters of product vectors: neighbour graph, spanning tree, stable clusters of its hierarchy."""
 
 import datetime as dt
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.vectors import has_vector
-from assortment.operators import knn
+from assortment.operators import condense, knn
 from assortment.operators.components import connected_components
-from assortment.operators.numbering import with_position
+from assortment.operators.spanning import spanning_forest, spanning_tree
 from assortment.sources.lineage import cut
 
-ALGORITHM = "reachability-levels"
-LEVELS = 32
-GRID = 1_000_000
+ALGORITHM = "reachability-tree"
 
 
 def reduce_dims(vectors: DataFrame, dim: int = fixed.REDUCED_DIM) -> DataFrame:
@@ -61,163 +59,51 @@ def components_at_level(edges: DataFrame, cores: DataFrame, eps: float) -> DataF
     return found.withColumnRenamed("node", "product_id")
 
 
-def edge_levels(edges: DataFrame, levels: int = LEVELS) -> list[float]:
-    """Rising level limits: the i/levels quantiles of the weights, equal ones once.
-
-    Weights lie in 0..2, so a histogram of millionths has a bounded size; it gives the same limits
-    for every order and partitioning of the rows.
-    """
-    cells = edges.groupBy(F.ceil(F.col("weight") * GRID).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    upwards = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    total = cells.agg(F.sum("n")).scalar()
-    reached = cells.select("cell", F.floor(F.sum("n").over(upwards) * levels / total).alias("step"))
-    limits = reached.where("step >= 1").groupBy("step").agg(F.min("cell").alias("cell"))
-    cell_values = sorted({row.cell for row in limits.collect()})
-    return [max(c, 1) / GRID for c in cell_values]
-
-
-def _level_of(value: Column, limits: list[float]) -> Column:
-    """1-based position of the first limit that is not below the value."""
-    level = F.lit(1)
-    for limit in limits:
-        level = level + (value > limit).cast("int")
-    return level
-
-
-def level_components(edges: DataFrame, cores: DataFrame, limits: list[float]) -> DataFrame:
-    """(level, node, component) for all levels at once.
-
-    The levels are independent graphs of one contraction, so the number of rounds does not grow with
-    the number of levels. An edge appears at its own and every looser level, half the levels on
-    average; the first round shrinks the loose levels most.
-    """
-    last = F.lit(len(limits))
-    # Ends of an edge lie within the core of the edge; a core beyond the last limit is never active.
-    active = cores.where(F.col("core") <= limits[-1])
-    nodes = active.select(
-        F.col("product_id").alias("node"), F.explode(F.sequence(_level_of(F.col("core"), limits), last)).alias("level")
-    )
-    links = edges.select(
-        "a", "b", F.explode(F.sequence(_level_of(F.col("weight"), limits), last)).alias("level")
-    )
-    return connected_components(nodes, links, ("level",))
-
-
-def _paths(components: DataFrame, min_cluster_size: int) -> DataFrame:
-    """Big components seen from the smallest product of each of them, tight to loose.
-
-    (node, level, component, size, starts, top, up, depth): `starts` marks a component that opens a
-    cluster: a root, or one of several big children. `top` is the start that a component belongs to,
-    `up` the start above that one, `depth` the number of starts above. A node has one row per level
-    at most, so the windows hold few rows each.
-    """
-    big = components.groupBy("level", "component").agg(F.count(F.lit(1)).alias("size"))
-    big = cut(big.where(F.col("size") >= min_cluster_size))
-    heads = big.select(F.col("component").alias("node")).distinct()
-    upwards = Window.partitionBy("node").orderBy("level")
-    seen = (
-        components.join(heads, "node", "left_semi").join(big, ["level", "component"])
-        .withColumn("parent", F.lead("component").over(upwards))
-    )
-    own = seen.where("node = component")
-    siblings = own.where("parent IS NOT NULL").groupBy(
-        (F.col("level") + 1).alias("level"), F.col("parent").alias("component")
-    ).agg((F.count(F.lit(1)) > 1).alias("splits"))
-    opened = own.select(
-        "level", "component", (F.col("level") + 1).alias("_level"), "parent"
-    ).join(
-        siblings.withColumnsRenamed({"level": "_level", "component": "parent"}), ["_level", "parent"], "left"
-    ).select("level", "component", F.coalesce("splits", F.lit(True)).alias("starts"))
-    onwards = upwards.rowsBetween(0, Window.unboundedFollowing)
-    above = upwards.rowsBetween(1, Window.unboundedFollowing)
-    start = F.when(F.col("starts"), F.struct("level", "component"))
-    marked = seen.join(opened, ["level", "component"])
-    return marked.select(
-        "node", "level", "component", "size", "starts",
-        F.first(start, ignorenulls=True).over(onwards).alias("top"),
-        F.first(start, ignorenulls=True).over(above).alias("up"),
-        F.coalesce(F.sum(F.col("starts").cast("int")).over(above), F.lit(0)).alias("depth"),
-    )
-
-
-def _pick(paths: DataFrame, limits: list[float], allow_single: bool) -> DataFrame:
-    """(top, tight_level) of the clusters of largest total stability."""
-    inverse = F.array(*[F.lit(1.0 / limit) for limit in limits])
-    here, looser = F.element_at(inverse, F.col("level")), F.try_element_at(inverse, F.col("level") + 1)
-    share = F.coalesce(F.col("size") * (here - looser), F.lit(0.0))
-    own = paths.where("node = component")
-    figures = own.groupBy("top").agg(
-        F.round(F.sum(share), 6).alias("stability"), F.min("level").alias("tight_level")
-    )
-    opened = own.where("starts").select("top", "up", "depth")
-    state = figures.join(opened, "top")
-    if not allow_single:
-        # A lone root holds everything and never counts as a cluster.
-        roots = opened.where("depth = 0").agg(F.count(F.lit(1))).scalar()
-        state = state.withColumn("lone", (F.col("depth") == 0) & (roots == 1))
-    else:
-        state = state.withColumn("lone", F.lit(False))
-    state = cut(state.withColumns({"best": F.col("stability"), "below": F.lit(0.0)}))
-    deepest = state.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
-    for depth in range(deepest, 0, -1):
-        below = state.where(F.col("depth") == depth).groupBy(F.col("up").alias("top")).agg(
-            F.round(F.sum("best"), 6).alias("_below")
-        )
-        state = state.join(below, "top", "left").withColumn("below", F.coalesce("_below", "below"))
-        state = cut(state.drop("_below").withColumn("best", F.greatest("stability", "below")))
-    kept = state.where((F.col("stability") >= F.col("below")) & ~F.col("lone")).select("top", "tight_level")
-    # A kept cluster under another kept one gives way.
-    holders = paths.where("starts").select(
-        F.col("node"), "level", F.struct("level", "component").alias("top")
-    ).join(kept.select("top"), "top", "left_semi").groupBy("node").agg(F.max("level").alias("loosest"))
-    return kept.withColumn("node", F.col("top.component")).join(holders, "node").where(
-        F.col("loosest") == F.col("top.level")
-    ).select("top", "tight_level", F.col("node").alias("smallest"))
-
-
 def select_clusters(
-    edges: DataFrame, cores: DataFrame, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE,
-    levels: int = LEVELS, allow_single: bool = False,
+    edges: DataFrame, cores: DataFrame, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE, allow_single: bool = False,
 ) -> DataFrame:
-    """(product_id, cluster_id, cluster_probability) of the clustered products; the others are noise.
+    """(product_id, cluster_id, cluster_probability) of the clustered products of a graph; the others are noise.
 
-    Clusters are numbered by their smallest product id. The probability is the density at which a
-    product joins its cluster, relative to the tightest level of the cluster.
+    The hierarchy takes in every weight of the graph, clusters are those of largest total stability. They are numbered
+    by their smallest product id. The probability is the density at which a product joins its cluster, relative to the
+    density at which the cluster starts.
     """
-    limits = edge_levels(edges, levels)
-    if not limits:
-        return cores.sparkSession.createDataFrame(
-            [], "product_id long, cluster_id long, cluster_probability double"
-        )
-    components = level_components(edges, cores, limits)
-    paths = cut(_paths(components, min_cluster_size))
-    numbered = with_position(_pick(paths, limits, allow_single), "smallest", "cluster_id")
-    places = paths.where("node = component").join(numbered, "top")
-    members = components.join(places.select("level", "component", "cluster_id", "tight_level"), ["level", "component"])
-    first = members.groupBy("node", "cluster_id").agg(
-        F.min("level").alias("level"), F.min("tight_level").alias("tight_level")
+    return _selected(spanning_forest(edges), cores, min_cluster_size, allow_single)
+
+
+def _selected(tree: DataFrame, cores: DataFrame, min_cluster_size: int, allow_single: bool) -> DataFrame:
+    found, joins = condense.condensed(tree, cores.select(F.col("product_id").alias("node")), min_cluster_size)
+    chosen = found.chosen(allow_single)
+    kept = sorted(set(chosen[chosen >= 0].tolist()), key=lambda c: found.smallest[c])
+    number = {c: i for i, c in enumerate(kept)}
+    places = cores.sparkSession.createDataFrame(
+        [(c, number[k], found.start[k], c == k) for c, k in enumerate(chosen.tolist()) if k >= 0],
+        "cluster long, cluster_id long, start double, own boolean",
     )
-    limit = F.array(*[F.lit(x) for x in limits])
-    probability = F.element_at(limit, F.col("tight_level")) / F.element_at(limit, F.col("level"))
-    return first.select(
-        F.col("node").alias("product_id"), F.col("cluster_id").cast("long").alias("cluster_id"),
-        probability.alias("cluster_probability"),
+    probability = F.when(F.col("own"), F.col("start") / F.col("weight")).otherwise(1.0)
+    return joins.join(places, "cluster").select(
+        F.col("node").alias("product_id"), "cluster_id", probability.alias("cluster_probability")
     )
 
 
 def cluster_vectors(
     vectors: DataFrame, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE, min_samples: int = fixed.MIN_SAMPLES,
-    levels: int = LEVELS, nprobe: int | None = None, reduced_dim: int | None = None, allow_single: bool = False,
+    nprobe: int | None = None, reduced_dim: int | None = None, allow_single: bool = False,
 ) -> DataFrame:
-    """(product_id, cluster_id, cluster_probability) for every product with a vector."""
+    """(product_id, cluster_id, cluster_probability) for every product with a vector.
+
+    The hierarchy is that of all mutual reachability distances, not of the neighbour lists alone. With `nprobe` lists
+    and searches visit the nearest cells only.
+    """
     rows = vectors.where(has_vector(F.col("embedding"))).select("product_id", "embedding")
     if rows.limit(min_cluster_size).count() < min_cluster_size:
         raise ValueError(f"fewer than {min_cluster_size} vectors to cluster")
-    source = reduce_dims(rows, reduced_dim) if reduced_dim else rows
+    source = cut(reduce_dims(rows, reduced_dim) if reduced_dim else rows)
     graph = cut(knn_graph(source, max(min_cluster_size, min_samples), nprobe))
-    cores = core_distance(graph, min_samples)
+    cores = cut(core_distance(graph, min_samples))
     edges = cut(reachability_edges(graph, cores))
-    found = select_clusters(edges, cores, min_cluster_size, levels, allow_single)
+    tree = spanning_tree(source, graph, cores, edges, nprobe)
+    found = _selected(tree, cores, min_cluster_size, allow_single)
     return rows.select("product_id").join(found, "product_id", "left").select(
         "product_id", F.coalesce("cluster_id", F.lit(fixed.NOISE)).cast("long").alias("cluster_id"),
         F.coalesce("cluster_probability", F.lit(0.0)).alias("cluster_probability"),

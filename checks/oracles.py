@@ -551,77 +551,96 @@ CTE["reach"] = """
 SELECT product_id, product_id AS reached FROM cores WHERE core <= 0.4
 UNION SELECT l.b, r.reached FROM reach r JOIN linked l ON r.product_id = l.a"""
 
-# --- cluster selection: every level by closure, stability bottom-up ----------------
-CTE |= {
-    "level_cells": "SELECT CAST(ceil(weight * 1000000) AS BIGINT) AS cell, count(*) AS n FROM edges GROUP BY 1",
-    "levels": """
-SELECT CAST(row_number() OVER (ORDER BY cell) AS INTEGER) AS level, greatest(cell, 1) / CAST(1000000 AS DOUBLE) AS eps
-FROM (SELECT step, min(cell) AS cell FROM (
- SELECT cell, floor(CAST(sum(n) OVER (ORDER BY cell) * 32 AS DOUBLE) / CAST((SELECT sum(n) FROM level_cells) AS DOUBLE)) AS step
- FROM level_cells) WHERE step >= 1 GROUP BY step)""",
-    "level_links": """
-SELECT level, a, b FROM edges JOIN levels ON weight <= eps UNION SELECT level, b, a FROM edges JOIN levels ON weight <= eps""",
-    "level_reach": """
-SELECT level, product_id AS node, product_id AS reached FROM cores JOIN levels ON core <= eps
-UNION SELECT r.level, l.b, r.reached FROM level_reach r JOIN level_links l ON r.level = l.level AND r.node = l.a""",
-    "level_nodes": "SELECT level, node, min(reached) AS component FROM level_reach GROUP BY level, node",
-    "big": "SELECT level, component, count(*) AS size FROM level_nodes GROUP BY level, component HAVING count(*) >= 15",
-    "big_tree": """
-SELECT b.*, p.component AS parent FROM big b LEFT JOIN level_nodes p ON p.level = b.level + 1 AND p.node = b.component""",
-    "openings": """
-SELECT t.level, t.component, t.parent IS NULL OR k.children > 1 AS opens FROM big_tree t
-LEFT JOIN (SELECT level + 1 AS level, parent, count(*) AS children FROM big_tree GROUP BY 1, 2) k
+# --- cluster selection: Prim's order, its runs at every weight, stability bottom-up ----------------
+#: Clusters of 15 rows or more lie at most this deep in the 500 vectors of the small folders.
+_DEPTH = 500 // 15
+
+CTE["edge_weights"] = "SELECT a, b, weight FROM edges UNION ALL SELECT b, a, weight FROM edges"
+CTE["all_weights"] = f"""
+SELECT a, b, greatest(ca.core, cb.core, distance) AS weight FROM (
+ SELECT x.product_id AS a, y.product_id AS b, {NEAR.format("x.embedding", "y.embedding")} AS distance
+ FROM planted x JOIN planted y ON x.product_id <> y.product_id)
+JOIN cores ca ON a = ca.product_id JOIN cores cb ON b = cb.product_id"""
+
+
+def _hierarchy(name: str, weights: str) -> dict[str, str]:
+    """Steps from weights between rows to `{name}_found`. At any weight the components are runs of Prim's order."""
+    steps = {
+        "prim": """
+SELECT 0 AS step, product_id AS node, CAST('infinity' AS DOUBLE) AS best, CAST(NULL AS INTEGER) AS pos, CAST(NULL AS DOUBLE) AS gap FROM cores
+UNION ALL
+SELECT p.step + 1, p.node, least(p.best, coalesce(w.weight, p.best)), CASE WHEN p.node = c.node THEN p.step + 1 ELSE p.pos END,
+ CASE WHEN p.node = c.node THEN p.best ELSE p.gap END
+FROM @prim p CROSS JOIN (SELECT arg_min(node, (best, node)) AS node FROM @prim WHERE pos IS NULL) c
+LEFT JOIN WEIGHTS w ON w.a = c.node AND w.b = p.node WHERE c.node IS NOT NULL""",
+        "order": """
+SELECT node, pos, greatest(gap, 0.000001) AS gap FROM @prim WHERE step = (SELECT max(step) FROM @prim)""",
+        "levels": """
+SELECT CAST(row_number() OVER (ORDER BY gap) AS INTEGER) AS level, gap AS eps FROM (SELECT DISTINCT gap FROM @order WHERE isfinite(gap))""",
+        "runs": """
+SELECT level, node, count(*) FILTER (gap > eps) OVER (PARTITION BY level ORDER BY pos) AS run FROM @order CROSS JOIN @levels""",
+        "nodes": "SELECT level, node, min(node) OVER (PARTITION BY level, run) AS component FROM @runs",
+        "big": "SELECT level, component, count(*) AS size FROM @nodes GROUP BY level, component HAVING count(*) >= 15",
+        "tree": """
+SELECT b.*, p.component AS parent FROM @big b LEFT JOIN @nodes p ON p.level = b.level + 1 AND p.node = b.component""",
+        "openings": """
+SELECT t.level, t.component, t.parent IS NULL OR k.children > 1 AS opens FROM @tree t
+LEFT JOIN (SELECT level + 1 AS level, parent, count(*) AS children FROM @tree GROUP BY 1, 2) k
  ON k.level = t.level + 1 AND k.parent = t.parent""",
-    "lines": """
-SELECT b.level, b.component, b.size, o.level AS up_level, o.component AS up_component FROM big b
-JOIN level_nodes n ON n.node = b.component AND n.level >= b.level
-JOIN openings o ON o.level = n.level AND o.component = n.component AND o.opens""",
-    "tops": """
+        "lines": """
+SELECT b.level, b.component, b.size, o.level AS up_level, o.component AS up_component FROM @big b
+JOIN @nodes n ON n.node = b.component AND n.level >= b.level
+JOIN @openings o ON o.level = n.level AND o.component = n.component AND o.opens""",
+        "tops": """
 SELECT level, component, any_value(size) AS size, min(up_level) AS top_level, arg_min(up_component, up_level) AS top
-FROM lines GROUP BY level, component""",
-    "stable": """
+FROM @lines GROUP BY level, component""",
+        "stable": """
 SELECT top_level, top, min(t.level) AS tight,
- round(sum(coalesce(size * (1 / here.eps - 1 / looser.eps), 0)), 6) AS stability
-FROM tops t JOIN levels here ON here.level = t.level LEFT JOIN levels looser ON looser.level = t.level + 1
+ round(sum(size * (1 / here.eps - coalesce(1 / looser.eps, 0))), 6) AS stability
+FROM @tops t JOIN @levels here ON here.level = t.level LEFT JOIN @levels looser ON looser.level = t.level + 1
 GROUP BY top_level, top""",
-    "above": """
+        "above": """
 SELECT s.top_level, s.top, min(up_level) AS up_level, arg_min(up_component, up_level) AS up
-FROM stable s JOIN lines l ON l.level = s.top_level AND l.component = s.top AND l.up_level > s.top_level GROUP BY 1, 2""",
-    "best_0": "SELECT top_level, top, tight, stability, CAST(0 AS DOUBLE) AS below, stability AS best FROM stable",
-}
-for _step in range(1, 32):
-    CTE[f"best_{_step}"] = f"""
-SELECT s.*, coalesce(c.below, 0) AS below, greatest(s.stability, coalesce(c.below, 0)) AS best FROM stable s LEFT JOIN (
- SELECT a.up_level, a.up, round(sum(best), 6) AS below FROM best_{_step - 1} b JOIN above a
+FROM @stable s JOIN @lines l ON l.level = s.top_level AND l.component = s.top AND l.up_level > s.top_level GROUP BY 1, 2""",
+        "best_0": "SELECT top_level, top, tight, stability, CAST(0 AS DOUBLE) AS below, stability AS best FROM @stable",
+    }
+    for step in range(1, _DEPTH + 1):
+        steps[f"best_{step}"] = f"""
+SELECT s.*, coalesce(c.below, 0) AS below, greatest(s.stability, coalesce(c.below, 0)) AS best FROM @stable s LEFT JOIN (
+ SELECT a.up_level, a.up, round(sum(best), 6) AS below FROM @best_{step - 1} b JOIN @above a
  ON a.top_level = b.top_level AND a.top = b.top GROUP BY 1, 2) c ON c.up_level = s.top_level AND c.up = s.top"""
-CTE |= {
-    "kept": """
-SELECT * FROM best_31 b WHERE stability >= below AND NOT (
- NOT EXISTS (SELECT 1 FROM above a WHERE a.top_level = b.top_level AND a.top = b.top)
- AND (SELECT count(*) FROM stable) - (SELECT count(*) FROM above) = 1)""",
-    "chosen": """
-SELECT top_level, top, tight, row_number() OVER (ORDER BY top) - 1 AS cluster_id FROM kept k WHERE NOT EXISTS (
- SELECT 1 FROM lines l JOIN kept o ON o.top_level = l.up_level AND o.top = l.up_component
+    steps |= {
+        "kept": f"""
+SELECT * FROM @best_{_DEPTH} b WHERE stability >= below AND NOT (
+ NOT EXISTS (SELECT 1 FROM @above a WHERE a.top_level = b.top_level AND a.top = b.top)
+ AND (SELECT count(*) FROM @stable) - (SELECT count(*) FROM @above) = 1)""",
+        "chosen": """
+SELECT top_level, top, tight, row_number() OVER (ORDER BY top) - 1 AS cluster_id FROM @kept k WHERE NOT EXISTS (
+ SELECT 1 FROM @lines l JOIN @kept o ON o.top_level = l.up_level AND o.top = l.up_component
  WHERE l.level = k.top_level AND l.component = k.top AND l.up_level > k.top_level)""",
-    "found": """
+        "found": """
 SELECT node AS product_id, cluster_id, round(min(tight.eps) / min(here.eps), 6) AS cluster_probability
-FROM level_nodes n JOIN tops t ON t.level = n.level AND t.component = n.component
-JOIN chosen c ON c.top_level = t.top_level AND c.top = t.top
-JOIN levels here ON here.level = n.level JOIN levels tight ON tight.level = c.tight GROUP BY node, cluster_id""",
-    "assigned": """
+FROM @nodes n JOIN @tops t ON t.level = n.level AND t.component = n.component
+JOIN @chosen c ON c.top_level = t.top_level AND c.top = t.top
+JOIN @levels here ON here.level = n.level JOIN @levels tight ON tight.level = c.tight GROUP BY node, cluster_id""",
+    }
+    return {f"{name}_{key}": sql.replace("@", f"{name}_").replace("WEIGHTS", weights) for key, sql in steps.items()}
+
+
+CTE |= _hierarchy("graph_tree", "edge_weights") | _hierarchy("whole_tree", "all_weights")
+CTE["assigned"] = """
 SELECT p.product_id, coalesce(cluster_id, -1) AS cluster_id, coalesce(cluster_probability, 0) AS cluster_probability
-FROM planted p LEFT JOIN found f ON f.product_id = p.product_id""",
-}
+FROM planted p LEFT JOIN whole_tree_found f ON f.product_id = p.product_id"""
 CTE["assigned_sample_words"] = CTE["sample_words"].replace("products_clustered", "assigned")
 _LABELS = ORACLES["label_clusters"]
 ORACLES |= {
-    "select_clusters": "SELECT * FROM found",
+    "select_clusters": "SELECT * FROM graph_tree_found",
     "assign_clusters": f"""
 SELECT product_id, cluster_id, cluster_label, cluster_probability, cluster_id = -1 AS is_noise,
- 'reachability-levels' AS clustering_algorithm, CAST(15 AS BIGINT) AS min_cluster_size_param
+ 'reachability-tree' AS clustering_algorithm, CAST(15 AS BIGINT) AS min_cluster_size_param
 FROM assigned LEFT JOIN ({_LABELS.replace("sample_words", "assigned_sample_words")}) USING (cluster_id)""",
 }
-RECURSIVE = {"reach", "level_reach"}
+RECURSIVE = {"reach", "graph_tree_prim", "whole_tree_prim"}
 
 
 def with_ctes(sql: str) -> str:
