@@ -15,6 +15,7 @@ from assortment.operators.spanning import spanning_forest, spanning_tree
 from assortment.sources.lineage import cut
 
 ALGORITHM = "reachability-tree"
+SEARCHED_CELLS = 8
 
 
 def reduce_dims(vectors: DataFrame, dim: int = fixed.REDUCED_DIM) -> DataFrame:
@@ -30,10 +31,19 @@ def reduce_dims(vectors: DataFrame, dim: int = fixed.REDUCED_DIM) -> DataFrame:
     return projected.withColumn("embedding", vector_to_array("_out")).drop("_in", "_out")
 
 
-def knn_graph(vectors: DataFrame, k: int = fixed.MIN_CLUSTER_SIZE, nprobe: int | None = None, pivots=None) -> DataFrame:
-    """(product_id, neighbour_id, distance, rank): the k nearest other products of each product."""
+def knn_graph(
+    vectors: DataFrame, k: int = fixed.MIN_CLUSTER_SIZE, nprobe: int | None = None, pivots=None, descent: bool = False,
+) -> DataFrame:
+    """(product_id, neighbour_id, distance, rank): the k nearest other products of each product.
+
+    Exact, by comparing all, unless `nprobe` names how many cells a product searches, or `descent` asks for neighbour
+    descent, whose work grows with the rows alone.
+    """
     rows = vectors.select(F.col("product_id").cast("long").alias("id"), "embedding")
-    found = knn.knn_join(rows, rows, k, exclude_self=True, pivots=pivots, nprobe=nprobe)
+    if descent:
+        found = knn.descent(rows, k)
+    else:
+        found = knn.knn_join(rows, rows, k, exclude_self=True, pivots=pivots, nprobe=nprobe)
     return found.withColumnsRenamed({"query": "product_id", "id": "neighbour_id"})
 
 
@@ -88,21 +98,22 @@ def _selected(tree: DataFrame, cores: DataFrame, min_cluster_size: int, allow_si
 
 def cluster_vectors(
     vectors: DataFrame, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE, min_samples: int = fixed.MIN_SAMPLES,
-    nprobe: int | None = None, reduced_dim: int | None = None, allow_single: bool = False,
+    nprobe: int | None = None, reduced_dim: int | None = None, allow_single: bool = False, descent: bool = False,
 ) -> DataFrame:
     """(product_id, cluster_id, cluster_probability) for every product with a vector.
 
-    The hierarchy is that of all mutual reachability distances, not of the neighbour lists alone. With `nprobe` lists
-    and searches visit the nearest cells only.
+    The hierarchy is that of all mutual reachability distances, not of the neighbour lists alone; that compares all
+    rows with each other. For catalogues too large for it: with `nprobe` lists and searches visit the nearest cells
+    only, with `descent` lists come from neighbour descent and searches visit `nprobe` cells, or SEARCHED_CELLS.
     """
     rows = vectors.where(has_vector(F.col("embedding"))).select("product_id", "embedding")
     if rows.limit(min_cluster_size).count() < min_cluster_size:
         raise ValueError(f"fewer than {min_cluster_size} vectors to cluster")
     source = cut(reduce_dims(rows, reduced_dim) if reduced_dim else rows)
-    graph = cut(knn_graph(source, max(min_cluster_size, min_samples), nprobe))
+    graph = cut(knn_graph(source, max(min_cluster_size, min_samples), nprobe, descent=descent))
     cores = cut(core_distance(graph, min_samples))
     edges = cut(reachability_edges(graph, cores))
-    tree = spanning_tree(source, graph, cores, edges, nprobe)
+    tree = spanning_tree(source, graph, cores, edges, nprobe or (SEARCHED_CELLS if descent else None))
     found = _selected(tree, cores, min_cluster_size, allow_single)
     return rows.select("product_id").join(found, "product_id", "left").select(
         "product_id", F.coalesce("cluster_id", F.lit(fixed.NOISE)).cast("long").alias("cluster_id"),

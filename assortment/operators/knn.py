@@ -1,14 +1,10 @@
-"""Nearest neighbour join of two vector tables, one way for every size.
+"""Nearest neighbour join of two vector tables.
 
-Unit vectors are grouped into cells around pivots, cells into rings by distance to the pivot, and rings into
-blocks of bounded size. Cells grow in number with the rows, and beyond some millions of rows with their square
-root, so that pivots stay a small table and cells stay small. Query rows are sent to the blocks that can hold a
-neighbour; a task multiplies one chunk of queries with one block and keeps k rows per query. No pair of rows ever
-leaves a task except those k.
-
-Exact mode first searches the home ring of a query. The k-th distance found there bounds the rest: by the
-triangle inequality a ring further away than that holds no neighbour. Probe mode visits the cells of the nearest
-pivots only (an inverted-file search).
+Rows are dealt into blocks of bounded size; a task multiplies one chunk of queries with one block and keeps k rows per
+query. No pair of rows ever leaves a task but those k. Exact mode sends every query to every block: in the dimensions
+of text vectors no bound on distances leaves blocks out, so that its work grows with the square of the rows. Probe mode
+visits the cells of the nearest pivots only (an inverted-file search). `descent` finds neighbours by neighbour descent,
+with work in proportion to the rows.
 
 Equal vectors are joined once, so a vector with very many copies costs as much as any other. They are told apart
 by 128 bits of hash; no key of a shuffle holds a vector.
@@ -17,7 +13,7 @@ Vectors of one length with a direction take part (`has_direction`); the length i
 most frequent one of the base, the shorter on a tie.
 """
 
-from dataclasses import dataclass
+from functools import reduce
 from math import isqrt
 
 import numpy as np
@@ -32,8 +28,13 @@ from assortment.sources.lineage import cut
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 8192
 CELL_ROWS = 2048
-RINGS = 8
-SLACK = 1e-6
+#: Neighbour descent: entries per list and direction, centres of a task, random rows per row, rounds at most, share of
+#: new entries at the end.
+LISTED = 20
+CENTRES = 512
+RANDOM = 8
+ROUNDS = 20
+SETTLED = 0.01
 DECIMALS = 10
 RESULT = "query long, id long, distance double"
 
@@ -76,17 +77,6 @@ def _columns(batch, id_name: str):
     return batch.column(id_name).to_numpy(), unit_rows(matrix(vectors))
 
 
-@dataclass
-class Rings:
-    """Ring figures by position, RINGS rows per pivot."""
-
-    cell: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    first_block: np.ndarray
-    blocks: np.ndarray
-
-
 def common_length(vectors: DataFrame) -> int | None:
     """The most frequent length of the vectors with a direction, the shorter on a tie; None without any."""
     own = F.col("embedding").cast("array<double>")
@@ -137,94 +127,49 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     return vectors.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
 
 
-def _distinct(vectors: DataFrame, keep: int) -> DataFrame:
-    """Up to `keep` smallest ids per vector, with the smallest one as `rep`.
+def _copies(vectors: DataFrame, keep: int) -> DataFrame:
+    """Up to `keep` smallest ids per vector; the first of them, copy 1, stands for the others.
 
     The filter on the row number limits the rows per vector in the map tasks already.
     """
     copies = Window.partitionBy("h1", "h2").orderBy("id")
-    few = _keyed(vectors).withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= keep)
-    return few.withColumn("rep", F.min("id").over(Window.partitionBy("h1", "h2")))
-
-
-def _ring_table(tagged: DataFrame) -> tuple[DataFrame, Rings]:
-    """Rows with their block, and the ring figures. A ring of many rows is split by id hash."""
-    steps = [i / RINGS for i in range(1, RINGS)]
-    edges = tagged.groupBy("cell").agg(F.approx_percentile("gap", steps, 1000).alias("edges"))
-    ring = F.size(F.filter("edges", lambda e: e < F.col("gap")))
-    ringed = cut(tagged.join(F.broadcast(edges), "cell").withColumn("ring", ring).drop("edges"))
-    figures = ringed.groupBy("cell", "ring").agg(
-        F.count(F.lit(1)).alias("n"), F.min("gap").alias("low"), F.max("gap").alias("high")
-    ).orderBy("cell", "ring").toPandas()
-    blocks = np.ceil(figures.n.to_numpy() / BLOCK_ROWS).astype(np.int64)
-    first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
-    rings = Rings(figures.cell.to_numpy(), figures.low.to_numpy(), figures.high.to_numpy(), first, blocks)
-    places = tagged.sparkSession.createDataFrame(
-        figures.assign(first_block=first, blocks=blocks)[["cell", "ring", "first_block", "blocks"]]
-    )
-    block = F.col("first_block") + F.pmod(F.xxhash64("id"), F.col("blocks"))
-    placed = ringed.join(F.broadcast(places), ["cell", "ring"])
-    return placed.select("id", "embedding", block.cast("int").alias("block")), rings
-
-
-def _visits(vector, theta, pivots: np.ndarray, rings: Rings, mode: str, nprobe: int):
-    """array<int>: the rings a query visits. Modes: home, rest (needs theta), probe."""
-    cell, low, high = rings.cell, rings.low, rings.high
-    known = np.unique(cell)
-
-    def passing(units: np.ndarray, bound: np.ndarray) -> np.ndarray:
-        dots = units @ pivots.T
-        rows = np.arange(len(units))[:, None]
-        if mode == "probe":
-            near = known[np.argsort(-dots[:, known], axis=1, kind="stable")[:, :nprobe]]
-            chosen = np.zeros(dots.shape, bool)
-            chosen[rows, near] = True
-            return chosen[:, cell]
-        reach = np.sqrt(np.maximum(0.0, 2 - 2 * dots))[:, cell]
-        nearest = np.maximum(np.maximum(reach - high, low - reach), 0.0)
-        home = np.zeros(reach.shape, bool)
-        home[rows[:, 0], np.lexsort((reach, nearest), axis=1)[:, 0]] = True
-        return home if mode == "home" else (nearest <= bound[:, None] + SLACK) & ~home
+    return _keyed(vectors).withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= keep)
 
-    @arrow_udf("array<int>")
-    def visits(v: pa.Array, t: pa.Array) -> pa.Array:
-        sizes, found = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-        bounds = t.to_numpy(zero_copy_only=False)
-        for start in range(0, len(v), 512):
-            hit = passing(unit_rows(matrix(v.slice(start, 512))), bounds[start:start + 512])
-            sizes.append(hit.sum(axis=1))
-            found.append(np.nonzero(hit)[1].astype(np.int32))
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-
-    return visits(vector, theta)
-
-
-def _search(queries: DataFrame, base: DataFrame, k: int, pivots, rings: Rings, mode: str, nprobe=0) -> DataFrame:
-    """Up to k rows per query and visited block."""
-    spark = queries.sparkSession
-    blocks = spark.createDataFrame(
-        [(i, int(f), int(f + n - 1)) for i, (f, n) in enumerate(zip(rings.first_block, rings.blocks))],
-        "ring int, first_block int, last_block int",
-    )
-    visited = _visits(F.col("embedding"), F.col("theta"), pivots, rings, mode, nprobe)
-    asked = cut(queries.select("query", "embedding", visited.alias("rings")))
-
-    def to_blocks(*columns: str) -> DataFrame:
-        each = asked.select(*columns, F.explode("rings").alias("ring")).join(F.broadcast(blocks), "ring")
-        return each.select(*columns, F.explode(F.sequence("first_block", "last_block")).alias("block"))
-
-    load = to_blocks().groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
-    load, sent = cut(load), to_blocks("query", "embedding")
-    left = sent.join(load, "block").withColumn(
-        "chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int")
-    ).drop("chunks")
-    right = base.join(load, "block").withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    ).drop("chunks")
 
-    pairs = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
-    return pairs.applyInArrow(_block_search(k), RESULT)
+def _apart(df: DataFrame) -> DataFrame:
+    """`df` with columns of its own, for a join with itself."""
+    return df.select(*(F.col(c).alias(c) for c in df.columns))
+
+
+def cell_blocks(base: DataFrame, pivots: np.ndarray, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows with the `block` of their cell, and (cell, first, blocks): a cell of many rows is split by id hash."""
+    tagged = cut(tag_cells(base, pivots).drop("gap"))
+    figures = tagged.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").toPandas()  # one row per pivot
+    blocks = np.ceil(figures.n.to_numpy() / block_rows).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(blocks)[:-1]]).astype(np.int64)
+    places = base.sparkSession.createDataFrame(
+        list(zip(figures.cell.tolist(), first.tolist(), blocks.tolist())), "cell int, first long, blocks long"
+    )
+    block = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int")
+    return tagged.join(F.broadcast(places), "cell").withColumn("block", block).drop("first", "blocks"), places
+
+
+def _dealt(queries: DataFrame, base: DataFrame, rows: int, pivots, nprobe) -> tuple[DataFrame, DataFrame]:
+    """Queries and base rows by (block, chunk)."""
+    chunks = max(1, -(-queries.count() // CHUNK_ROWS))
+    chunk = F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int")
+    if nprobe is None:
+        blocks = -(-rows // BLOCK_ROWS)
+        left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        right = base.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    else:
+        pivots = choose_pivots(base, rows) if pivots is None else pivots
+        right, places = cell_blocks(base, pivots)
+        near = queries.withColumn("cell", F.explode(list_choice(F.col("embedding"), pivots, nprobe)))
+        last = (F.col("first") + F.col("blocks") - 1).cast("int")
+        left = near.join(F.broadcast(places), "cell").withColumn("block", F.explode(F.sequence(F.col("first").cast("int"), last)))
+    left = left.select("query", "embedding", "block", chunk.alias("chunk"))
+    return left, right.select("id", "embedding", "block", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
 
 
 def _block_search(k: int):
@@ -243,37 +188,32 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool, pivots, nprobe) -> DataFrame:
     keep = k + 1 if exclude_self else k
-    members = cut(_distinct(base, keep))
+    members = cut(_copies(base, keep))
     stored = members.where("copy = 1").select("id", "embedding")
     rows = stored.count()
     if not rows:
         return queries.sparkSession.createDataFrame([], RESULT)
-    if pivots is None:
-        pivots = choose_pivots(stored, rows)
-    blocked, rings = _ring_table(tag_cells(stored, pivots))
-    blocked = cut(blocked)
-
-    asking = _keyed(queries).withColumn("query", F.min("id").over(Window.partitionBy("h1", "h2")))
-    asking = cut(asking.select("id", "query", F.when(F.col("id") == F.col("query"), F.col("embedding")).alias("embedding")))
-    reps = asking.where("embedding IS NOT NULL").select("query", "embedding")
-    each = reps.withColumn("theta", F.lit(None).cast("double"))
-    if nprobe is not None:
-        found = _search(each, blocked, keep, pivots, rings, "probe", nprobe)
+    if queries is base:
+        reps = _apart(stored).withColumnRenamed("id", "query")
     else:
-        home = cut(_top(_search(each, blocked, keep, pivots, rings, "home"), keep).drop("rank"))
-        bound = home.groupBy("query").agg(
-            F.when(F.count(F.lit(1)) >= keep, F.sqrt(2 * F.max("distance"))).otherwise(2.0).alias("theta")
-        )
-        rest = _search(reps.join(bound, "query"), blocked, keep, pivots, rings, "rest")
-        found = home.unionByName(rest)
-    nearest = _top(found, keep).drop("rank")
+        each = _keyed(queries).groupBy("h1", "h2").agg(F.min("id").alias("query"), F.first("embedding").alias("embedding"))
+        reps = cut(each.select("query", "embedding"))
+    left, right = _dealt(reps, stored, rows, pivots, nprobe)
+    pairs = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
+    return _for_rows(_top(pairs.applyInArrow(_block_search(keep), RESULT), keep), queries, members, keep, exclude_self)
+
 
-    # Back from distinct vectors to rows: at most `keep` copies of each of the `keep` vectors count.
-    copies = members.select(F.col("rep").alias("id"), F.col("id").alias("copy_id"))
-    nearest = nearest.join(copies, "id").select("query", F.col("copy_id").alias("id"), "distance")
+def _for_rows(nearest: DataFrame, queries: DataFrame, members: DataFrame, keep: int, exclude_self: bool) -> DataFrame:
+    """Back from distinct vectors to rows: at most `keep` copies of each of the `keep` vectors count."""
+    same = ["h1", "h2"]
+    copies = members.select(*same, F.col("id").alias("copy_id"))
+    copies = members.where("copy = 1").select("id", *same).join(copies, same).drop(*same)
+    nearest = nearest.drop("rank").join(copies, "id").select("query", F.col("copy_id").alias("id"), "distance")
     nearest = _top(nearest, keep).drop("rank")
-    out = asking.select(F.col("id").alias("asked"), "query").join(nearest, "query")
-    out = out.select(F.col("asked").alias("query"), "id", "distance")
+    ids = _keyed(queries).select("id", *same)
+    firsts = ids.groupBy(*same).agg(F.min("id").alias("query"))
+    asking = _apart(ids).withColumnRenamed("id", "asked").join(firsts, same).select("asked", "query")
+    out = asking.join(nearest, "query").select(F.col("asked").alias("query"), "id", "distance")
     return out.where(F.col("query") != F.col("id")) if exclude_self else out
 
 
@@ -333,3 +273,94 @@ def knn_join(
     base = directed(base, length)
     queries = base if same else directed(queries, length)
     return _top(_block_join(queries, base, k, exclude_self, pivots, nprobe), k)
+
+
+def descent(base: DataFrame, k: int, rounds: int = ROUNDS) -> DataFrame:
+    """(query, id, distance, rank): nearly the k nearest other rows of each row, by neighbour descent.
+
+    Lists start from the blocks of nearby pivots. In a round each row brings its neighbours, and the rows that have it
+    as one, to meet each other; where a pair is nearer than what one of them has listed, it is listed. Only pairs with a
+    neighbour that is new since the last round meet, LISTED new and as many old ones per row and direction, picked by a
+    hash, and a few random rows. Rounds end when less than SETTLED of the entries are new. Rows meet in tasks that hold the rows around some
+    centres, so a row is sent to as many of them as it has centres, whatever the size of the table. A row's entries are
+    those of the same columns and rules as in `knn_join`; they are the same for any partitions.
+    """
+    base = directed(base, common_length(base))
+    members = cut(_copies(base, k + 1))
+    stored = members.where("copy = 1").select("id", "embedding")
+    rows = stored.count()
+    if not rows:
+        return base.sparkSession.createDataFrame([], RESULT + ", rank int")
+    listed = max(k, LISTED) + 1
+    placed = cut(cell_blocks(stored, choose_pivots(stored, rows), CENTRES)[0].select("id", "embedding", "block"))
+    near = _apart(placed).withColumnRenamed("id", "query").groupBy("block").cogroup(placed.groupBy("block"))
+    # Rows alone in their block meet none, so all are listed with themselves first.
+    lists = near.applyInArrow(_block_search(listed), RESULT)
+    lists = cut(_top(lists, listed).drop("rank").withColumn("fresh", F.col("query") != F.col("id")))
+    for number in range(rounds):
+        if lists.where("fresh").count() <= SETTLED * rows * listed:
+            break
+        lists = cut(_closer(lists, placed, listed, rows, number))
+    return _top(_for_rows(_top(lists.drop("fresh"), listed), base, members, k + 1, True), k)
+
+
+def _closer(lists: DataFrame, placed: DataFrame, listed: int, rows: int, number: int) -> DataFrame:
+    """One round: the lists with what was found nearer."""
+    others = lists.where("query <> id")
+    # Some RANDOM rows besides, other ones each round, so that no part of the graph is cut off.
+    bucket = F.pmod(F.xxhash64("id", F.lit(number)), F.lit(-(-rows // RANDOM))).alias("bucket")
+    one, two = (placed.select(F.col("id").alias(name), bucket) for name in ("centre", "member"))
+    ways = [
+        others.select(F.col("query").alias("centre"), F.col("id").alias("member"), "fresh"),
+        others.select(F.col("id").alias("centre"), F.col("query").alias("member"), "fresh"),
+        one.join(two, "bucket").select("centre", "member", (F.col("centre") != F.col("member")).alias("fresh")),
+    ]
+    both = reduce(DataFrame.unionByName, (df.withColumn("way", F.lit(i)) for i, df in enumerate(ways)))
+    few = Window.partitionBy("centre", "way", "fresh").orderBy(F.xxhash64("centre", "member", F.lit(number)), "member")
+    met = both.withColumn("place", F.row_number().over(few)).where(F.col("place") <= LISTED)
+    met = met.groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
+    met = cut(met.join(placed.select(F.col("id").alias("centre"), "block"), "centre"))
+    # A vector goes once to each block that has centres around it.
+    worst = lists.groupBy(F.col("query").alias("id")).agg(
+        F.when(F.count(F.lit(1)) >= listed, F.max("distance")).otherwise(2.0).alias("worst")
+    )
+    rows = placed.select("id", "embedding").join(worst, "id")
+    sent = _apart(met.select("block", F.col("member").alias("id")).distinct().join(rows, "id"))
+    found = met.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_meetings(listed), RESULT)
+    both = lists.select("query", "id", "distance", F.lit(0).alias("new")).unionByName(found.withColumn("new", F.lit(1)))
+    both = both.groupBy("query", "id").agg(F.min("distance").alias("distance"), F.min("new").alias("new"))
+    return _top(both, listed).select("query", "id", "distance", (F.col("new") == 1).alias("fresh"))
+
+
+def _meetings(listed: int):
+    """Function for a block: pairs around its centres that are nearer than what one of the two has listed."""
+
+    def meet(met: pa.Table, sent: pa.Table) -> pa.Table:
+        out = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())]).empty_table()
+        if not len(met) or not len(sent):
+            return out
+        sent, met = sent.sort_by("id"), met.sort_by([("centre", "ascending"), ("member", "ascending")])
+        ids, units = _columns(sent, "id")
+        worst = sent["worst"].to_numpy()
+        at, fresh, centre = np.searchsorted(ids, met["member"].to_numpy()), met["fresh"].to_numpy(), met["centre"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, centre[1:] != centre[:-1], True])
+        queries, found, distances = [], [], []
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            own, new = at[a:b], fresh[a:b]
+            near = units[own]
+            d = np.round(np.maximum(0.0, 1.0 - near @ near.T), DECIMALS)
+            closer = (d <= worst[own][:, None]) & (new[:, None] | new)
+            np.fill_diagonal(closer, False)
+            row, col = np.nonzero(closer)
+            queries.append(own[row])
+            found.append(own[col])
+            distances.append(d[row, col])
+        q, i, d = (np.concatenate(parts) for parts in (queries, found, distances))
+        _, first = np.unique(q * len(ids) + i, return_index=True)
+        q, i, d = q[first], i[first], d[first]
+        by = np.lexsort((i, d, q))
+        q, i, d = q[by], i[by], d[by]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < listed
+        return pa.table(_result(ids[q[kept]], ids[i[kept]], d[kept]))
+
+    return meet

@@ -143,13 +143,11 @@ def search_log(
     """
     priced = price_constraints(queries, strict).select("query_id", "min_price", "max_price")
     bounded = F.col("min_price").isNotNull() | F.col("max_price").isNotNull()
-    priced = cut(queries.select("query_id", "embedding").join(priced, "query_id"))
-
-    def nearest(asked: DataFrame, k: int) -> DataFrame:
-        return _nearest_batch(vectors, asked.select("query_id", "embedding"), k, index, nprobe)
-
-    hits = nearest(priced.where(bounded), top_k * fixed.SEARCH_OVERFETCH).unionByName(nearest(priced.where(~bounded), top_k))
-    hits = hits.join(priced.drop("embedding"), "query_id")
+    wanted = F.when(bounded, top_k * fixed.SEARCH_OVERFETCH).otherwise(top_k).alias("wanted")
+    priced = cut(queries.select("query_id", "embedding").join(priced, "query_id").select("*", wanted))
+    most = priced.agg(F.coalesce(F.max("wanted"), F.lit(top_k))).first()[0]
+    hits = _nearest_batch(vectors, priced.select("query_id", "embedding"), most, index, nprobe)
+    hits = hits.join(priced.drop("embedding"), "query_id").where(F.col("rank") <= F.col("wanted"))
     products = clean.select("product_id", "name", "brand", "category", "department", "retail_price")
     price = F.col("retail_price")
     kept = hits.join(products, "product_id").where(

@@ -168,16 +168,11 @@ class _Search:
             self.keys = ["own", "block"]
             return
         pivots = knn.choose_pivots(rows, rows.count())
-        placed, rings = knn._ring_table(knn.tag_cells(rows.select("id", "embedding"), pivots))
-        places = rows.sparkSession.createDataFrame(
-            [(i, int(f), int(f + n - 1)) for i, (f, n) in enumerate(zip(rings.first_block, rings.blocks))],
-            "ring int, first_block int, last_block int",
-        )
-        visits = knn._visits(F.col("embedding"), F.lit(None).cast("double"), pivots, rings, "probe", nprobe)
-        each = cut(rows.withColumn("rings", visits)).withColumn("ring", F.explode("rings")).drop("rings")
-        each = each.join(F.broadcast(places), "ring").withColumn("block", F.explode(F.sequence("first_block", "last_block")))
-        self.asked = each.select("id", "embedding", "core", "block")
-        self.stored = cut(placed).join(rows.select("id", "core"), "id")
+        placed, places = knn.cell_blocks(rows, pivots)
+        near = rows.withColumn("cell", F.explode(knn.list_choice(F.col("embedding"), pivots, nprobe)))
+        last = F.col("first") + F.col("blocks") - 1
+        near = near.join(F.broadcast(places), "cell").withColumn("block", F.explode(F.sequence("first", last)).cast("int"))
+        self.asked, self.stored = near.select("id", "embedding", "core", "block"), placed.select("id", "embedding", "core", "block")
         self.keys = ["block"]
 
     def nearest(self, labels: DataFrame) -> DataFrame:

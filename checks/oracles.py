@@ -527,6 +527,7 @@ FROM enrichment_pending""",
     "enrich_incremental": _described("enrichment_pending", "cluster_id"),
     "enrich_selected": _described("all_products", "NULL"),
     "knn_graph": "SELECT * REPLACE (round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank) FROM graph",
+    "knn_graph_descent": "SELECT count(*) AS entries, true AS enough FROM graph WHERE product_id % 50 = 0",
     "core_distance": "SELECT product_id, round(core, 6) AS core FROM cores",
     "reachability_edges": "SELECT a, b, round(weight, 6) AS weight FROM edges",
     "components_at_level": """

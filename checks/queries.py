@@ -776,6 +776,22 @@ def knn_graph(i):
     return _six(_graph(i), "distance")
 
 
+@query
+def knn_graph_descent(i):
+    """Neighbour descent over all vectors: of the products divisible by 50, how many entries lists have, and whether at
+    least nine in ten of them are true neighbours."""
+    rows = i.planted.select("product_id", "embedding")
+    few = rows.where("product_id % 50 = 0").select(F.col("product_id").alias("query_id"), "embedding")
+    exact = vector.vector_top_k_batch(rows, few, 16).where("product_id <> query_id").where("rank <= 16")
+    order = Window.partitionBy("query_id").orderBy("rank")
+    exact = exact.withColumn("place", F.row_number().over(order)).where("place <= 15")
+    exact = exact.select("query_id", "product_id", F.lit(1).alias("true_one"))
+    found = clusters.knn_graph(rows, descent=True).where("product_id % 50 = 0")
+    found = found.select(F.col("product_id").alias("query_id"), F.col("neighbour_id").alias("product_id"))
+    both = found.join(exact, ["query_id", "product_id"], "left")
+    return both.agg(F.count(F.lit(1)).alias("entries"), (F.sum("true_one") >= 0.9 * F.count(F.lit(1))).alias("enough"))
+
+
 @query
 def core_distance(i):
     return _six(clusters.core_distance(_graph(i)), "core")

@@ -77,20 +77,60 @@ def test_bad_vectors_are_left_out_everywhere(spark):
     assert index.rows.count() == len(good)
 
 
-def test_vectors_sent_grow_with_the_rows(spark):
-    """The join's tables hold a small multiple of the vectors at either size."""
+@pytest.mark.parametrize("kind", ["raw", "planted", "hashed"])
+def test_recall_of_neighbour_descent(spark, kind):
+    inputs = Inputs(spark, "/root/testdata/sf0.1" if kind != "hashed" else "/root/testdata/sf0.01")
+    if kind == "hashed":
+        rows = embed.embed_texts(embed.embedding_text(inputs.clean), "embedding_text", 64)
+    else:
+        rows = inputs.planted if kind == "planted" else inputs.embedded
+    rows = cut(rows.select(F.col("product_id").alias("id"), "embedding"))
+    asked = rows.where("id % 50 = 0")
+    lists = lambda df: {(r["query"], r["id"]) for r in df.collect() if r["query"] % 50 == 0}
+    want = lists(knn.knn_join(asked, rows, 16).where("query <> id and rank <= 16"))
+    ranks = {}
+    for q, i in sorted(want):
+        ranks.setdefault(q, []).append(i)
+    got = lists(knn.descent(rows, 15))
+    assert len(got) == 15 * len(ranks)
+    assert len(got & want) >= 0.95 * len(got)
+
+
+def test_descent_is_the_same_for_any_partitions_and_keeps_the_rules(spark):
+    good, _ = copies_and_ties()
+    rows = spark.createDataFrame(good + BAD, VECTORS)
+    one, other = (found(knn.descent(rows.repartition(n), 6)) for n in (1, 5))
+    assert one == other and set(one) == {i for i, _ in good}
+    assert all(len(near) == 6 and q not in [i for i, _ in near] for q, near in one.items())
+    exact = brute_force(good, good, 7)
+    assert np.mean([d <= exact[q][6][1] + 1e-9 for q, near in one.items() for _, d in near]) > 0.9
+    few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], VECTORS)
+    assert found(knn.descent(few, 5)) == {1: [(2, 1.0)], 2: [(1, 1.0)]}
+    assert knn.descent(few.where("id < 0"), 3).count() == 0
+
+
+def test_vectors_sent_by_descent_stay_flat(spark, monkeypatch):
+    """Vectors per row and round do not grow with the table, in 50 dimensions without structure."""
     sent = []
+
+    def counted(df):
+        out = cut(df)
+        if "centre" in df.columns:
+            sent.append(out.select("block", "member").distinct().count())
+        return out
+
+    monkeypatch.setattr(knn, "cut", counted)
+    monkeypatch.setattr(knn, "CENTRES", 32)
+    per_row = []
     for n in (2000, 20000):
-        random = np.random.default_rng(1)
-        centres = random.normal(size=(20, 8)) * 4
-        units = [(i, (centres[i % 20] + random.normal(size=8) * 0.2).tolist()) for i in range(n)]
-        rows = spark.createDataFrame(units, VECTORS)
-        pivots = knn.choose_pivots(rows, n)
-        blocked, rings = knn._ring_table(knn.tag_cells(rows, pivots))
-        asked = rows.select(F.col("id").alias("query"), "embedding", F.lit(None).cast("double").alias("theta"))
-        home = asked.select(F.size(knn._visits(F.col("embedding"), F.col("theta"), pivots, rings, "home", 0)).alias("n"))
-        sent.append(home.agg(F.sum("n")).first()[0] / n)
-    assert sent == [1.0, 1.0]
+        units = np.random.default_rng(1).normal(size=(n, 50))
+        rows = cut(spark.createDataFrame([(i, u.tolist()) for i, u in enumerate(units)], VECTORS))
+        sent.clear()
+        knn.descent(rows, 10, rounds=2).count()
+        per_row.append([s / n for s in sent])
+    assert len(per_row[0]) == len(per_row[1]) == 2
+    for small, large in zip(*per_row):
+        assert large < 1.5 * small and large <= 4 * knn.LISTED + 3 * knn.RANDOM
 
 
 def test_fewer_rows_than_k_and_empty_sides(spark):
