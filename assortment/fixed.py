@@ -33,6 +33,7 @@ LABEL_MAX_CHARS = 100
 IVF_LISTS = 100
 INDEX_MIN_ROWS = 5000
 NPROBE = 20
+RECALL = 0.95
 SEARCH_OVERFETCH = 5
 INTENT_POOL = 120
 BRIEF_PRODUCTS = 5

@@ -34,8 +34,10 @@ def check_intent(intent: str, top_k_clusters: int) -> None:
 
 
 def _not_held(embedded: DataFrame, index: VectorIndex) -> DataFrame | None:
-    """Rows added after the index was stored, None if there are none. Ids are compared first, so that no vector moves
-    for it."""
+    """Rows of the table that the index does not hold, None if there are none: by the names of files for a stored index,
+    else by id."""
+    if index.files is not None:
+        return index.not_held(embedded)
     held = index.rows.select("product_id")
     ids = embedded.select("product_id").join(held, "product_id", "left_anti")
     some = local(ids.limit(FEW_IDS + 1))
@@ -45,7 +47,7 @@ def _not_held(embedded: DataFrame, index: VectorIndex) -> DataFrame | None:
     return embedded.join(F.broadcast(some) if found <= FEW_IDS else ids, "product_id", "left_semi")
 
 
-def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
+def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorIndex | None, nprobe: int | None) -> DataFrame:
     """The `pool` nearest rows: from the probed lists of an index if there is one, and from all rows that it does not
     hold. Where the probed lists have fewer than `pool` rows all lists are read.
 
@@ -54,6 +56,7 @@ def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorI
     """
     if index is None:
         return local(vector_top_k(embedded, vector, pool))
+    nprobe = nprobe or index.nprobe
     hits = local(ivf_search(index, vector, pool, nprobe))
     if hits.count() < pool and nprobe < len(index.centroids):
         hits = ivf_search(index, vector, pool, len(index.centroids))
@@ -63,10 +66,11 @@ def _nearest(vector: list[float], embedded: DataFrame, pool: int, index: VectorI
     return local(hits)
 
 
-def _nearest_batch(vectors: DataFrame, asked: DataFrame, k: int, index: VectorIndex | None, nprobe: int) -> DataFrame:
+def _nearest_batch(vectors: DataFrame, asked: DataFrame, k: int, index: VectorIndex | None, nprobe: int | None) -> DataFrame:
     """`_nearest` for a table of (query_id, embedding); (query_id, product_id, distance, rank)."""
     if index is None:
         return vector_top_k_batch(vectors, asked, k)
+    nprobe = nprobe or index.nprobe
     hits = ivf_search_batch(index, asked, k, nprobe)
     if nprobe < len(index.centroids):
         hits = cut(hits)
@@ -108,7 +112,7 @@ def search_products(
     vector: list[float], clean: DataFrame, embedded: DataFrame, clustered: DataFrame, enriched: DataFrame,
     top_k: int = 10, min_price: float | None = None, max_price: float | None = None,
     prefilter: bool = False, newest_only: bool = True, query: str = "query",
-    index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
+    index: VectorIndex | None = None, nprobe: int | None = None,
 ) -> DataFrame:
     """Nearest products with their cluster and description, filtered by price; from `index` if there is one.
 
@@ -135,7 +139,7 @@ def price_constraints(queries: DataFrame, strict: bool = False) -> DataFrame:
 
 def search_log(
     queries: DataFrame, vectors: DataFrame, clean: DataFrame, clustered: DataFrame, enriched: DataFrame,
-    top_k: int = 10, strict: bool = False, index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
+    top_k: int = 10, strict: bool = False, index: VectorIndex | None = None, nprobe: int | None = None,
 ) -> DataFrame:
     """`search_products` for a table of (query_id, query, embedding), with the prices of each text.
 
@@ -164,7 +168,7 @@ def search_log(
 
 def intent_hits(
     vector: list[float], clean: DataFrame, embedded: DataFrame, clustered: DataFrame, pool: int = fixed.INTENT_POOL,
-    index: VectorIndex | None = None, nprobe: int = fixed.NPROBE,
+    index: VectorIndex | None = None, nprobe: int | None = None,
 ) -> DataFrame:
     """The nearest products that lie in a real cluster; from `index` if there is one."""
     hits = _nearest(vector, embedded, pool, index, nprobe)

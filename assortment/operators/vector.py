@@ -1,9 +1,12 @@
 """Vector search: exact top k, and inverted lists."""
 
+import uuid
 import warnings
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +14,20 @@ from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.numbers import round2
-from assortment.functions.vectors import distance_to, has_vector, unit_rows
+from assortment.functions.vectors import distance_to, has_vector, list_array, matrix, unit_rows
 from assortment.operators import knn
 from assortment.sources.lineage import cut
 
 MAX_ITERATIONS = 50
 ROWS_PER_FILE = 1_000_000
+#: More lists than this are made in two levels; sampled rows per list and lists of a cell at most on the second.
+ONE_LEVEL = 128
+SAMPLE_PER_LIST = 64
+MOST_IN_CELL = 512
+PROBE_SAMPLE = 256
+#: Rows of the largest request: 100 with a price bound.
+LARGEST_POOL = 100 * fixed.SEARCH_OVERFETCH
+MANIFEST = "part string, file string"
 
 
 def _as_ids(vectors: DataFrame, id_name: str) -> DataFrame:
@@ -42,39 +53,125 @@ def vector_top_k_batch(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
 
 @dataclass
 class VectorIndex:
-    """Inverted lists: one unit centroid per list, and the vectors with their `list_id`."""
+    """Inverted lists: one unit centroid per list, and the vectors with their `list_id`.
+
+    `nprobe` is how many lists a search visits unless it says otherwise. `files` names the files of the table of vectors
+    that a stored index holds, and `path` its folder; None for an index that is not stored.
+    """
 
     centroids: np.ndarray
     rows: DataFrame
+    nprobe: int = fixed.NPROBE
+    files: frozenset[str] | None = None
+    path: str | None = None
 
     def spark_centroids(self) -> DataFrame:
         """(number, centroid), one row per list."""
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         return self.rows.sparkSession.createDataFrame(rows, "number int, centroid array<double>")
 
+    def not_held(self, vectors: DataFrame) -> DataFrame | None:
+        """The rows of the files of a table that this stored index does not hold, None if it holds all. Files are
+        compared by name; no id and no vector is read for it."""
+        new = [f for f in vectors.inputFiles() if file_name(f) not in self.files]
+        return vectors.sparkSession.read.schema(vectors.schema).parquet(*new) if new else None
+
+
+def file_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def lists_for(rows: int) -> int:
+    """Number of lists for so many vectors: the root of it, IVF_LISTS at least, so that lists stay short."""
+    return max(fixed.IVF_LISTS, isqrt(rows))
+
 
 def ivf_build(
-    vectors: DataFrame, lists: int = fixed.IVF_LISTS, seed: int = 42, max_iterations: int = MAX_ITERATIONS,
+    vectors: DataFrame, lists: int | None = None, seed: int = 42, max_iterations: int = MAX_ITERATIONS,
     tolerance: float = 1e-4,
 ) -> VectorIndex:
-    """Centroids by cosine k-means over all vectors, and every vector with its nearest list.
+    """Centroids of `lists` lists, by the number of rows unless given, and every vector with its nearest list.
 
-    Training ends when no centroid moves by more than `tolerance`; a warning says when `max_iterations` came first.
+    Centroids come from cosine k-means over all vectors, which ends when none moves by more than `tolerance`; a warning
+    says when `max_iterations` came first. More than ONE_LEVEL lists are made in two levels: k-means parts all vectors
+    into the root of that number of cells, and each cell is parted into lists in proportion to its rows, so that large
+    cells give many lists. The number of lists that a search visits is measured (`measured_probes`).
     """
     named = _as_ids(vectors, "product_id")
-    rows = knn.directed(named, knn.common_length(named))
-    train = cut(rows.select(array_to_vector("embedding").alias("features")))
-    total = train.count()
+    rows = cut(knn.directed(named, knn.common_length(named)))
+    total = rows.count()
     if total == 0:
         raise ValueError("no vectors to index")
+    lists = min(lists or lists_for(total), total)
+    coarse = lists if lists <= ONE_LEVEL else isqrt(lists)
+    train = cut(rows.select(array_to_vector("embedding").alias("features")))
     model = KMeans(
-        k=min(lists, total), distanceMeasure="cosine", seed=seed, maxIter=max_iterations, tol=tolerance, solver="block"
+        k=coarse, distanceMeasure="cosine", seed=seed, maxIter=max_iterations, tol=tolerance, solver="block"
     ).fit(train)
     if model.summary.numIter >= max_iterations:
         warnings.warn(f"centroids still moved after {max_iterations} rounds", stacklevel=2)
     centroids = np.array(model.clusterCenters())
     centroids = unit_rows(centroids[np.linalg.norm(centroids, axis=1) > 0])
-    return VectorIndex(centroids, _assign(rows, centroids))
+    if lists > ONE_LEVEL:
+        centroids = _parted_cells(rows, centroids, lists / total)
+    index = VectorIndex(centroids, cut(_assign(rows, centroids)))
+    index.nprobe = measured_probes(index)
+    return index
+
+
+def _parted_cells(rows: DataFrame, cells: np.ndarray, share: float) -> np.ndarray:
+    """Centroids inside each cell, `share` of them per row; each cell trains on a bounded sample of its rows."""
+    tagged = cut(knn.tag_cells(rows, cells).drop("gap"))
+    sizes = tagged.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.greatest(F.lit(1), F.round(F.col("n") * share)).cast("int")
+    sizes = sizes.select("cell", "n", F.least(wanted, F.lit(MOST_IN_CELL)).alias("lists"))  # one row per cell
+    drawn = F.pmod(F.xxhash64("id"), F.col("n")) < F.col("lists") * SAMPLE_PER_LIST
+    sample = tagged.join(F.broadcast(sizes), "cell").where(drawn)
+
+    def part(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        units = unit_rows(matrix(group["embedding"].combine_chunks()))
+        found = _unit_means(units, min(group["lists"][0].as_py(), len(units)))
+        return pa.table({"cell": pa.array([group["cell"][0].as_py()] * len(found), pa.int32()), "centroid": list_array(found)})
+
+    found = sample.groupBy("cell").applyInArrow(part, "cell int, centroid array<double>")
+    return np.stack(found.orderBy("cell", "centroid").toPandas().centroid.to_numpy())  # one row per list
+
+
+def _unit_means(units: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
+    """Up to k unit means of unit rows by cosine k-means; starts from rows far from one another."""
+    chosen, near = [0], np.full(len(units), -np.inf)
+    while len(chosen) < k:
+        near = np.maximum(near, units @ units[chosen[-1]])
+        if near.min() > 1 - 1e-12:
+            break
+        chosen.append(int(near.argmin()))
+    means = units[chosen]
+    for _ in range(rounds):
+        own = (units @ means.T).argmax(1)
+        sums = np.zeros_like(means)
+        np.add.at(sums, own, units)
+        size = np.linalg.norm(sums, axis=1)
+        means = np.where(size[:, None] > 1e-12, sums / np.maximum(size, 1e-12)[:, None], means)
+    return means
+
+
+def measured_probes(index: VectorIndex, recall: float = fixed.RECALL, pool: int = LARGEST_POOL) -> int:
+    """The least number of lists at which searches find `recall` of the `pool` nearest rows, on average over up to
+    PROBE_SAMPLE of the indexed vectors, whose neighbours are found exactly."""
+    named = index.rows.select(F.col("product_id").alias("id"), "embedding", "list_id")
+    asked = cut(named.orderBy(F.xxhash64("id"), "id").limit(PROBE_SAMPLE).select("id", "embedding"))
+    true = knn.knn_join(asked, named.select("id", "embedding"), pool)
+    lists = true.join(named.select("id", "list_id"), "id").groupBy("query").agg(F.collect_list("list_id").alias("lists"))
+    rows = lists.join(asked.withColumnRenamed("id", "query"), "query").toPandas()  # PROBE_SAMPLE rows of `pool` numbers
+    places = np.zeros(len(index.centroids) + 1)
+    for row in rows.itertuples():
+        order = np.argsort(-(index.centroids @ np.asarray(row.embedding)), kind="stable")
+        place = np.empty(len(order), int)
+        place[order] = np.arange(len(order))
+        np.add.at(places, place[np.asarray(row.lists, int)] + 1, 1 / len(row.lists))
+    reached = np.cumsum(places) / max(1, len(rows))
+    return max(1, int(np.searchsorted(reached, recall - 1e-9))) if len(rows) else 1
 
 
 def _assign(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
@@ -82,39 +179,57 @@ def _assign(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
     return tagged.select(F.col("id").alias("product_id"), "embedding", F.col("cell").alias("list_id"))
 
 
-def write_index(index: VectorIndex, path: str) -> None:
-    """Vectors in one folder per list; a list of many rows is spread over several files."""
+def _write_part(rows: DataFrame, path: str, files: list[str] | None) -> None:
+    """Store vectors with their `list_id` as a part of the index: a folder per list, a list of many rows in several
+    files. Last comes the manifest's entry, so that a part that failed half way is never read."""
+    spark, part = rows.sparkSession, uuid.uuid4().hex
+    sizes = rows.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("files"))
+    spread = rows.join(F.broadcast(sizes), "list_id").withColumn("_file", F.pmod(F.xxhash64("product_id"), F.col("files")))
+    spread.repartition("list_id", "_file").drop("_file", "files").write.partitionBy("list_id").parquet(f"{path}/vectors/part={part}")
+    held = [(part, file_name(f)) for f in files] if files is not None else [(part, None)]
+    spark.createDataFrame(held, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def write_index(index: VectorIndex, path: str, files: list[str] | None = None) -> None:
+    """Store an index; `files` are those of the table whose vectors it holds."""
     spark = index.rows.sparkSession
-    sizes = index.rows.groupBy("list_id").agg(
-        F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("files")
-    )
-    spread = index.rows.join(F.broadcast(sizes), "list_id").withColumn(
-        "_file", F.pmod(F.xxhash64("product_id"), F.col("files"))
-    )
-    spread.repartition("list_id", "_file").drop("_file", "files").write.mode("overwrite").partitionBy(
-        "list_id"
-    ).parquet(f"{path}/vectors")
-    centroids = [(i, [float(x) for x in c]) for i, c in enumerate(index.centroids)]
-    centroids = spark.createDataFrame(centroids, "list_id int, centroid array<double>")
+    centroids = [(i, [float(x) for x in c], index.nprobe) for i, c in enumerate(index.centroids)]
+    centroids = spark.createDataFrame(centroids, "list_id int, centroid array<double>, nprobe int")
     centroids.coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    _write_part(index.rows, path, files)
+
+
+def append_index(index: VectorIndex, vectors: DataFrame) -> None:
+    """Add the rows of the files of a table that a stored index does not hold, to the lists of their nearest centroids.
+
+    Nothing is trained anew, and no other row is read."""
+    new = index.not_held(vectors)
+    if new is not None:
+        rows = knn.directed(_as_ids(new, "product_id"), index.centroids.shape[1])
+        _write_part(cut(_assign(rows, index.centroids)), index.path, new.inputFiles())
 
 
 def read_index(spark: SparkSession, path: str) -> VectorIndex:
-    centroids = spark.read.parquet(f"{path}/centroids").orderBy("list_id").select("centroid").toPandas()
-    rows = spark.read.schema("product_id long, embedding array<double>, list_id int").parquet(f"{path}/vectors")
-    return VectorIndex(np.stack(centroids.centroid.to_numpy()), rows)
+    centroids = spark.read.parquet(f"{path}/centroids").orderBy("list_id").toPandas()
+    held = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").collect()  # one row per file of the table
+    rows = spark.read.schema("product_id long, embedding array<double>, part string, list_id int").parquet(f"{path}/vectors")
+    rows = rows.where(F.col("part").isin(sorted({r.part for r in held}))).drop("part")
+    files = None if any(r.file is None for r in held) else frozenset(r.file for r in held)
+    return VectorIndex(np.stack(centroids.centroid.to_numpy()), rows, int(centroids.nprobe[0]), files, path)
 
 
-def ivf_search(index: VectorIndex, query: list[float], k: int, nprobe: int) -> DataFrame:
+def ivf_search(index: VectorIndex, query: list[float], k: int, nprobe: int | None = None) -> DataFrame:
     """Top k among the lists of the `nprobe` nearest centroids; other folders are not read."""
+    nprobe = nprobe or index.nprobe
     q = np.asarray(query, dtype=np.float64)
     dots = index.centroids @ (q / np.linalg.norm(q))
     near = [int(i) for i in np.argsort(-dots, kind="stable")[:nprobe]]
     return _nearest(index.rows.where(F.col("list_id").isin(near)), query, k)
 
 
-def ivf_search_batch(index: VectorIndex, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
+def ivf_search_batch(index: VectorIndex, queries: DataFrame, k: int, nprobe: int | None = None) -> DataFrame:
     """`ivf_search` for a table of (query_id, embedding). Lists that no query probes are not read."""
+    nprobe = nprobe or index.nprobe
     found = knn.probe_lists(
         _as_ids(queries, "query_id"), index.rows.select(F.col("product_id").alias("id"), "embedding", "list_id"),
         k, index.centroids, nprobe,

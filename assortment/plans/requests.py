@@ -64,14 +64,15 @@ def intent_replies(briefs: DataFrame, intent: str, generator=None) -> DataFrame:
 
 def analyze_intent(
     catalogue: Catalogue, intent: str, top_k_clusters: int = 5, embedder=None, generator=None,
-    dim: int = fixed.EMBEDDING_DIM,
+    dim: int = fixed.EMBEDDING_DIM, nprobe: int | None = None,
 ) -> DataFrame:
-    """Clusters that match a buyer's intent, each with a brief."""
+    """Clusters that match a buyer's intent, each with a brief. With an index `nprobe` lists are searched; as many as
+    there are make it exact."""
     retrieval.check_intent(intent, top_k_clusters)
     clean, clustered = catalogue.read("products_clean"), catalogue.read_reloaded("products_clustered")
     vector = query_vector(catalogue, intent, embedder, dim)
     hits = retrieval.intent_hits(
-        vector, clean, catalogue.read("products_embedded"), clustered, index=stored_index(catalogue)
+        vector, clean, catalogue.read("products_embedded"), clustered, index=stored_index(catalogue), nprobe=nprobe
     )
     return intent_replies(retrieval.intent_briefs(hits, clean, clustered, top_k_clusters), intent, generator)
 

@@ -12,6 +12,7 @@ from assortment.operators.vector import VectorIndex
 from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue, run_event, table_counts
 
+GROWTH = 2
 LAYERS = ("products_clean", "products_embedded", "products_enriched", "quality_report")
 
 
@@ -41,17 +42,35 @@ def cluster_catalogue(
     return clusters.cluster_stats(found).first().asDict()
 
 
-def build_index(catalogue: Catalogue, lists: int = fixed.IVF_LISTS, min_rows: int = fixed.INDEX_MIN_ROWS) -> VectorIndex | None:
+def build_index(catalogue: Catalogue, lists: int | None = None, min_rows: int = fixed.INDEX_MIN_ROWS) -> VectorIndex | None:
     """Store inverted lists of all vectors and return them; None, and no index, for fewer than `min_rows`."""
     vectors = catalogue.read("products_embedded").select("product_id", "embedding")
     if vectors.limit(min_rows).count() < min_rows:
         return None
     path = catalogue.new_index()
-    vector.write_index(vector.ivf_build(vectors, lists), path)
+    vector.write_index(vector.ivf_build(vectors, lists), path, vectors.inputFiles())
     catalogue.name_index(path)
     return stored_index(catalogue)
 
 
+def follow_index(catalogue: Catalogue) -> VectorIndex | None:
+    """Add the vectors appended since to the lists of the stored index, if there is one."""
+    index = stored_index(catalogue)
+    if index is None:
+        return None
+    vector.append_index(index, catalogue.read("products_embedded").select("product_id", "embedding"))
+    return stored_index(catalogue)
+
+
+def refresh_index(catalogue: Catalogue, **options) -> VectorIndex | None:
+    """Bring the index up to date: new rows join its lists until they would outnumber GROWTH times the others; then,
+    and where there is none, all lists are made anew, so that their number follows that of the rows."""
+    index = stored_index(catalogue)
+    if index is not None and catalogue.read("products_embedded").count() <= GROWTH * index.rows.count():
+        return follow_index(catalogue)
+    return build_index(catalogue, **options)
+
+
 def stored_index(catalogue: Catalogue) -> VectorIndex | None:
     """The newest stored index, if there is one."""
     path = catalogue.index()
@@ -80,7 +99,7 @@ def run_catalogue(
     log("IN_PROGRESS")
     try:
         figures = embed.embed_incremental(catalogue, at, embedder, **(embedding or {}))
-        build_index(catalogue, **(index or {}))
+        refresh_index(catalogue, **(index or {}))
         figures |= cluster_catalogue(catalogue, at, labeller, **(clustering or {}))
         figures["enrichment"] = enrich.enrich_incremental(catalogue, at, generator)
     except Exception as error:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from assortment.operators.embed import assign_batches, embed_rows, embedding_text, pending_embedding
+from assortment.plans.run import follow_index
 from assortment.sources.schemas import TABLES
 from assortment.sources.tables import Catalogue
 
@@ -17,7 +18,8 @@ def incremental_stream(
     """Embed the products in new files under `source` that have no vector; ends when none is left.
 
     `progress` is the folder of the stream's progress. A batch that is repeated after a failure adds
-    nothing twice, since products with a vector row are left out and ids are unique per batch.
+    nothing twice, since products with a vector row are left out and ids are unique per batch. A stored index takes in
+    the vectors of each batch.
     """
     catalogue.create("products_embedded")
 
@@ -25,6 +27,7 @@ def incremental_stream(
         fresh = batch.dropDuplicates(["product_id"])
         pending = pending_embedding(fresh, catalogue.read("products_embedded"))
         catalogue.append(embed_rows(assign_batches(embedding_text(pending)), at, embedder, **options), "products_embedded")
+        follow_index(catalogue)
 
     stream = catalogue.spark.readStream.schema(TABLES["products_clean"])
     return (

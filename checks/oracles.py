@@ -542,6 +542,8 @@ SELECT count(DISTINCT cluster_id) FILTER (cluster_id <> -1) AS clusters, count(*
 SELECT cluster_id, string_agg(upper(word[1]) || substr(word, 2), ' ' ORDER BY n / CAST(total AS DOUBLE) DESC, n DESC, word) AS cluster_label
 FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, word) AS rn FROM sample_words) WHERE rn <= 3 GROUP BY cluster_id""",
 }
+ORACLES["search_products_indexed"] = ORACLES["search_products"]
+ORACLES["index_recall"] = "SELECT 20 * count(*) AS entries, true AS enough FROM products_embedded WHERE product_id % 50 = 0"
 ORACLES["analyze_intent"] = f"""
 SELECT cluster_id, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label, hit_count, products_total, avg_price,
  CAST(length(prompt) AS VARCHAR) AS positioning, CAST(length(prompt) - length(replace(prompt, '€', '')) AS VARCHAR) AS price_range,

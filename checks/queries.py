@@ -518,6 +518,40 @@ def search_products(i):
     return _six(found, "distance")
 
 
+@query
+def search_products_indexed(i):
+    """The search through a stored index: a third of the vectors indexed, a third appended to its lists, a third beside
+    it. All lists are probed, so that the answer is exact."""
+    catalogue = tables.Catalogue(i.spark, lineage.work_path(i.spark, "catalogue"))
+    rows = i.embedded.select(
+        "product_id", F.lit("").alias("embedding_text"), "embedding", F.lit("given").alias("embedding_model"),
+        F.lit(0).alias("embedding_tokens"), F.lit(0.0).alias("embedding_cost_usd"), F.lit(AS_OF).alias("embedding_created_at"),
+    )
+    for part in range(3):
+        catalogue.append(rows.where(F.col("product_id") % 3 == part), "products_embedded")
+        if part == 0:
+            run.build_index(catalogue, min_rows=1)
+        elif part == 1:
+            run.follow_index(catalogue)
+    index = run.stored_index(catalogue)
+    found = retrieval.search_products(
+        _first_vector(i), i.clean, catalogue.read("products_embedded"), i.clustered, i.enriched, 20,
+        min_price=905, max_price=990, index=index, nprobe=len(index.centroids),
+    )
+    return _six(found, "distance")
+
+
+@query
+def index_recall(i):
+    """Every vector divisible by 50 against an index with its own lists and probes: entries found, and whether nine in
+    ten are true neighbours."""
+    index = vector.ivf_build(i.embedded.select("product_id", "embedding"))
+    asked = i.embedded.where("product_id % 50 = 0").select(F.col("product_id").alias("query_id"), "embedding")
+    exact = vector.vector_top_k_batch(i.embedded, asked, 20).select("query_id", "product_id", F.lit(1).alias("true_one"))
+    found = vector.ivf_search_batch(index, asked, 20).join(exact, ["query_id", "product_id"], "left")
+    return found.agg(F.count(F.lit(1)).alias("entries"), (F.sum("true_one") >= 0.9 * F.count(F.lit(1))).alias("enough"))
+
+
 @query
 def search_products_prefilter(i):
     found = retrieval.search_products(

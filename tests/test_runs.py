@@ -10,6 +10,7 @@ from assortment.operators import clusters, embed, enrich, numbering
 from assortment.plans import run
 from assortment.sources import schemas, tables
 from assortment.sources.fixtures import AS_OF
+from assortment.sources.lineage import cut
 from assortment.streaming.incremental import incremental_stream
 from checks.queries import Inputs
 
@@ -253,7 +254,9 @@ def test_searches_find_what_a_stream_adds_after_the_index(spark, catalogue, tmp_
     held = run.build_index(catalogue, 5, min_rows=50).rows.count()
     feed(clean.where("product_id % 2 = 1"))
     embedded, index = catalogue.read("products_embedded"), run.stored_index(catalogue)
-    assert index.rows.count() == held < embedded.where("embedding IS NOT NULL").count()
+    assert held < index.rows.count() == embedded.where("embedding IS NOT NULL").count()
+    assert index.rows.select("product_id").distinct().count() == index.rows.count()
+    assert retrieval._not_held(embedded, index) is None
 
     query = "large brushed tin"
     vector = requests.query_vector(catalogue, query, dim=16)
@@ -273,6 +276,59 @@ def test_searches_find_what_a_stream_adds_after_the_index(spark, catalogue, tmp_
     assert [r.product_id for r in logged.orderBy("rank").collect()] == [k for k, _ in exact]
 
 
+def test_rows_beside_the_index_are_found_and_taken_in(spark, catalogue):
+    """Appends that no step followed are searched by their files; parts without a manifest entry are not read."""
+    from assortment.operators import retrieval, vector
+    from assortment.plans import requests
+
+    with_clean(spark, catalogue)
+    clean = cut(catalogue.read("products_clean"))
+    parts = [clean.where(f"product_id % 3 = {n}") for n in range(3)]
+
+    def embedded_with(rows):
+        text = embed.assign_batches(embed.embedding_text(rows))
+        catalogue.append(embed.embed_rows(text, AS_OF, dim=16), "products_embedded")
+        return catalogue.read("products_embedded")
+
+    embedded_with(parts[0])
+    index = run.build_index(catalogue, 5, min_rows=20)
+    everything = embedded_with(parts[1])
+    beside = retrieval._not_held(everything, index)
+    assert {r.product_id % 3 for r in beside.collect()} == {1} and beside.count() == parts[1].count()
+    query = "large brushed tin"
+    vector_of = requests.query_vector(catalogue, query, dim=16)
+
+    def same_as_exact():
+        exact = retrieval.vector_top_k(catalogue.read("products_embedded"), vector_of, 30).collect()
+        found = requests.search(catalogue, query, 30, dim=16, nprobe=5).collect()
+        assert [(r.product_id, r.distance) for r in found] == [tuple(r) for r in exact]
+
+    same_as_exact()
+    vector._assign(
+        everything.selectExpr("product_id id", "embedding").where("embedding IS NOT NULL"), index.centroids
+    ).write.partitionBy("list_id").parquet(f"{index.path}/vectors/part=failed")
+    same_as_exact()
+    for _ in range(2):
+        held = run.follow_index(catalogue)
+        assert held.rows.count() == everything.where("embedding IS NOT NULL").count()
+    embedded_with(parts[2])
+    same_as_exact()
+    # Two thirds were held, so the third joins them; a table that more than doubles is indexed anew.
+    assert run.refresh_index(catalogue, lists=5, min_rows=20).path == index.path
+    more = clean.withColumn("product_id", F.col("product_id") + 100_000)
+    embedded_with(more.unionByName(clean.withColumn("product_id", F.col("product_id") + 200_000)))
+    fresh = run.refresh_index(catalogue, lists=5, min_rows=20)
+    everything = catalogue.read("products_embedded")
+    assert fresh.path != index.path and retrieval._not_held(everything, fresh) is None
+    near = retrieval._nearest(vector_of, everything, 30, fresh, len(fresh.centroids)).collect()
+    assert near == retrieval.vector_top_k(everything, vector_of, 30).collect()
+    groups = clean.select("product_id", F.lit(1).cast("long").alias("cluster_id"), F.lit(1.0).alias("cluster_probability"))
+    names = spark.createDataFrame([(1, "All")], "cluster_id long, cluster_label string")
+    catalogue.reload(clusters.assign_clusters(groups, names, AS_OF), "products_clustered")
+    exact = retrieval.intent_hits(vector_of, clean, catalogue.read("products_embedded"), catalogue.read_reloaded("products_clustered"))
+    assert requests.analyze_intent(catalogue, query, 1, dim=16, nprobe=5).first().hit_count == exact.count()
+
+
 def test_short_lists_and_price_ranges_search_on(spark, catalogue):
     from assortment.operators import retrieval
     from assortment.plans import requests
