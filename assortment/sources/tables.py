@@ -2,6 +2,7 @@
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +10,7 @@ from assortment import fixed
 from assortment.sources.schemas import TABLES, enforce_schema
 
 RUN_EVENTS = "run_events"
-SNAPSHOTS = "snapshots"
-SNAPSHOT_NAME = "table string, snapshot string, commit long"
+COMMITS = "commits"
 
 
 class Catalogue:
@@ -49,16 +49,65 @@ class Catalogue:
         snapshot = uuid.uuid4().hex
         rows = enforce_schema(df, table).withColumn("snapshot", F.lit(snapshot))
         rows.write.mode("append").partitionBy("snapshot").parquet(self.path(table))
-        commit = (self._newest(table) or (0, None))[0] + 1
-        name = self.spark.createDataFrame([(table, snapshot, commit)], SNAPSHOT_NAME)
-        name.coalesce(1).write.mode("append").parquet(self.path(SNAPSHOTS))
+        self._commit(table, snapshot)
+
+    def _commits(self, table: str):
+        """File system and path of the folder of a table's commits, a small file per number."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(f"{COMMITS}/{table}"))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _numbers(self, table: str) -> list[int]:
+        """The numbers of the commits there are, newest first."""
+        store, folder = self._commits(table)
+        if not store.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in store.listStatus(folder)]
+        return sorted((int(n) for n in names if n.isdecimal()), reverse=True)
+
+    def _commit(self, table: str, name: str) -> int:
+        """Make `name` the newest of a table: the first number whose file is not there yet and can be created.
+
+        Of two runs that try the same number one creates the file, the other goes on to the next number.
+        """
+        store, folder = self._commits(table)
+        store.mkdirs(folder)
+        number = next(iter(self._numbers(table)), 0) + 1
+        while not self._created(store, f"{folder.toString()}/{number:012d}", f"{name}\n".encode()):
+            number += 1
+        return number
+
+    def _created(self, store, path: str, content: bytes) -> bool:
+        """Create a file; False if it is there. Stores other than the local one create exclusively by themselves."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        try:
+            if store.getUri().getScheme() == "file":
+                with open(target.toUri().getPath(), "xb") as out:
+                    out.write(content)
+                return True
+            out = store.create(target, False)
+        except FileExistsError:
+            return False
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                return False
+            raise
+        out.write(bytearray(content))
+        out.close()
+        return True
 
     def _newest(self, table: str) -> tuple[int, str] | None:
-        """Number and snapshot of the newest commit of a table."""
-        self.spark.createDataFrame([], SNAPSHOT_NAME).write.mode("ignore").parquet(self.path(SNAPSHOTS))
-        names = self.spark.read.schema(SNAPSHOT_NAME).parquet(self.path(SNAPSHOTS)).where(F.col("table") == table)
-        newest = names.orderBy(F.desc("commit"), "snapshot").first()
-        return newest and (newest["commit"], newest["snapshot"])
+        """Number and name of the newest commit of a table. Nothing is written; a commit that a failure left without
+        its name does not count."""
+        store, folder = self._commits(table)
+        for number in self._numbers(table):
+            stream = store.open(self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder.toString()}/{number:012d}"))
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("\n"):
+                return number, text[:-1]
+        return None
 
     def read_reloaded(self, table: str) -> DataFrame:
         """Rows of the current snapshot; only its partition is scanned. No rows before the first reload."""
@@ -77,9 +126,7 @@ class Catalogue:
 
     def name_index(self, path: str) -> None:
         """From now on `path` is the index of this catalogue."""
-        commit = (self._newest("index") or (0, None))[0] + 1
-        name = self.spark.createDataFrame([("index", path, commit)], SNAPSHOT_NAME)
-        name.coalesce(1).write.mode("append").parquet(self.path(SNAPSHOTS))
+        self._commit("index", path)
 
     def index(self) -> str | None:
         """The path of the newest index."""

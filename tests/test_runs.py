@@ -276,6 +276,27 @@ def test_searches_find_what_a_stream_adds_after_the_index(spark, catalogue, tmp_
     assert [r.product_id for r in logged.orderBy("rank").collect()] == [k for k, _ in exact]
 
 
+def test_racing_reloads_get_numbers_of_their_own(spark, catalogue, monkeypatch):
+    """Both runs read the same newest number; one creates the next file, the other goes on to the one after."""
+    from concurrent.futures import ThreadPoolExecutor
+    from pathlib import Path
+
+    assert catalogue._newest("products_clustered") is None and not Path(catalogue.folder, "commits").exists()
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: catalogue._commit("t", f"run-{i}"), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+    assert catalogue._newest("t") == (40, f"run-{numbers.index(40)}")
+    stale = [7, 3, 1]
+    monkeypatch.setattr(catalogue, "_numbers", lambda table: stale)
+    assert catalogue._commit("t", "late") == 41
+    monkeypatch.undo()
+    assert catalogue._newest("t") == (41, "late")
+    Path(catalogue.folder, "commits/t/000000000042").write_text("half a na")
+    assert catalogue._newest("t") == (41, "late") and catalogue._commit("t", "next") == 43
+    reader = sorted(Path(catalogue.folder).rglob("*"))
+    assert catalogue.read_reloaded("products_clustered").count() == 0 and sorted(Path(catalogue.folder).rglob("*")) == reader
+
+
 def test_rows_beside_the_index_are_found_and_taken_in(spark, catalogue):
     """Appends that no step followed are searched by their files; parts without a manifest entry are not read."""
     from assortment.operators import retrieval, vector
