@@ -146,21 +146,28 @@ class _Covariance:
         return float(_added(self.rows, lambda x: np.array([np.square((x - pivot) - rest).sum()]), np.float64)[0]) / self.n
 
 
-def _filtered(product, block: np.ndarray, first: np.ndarray, bound: float, top: float) -> np.ndarray:
-    """Chebyshev polynomial of V, of degree DEGREE, applied to `block`: at most 1 on the eigenvalues 0..bound, steep
+def _filtered(product, block: np.ndarray, first: np.ndarray, low: float, bound: float, top: float) -> np.ndarray:
+    """Chebyshev polynomial of V, of degree DEGREE, applied to `block`: small on the eigenvalues low..bound, steep
     above, scaled to 1 at `top`. `first` is V times `block`."""
-    half = bound / 2
-    sigma = half / (top - half)
+    half, centre = (bound - low) / 2, (bound + low) / 2
+    sigma = half / (top - centre)
     twice = 2 / sigma
-    before, now = block, (first - half * block) * (sigma / half)
+    before, now = block, (first - centre * block) * (sigma / half)
     for _ in range(DEGREE - 1):
         following = 1 / (twice - sigma)
-        before, now = now, (product(now) - half * now) * (2 * following / half) - sigma * following * before
+        before, now = now, (product(now) - centre * now) * (2 * following / half) - sigma * following * before
         sigma = following
     return now
 
 
-def _pairs(product, d: int, wanted: int) -> tuple[np.ndarray, np.ndarray, float]:
+def _low_end(values: np.ndarray, d: int, trace: float, bound: float) -> float:
+    """Where the lower spectrum about begins: the trace gives the mean of the eigenvalues that the block has not, and
+    they spread below it about as they do above. Only the speed of the filter hangs on it."""
+    mean = (trace - float(values.sum())) / (d - len(values))
+    return max(0.0, 3 * mean - 2 * bound)
+
+
+def _pairs(product, d: int, wanted: int, trace: float) -> tuple[np.ndarray, np.ndarray, float]:
     """The `wanted` largest eigenvalues, falling, their vectors as columns, and the largest residual."""
     rng = np.random.default_rng(0)
     width = min(d, wanted + max(8, wanted // 2))
@@ -180,7 +187,7 @@ def _pairs(product, d: int, wanted: int) -> tuple[np.ndarray, np.ndarray, float]
             return values[:wanted], block[:, :wanted], residual
         if width < d:
             bound = max(float(values[-1 - FRESH]), 1e-6 * top)
-            block = _filtered(product, block, moved, bound, top)
+            block = _filtered(product, block, moved, min(_low_end(values, d, trace, bound), 0.95 * bound), bound, top)
             block[:, width - FRESH:] = rng.standard_normal((d, FRESH))
         block = np.linalg.qr(np.linalg.qr(block)[0])[0]
     raise ArithmeticError(f"components not certified: residual {least} of {top}")
@@ -196,7 +203,7 @@ def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening:
     model.trace = product.trace()
     if model.trace <= 0:
         return model
-    values, axes, model.residual = _pairs(product, len(sums), min(components, len(sums)))
+    values, axes, model.residual = _pairs(product, len(sums), min(components, len(sums)), model.trace)
     kept = values > NOTHING * values[0]
     model.values, model.axes, model.passes = values[kept], axes[:, kept], product.passes
     model.identity_error = _identity_error(rows, model)
@@ -222,7 +229,7 @@ def _identity_error(rows: DataFrame, model: Whitening) -> float:
 
 
 def _deviations(model: Whitening) -> Callable[[np.ndarray], pa.Array]:
-    """Per row the sum of (n*x - S)^2 as decimal(38); exact, by 64-bit numbers where they hold it."""
+    """Per row the sum of (n*x - S)^2 as decimal(38); exact, by 64-bit numbers where they hold it. More digits fail."""
     n, pivot, over = model.n, model.pivot, [s % model.n for s in model.sums]
     over64 = np.array(over, np.int64)
     kind = pa.decimal128(38, 0)

