@@ -384,3 +384,52 @@ def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.glob("assortment-*/*"))) == 1
     lineage.remove_work(spark)
     assert not list(tmp_path.glob("assortment-*"))
+
+
+def test_the_whole_run_against_plain_python(spark, tmp_path):
+    """Every row of `catalogue_run`: hashed vectors, principal components and the hierarchy once more without Spark."""
+    import re
+
+    import numpy as np
+
+    from assortment import fixed
+    from assortment.operators import labels
+    from checks.queries import DIM, QUERIES
+
+    from test_clusters import level_clusters, whole_tree
+
+    folder = "/root/testdata/sf0.001"
+    clean = cut(Inputs(spark, folder).clean)
+    ids, rows = [], []
+    for p in clean.orderBy("product_id").collect():
+        vector = np.zeros(DIM)
+        text = " | ".join((p.name, p.brand, p.category, p.department)).lower()
+        for token in filter(None, re.split(r"[\W_]+", text)):
+            digest = hashlib.md5(token.encode()).hexdigest()
+            vector[int(digest[:8], 16) % DIM] += 1 if digest[8] < "8" else -1
+        if vector.any():
+            ids.append(p.product_id)
+            rows.append(vector / np.linalg.norm(vector))
+    rows = np.array(rows)
+    _, axes = np.linalg.eigh(np.cov(rows.T))
+    short = rows @ axes[:, ::-1][:, : fixed.REDUCED_DIM]
+    # The texts have no groups of fifteen; small ones show more.
+    for size, samples in ((fixed.MIN_CLUSTER_SIZE, fixed.MIN_SAMPLES), (4, 2)):
+        want = level_clusters(whole_tree(ids, short, min_samples=samples), ids, size)
+        found = spark.createDataFrame([(i, want.get(i, (-1, 0.0))[0]) for i in ids], "product_id long, cluster_id long")
+        names = {r.cluster_id: r.cluster_label for r in labels.label_clusters(found, clean).collect()}
+        catalogue = tables.Catalogue(spark, str(tmp_path / f"run-{size}"))
+        run.run_sql_layers(catalogue, Inputs(spark, folder).source, AS_OF)
+        figures = run.run_catalogue(
+            catalogue, AS_OF, embedding={"dim": DIM}, clustering={"min_cluster_size": size, "min_samples": samples}
+        )
+        got = catalogue.read_reloaded("products_clustered").collect()
+        assert len(got) == len(ids) and figures["clusters"] == len({c for c, _ in want.values()})
+        for r in got:
+            cluster, probability = want.get(r.product_id, (-1, 0.0))
+            assert (r.cluster_id, round(r.cluster_probability, 5)) == (cluster, round(probability, 5))
+            assert (r.is_noise, r.cluster_label) == (cluster < 0, names.get(cluster))
+            assert (r.clustering_algorithm, r.min_cluster_size_param) == (clusters.ALGORITHM, size)
+    assert figures["clusters"] >= 3
+    registered = QUERIES["catalogue_run"](spark, folder).collect()
+    assert {(r.product_id, r.cluster_id) for r in registered} == {(i, -1) for i in ids}
