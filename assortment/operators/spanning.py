@@ -170,8 +170,8 @@ class _Search:
         pivots = knn.choose_pivots(rows, rows.count())
         placed, places = knn.cell_blocks(rows, pivots)
         near = rows.withColumn("cell", F.explode(knn.list_choice(F.col("embedding"), pivots, nprobe)))
-        last = F.col("first") + F.col("blocks") - 1
-        near = near.join(F.broadcast(places), "cell").withColumn("block", F.explode(F.sequence("first", last)).cast("int"))
+        last = (F.col("first") + F.col("blocks") - 1).cast("int")
+        near = near.join(F.broadcast(places), "cell").withColumn("block", F.explode(F.sequence(F.col("first").cast("int"), last)))
         self.asked, self.stored = near.select("id", "embedding", "core", "block"), placed.select("id", "embedding", "core", "block")
         self.keys = ["block"]
 

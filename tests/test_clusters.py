@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assortment.operators import clusters, condense, labels, spanning
+from assortment.operators import clusters, condense, knn, labels, spanning
 from assortment.operators.components import connected_components
 from assortment.sources.lineage import cut
 from checks.queries import Inputs
@@ -243,9 +243,12 @@ def test_dense_knots_joined_by_no_list(spark):
     assert len({c for c, _ in held_against_plain(spark, np.r_[knots, far]).values()}) >= 2
 
 
-def test_probing_finds_separate_groups(spark):
-    planted = Inputs(spark, "/root/testdata/sf0.01").planted.select("product_id", "embedding", "label")
-    rows = clusters.cluster_vectors(planted.drop("label"), nprobe=1).join(planted, "product_id").toPandas()
+@pytest.mark.parametrize("options", [{"nprobe": 4}, {"descent": True}, {"nprobe": 2, "descent": True}])
+def test_probing_and_descent_find_separate_groups(spark, monkeypatch, options):
+    monkeypatch.setattr(knn, "CELL_ROWS", 100)
+    monkeypatch.setattr(knn, "CENTRES", 64)
+    planted = cut(Inputs(spark, "/root/testdata/sf0.01").planted.select("product_id", "embedding", "label"))
+    rows = clusters.cluster_vectors(planted.drop("label"), **options).join(planted, "product_id").toPandas()
     real = rows[rows.cluster_id >= 0]
     assert real.cluster_id.nunique() == 9 and real[real.label != 9].groupby("cluster_id").label.nunique().max() == 1
 
