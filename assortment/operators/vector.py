@@ -3,19 +3,19 @@
 import uuid
 import warnings
 from dataclasses import dataclass
-from math import isqrt
+from math import ceil, isqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.numbers import round2
 from assortment.functions.vectors import distance_to, has_vector, list_array, matrix, unit_rows
-from assortment.operators import knn
+from assortment.operators import knn, quantise
 from assortment.sources.lineage import cut
 
 MAX_ITERATIONS = 50
@@ -27,7 +27,15 @@ MOST_IN_CELL = 512
 PROBE_SAMPLE = 256
 #: Rows of the largest request: 100 with a price bound.
 LARGEST_POOL = 100 * fixed.SEARCH_OVERFETCH
+FEWEST_WANTED = 10
 MANIFEST = "part string, file string"
+CENTROIDS = "list_id int, centroid array<double>, nprobe int, depth double"
+CODEBOOKS = "piece int, entries array<array<double>>"
+#: Pages of stored vectors hold about so many bytes, so that a few rows can be read without the others.
+PAGE_BYTES = 8192
+#: Ranges of ids that a read of candidates names; candidates that one request compares by their vectors at most.
+ID_RANGES = 128
+MOST_CANDIDATES = 20_000
 
 
 def _as_ids(vectors: DataFrame, id_name: str) -> DataFrame:
@@ -56,7 +64,8 @@ class VectorIndex:
     """Inverted lists: one unit centroid per list, and the vectors with their `list_id`.
 
     `nprobe` is how many lists a search visits unless it says otherwise. `files` names the files of the table of vectors
-    that a stored index holds, and `path` its folder; None for an index that is not stored.
+    that a stored index holds, and `path` its folder; None for an index that is not stored. With `codebooks` there are
+    `codes`, (product_id, code, list_id) with a byte per piece of a vector.
     """
 
     centroids: np.ndarray
@@ -64,6 +73,8 @@ class VectorIndex:
     nprobe: int = fixed.NPROBE
     files: frozenset[str] | None = None
     path: str | None = None
+    codebooks: quantise.Codebooks | None = None
+    codes: DataFrame | None = None
 
     def spark_centroids(self) -> DataFrame:
         """(number, centroid), one row per list."""
@@ -88,14 +99,15 @@ def lists_for(rows: int) -> int:
 
 def ivf_build(
     vectors: DataFrame, lists: int | None = None, seed: int = 42, max_iterations: int = MAX_ITERATIONS,
-    tolerance: float = 1e-4,
+    tolerance: float = 1e-4, codes: bool = False,
 ) -> VectorIndex:
     """Centroids of `lists` lists, by the number of rows unless given, and every vector with its nearest list.
 
     Centroids come from cosine k-means over all vectors, which ends when none moves by more than `tolerance`; a warning
     says when `max_iterations` came first. More than ONE_LEVEL lists are made in two levels: k-means parts all vectors
     into the root of that number of cells, and each cell is parted into lists in proportion to its rows, so that large
-    cells give many lists. The number of lists that a search visits is measured (`measured_probes`).
+    cells give many lists. The number of lists that a search visits is measured (`measured_probes`). With `codes` the
+    lists get short codes too, from which a search chooses the vectors it reads; how many is measured as well.
     """
     named = _as_ids(vectors, "product_id")
     rows = cut(knn.directed(named, knn.common_length(named)))
@@ -115,7 +127,14 @@ def ivf_build(
     if lists > ONE_LEVEL:
         centroids = _parted_cells(rows, centroids, lists / total)
     index = VectorIndex(centroids, cut(_assign(rows, centroids)))
-    index.nprobe = measured_probes(index)
+    asked, true = _measured_neighbours(index, LARGEST_POOL)
+    index.nprobe = measured_probes(index, asked, true)
+    if codes:
+        index.codebooks = quantise.train(index.rows, centroids)
+        index.codes = cut(quantise.encode(index.rows, centroids, index.codebooks))
+        index.codebooks.depth = quantise.measured_depth(
+            index.codes, centroids, index.codebooks, asked, true, [FEWEST_WANTED, LARGEST_POOL]
+        )
     return index
 
 
@@ -156,14 +175,18 @@ def _unit_means(units: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return means
 
 
-def measured_probes(index: VectorIndex, recall: float = fixed.RECALL, pool: int = LARGEST_POOL) -> int:
-    """The least number of lists at which searches find `recall` of the `pool` nearest rows, on average over up to
-    PROBE_SAMPLE of the indexed vectors, whose neighbours are found exactly."""
-    named = index.rows.select(F.col("product_id").alias("id"), "embedding", "list_id")
-    asked = cut(named.orderBy(F.xxhash64("id"), "id").limit(PROBE_SAMPLE).select("id", "embedding"))
-    true = knn.knn_join(asked, named.select("id", "embedding"), pool)
-    lists = true.join(named.select("id", "list_id"), "id").groupBy("query").agg(F.collect_list("list_id").alias("lists"))
-    rows = lists.join(asked.withColumnRenamed("id", "query"), "query").toPandas()  # PROBE_SAMPLE rows of `pool` numbers
+def _measured_neighbours(index: VectorIndex, pool: int) -> tuple[DataFrame, DataFrame]:
+    """Up to PROBE_SAMPLE of the indexed vectors, and their exact `pool` nearest rows."""
+    named = index.rows.select(F.col("product_id").alias("id"), "embedding")
+    asked = cut(named.orderBy(F.xxhash64("id"), "id").limit(PROBE_SAMPLE))
+    return asked, cut(knn.knn_join(asked, named, pool))
+
+
+def measured_probes(index: VectorIndex, asked: DataFrame, true: DataFrame, recall: float = fixed.RECALL) -> int:
+    """The least number of lists at which searches for `asked` find `recall` of their `true` nearest rows, on average."""
+    held = index.rows.select(F.col("product_id").alias("id"), "list_id")
+    lists = true.join(held, "id").groupBy("query").agg(F.collect_list("list_id").alias("lists"))
+    rows = lists.join(asked.withColumnRenamed("id", "query"), "query").toPandas()  # PROBE_SAMPLE rows of LARGEST_POOL numbers
     places = np.zeros(len(index.centroids) + 1)
     for row in rows.itertuples():
         order = np.argsort(-(index.centroids @ np.asarray(row.embedding)), kind="stable")
@@ -179,24 +202,42 @@ def _assign(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
     return tagged.select(F.col("id").alias("product_id"), "embedding", F.col("cell").alias("list_id"))
 
 
-def _write_part(rows: DataFrame, path: str, files: list[str] | None) -> None:
-    """Store vectors with their `list_id` as a part of the index: a folder per list, a list of many rows in several
-    files. Last comes the manifest's entry, so that a part that failed half way is never read."""
+def _write_part(rows: DataFrame, codes: DataFrame | None, path: str, files: list[str] | None) -> None:
+    """Store vectors with their `list_id`, and their codes, as a part of the index. Last comes the manifest's entry, so
+    that a part that failed half way is never read."""
     spark, part = rows.sparkSession, uuid.uuid4().hex
-    sizes = rows.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("files"))
-    spread = rows.join(F.broadcast(sizes), "list_id").withColumn("_file", F.pmod(F.xxhash64("product_id"), F.col("files")))
-    spread.repartition("list_id", "_file").drop("_file", "files").write.partitionBy("list_id").parquet(f"{path}/vectors/part={part}")
+    _write_lists(rows, f"{path}/vectors/part={part}", _rows_per_page(rows))
+    if codes is not None:
+        _write_lists(codes, f"{path}/codes/part={part}")
     held = [(part, file_name(f)) for f in files] if files is not None else [(part, None)]
     spark.createDataFrame(held, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
+def _rows_per_page(rows: DataFrame) -> int:
+    """Vectors that fill a page."""
+    one = rows.select(F.size("embedding").alias("parts")).first()
+    return max(1, PAGE_BYTES // (8 * one.parts)) if one else 1
+
+
+def _write_lists(rows: DataFrame, path: str, page_rows: int | None = None) -> None:
+    """A folder per list, a list of many rows in several files, each in the order of its ids."""
+    sizes = rows.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("files"))
+    spread = rows.join(F.broadcast(sizes), "list_id").withColumn("_file", F.pmod(F.xxhash64("product_id"), F.col("files")))
+    dealt = spread.repartition("list_id", "_file").sortWithinPartitions("list_id", "_file", "product_id")
+    pages = {"parquet.page.row.count.limit": str(page_rows)} if page_rows else {}
+    dealt.drop("_file", "files").write.options(**pages).partitionBy("list_id").parquet(path)
+
+
 def write_index(index: VectorIndex, path: str, files: list[str] | None = None) -> None:
     """Store an index; `files` are those of the table whose vectors it holds."""
     spark = index.rows.sparkSession
-    centroids = [(i, [float(x) for x in c], index.nprobe) for i, c in enumerate(index.centroids)]
-    centroids = spark.createDataFrame(centroids, "list_id int, centroid array<double>, nprobe int")
-    centroids.coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
-    _write_part(index.rows, path, files)
+    books = index.codebooks
+    centroids = [(i, [float(x) for x in c], index.nprobe, books and books.depth) for i, c in enumerate(index.centroids)]
+    spark.createDataFrame(centroids, CENTROIDS).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    if books:
+        entries = [(piece, book.tolist()) for piece, book in enumerate(books.books)]
+        spark.createDataFrame(entries, CODEBOOKS).coalesce(1).write.mode("overwrite").parquet(f"{path}/codebooks")
+    _write_part(index.rows, index.codes, path, files)
 
 
 def append_index(index: VectorIndex, vectors: DataFrame) -> None:
@@ -206,27 +247,69 @@ def append_index(index: VectorIndex, vectors: DataFrame) -> None:
     new = index.not_held(vectors)
     if new is not None:
         rows = knn.directed(_as_ids(new, "product_id"), index.centroids.shape[1])
-        _write_part(cut(_assign(rows, index.centroids)), index.path, new.inputFiles())
+        rows = cut(_assign(rows, index.centroids))
+        codes = quantise.encode(rows, index.centroids, index.codebooks) if index.codebooks else None
+        _write_part(rows, codes, index.path, new.inputFiles())
 
 
 def read_index(spark: SparkSession, path: str) -> VectorIndex:
-    centroids = spark.read.parquet(f"{path}/centroids").orderBy("list_id").toPandas()
+    centroids = spark.read.schema(CENTROIDS).parquet(f"{path}/centroids").orderBy("list_id").toPandas()
     held = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").collect()  # one row per file of the table
-    rows = spark.read.schema("product_id long, embedding array<double>, part string, list_id int").parquet(f"{path}/vectors")
-    rows = rows.where(F.col("part").isin(sorted({r.part for r in held}))).drop("part")
+    parts = sorted({r.part for r in held})
+
+    def lists(folder: str, column: str) -> DataFrame:
+        rows = spark.read.schema(f"product_id long, {column}, part string, list_id int").parquet(f"{path}/{folder}")
+        return rows.where(F.col("part").isin(parts)).drop("part")
+
     files = None if any(r.file is None for r in held) else frozenset(r.file for r in held)
-    return VectorIndex(np.stack(centroids.centroid.to_numpy()), rows, int(centroids.nprobe[0]), files, path)
+    index = VectorIndex(
+        np.stack(centroids.centroid.to_numpy()), lists("vectors", "embedding array<double>"), int(centroids.nprobe[0]), files, path
+    )
+    if centroids.depth.notna().all():
+        books = spark.read.schema(CODEBOOKS).parquet(f"{path}/codebooks").orderBy("piece").collect()  # one row per piece
+        index.codebooks = quantise.Codebooks(np.array([b.entries for b in books]), float(centroids.depth[0]))
+        index.codes = lists("codes", "code binary")
+    return index
 
 
 def ivf_search(index: VectorIndex, query: list[float], k: int, nprobe: int | None = None) -> DataFrame:
-    """Top k among the lists of the `nprobe` nearest centroids; other folders are not read."""
+    """Top k among the lists of the `nprobe` nearest centroids; other folders are not read.
+
+    Of lists with codes only the codes are read, and the vectors of the rows that come nearest by them; their distances
+    are exact. All lists together, and requests of more than MOST_CANDIDATES candidates, are read as vectors: exact.
+    """
     nprobe = nprobe or index.nprobe
     q = np.asarray(query, dtype=np.float64)
-    dots = index.centroids @ (q / np.linalg.norm(q))
-    near = [int(i) for i in np.argsort(-dots, kind="stable")[:nprobe]]
+    q = q / np.linalg.norm(q)
+    near = [int(i) for i in np.argsort(-(index.centroids @ q), kind="stable")[:nprobe]]
+    if index.codebooks and nprobe < len(index.centroids) and ceil(k * index.codebooks.depth) <= MOST_CANDIDATES:
+        return _nearest(_candidates(index, q, near, ceil(k * index.codebooks.depth)), query, k)
     return _nearest(index.rows.where(F.col("list_id").isin(near)), query, k)
 
 
+def _candidates(index: VectorIndex, query: np.ndarray, lists: list[int], number: int) -> DataFrame:
+    """Vectors of the rows that are nearest by their codes. Their ids come to the driver, MOST_CANDIDATES at most."""
+    distance = quantise.coded_distance(index.codebooks, index.centroids, query)
+    coded = index.codes.where(F.col("list_id").isin(lists)).withColumn("distance", distance)
+    found = coded.orderBy("distance", "product_id").limit(number).select("product_id", "list_id").collect()
+    ids, held = sorted({r.product_id for r in found}), sorted({r.list_id for r in found})
+    return index.rows.where(F.col("list_id").isin(held) & _id_ranges(ids) & F.col("product_id").isin(ids))
+
+
+def _id_ranges(ids: list[int]) -> Column:
+    """A condition that the scan can push down to pages: ID_RANGES ranges at most around sorted ids, parted at the widest
+    gaps, joined as a balanced tree."""
+    if not ids:
+        return F.lit(False)
+    widest = sorted(np.argsort(-np.diff(ids), kind="stable")[: ID_RANGES - 1].tolist())
+    starts = [0] + [w + 1 for w in widest]
+    ends = [w for w in widest] + [len(ids) - 1]
+    terms = [F.col("product_id").between(ids[a], ids[b]) for a, b in zip(starts, ends)]
+    while len(terms) > 1:
+        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def ivf_search_batch(index: VectorIndex, queries: DataFrame, k: int, nprobe: int | None = None) -> DataFrame:
     """`ivf_search` for a table of (query_id, embedding). Lists that no query probes are not read."""
     nprobe = nprobe or index.nprobe

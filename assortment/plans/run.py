@@ -42,13 +42,16 @@ def cluster_catalogue(
     return clusters.cluster_stats(found).first().asDict()
 
 
-def build_index(catalogue: Catalogue, lists: int | None = None, min_rows: int = fixed.INDEX_MIN_ROWS) -> VectorIndex | None:
-    """Store inverted lists of all vectors and return them; None, and no index, for fewer than `min_rows`."""
+def build_index(
+    catalogue: Catalogue, lists: int | None = None, min_rows: int = fixed.INDEX_MIN_ROWS, codes: bool = False
+) -> VectorIndex | None:
+    """Store inverted lists of all vectors and return them; None, and no index, for fewer than `min_rows`. With `codes`
+    a request reads a byte for every four parts of a vector in its lists, and the vectors of its candidates."""
     vectors = catalogue.read("products_embedded").select("product_id", "embedding")
     if vectors.limit(min_rows).count() < min_rows:
         return None
     path = catalogue.new_index()
-    vector.write_index(vector.ivf_build(vectors, lists), path, vectors.inputFiles())
+    vector.write_index(vector.ivf_build(vectors, lists, codes=codes), path, vectors.inputFiles())
     catalogue.name_index(path)
     return stored_index(catalogue)
 

@@ -544,6 +544,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, word
 }
 ORACLES["search_products_indexed"] = ORACLES["search_products"]
 ORACLES["index_recall"] = "SELECT 20 * count(*) AS entries, true AS enough FROM products_embedded WHERE product_id % 50 = 0"
+ORACLES["index_codes"] = "SELECT unnest([10, 50]) AS wanted, CAST(unnest([10, 50]) AS BIGINT) AS entries, true AS enough"
 ORACLES["analyze_intent"] = f"""
 SELECT cluster_id, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label, hit_count, products_total, avg_price,
  CAST(length(prompt) AS VARCHAR) AS positioning, CAST(length(prompt) - length(replace(prompt, '€', '')) AS VARCHAR) AS price_range,

@@ -552,6 +552,23 @@ def index_recall(i):
     return found.agg(F.count(F.lit(1)).alias("entries"), (F.sum("true_one") >= 0.9 * F.count(F.lit(1))).alias("enough"))
 
 
+@query
+def index_codes(i):
+    """Per number of wanted rows, whether nine in ten of those that a coded index finds are true neighbours."""
+    path, rows = lineage.work_path(i.spark, "index"), i.embedded.select("product_id", "embedding")
+    vector.write_index(vector.ivf_build(rows, codes=True), path)
+    index, asked = vector.read_index(i.spark, path), _first_vector(i)
+    found = []
+    for wanted in (10, 50):
+        exact = vector.vector_top_k(rows, asked, wanted).select("product_id", F.lit(1).alias("true_one"))
+        near = vector.ivf_search(index, asked, wanted).join(exact, "product_id", "left")
+        found.append(near.agg(
+            F.lit(wanted).alias("wanted"), F.count(F.lit(1)).alias("entries"),
+            (F.sum("true_one") >= 0.9 * F.count(F.lit(1))).alias("enough"),
+        ))
+    return found[0].unionByName(found[1])
+
+
 @query
 def search_products_prefilter(i):
     found = retrieval.search_products(

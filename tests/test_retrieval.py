@@ -182,6 +182,107 @@ def test_recall_of_the_production_lists_and_probes(spark, kind):
     assert all(np.mean(found) >= 0.9 for found in pools.values()), {k: np.mean(v) for k, v in pools.items()}
 
 
+def coded_top(index, rows, codes, query, k):
+    """Plain numpy: candidates by the codes of the probed lists, then their exact order."""
+    near = np.isin(codes.list_id, np.argsort(-(index.centroids @ query), kind="stable")[: index.nprobe])
+    probed, books = codes[near], index.codebooks.books
+    pieces = np.zeros(books.shape[0] * books.shape[2])
+    pieces[: len(query)] = query
+    table = np.einsum("pcx,px->pc", books, pieces.reshape(len(books), -1))
+    coded = np.array([np.frombuffer(c, np.uint8) for c in probed.code])
+    distance = np.round(1 - index.centroids[probed.list_id] @ query - table[np.arange(len(books)), coded].sum(1), 12)
+    chosen = probed.product_id.to_numpy()[np.lexsort((probed.product_id, distance))[: int(np.ceil(k * index.codebooks.depth))]]
+    exact = np.round(1 - np.stack(rows.embedding[chosen].to_numpy()) @ query, 5)
+    return chosen[np.lexsort((chosen, exact))[:k]]
+
+
+@pytest.mark.parametrize("kind", ["raw", "planted", "hashed"])
+def test_recall_of_codes(spark, tmp_path, kind):
+    """Codes, probes and candidates as the index chooses them, on ids divisible by 50 against brute force."""
+    inputs = Inputs(spark, "/root/testdata/sf0.1")
+    if kind == "hashed":
+        rows = embed.embed_texts(embed.embedding_text(inputs.clean), "embedding_text", 64)
+    else:
+        rows = inputs.planted if kind == "planted" else inputs.embedded
+    vector.write_index(vector.ivf_build(cut(rows.select("product_id", "embedding")), codes=True), str(tmp_path))
+    index = vector.read_index(spark, str(tmp_path))
+    rows, codes = index.rows.toPandas().set_index("product_id"), index.codes.toPandas()
+    assert sorted(codes.product_id) == sorted(rows.index) and set(map(len, codes.code)) == {16}
+    units = np.stack(rows.embedding.to_numpy())
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows["embedding"] = list(units)
+    ids = rows.index.to_numpy()
+    for k in (10, 50):
+        share = []
+        for i in np.flatnonzero(ids % 50 == 0):
+            nearest = ids[np.lexsort((ids, np.round(1 - units @ units[i], 5)))[:k]]
+            share.append(np.isin(coded_top(index, rows, codes, units[i], k), nearest).mean())
+        assert np.mean(share) >= 0.9, (kind, k, np.mean(share), index.codebooks.depth)
+    first = units[np.flatnonzero(ids % 50 == 0)[0]]
+    got = [r.product_id for r in vector.ivf_search(index, first.tolist(), 10).collect()]
+    assert len(set(got) & set(coded_top(index, rows, codes, first, 10).tolist())) >= 9
+
+
+def bytes_read(spark):
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_codes_read_a_tenth_of_the_bytes(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 256))
+    rows = [(i, (centres[i % 40] + 0.5 * rng.normal(size=256)).tolist()) for i in range(12_000)]
+    frame = cut(spark.createDataFrame(rows, "product_id long, embedding array<double>").repartition(8))
+    index = vector.ivf_build(frame, lists=12, codes=True)
+    vector.write_index(index, str(tmp_path))
+    index = vector.read_index(spark, str(tmp_path))
+    plain = vector.read_index(spark, str(tmp_path))
+    plain.codebooks = None
+    cost, answers = [], []
+    spark._jsc.hadoopConfiguration().set("parquet.hadoop.vectored.io.enabled", "false")  # such reads are not counted
+    for one in (plain, index):
+        start = bytes_read(spark)
+        answers.append({r.product_id for r in vector.ivf_search(one, rows[7][1], 10, nprobe=6).collect()})
+        cost.append(bytes_read(spark) - start)
+    spark._jsc.hadoopConfiguration().unset("parquet.hadoop.vectored.io.enabled")
+    assert len(answers[0] & answers[1]) >= 9
+    assert cost[1] * 10 <= cost[0], cost
+    whole = vector.ivf_search(index, rows[7][1], 10, nprobe=len(index.centroids)).collect()
+    assert whole == vector.vector_top_k(frame, rows[7][1], 10).collect()
+
+
+def test_appended_rows_get_codes(spark, tmp_path):
+    """Rows added to a coded index are found; few rows, copies, an odd number of parts and bad vectors are no trouble."""
+    rng = np.random.default_rng(5)
+    good = [(i, rng.normal(size=7).tolist()) for i in range(60)] + [(100 + i, [1.0] * 7) for i in range(40)]
+    bad = [(900, None), (901, []), (902, [0.0] * 7), (903, [1.0] * 3), (904, [float("nan")] * 7)]
+    schema = "product_id long, embedding array<double>"
+    table = str(tmp_path / "table")
+    spark.createDataFrame(good[:50] + bad, schema).coalesce(1).write.parquet(table)
+    held = spark.read.schema(schema).parquet(table)
+    vector.write_index(vector.ivf_build(held, lists=4, codes=True), str(tmp_path / "index"), held.inputFiles())
+    spark.createDataFrame(good[50:] + bad, schema).coalesce(1).write.mode("append").parquet(table)
+    index = vector.read_index(spark, str(tmp_path / "index"))
+    vector.append_index(index, spark.read.schema(schema).parquet(table))
+    index = vector.read_index(spark, str(tmp_path / "index"))
+    assert index.codes.count() == index.rows.count() == len(good)
+    for query in (good[55][1], good[70][1]):
+        index.nprobe = 3
+        index.codebooks.depth = 4.0
+        near = [r.product_id for r in vector.ivf_search(index, query, 5).collect()]
+        exact = [r.product_id for r in vector.vector_top_k(spark.read.schema(schema).parquet(table), query, 5).collect()]
+        assert near[0] == exact[0] and len(near) == 5
+    assert vector.ivf_search(index, good[3][1], 5, nprobe=1).count() == 5
+
+
+def test_ranges_of_ids_are_bounded(spark):
+    ids = sorted(int(i) for i in np.random.default_rng(6).choice(10**6, 1000, replace=False))
+    condition = str(vector._id_ranges(ids))
+    assert 0 < condition.count(">=") <= vector.ID_RANGES
+    rows = spark.createDataFrame([(i,) for i in ids], "product_id long")
+    assert rows.where(vector._id_ranges(ids)).count() == len(ids)
+    assert rows.where(vector._id_ranges([])).count() == 0 and rows.where(vector._id_ranges(ids[:1])).count() == 1
+
+
 def test_lists_stay_short_in_two_levels(spark):
     """Lists in proportion to the rows of a cell: a dense group does not end in one list."""
     rng = np.random.default_rng(2)
