@@ -33,7 +33,7 @@ CENTROIDS = "list_id int, centroid array<double>, nprobe int, depth double"
 CODEBOOKS = "piece int, entries array<array<double>>"
 #: Pages of stored vectors hold about so many bytes, so that a few rows can be read without the others.
 PAGE_BYTES = 8192
-#: Ranges of ids that a read of candidates names; candidates that one request compares by their vectors at most.
+#: Ranges of ids that a read of candidates names, unless their lists are more; candidates of one request at most.
 ID_RANGES = 128
 MOST_CANDIDATES = 20_000
 
@@ -206,8 +206,11 @@ def _write_part(rows: DataFrame, codes: DataFrame | None, path: str, files: list
     """Store vectors with their `list_id`, and their codes, as a part of the index. Last comes the manifest's entry, so
     that a part that failed half way is never read."""
     spark, part = rows.sparkSession, uuid.uuid4().hex
-    _write_lists(rows, f"{path}/vectors/part={part}", _rows_per_page(rows))
-    if codes is not None:
+    if codes is None:
+        _write_lists(rows, f"{path}/vectors/part={part}")
+    else:
+        pages = {"parquet.page.row.count.limit": _rows_per_page(rows), "parquet.enable.dictionary": "false"}
+        _write_lists(rows.withColumn("in_list", F.col("list_id")), f"{path}/vectors/part={part}", pages)
         _write_lists(codes, f"{path}/codes/part={part}")
     held = [(part, file_name(f)) for f in files] if files is not None else [(part, None)]
     spark.createDataFrame(held, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
@@ -219,13 +222,12 @@ def _rows_per_page(rows: DataFrame) -> int:
     return max(1, PAGE_BYTES // (8 * one.parts)) if one else 1
 
 
-def _write_lists(rows: DataFrame, path: str, page_rows: int | None = None) -> None:
+def _write_lists(rows: DataFrame, path: str, options: dict | None = None) -> None:
     """A folder per list, a list of many rows in several files, each in the order of its ids."""
     sizes = rows.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("files"))
     spread = rows.join(F.broadcast(sizes), "list_id").withColumn("_file", F.pmod(F.xxhash64("product_id"), F.col("files")))
     dealt = spread.repartition("list_id", "_file").sortWithinPartitions("list_id", "_file", "product_id")
-    pages = {"parquet.page.row.count.limit": str(page_rows)} if page_rows else {}
-    dealt.drop("_file", "files").write.options(**pages).partitionBy("list_id").parquet(path)
+    dealt.drop("_file", "files").write.options(**options or {}).partitionBy("list_id").parquet(path)
 
 
 def write_index(index: VectorIndex, path: str, files: list[str] | None = None) -> None:
@@ -262,10 +264,10 @@ def read_index(spark: SparkSession, path: str) -> VectorIndex:
         return rows.where(F.col("part").isin(parts)).drop("part")
 
     files = None if any(r.file is None for r in held) else frozenset(r.file for r in held)
-    index = VectorIndex(
-        np.stack(centroids.centroid.to_numpy()), lists("vectors", "embedding array<double>"), int(centroids.nprobe[0]), files, path
-    )
-    if centroids.depth.notna().all():
+    coded = centroids.depth.notna().all()
+    vectors = lists("vectors", "embedding array<double>" + (", in_list int" if coded else ""))
+    index = VectorIndex(np.stack(centroids.centroid.to_numpy()), vectors, int(centroids.nprobe[0]), files, path)
+    if coded:
         books = spark.read.schema(CODEBOOKS).parquet(f"{path}/codebooks").orderBy("piece").collect()  # one row per piece
         index.codebooks = quantise.Codebooks(np.array([b.entries for b in books]), float(centroids.depth[0]))
         index.codes = lists("codes", "code binary")
@@ -291,20 +293,25 @@ def _candidates(index: VectorIndex, query: np.ndarray, lists: list[int], number:
     """Vectors of the rows that are nearest by their codes. Their ids come to the driver, MOST_CANDIDATES at most."""
     distance = quantise.coded_distance(index.codebooks, index.centroids, query)
     coded = index.codes.where(F.col("list_id").isin(lists)).withColumn("distance", distance)
-    found = coded.orderBy("distance", "product_id").limit(number).select("product_id", "list_id").collect()
+    found = coded.orderBy("distance", "product_id").limit(number).select("list_id", "product_id").collect()
     ids, held = sorted({r.product_id for r in found}), sorted({r.list_id for r in found})
-    return index.rows.where(F.col("list_id").isin(held) & _id_ranges(ids) & F.col("product_id").isin(ids))
+    chosen = F.col("list_id").isin(held) & F.col("product_id").isin(ids)
+    return index.rows.where(chosen & _id_ranges(sorted(map(tuple, found)), "in_list") if index.path else chosen)
 
 
-def _id_ranges(ids: list[int]) -> Column:
-    """A condition that the scan can push down to pages: ID_RANGES ranges at most around sorted ids, parted at the widest
-    gaps, joined as a balanced tree."""
-    if not ids:
+def _id_ranges(places: list[tuple[int, int]], name: str) -> Column:
+    """A condition on the column `name` of lists and the ids that the scan can push down to pages: ranges around sorted
+    (list, id) pairs, parted between lists and at the widest gaps, joined as a balanced tree. ID_RANGES at most, or
+    one per list."""
+    if not places:
         return F.lit(False)
-    widest = sorted(np.argsort(-np.diff(ids), kind="stable")[: ID_RANGES - 1].tolist())
-    starts = [0] + [w + 1 for w in widest]
-    ends = [w for w in widest] + [len(ids) - 1]
-    terms = [F.col("product_id").between(ids[a], ids[b]) for a, b in zip(starts, ends)]
+    gaps = [b[1] - a[1] if a[0] == b[0] else np.inf for a, b in zip(places, places[1:])]
+    between = sum(np.isinf(gaps))
+    cuts = sorted(np.argsort(-np.array(gaps), kind="stable")[: max(between, ID_RANGES - 1)].tolist())
+    starts, ends = [0] + [c + 1 for c in cuts], cuts + [len(places) - 1]
+    terms = [
+        (F.col(name) == places[a][0]) & F.col("product_id").between(places[a][1], places[b][1]) for a, b in zip(starts, ends)
+    ]
     while len(terms) > 1:
         terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
     return terms[0]

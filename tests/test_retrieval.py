@@ -3,11 +3,13 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.prices import price_limits
+from assortment.functions.vectors import list_array
 from assortment.operators import embed, knn, retrieval, vector
 from assortment.sources.lineage import cut
 from checks.queries import Inputs
@@ -230,8 +232,9 @@ def bytes_read(spark):
 def test_codes_read_a_tenth_of_the_bytes(spark, tmp_path):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 256))
-    rows = [(i, (centres[i % 40] + 0.5 * rng.normal(size=256)).tolist()) for i in range(12_000)]
-    frame = cut(spark.createDataFrame(rows, "product_id long, embedding array<double>").repartition(8))
+    units = centres[np.arange(12_000) % 40] + 0.5 * rng.normal(size=(12_000, 256))
+    table = pa.table({"product_id": pa.array(range(12_000), pa.int64()), "embedding": list_array(units)})
+    frame, query = cut(spark.createDataFrame(table).repartition(8)), units[7].tolist()
     index = vector.ivf_build(frame, lists=12, codes=True)
     vector.write_index(index, str(tmp_path))
     index = vector.read_index(spark, str(tmp_path))
@@ -241,13 +244,13 @@ def test_codes_read_a_tenth_of_the_bytes(spark, tmp_path):
     spark._jsc.hadoopConfiguration().set("parquet.hadoop.vectored.io.enabled", "false")  # such reads are not counted
     for one in (plain, index):
         start = bytes_read(spark)
-        answers.append({r.product_id for r in vector.ivf_search(one, rows[7][1], 10, nprobe=6).collect()})
+        answers.append({r.product_id for r in vector.ivf_search(one, query, 10, nprobe=6).collect()})
         cost.append(bytes_read(spark) - start)
     spark._jsc.hadoopConfiguration().unset("parquet.hadoop.vectored.io.enabled")
     assert len(answers[0] & answers[1]) >= 9
     assert cost[1] * 10 <= cost[0], cost
-    whole = vector.ivf_search(index, rows[7][1], 10, nprobe=len(index.centroids)).collect()
-    assert whole == vector.vector_top_k(frame, rows[7][1], 10).collect()
+    whole = vector.ivf_search(index, query, 10, nprobe=len(index.centroids)).collect()
+    assert whole == vector.vector_top_k(frame, query, 10).collect()
 
 
 def test_appended_rows_get_codes(spark, tmp_path):
@@ -275,12 +278,13 @@ def test_appended_rows_get_codes(spark, tmp_path):
 
 
 def test_ranges_of_ids_are_bounded(spark):
-    ids = sorted(int(i) for i in np.random.default_rng(6).choice(10**6, 1000, replace=False))
-    condition = str(vector._id_ranges(ids))
-    assert 0 < condition.count(">=") <= vector.ID_RANGES
-    rows = spark.createDataFrame([(i,) for i in ids], "product_id long")
-    assert rows.where(vector._id_ranges(ids)).count() == len(ids)
-    assert rows.where(vector._id_ranges([])).count() == 0 and rows.where(vector._id_ranges(ids[:1])).count() == 1
+    random = np.random.default_rng(6)
+    places = sorted((int(i % 3), int(i)) for i in random.choice(10**6, 1000, replace=False))
+    assert 0 < str(vector._id_ranges(places, "in_list")).count(">=") <= vector.ID_RANGES
+    rows = spark.createDataFrame(places, "in_list int, product_id long")
+    assert rows.where(vector._id_ranges(places, "in_list")).count() == len(places)
+    assert rows.where(vector._id_ranges(places[:40], "in_list")).count() == 40
+    assert rows.where(vector._id_ranges(places[-1:], "in_list")).count() == 1 and rows.where(vector._id_ranges([], "in_list")).count() == 0
 
 
 def test_lists_stay_short_in_two_levels(spark):
