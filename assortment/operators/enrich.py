@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assortment import fixed
 from assortment.functions.text import fill, strip
-from assortment.operators.calls import in_groups, retried
+from assortment.operators.calls import REPLIES, Ledger, in_groups, reply_key, retried
 from assortment.operators.embed import token_count
 from assortment.operators.numbering import with_position
 from assortment.sources.lineage import cut
@@ -18,6 +18,7 @@ from assortment.sources.tables import Catalogue
 CALL_ROWS = 20
 GROUP_ROWS = 1280
 TEMPLATE_MODEL = "template"
+CUSTOM_MODEL = "custom"
 
 # prompts -> one (text, tokens in, tokens out) per prompt
 Generator = Callable[[list[str]], list[tuple[str, int, int]]]
@@ -53,11 +54,14 @@ def template_text(prompt: Column) -> Column:
     return F.concat(line("Product"), F.lit(" by "), line("Brand"), F.lit(", "), line("Category"))
 
 
-def generate_text(rows: DataFrame, generator: Generator | None = None) -> DataFrame:
+def generate_text(
+    rows: DataFrame, generator: Generator | None = None, ledger: Ledger | None = None, model: str | None = None
+) -> DataFrame:
     """Add `text`, `tokens_input`, `tokens_output` for the `prompt` column.
 
     Without a generator the template text is made by columns. A generator gets up to CALL_ROWS prompts at a
-    time; a failing call is tried again, then fails its task.
+    time; a failing call is tried again, then fails its task. With a `ledger` the replies of a call are stored before the
+    next call is made, and prompts of `model` that have a stored reply are not asked again.
     """
     if generator is None:
         out = rows.withColumn("text", template_text(F.col("prompt")))
@@ -69,6 +73,8 @@ def generate_text(rows: DataFrame, generator: Generator | None = None) -> DataFr
     schema = ", ".join(names + [f"{n} {t}" for n, t in added.items()])
 
     generate = retried(generator)
+    if ledger is not None:
+        return _remembered(rows, generate, ledger, model or CUSTOM_MODEL)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (b.iloc[at:at + CALL_ROWS] for b in batches for at in range(0, len(b), CALL_ROWS)):
@@ -78,6 +84,30 @@ def generate_text(rows: DataFrame, generator: Generator | None = None) -> DataFr
     return rows.mapInPandas(call, schema)
 
 
+def _remembered(rows: DataFrame, generate: Callable, ledger: Ledger, model: str) -> DataFrame:
+    """`generate_text` through a ledger: replies are joined by key, the other prompts are asked once each.
+
+    Only distinct prompts without a reply reach the generator, spread by key; what they are told is joined again.
+    """
+    keyed = rows.withColumn("_key", reply_key(model, F.col("prompt")))
+    known = cut(ledger.known(rows.sparkSession))
+    asked = keyed.select("_key", "prompt").dropDuplicates(["_key"]).join(known, F.col("_key") == F.col("reply_key"), "left_anti")
+    page_of = ledger.book()
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        page = page_of()
+        for batch in (b.iloc[at:at + CALL_ROWS] for b in batches for at in range(0, len(b), CALL_ROWS)):
+            new = batch[~batch._key.isin(list(page.replies))]
+            if len(new):
+                page.add(list(new._key), generate(list(new.prompt)))
+            replies = [(key, *page.replies[key]) for key in batch._key]
+            yield pd.DataFrame(replies, columns=["reply_key", "text", "tokens_input", "tokens_output"])
+
+    told = cut(asked.mapInPandas(call, REPLIES))
+    replies = known.unionByName(told)
+    return keyed.join(replies, F.col("_key") == F.col("reply_key")).drop("_key", "reply_key")
+
+
 def generation_cost(tokens_input: Column, tokens_output: Column) -> Column:
     return (
         tokens_input * fixed.GENERATION_USD_PER_TOKEN_IN + tokens_output * fixed.GENERATION_USD_PER_TOKEN_OUT
@@ -86,15 +116,15 @@ def generation_cost(tokens_input: Column, tokens_output: Column) -> Column:
 
 def enriched_rows(
     products: DataFrame, at: dt.datetime, generator: Generator | None = None, model: str | None = None,
-    keep_cluster_id: bool = True,
+    keep_cluster_id: bool = True, ledger: Ledger | None = None,
 ) -> DataFrame:
     """`products_enriched` rows for (product columns, cluster_id, cluster_label)."""
-    made = generate_text(description_prompt(products), generator)
+    made = generate_text(description_prompt(products), generator, ledger, model)
     cluster_id = F.col("cluster_id") if keep_cluster_id else F.lit(None)
     return made.select(
         "product_id", cluster_id.cast("long").alias("cluster_id"), "cluster_label",
         strip(F.col("text")).alias("description_enriched"),
-        F.lit(model or (TEMPLATE_MODEL if generator is None else "custom")).alias("description_model"),
+        F.lit(model or (TEMPLATE_MODEL if generator is None else CUSTOM_MODEL)).alias("description_model"),
         F.lit(fixed.DESCRIPTION_TONE).alias("description_tone"),
         F.col("tokens_input").alias("description_tokens_input"),
         F.col("tokens_output").alias("description_tokens_output"),
@@ -115,12 +145,13 @@ def total_cost(rows: DataFrame) -> DataFrame:
 
 def enrich_incremental(
     catalogue: Catalogue, at: dt.datetime, generator: Generator | None = None, model: str | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = GROUP_ROWS, ledger: Ledger | None = None,
 ) -> dict:
     """Describe the products that have no description and append them; returns counts.
 
     With a generator, `group_rows` products are described side by side and appended before the next ones are, so a
-    failure keeps what was paid for before it.
+    failure keeps what was paid for before it; with a `ledger` it keeps each call that came back, also those of the
+    group that failed.
     """
     pending = pending_enrichment(
         catalogue.read("products_clean"), catalogue.read_reloaded("products_clustered"),
@@ -130,7 +161,7 @@ def enrich_incremental(
     figures = {"enriched": 0, "total_cost_usd": 0.0}
     for group in groups:
         written = Observation()
-        catalogue.append(enriched_rows(group, at, generator, model).observe(written, *_totals()), "products_enriched")
+        catalogue.append(enriched_rows(group, at, generator, model, ledger=ledger).observe(written, *_totals()), "products_enriched")
         figures = {name: value + written.get[name] for name, value in figures.items()}
     return figures | {"total_cost_usd": round(figures["total_cost_usd"], 4)}
 

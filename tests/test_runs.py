@@ -2,11 +2,12 @@
 
 import datetime as dt
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from assortment.operators import clusters, embed, enrich, numbering
+from assortment.operators import calls, clusters, embed, enrich, numbering
 from assortment.plans import run
 from assortment.sources import schemas, tables
 from assortment.sources.fixtures import AS_OF
@@ -151,12 +152,12 @@ def test_failed_run_is_logged_and_raised(spark, catalogue):
 
 def test_failure_keeps_earlier_groups_and_later_run_calls_for_the_rest(spark, catalogue, tmp_path):
     with_clean(spark, catalogue)
-    calls = tmp_path / "calls"
-    calls.mkdir()
+    made = tmp_path / "calls"
+    made.mkdir()
 
     def embedder(broken):
         def call(texts):
-            (calls / f"{broken}-{hashlib.md5(texts[0].encode()).hexdigest()}").write_text(str(len(texts)))
+            (made / f"{broken}-{hashlib.md5(texts[0].encode()).hexdigest()}").write_text(str(len(texts)))
             if broken and any("ZZ-AWAY" in t for t in texts):
                 raise RuntimeError("model is away")
             return [[1.0, 2.0] for _ in texts], len(texts)
@@ -173,7 +174,7 @@ def test_failure_keeps_earlier_groups_and_later_run_calls_for_the_rest(spark, ca
         embed.embed_incremental(catalogue, AS_OF, embedder(True), **options)
     assert catalogue.read("products_embedded").count() == 160
     assert embed.embed_incremental(catalogue, AS_OF, embedder(False), **options)["embedded"] == 35
-    assert sum(int(p.read_text()) for p in calls.glob("False-*")) == 35
+    assert sum(int(p.read_text()) for p in made.glob("False-*")) == 35
 
     def writer(prompts):
         if any("ZZ-AWAY" in p for p in prompts):
@@ -189,6 +190,52 @@ def test_failure_keeps_earlier_groups_and_later_run_calls_for_the_rest(spark, ca
     assert catalogue.read("products_enriched").count() == 150
 
 
+@pytest.mark.parametrize("end", ["killed", "raised"])
+def test_paid_replies_are_never_asked_again(spark, catalogue, tmp_path, end):
+    """A run that ends within its only group: the next one asks for the rest, a third one for nothing."""
+    with_clean(spark, catalogue)
+    named = catalogue.read("products_clean").withColumn("name", F.concat("name", F.lit(" "), F.col("product_id")))
+    named.write.parquet(str(tmp_path / "named"))
+    named = spark.read.parquet(str(tmp_path / "named"))
+    catalogue.overwrite(named, "products_clean")
+    paid = tmp_path / "paid"
+    paid.mkdir()
+
+    def writer(breaks):
+        def call(prompts):
+            if breaks and len(list(paid.glob("*"))) == 4:
+                if end == "killed":
+                    os._exit(1)
+                raise RuntimeError("model is away")
+            (paid / hashlib.md5("".join(prompts).encode()).hexdigest()).write_text("\0".join(prompts))
+            return [(f" {p[-40:]} ", 7, 3) for p in prompts]
+
+        return call
+
+    ledger = calls.Ledger(str(tmp_path / "ledger"))
+    with pytest.raises(Exception):
+        enrich.enrich_incremental(catalogue, AS_OF, writer(True), ledger=ledger)
+    assert catalogue.read("products_enriched").count() == 0 and ledger.known(spark).count() == 80
+    assert enrich.enrich_incremental(catalogue, AS_OF, writer(False), ledger=ledger)["enriched"] == 195
+    asked = [p for f in paid.glob("*") for p in f.read_text().split("\0")]
+    assert len(asked) == len(set(asked)) == 195
+    assert catalogue.read("products_enriched").agg(F.sum("description_tokens_input")).first()[0] == 7 * 195
+    before = len(list(paid.glob("*")))
+    prompts = enrich.description_prompt(named.withColumn("cluster_label", F.lit(None).cast("string")))
+    again = enrich.generate_text(prompts.unionByName(prompts), writer(True), ledger)
+    assert again.count() == 2 * 195 and len(list(paid.glob("*"))) == before
+    other = enrich.generate_text(prompts.limit(3), writer(False), ledger, "another model").collect()
+    assert len(other) == 3 and len(list(paid.glob("*"))) == before + 1
+
+
+def test_an_attempt_finds_what_the_one_before_it_stored(tmp_path):
+    first = calls._Page(str(tmp_path / "ledger"), 3)
+    first.add(["a", "b"], [("one", 1, 2), (None, 0, 0)])
+    (tmp_path / "ledger" / "task-3" / "_half").write_bytes(b"PAR1")
+    assert calls._Page((tmp_path / "ledger").as_uri(), 3).replies == {"a": ("one", 1, 2), "b": (None, 0, 0)}
+    assert calls._Page(str(tmp_path / "ledger"), 4).replies == {}
+
+
 def test_reload_may_be_repeated_with_any_clock(spark, catalogue):
     found = lambda *ids: spark.createDataFrame([(i, 0, 1.0) for i in ids], "product_id long, cluster_id long, cluster_probability double")
     names = spark.createDataFrame([(0, "A")], "cluster_id long, cluster_label string")
