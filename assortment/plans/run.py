@@ -26,17 +26,18 @@ def run_sql_layers(catalogue: Catalogue, products: DataFrame, at: dt.datetime, *
 
 
 def cluster_catalogue(
-    catalogue: Catalogue, at: dt.datetime, labeller=None, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE, **options
+    catalogue: Catalogue, at: dt.datetime, labeller=None, min_cluster_size: int = fixed.MIN_CLUSTER_SIZE,
+    contrast: bool = False, **options,
 ) -> dict:
     """Cluster all vectors anew and replace `products_clustered`; returns counts.
 
     Vectors are reduced to REDUCED_DIM parts first unless `reduced_dim` says otherwise; neighbours are exact unless
-    `nprobe` is given.
+    `nprobe` is given. `contrast` makes labels of phrases that set clusters apart.
     """
     options.setdefault("reduced_dim", fixed.REDUCED_DIM)
     vectors = catalogue.read("products_embedded").select("product_id", "embedding")
     found = cut(clusters.cluster_vectors(vectors, min_cluster_size, **options))
-    named = labels.label_clusters(found, catalogue.read("products_clean"), labeller)
+    named = labels.label_clusters(found, catalogue.read("products_clean"), labeller, contrast)
     rows = clusters.assign_clusters(found, named, at, min_cluster_size)
     catalogue.reload(rows, "products_clustered")
     return clusters.cluster_stats(found).first().asDict()

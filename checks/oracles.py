@@ -549,6 +549,41 @@ ORACLES["analyze_intent"] = f"""
 SELECT cluster_id, coalesce(nullif(s.cluster_label, ''), 'Cluster ' || cluster_id) AS cluster_label, hit_count, products_total, avg_price,
  CAST(length(prompt) AS VARCHAR) AS positioning, CAST(length(prompt) - length(replace(prompt, '€', '')) AS VARCHAR) AS price_range,
  'ok' AS buyer_action FROM intent_clusters JOIN intent_stats s USING (cluster_id) JOIN ({ORACLES["brief_prompt"]}) USING (cluster_id)"""
+CTE["even_prompts"] = f"SELECT DISTINCT {_prompt()} AS prompt FROM enrichment_pending WHERE product_id % 2 = 0"
+ORACLES["generate_text_once"] = f"""
+SELECT product_id, mark || ' ' || right(prompt, 12) AS text, length(prompt) AS tokens_input, CAST(mark AS BIGINT) AS tokens_output
+FROM (SELECT product_id, p.prompt, CASE WHEN e.prompt IS NULL THEN 2 ELSE 1 END AS mark
+ FROM (SELECT product_id, {_prompt()} AS prompt FROM enrichment_pending) p LEFT JOIN even_prompts e ON p.prompt = e.prompt)"""
+CTE["cluster_words"] = f"""
+SELECT cluster_id, product_id, {TOKENS.format("name || ' ' || category")} AS words
+FROM (SELECT * FROM products_clustered WHERE cluster_id <> -1) JOIN products_clean USING (product_id)"""
+CTE["phrase_counts"] = """
+SELECT cluster_id, phrase, count(*) AS n FROM (
+ SELECT DISTINCT cluster_id, product_id, array_to_string(words[s : s + k - 1], ' ') AS phrase
+ FROM (SELECT cluster_id, product_id, words, unnest(range(1, len(words) + 1)) AS s FROM cluster_words), (SELECT unnest([1, 2, 3]) AS k)
+ WHERE s + k - 1 <= len(words)) GROUP BY cluster_id, phrase"""
+CTE["phrase_cells"] = """
+SELECT cluster_id, phrase, n, CAST(n AS DOUBLE) AS a, CAST(sum(n) OVER (PARTITION BY phrase) AS DOUBLE) AS t,
+ CAST(size AS DOUBLE) AS s, CAST((SELECT count(*) FROM cluster_words) AS DOUBLE) AS e
+FROM phrase_counts JOIN (SELECT cluster_id, count(*) AS size FROM cluster_words GROUP BY cluster_id) USING (cluster_id)"""
+CTE["contrasts"] = """
+SELECT cluster_id, phrase, n, round((CASE WHEN a * e >= t * s THEN 1 ELSE -1 END) * 2 * (
+  CASE WHEN a > 0 THEN a * ln(a * e / (t * s)) ELSE 0 END + CASE WHEN t - a > 0 THEN (t - a) * ln((t - a) * e / (t * (e - s))) ELSE 0 END
+  + CASE WHEN s - a > 0 THEN (s - a) * ln((s - a) * e / ((e - t) * s)) ELSE 0 END
+  + CASE WHEN e - s - t + a > 0 THEN (e - s - t + a) * ln((e - s - t + a) * e / ((e - t) * (e - s))) ELSE 0 END), 6) AS contrast
+FROM phrase_cells"""
+CTE["contrast_best"] = """
+SELECT cluster_id, phrase FROM (SELECT *, row_number() OVER (
+ PARTITION BY cluster_id ORDER BY contrast DESC, n DESC, len(string_split(phrase, ' ')) DESC, phrase) AS rn FROM contrasts) WHERE rn = 1"""
+CTE["contrast_second"] = """
+SELECT cluster_id, phrase FROM (SELECT c.*, row_number() OVER (
+ PARTITION BY cluster_id ORDER BY contrast DESC, n DESC, len(string_split(c.phrase, ' ')) DESC, c.phrase) AS rn
+ FROM contrasts c JOIN contrast_best b USING (cluster_id)
+ WHERE len(string_split(c.phrase, ' ')) < 3 AND NOT list_has_any(string_split(c.phrase, ' '), string_split(b.phrase, ' '))) WHERE rn = 1"""
+ORACLES["phrase_contrast"] = "SELECT cluster_id, phrase, n, contrast FROM contrasts"
+ORACLES["contrast_labels"] = """
+SELECT cluster_id, array_to_string(list_transform(string_split(concat_ws(' ', b.phrase, s.phrase), ' '),
+ lambda w: upper(w[1]) || substr(w, 2)), ' ') AS cluster_label FROM contrast_best b LEFT JOIN contrast_second s USING (cluster_id)"""
 CTE["linked"] = """
 SELECT a, b FROM edges WHERE weight <= 0.4 UNION SELECT b, a FROM edges WHERE weight <= 0.4"""
 CTE["reach"] = """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assortment import fixed
 from assortment.functions import numbers, text, vectors
 from assortment.operators import (
-    clusters, dashboard, embed, enrich, labels, quality, retrieval, staging, transform, vector, views,
+    calls, clusters, dashboard, embed, enrich, labels, quality, retrieval, staging, transform, vector, views,
 )
 from assortment.plans import requests, run
 from assortment.sources import fixtures, lineage, tables
@@ -755,6 +755,20 @@ def generate_text(i):
     return enrich.generate_text(_prompts(i), writer).select("product_id", "text", "tokens_input", "tokens_output")
 
 
+@query
+def generate_text_once(i):
+    """Prompts through a ledger: products of even ids are described first; then all are, and only prompts without a stored
+    reply are asked."""
+
+    def writer(mark):
+        return lambda prompts: [(f"{mark} {p[-12:]}", len(p), mark) for p in prompts]
+
+    ledger = calls.Ledger(lineage.work_path(i.spark, "ledger"))
+    enrich.generate_text(_prompts(i).where("product_id % 2 = 0"), writer(1), ledger, "model").count()
+    found = enrich.generate_text(_prompts(i), writer(2), ledger, "model")
+    return found.select("product_id", "text", "tokens_input", "tokens_output")
+
+
 @query
 def generation_cost(i):
     products = enrich.pending_enrichment(i.clean, i.clustered, i.enriched)
@@ -894,6 +908,16 @@ def label_clusters(i):
     return labels.label_clusters(i.clustered, i.clean)
 
 
+@query
+def phrase_contrast(i):
+    return labels.phrase_contrast(i.clustered, i.clean)
+
+
+@query
+def contrast_labels(i):
+    return labels.label_clusters(i.clustered, i.clean, contrast=True)
+
+
 @query
 def catalogue_run(i):
     """Source rows to described clusters in one logged run; returns the cluster rows."""

@@ -333,6 +333,28 @@ def test_samples_and_labels(spark):
     assert {r.cluster_label for r in named.collect()} == {"Soft Gold"}
 
 
+def test_contrast_labels_name_what_sets_clusters_apart(spark):
+    """Frequent words that all clusters share do not name them; labels of different clusters differ."""
+    themes = {1: "thin gold ring", 2: "steel bolt", 3: "wool"}
+    rows = [(10 * c + n, c, f"Best Shop {t} item {n}") for c, t in themes.items() for n in range(10)]
+    rows += [(90, -1, "noise words"), (91, 4, ""), (92, 4, None)]
+    clustered = spark.createDataFrame([r[:2] for r in rows], "product_id long, cluster_id long").repartition(3)
+    clean = spark.createDataFrame([(r[0], r[2], "") for r in rows], "product_id long, name string, category string")
+    named = {r.cluster_id: r.cluster_label for r in labels.label_clusters(clustered, clean, contrast=True).collect()}
+    assert sorted(named) == [1, 2, 3] and len(set(named.values())) == 3
+    assert named[1].startswith("Thin Gold Ring") and "Steel Bolt" in named[2] and "Wool" in named[3]
+    assert all(1 <= len(label.split()) <= 5 for label in named.values())
+    found = {(r.cluster_id, r.phrase): (r.n, r.contrast) for r in labels.phrase_contrast(clustered, clean).collect()}
+    inside, outside, cluster, every = 10, 0, 10, 32
+    cells = [(inside, 10, cluster), (outside, 10, every - cluster), (0, every - 10, cluster), (every - cluster, every - 10, every - cluster)]
+    ratio = 2 * sum(k * np.log(k * every / (a * b)) for k, a, b in cells if k)
+    assert found[1, "gold ring"] == (10, round(ratio, 6)) and (-1, "noise") not in found
+    assert abs(found[2, "best shop"][1]) < found[2, "steel"][1]
+    assert labels.contrast_labels(clustered.where("cluster_id < 0"), clean).count() == 0
+    alone = labels.contrast_labels(clustered.where("cluster_id = 3"), clean).collect()
+    assert [r.cluster_label.split()[0] for r in alone] == ["Best"]
+
+
 def test_reduced_vectors_keep_the_largest_directions(spark):
     """The projection equals that of another decomposition, up to the sign of each direction."""
     rows = Inputs(spark, "/root/testdata/sf0.001").planted.select("product_id", "embedding").orderBy("product_id").collect()
