@@ -110,11 +110,16 @@ def contrast_labels(clustered: DataFrame, clean: DataFrame) -> DataFrame:
     """(cluster_id, cluster_label) of up to five words: the phrase that sets a cluster apart most, and the one or two
     words that come next and share no word with it.
 
-    Of equal contrast the more frequent, longer, then first phrase in order counts. The filters on row numbers let map
-    tasks keep one phrase per cluster.
+    A phrase counts as much as its weakest word, so that words that all clusters share do not come in beside one that is
+    a cluster's own. Of equal phrases the more frequent, longer, then first in order counts. The filters on row numbers
+    let map tasks keep one phrase per cluster.
     """
-    ranked = cut(phrase_contrast(clustered, clean).withColumn("words", F.split("phrase", " ")))
-    order = Window.partitionBy("cluster_id").orderBy(F.desc("contrast"), F.desc("n"), F.desc(F.size("words")), "phrase")
+    found = cut(phrase_contrast(clustered, clean).withColumn("words", F.split("phrase", " ")))
+    own = found.where(F.size("words") == 1).select("cluster_id", F.col("phrase").alias("word"), F.col("contrast").alias("of_word"))
+    spread = found.withColumn("word", F.explode("words")).join(own, ["cluster_id", "word"])
+    weakest = F.least(F.col("contrast"), F.min("of_word")).alias("weakest")
+    ranked = cut(spread.groupBy("cluster_id", "phrase", "words", "n", "contrast").agg(weakest))
+    order = Window.partitionBy("cluster_id").orderBy(F.desc("weakest"), F.desc("n"), F.desc(F.size("words")), "phrase")
 
     def first(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")

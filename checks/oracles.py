@@ -572,13 +572,17 @@ SELECT cluster_id, phrase, n, round((CASE WHEN a * e >= t * s THEN 1 ELSE -1 END
   + CASE WHEN s - a > 0 THEN (s - a) * ln((s - a) * e / ((e - t) * s)) ELSE 0 END
   + CASE WHEN e - s - t + a > 0 THEN (e - s - t + a) * ln((e - s - t + a) * e / ((e - t) * (e - s))) ELSE 0 END), 6) AS contrast
 FROM phrase_cells"""
+CTE["contrast_weakest"] = """
+SELECT c.cluster_id, c.phrase, c.n, least(c.contrast, min(o.contrast)) AS weakest
+FROM (SELECT *, unnest(string_split(phrase, ' ')) AS word FROM contrasts) c JOIN contrasts o ON o.cluster_id = c.cluster_id AND o.phrase = c.word
+GROUP BY c.cluster_id, c.phrase, c.n, c.contrast"""
 CTE["contrast_best"] = """
 SELECT cluster_id, phrase FROM (SELECT *, row_number() OVER (
- PARTITION BY cluster_id ORDER BY contrast DESC, n DESC, len(string_split(phrase, ' ')) DESC, phrase) AS rn FROM contrasts) WHERE rn = 1"""
+ PARTITION BY cluster_id ORDER BY weakest DESC, n DESC, len(string_split(phrase, ' ')) DESC, phrase) AS rn FROM contrast_weakest) WHERE rn = 1"""
 CTE["contrast_second"] = """
 SELECT cluster_id, phrase FROM (SELECT c.*, row_number() OVER (
- PARTITION BY cluster_id ORDER BY contrast DESC, n DESC, len(string_split(c.phrase, ' ')) DESC, c.phrase) AS rn
- FROM contrasts c JOIN contrast_best b USING (cluster_id)
+ PARTITION BY cluster_id ORDER BY weakest DESC, n DESC, len(string_split(c.phrase, ' ')) DESC, c.phrase) AS rn
+ FROM contrast_weakest c JOIN contrast_best b USING (cluster_id)
  WHERE len(string_split(c.phrase, ' ')) < 3 AND NOT list_has_any(string_split(c.phrase, ' '), string_split(b.phrase, ' '))) WHERE rn = 1"""
 ORACLES["phrase_contrast"] = "SELECT cluster_id, phrase, n, contrast FROM contrasts"
 ORACLES["contrast_labels"] = """
