@@ -77,8 +77,10 @@ class _Page:
     """The replies that one task of a job has stored."""
 
     def __init__(self, folder: str, task: int):
-        remote = "://" in folder
-        self.store, self.folder = pafs.FileSystem.from_uri(folder) if remote else (pafs.LocalFileSystem(), folder)
+        scheme, _, path = folder.rpartition(":/")
+        local = scheme in ("", "file")
+        here = f"/{path.lstrip('/')}" if scheme else folder
+        self.store, self.folder = (pafs.LocalFileSystem(), here) if local else pafs.FileSystem.from_uri(folder)
         self.folder, self.replies = posixpath.join(self.folder, f"task-{task}"), {}
         self.store.create_dir(self.folder, recursive=True)
         for found in self.store.get_file_info(pafs.FileSelector(self.folder)):

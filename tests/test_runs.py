@@ -233,6 +233,7 @@ def test_an_attempt_finds_what_the_one_before_it_stored(tmp_path):
     first.add(["a", "b"], [("one", 1, 2), (None, 0, 0)])
     (tmp_path / "ledger" / "task-3" / "_half").write_bytes(b"PAR1")
     assert calls._Page((tmp_path / "ledger").as_uri(), 3).replies == {"a": ("one", 1, 2), "b": (None, 0, 0)}
+    assert calls._Page(f"file:{tmp_path}/ledger", 3).replies == first.replies
     assert calls._Page(str(tmp_path / "ledger"), 4).replies == {}
 
 
