@@ -2,6 +2,7 @@
 
 import datetime as dt
 from collections.abc import Callable, Iterator
+from math import ceil
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
@@ -16,6 +17,7 @@ from assortment.sources.lineage import cut
 from assortment.sources.tables import Catalogue
 
 CALL_ROWS = 20
+TASK_CALLS = 16
 GROUP_ROWS = 1280
 TEMPLATE_MODEL = "template"
 CUSTOM_MODEL = "custom"
@@ -87,7 +89,8 @@ def generate_text(
 def _remembered(rows: DataFrame, generate: Callable, ledger: Ledger, model: str) -> DataFrame:
     """`generate_text` through a ledger: replies are joined by key, the other prompts are asked once each.
 
-    Only distinct prompts without a reply reach the generator, spread by key; what they are told is joined again.
+    Only distinct prompts without a reply reach the generator, by key in tasks of some TASK_CALLS calls, as many as that
+    takes: adaptive execution would merge them by bytes. What they are told is joined again.
     """
     keyed = rows.withColumn("_key", reply_key(model, F.col("prompt")))
     known = cut(ledger.known(rows.sparkSession))
@@ -103,7 +106,9 @@ def _remembered(rows: DataFrame, generate: Callable, ledger: Ledger, model: str)
             replies = [(key, *page.replies[key]) for key in batch._key]
             yield pd.DataFrame(replies, columns=["reply_key", "text", "tokens_input", "tokens_output"])
 
-    told = cut(asked.mapInPandas(call, REPLIES))
+    asked = cut(asked)
+    tasks = max(1, ceil(asked.count() / (CALL_ROWS * TASK_CALLS)))
+    told = cut(asked.repartition(tasks, "_key").mapInPandas(call, REPLIES))
     replies = known.unionByName(told)
     return keyed.join(replies, F.col("_key") == F.col("reply_key")).drop("_key", "reply_key")
 
