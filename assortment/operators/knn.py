@@ -2,7 +2,8 @@
 
 Rows are dealt into blocks of bounded size; a task multiplies one chunk of queries with one block and keeps k rows per
 query. No pair of rows ever leaves a task but those k. Exact mode sends every query to every block: in the dimensions
-of text vectors no bound on distances leaves blocks out, so that its work grows with the square of the rows. Probe mode
+of text vectors no bound on distances leaves blocks out, so that its work grows with the square of the rows. The rows
+sent grow with the table alone, GRID times on either side, until a block reaches BLOCK_BYTES. Probe mode
 visits the cells of the nearest pivots only (an inverted-file search). `descent` finds neighbours by neighbour descent,
 with work in proportion to the rows.
 
@@ -18,16 +19,21 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from assortment.functions.vectors import has_direction, matrix, unit_rows
 from assortment.sources.lineage import cut
 
+#: Least rows of a block and of a chunk of queries, how many of them there are beyond that, and their bytes at most.
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 8192
+GRID = 12
+BLOCK_BYTES = 48 << 20
 CELL_ROWS = 2048
+#: Queries and rows of one matrix product.
+TILE = 256, 2048
 #: Neighbour descent: entries per list and direction, centres of a task, random rows per row, rounds at most, share of
 #: new entries at the end.
 LISTED = 20
@@ -36,33 +42,77 @@ RANDOM = 8
 ROUNDS = 20
 SETTLED = 0.01
 DECIMALS = 10
+#: Likenesses that are less apart can have the same rounded distance.
+TIE = 2e-10
 RESULT = "query long, id long, distance double"
 
 
+def parts(rows, least: int, length: int):
+    """How many blocks `rows` vectors (a number or a column) make: `least` rows each up to GRID blocks, then GRID until
+    a block would pass BLOCK_BYTES."""
+    most = max(1, BLOCK_BYTES // (8 * length))
+    if isinstance(rows, Column):
+        return F.least(F.ceil(rows / least), F.greatest(F.lit(GRID), F.ceil(rows / most))).cast("int")
+    return max(1, min(-(-rows // least), max(GRID, -(-rows // most))))
+
+
 def nearest_rows(asked_ids, asked, ids, units, k: int):
-    """(query, id, distance) arrays: the k nearest of `ids` per asked row, ties to the smaller id."""
-    order = np.argsort(ids, kind="stable")
-    ids, units = ids[order], units[order]
-    queries, found, distances = [], [], []
-    step = max(1, min(1024, 8_000_000 // max(1, len(ids))))
-    for start in range(0, len(asked_ids), step):
-        part_ids = asked_ids[start:start + step]
-        d = np.round(np.maximum(0.0, 1.0 - asked[start:start + step] @ units.T), DECIMALS)
-        top = min(k, len(ids))
-        worst = np.partition(d, top - 1, axis=1)[:, top - 1]
-        row, col = np.nonzero((d <= worst[:, None]) & np.isfinite(d))
-        by = np.lexsort((col, d[row, col], row))
-        row, col = row[by], col[by]
-        kept = np.arange(len(row)) - np.searchsorted(row, row) < top
-        row, col = row[kept], col[kept]
-        queries.append(part_ids[row])
-        found.append(ids[col])
-        distances.append(d[row, col])
+    """(query, id, distance) arrays: the k nearest of `ids` per asked row, ties to the smaller id.
+
+    A tile of short products is only compared with the k-th nearest row so far, less what they can be off by; the few
+    rows that may be nearer get their distance in full and are sorted in.
+    """
+    top, (queries, rows) = min(k, len(ids)), TILE
+    short, slack = units.astype(np.float32), (units.shape[1] + 8) * 2.0 ** -23 + TIE
+    out = []
+    for start in range(0, len(asked_ids), queries):
+        part = asked[start:start + queries]
+        short_part = part.astype(np.float32)
+        floor, best, found, waiting = np.full(len(part), -np.inf), None, [], 0
+        for first in range(0, len(ids), rows):
+            likeness = short_part @ short[first:first + rows].T
+            if first == 0 and likeness.shape[1] > top:
+                known = np.where(np.isnan(likeness), -np.inf, likeness)
+                floor = np.partition(known, -top, axis=1)[:, -top] - slack
+            at = np.flatnonzero(likeness >= (floor - slack).astype(np.float32)[:, None])
+            if not len(at):
+                continue
+            if many := 16 * len(at) > likeness.size:  # near copies: all in full
+                likeness = part @ units[first:first + rows].T
+                at = np.flatnonzero(likeness >= floor[:, None])
+            row, col = np.divmod(at, likeness.shape[1])
+            full = likeness.ravel()[at] if many else np.einsum("ij,ij->i", part[row], units[first + col])
+            d = np.round(np.maximum(0.0, 1.0 - full), DECIMALS)
+            fine = np.isfinite(d)
+            found.append((row[fine], ids[first + col[fine]], d[fine]))
+            waiting += len(at)
+            if waiting >= len(part) * top:
+                best = _best([best, *found] if best else found, top)
+                floor = _floor(best, len(part), top)
+                found, waiting = [], 0
+        best = _best([best, *found] if best else found, top) if found else best
+        if best:
+            out.append((asked_ids[start:start + queries][best[0]], *best[1:]))
     empty = np.empty(0, np.int64)
-    return (
-        np.concatenate([empty, *queries]), np.concatenate([empty, *found]),
-        np.concatenate([np.empty(0), *distances]),
-    )
+    return tuple(np.concatenate(c) for c in zip((empty, empty, np.empty(0)), *out))
+
+
+def _best(found: list[tuple], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The `top` nearest of (row, id, distance) arrays per row, by row."""
+    row, ids, d = (np.concatenate(c) for c in zip(*found))
+    by = np.lexsort((ids, d, row))
+    row = row[by]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < top
+    return row[kept], ids[by][kept], d[by][kept]
+
+
+def _floor(best: tuple, rows: int, top: int) -> np.ndarray:
+    """The least product by which a row can still come among the `top` of each."""
+    row, _, d = best
+    counts = np.bincount(row, minlength=rows)
+    floor, full = np.full(rows, -np.inf), counts >= top
+    floor[full] = 1.0 - d[np.cumsum(counts)[full] - 1] - TIE
+    return floor
 
 
 def _result(query, ids, distance) -> dict:
@@ -154,12 +204,12 @@ def cell_blocks(base: DataFrame, pivots: np.ndarray, block_rows: int = BLOCK_ROW
     return tagged.join(F.broadcast(places), "cell").withColumn("block", block).drop("first", "blocks"), places
 
 
-def _dealt(queries: DataFrame, base: DataFrame, rows: int, pivots, nprobe) -> tuple[DataFrame, DataFrame]:
+def _dealt(queries: DataFrame, base: DataFrame, rows: int, length: int, pivots, nprobe) -> tuple[DataFrame, DataFrame]:
     """Queries and base rows by (block, chunk)."""
-    chunks = max(1, -(-queries.count() // CHUNK_ROWS))
+    chunks = parts(queries.count(), CHUNK_ROWS, length)
     chunk = F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int")
     if nprobe is None:
-        blocks = -(-rows // BLOCK_ROWS)
+        blocks = parts(rows, BLOCK_ROWS, length)
         left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         right = base.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     else:
@@ -186,7 +236,7 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool, pivots, nprobe) -> DataFrame:
+def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool, length: int, pivots, nprobe) -> DataFrame:
     keep = k + 1 if exclude_self else k
     members = cut(_copies(base, keep))
     stored = members.where("copy = 1").select("id", "embedding")
@@ -198,7 +248,7 @@ def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool,
     else:
         each = _keyed(queries).groupBy("h1", "h2").agg(F.min("id").alias("query"), F.first("embedding").alias("embedding"))
         reps = cut(each.select("query", "embedding"))
-    left, right = _dealt(reps, stored, rows, pivots, nprobe)
+    left, right = _dealt(reps, stored, rows, length, pivots, nprobe)
     pairs = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
     return _for_rows(_top(pairs.applyInArrow(_block_search(keep), RESULT), keep), queries, members, keep, exclude_self)
 
@@ -224,10 +274,10 @@ def probe_lists(queries: DataFrame, lists: DataFrame, k: int, pivots: np.ndarray
     asked = directed(queries, pivots.shape[1]).select(F.col("id").alias("query"), "embedding", probed.alias("lists"))
     asked = cut(asked)
     each = asked.select("query", F.explode("lists").alias("list_id"))
-    load = each.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    load = each.groupBy("list_id").agg(parts(F.count(F.lit(1)), CHUNK_ROWS, pivots.shape[1]).alias("chunks"))
     wanted = [row.list_id for row in load.select("list_id").distinct().collect()]  # one number per list
     lists = lists.where(F.col("list_id").isin(wanted))
-    sizes = lists.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    sizes = lists.groupBy("list_id").agg(parts(F.count(F.lit(1)), BLOCK_ROWS, pivots.shape[1]).alias("blocks"))
     shape = F.broadcast(cut(load.join(sizes, "list_id")))  # one row per list
 
     left = asked.select("query", "embedding", F.explode("lists").alias("list_id")).join(shape, "list_id").select(
@@ -272,7 +322,7 @@ def knn_join(
     length = common_length(base) if pivots is None else pivots.shape[1]
     base = directed(base, length)
     queries = base if same else directed(queries, length)
-    return _top(_block_join(queries, base, k, exclude_self, pivots, nprobe), k)
+    return _top(_block_join(queries, base, k, exclude_self, length, pivots, nprobe), k)
 
 
 def descent(base: DataFrame, k: int, rounds: int = ROUNDS) -> DataFrame:

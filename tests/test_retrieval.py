@@ -388,3 +388,32 @@ def test_hashed_vectors(spark):
     got = {r.id: r.embedding for r in embed.embed_texts(rows, "t", 32).collect()}
     assert got[1] == got[2] and got[3] is None and got[4] is None and got[5] is None
     assert len(got[1]) == 32 and abs(np.linalg.norm(got[1]) - 1) < 1e-12 and got[6] != got[1]
+
+
+def test_rows_sent_by_an_exact_join_grow_with_the_table(spark, monkeypatch):
+    """A row goes to GRID tasks on either side, however many blocks of least size the table has."""
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 4)
+    rng = np.random.default_rng(11)
+    table = pa.table({"id": pa.array(range(480), pa.int64()), "embedding": list_array(rng.normal(size=(480, 5)))})
+    base = cut(spark.createDataFrame(table))
+    for side in knn._dealt(base.withColumnRenamed("id", "query"), base, 480, 5, None, None):
+        assert side.count() == knn.GRID * 480
+    assert knn.parts(600_000, 4096, 64) == knn.GRID and knn.parts(10, 4096, 64) == 1
+    assert knn.parts(10**7, 4096, 64) * knn.BLOCK_BYTES >= 10**7 * 64 * 8
+
+
+@pytest.mark.parametrize("spread", [1.0, 1e-6, 0.0])
+def test_nearest_rows_in_tiles(monkeypatch, spread):
+    """Short products only choose; near and equal copies, which they cannot tell apart, are ordered by the full ones."""
+    monkeypatch.setattr(knn, "TILE", (7, 40))
+    rng = np.random.default_rng(12)
+    units = rng.normal(size=(1, 9)) + spread * rng.normal(size=(300, 9))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    ids = rng.permutation(300) * 3
+    query, found, distance = knn.nearest_rows(np.arange(20), units[:20], ids, units, 6)
+    d = np.round(np.maximum(0.0, 1.0 - units[:20] @ units.T), knn.DECIMALS)
+    want = [sorted(zip(row.tolist(), ids.tolist()))[:6] for row in d]
+    got = [list(zip(distance[query == q].tolist(), found[query == q].tolist())) for q in range(20)]
+    assert sum(([w for w, _ in row] for row in got), []) == pytest.approx(sum(([w for w, _ in row] for row in want), []), abs=1.5e-10)
+    assert spread < 1 and spread > 0 or got == want
