@@ -6,13 +6,13 @@ component is sure of its least edge up to the smallest such radius among its row
 rounds of grouped minima and contraction; when few edges are left, by one sort on the driver.
 
 What is left are components whose inside is denser than the gap around them. Their nearest other components come
-from one search over blocks of rows: a task reduces its block pair to the least distance of each pair of components
-and hands on a few per component. These are lists of neighbours again, now of components, and the same rule merges
-them. Every pass divides the number of components by several times, until one is left.
+from one search over blocks of rows: a task reduces its block pair, tile by tile, to the least distance of each pair of
+components and hands on a few per component. Of equal vectors in a component the row with the least core searches for
+all. These are lists of neighbours again, now of components, and the same rule merges them. Every pass divides the
+number of components by several times, until one is left. Each row goes to as many tasks as there are blocks, whose
+number does not grow until their bytes reach a bound (`knn.parts`).
 """
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,6 +25,9 @@ from assortment.sources.lineage import cut
 LOCAL_EDGES = 1 << 18
 LISTED = 32
 BLOCK_ROWS = 2048
+#: Rows of a tile, and pairs of rows that two components of a tile are searched by at once.
+TILE_ROWS = 2048
+FEW_PAIRS = 64
 HOPS = 3
 TREE = "u long, v long, weight double"
 
@@ -143,7 +146,7 @@ def spanning_tree(vectors: DataFrame, graph: DataFrame, cores: DataFrame, edges:
     )
     search = None
     while (left := labels.select("a").distinct().count()) > 1:
-        search = search or _Search(cut(rows), nprobe)
+        search = search or _Search(rows, labels, nprobe)
         lists = cut(search.nearest(labels))
         if lists.isEmpty():
             break
@@ -156,29 +159,38 @@ def spanning_tree(vectors: DataFrame, graph: DataFrame, cores: DataFrame, edges:
 
 
 class _Search:
-    """Nearest other components over blocks of rows (id, embedding, core)."""
-
-    def __init__(self, rows: DataFrame, nprobe: int | None):
+    """Nearest other components over blocks of rows (id, embedding, core), `labels` as in `nearest`."""
+
+    def __init__(self, rows: DataFrame, labels: DataFrame, nprobe: int | None):
+        rows = cut(knn._keyed(rows))
+        placed = rows.select("id", "h1", "h2", "core").join(_labelled(labels), "id")
+        first = placed.groupBy("h1", "h2", "a").agg(F.min(F.struct("core", "id")).alias("first"))
+        rows = cut(rows.join(first.select("first.id"), "id", "left_semi").drop("h1", "h2"))
+        count = rows.count()
         if nprobe is None:
-            blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-            block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-            self.asked = rows.withColumn("block", F.explode(F.sequence(block, F.lit(blocks - 1))))
-            self.asked = self.asked.withColumn("own", block)
-            self.stored = rows.withColumn("block", block).withColumn("own", F.explode(F.sequence(F.lit(0), "block")))
-            self.keys = ["own", "block"]
+            length = len(rows.select("embedding").first()[0])
+            self.stored, self.blocks, self.keys = rows, knn.parts(count, BLOCK_ROWS, length), ["own", "block"]
             return
-        pivots = knn.choose_pivots(rows, rows.count())
+        pivots = knn.choose_pivots(rows, count)
         placed, places = knn.cell_blocks(rows, pivots)
         near = rows.withColumn("cell", F.explode(knn.list_choice(F.col("embedding"), pivots, nprobe)))
         last = (F.col("first") + F.col("blocks") - 1).cast("int")
         near = near.join(F.broadcast(places), "cell").withColumn("block", F.explode(F.sequence(F.col("first").cast("int"), last)))
         self.asked, self.stored = near.select("id", "embedding", "core", "block"), placed.select("id", "embedding", "core", "block")
-        self.keys = ["block"]
+        self.blocks, self.keys = None, ["block"]
+
+    def _sides(self, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Both sides of the search, each with the component `a` of a row."""
+        stored = self.stored.join(_labelled(labels), "id")
+        if self.blocks is None:
+            return self.asked.join(_labelled(labels), "id"), stored
+        block, last = F.pmod(F.xxhash64("id"), F.lit(self.blocks)).cast("int"), F.lit(self.blocks - 1)
+        asked = stored.withColumn("own", block).withColumn("block", F.explode(F.sequence("own", last)))
+        return asked, stored.withColumn("block", block).withColumn("own", F.explode(F.sequence(F.lit(0), "block")))
 
     def nearest(self, labels: DataFrame) -> DataFrame:
         """(a, b, weight, u, v, rank): up to LISTED nearest other components b of each component a, by the rows u, v."""
-        own = labels.select(F.col("node").alias("id"), "a")
-        left, right = (df.join(own, "id") for df in (self.asked, self.stored))
+        left, right = self._sides(labels)
         right = right.select(*(F.col(c).alias(c) for c in right.columns))  # columns of their own, apart from the left ones
         found = left.groupBy(*self.keys).cogroup(right.groupBy(*self.keys)).applyInArrow(_component_distances, f"a long, b long, {TREE}")
         pairs = found.groupBy("a", "b").agg(F.min(F.struct("weight", "u", "v")).alias("e")).select("a", "b", "e.*")
@@ -186,44 +198,127 @@ class _Search:
         return pairs.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= LISTED)
 
 
+def _labelled(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("id"), "a")
+
+
 def _component_distances(asked: pa.Table, stored: pa.Table) -> pa.Table:
     """The least mutual reachability of pairs of components with a row on either side, LISTED per component."""
-    names = ["a", "b", "u", "v", "weight"]
-    out = {name: [np.empty(0, np.float64 if name == "weight" else np.int64)] for name in names}
-    if len(asked) and len(stored):
-        sides = [_side(asked), _side(stored)]
-        (ids_a, units_a, cores_a, comps_a, starts_a), (ids_b, units_b, cores_b, comps_b, starts_b) = sides
-        all_pairs = np.round(np.maximum(0.0, 1.0 - units_a @ units_b.T), knn.DECIMALS)
-        np.maximum(all_pairs, cores_a[:, None], out=all_pairs)
-        np.maximum(all_pairs, cores_b, out=all_pairs)
-        by_column = np.minimum.reduceat(all_pairs, starts_a, axis=0)
-        least = np.minimum.reduceat(by_column, starts_b, axis=1)
-        least[comps_a[:, None] == comps_b] = np.inf
-        rows, columns = _picked(least)
-        for i, j in zip(rows.tolist(), columns.tolist()):
-            column = starts_b[j] + int((by_column[i, starts_b[j]:starts_b[j + 1] if j + 1 < len(starts_b) else None] == least[i, j]).argmax())
-            row = starts_a[i] + int((all_pairs[starts_a[i]:starts_a[i + 1] if i + 1 < len(starts_a) else None, column] == least[i, j]).argmax())
-            ends = sorted((int(ids_a[row]), int(ids_b[column])))
-            for a, b in ((comps_a[i], comps_b[j]), (comps_b[j], comps_a[i])):
-                for name, value in zip(names, (a, b, *ends, least[i, j])):
-                    out[name].append(np.array([value]))
-    return pa.table({name: np.concatenate(values) for name, values in out.items()})
+    if not len(asked) or not len(stored):
+        return _Lists(np.empty(0, np.int64)).table()
+    left, right = _side(asked), _side(stored)
+    lists = _Lists(np.union1d(left[3], right[3]))
+    tiles = [_tiles(side, lists.names) for side in (left, right)]
+    for ids_a, units_a, cores_a, comps_a, starts_a in tiles[0]:
+        for ids_b, units_b, cores_b, comps_b, starts_b in tiles[1]:
+            if len(comps_a) == len(comps_b) == 1 and comps_a[0] == comps_b[0]:
+                continue
+            pairs = units_a @ units_b.T
+            np.subtract(1.0, pairs, out=pairs)
+            np.maximum(pairs, cores_a[:, None], out=pairs)
+            np.maximum(pairs, cores_b, out=pairs)
+            least = _by_run(np.ascontiguousarray(_by_run(pairs, starts_a).T), starts_b).T
+            least[comps_a[:, None] == comps_b] = np.inf
+            reach_a, reach_b = lists.reach[comps_a], lists.reach[comps_b]
+            near = (least <= np.maximum(reach_a[:, None], reach_b)) & np.isfinite(least)
+            if not (np.isfinite(reach_a).all() and np.isfinite(reach_b).all()):
+                near &= _picked(least)
+            i, j = np.nonzero(near)
+            if len(i):
+                row, column = _places(pairs, least[i, j], i, j, np.r_[starts_a, len(ids_a)], np.r_[starts_b, len(ids_b)])
+                weight = np.round(np.maximum(pairs[row, column], 0.0), knn.DECIMALS)
+                of_row, of_column = (np.searchsorted(s, x, side="right") - 1 for s, x in ((starts_a, row), (starts_b, column)))
+                lists.add(comps_a[of_row], comps_b[of_column], ids_a[row], ids_b[column], weight)
+    return lists.table()
+
+
+class _Lists:
+    """The LISTED nearest others of each component of `names`, as far as they are known; `reach` is how far the full
+    lists go."""
+
+    def __init__(self, names: np.ndarray):
+        self.names, self.reach = names, np.full(len(names), np.inf)
+        self.kept = [np.empty(0, np.int64)] * 4 + [np.empty(0)]
+        self.new, self.waiting = [], 0
+
+    def add(self, a, b, u, v, weight) -> None:
+        """Components by their place in `names`, and the rows between them."""
+        ends = np.minimum(u, v), np.maximum(u, v), weight
+        self.new += [(a, b, *ends), (b, a, *ends)]
+        self.waiting += 2 * len(a)
+        if self.waiting > len(self.kept[0]) // 2:
+            self._merge()
+
+    def _merge(self) -> None:
+        a, b, u, v, weight = (np.concatenate(c) for c in zip(self.kept, *self.new))
+        by = np.lexsort((v, u, weight, b, a))
+        by = by[np.r_[True, (np.diff(a[by]) != 0) | (np.diff(b[by]) != 0)]]  # the least of each pair
+        by = by[np.lexsort((b[by], weight[by], a[by]))]
+        rank = np.arange(len(by)) - np.searchsorted(a[by], a[by])
+        last = by[rank == LISTED - 1]
+        self.reach[a[last]] = weight[last] + knn.TIE
+        self.kept = [c[by[rank < LISTED]] for c in (a, b, u, v, weight)]
+        self.new, self.waiting = [], 0
+
+    def table(self) -> pa.Table:
+        if self.new:
+            self._merge()
+        a, b, u, v, weight = self.kept
+        return pa.table({"a": self.names[a], "b": self.names[b], "u": u, "v": v, "weight": weight})
 
 
 def _side(table: pa.Table):
-    """Ids, unit vectors, cores by rows sorted by component; components and where they start."""
+    """Ids, unit vectors, cores and components of rows sorted by component."""
     table = table.sort_by("a")
-    ids, units = knn._columns(table, "id")
-    labels = table["a"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, labels[1:] != labels[:-1]])
-    return ids, units, table["core"].to_numpy(), labels[starts], starts
-
-
-def _picked(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions among the LISTED least of their row or of their column, ties included."""
+    return *knn._columns(table, "id"), table["core"].to_numpy(), table["a"].to_numpy()
+
+
+def _tiles(side: tuple, names: np.ndarray) -> list[tuple]:
+    """(ids, unit vectors, cores, places of the components in `names`, where they start) of TILE_ROWS rows each."""
+    out = []
+    for first in range(0, len(side[0]), TILE_ROWS):
+        ids, units, cores, labels = (c[first:first + TILE_ROWS] for c in side)
+        starts = np.flatnonzero(np.r_[True, labels[1:] != labels[:-1]])
+        out.append((ids, units, cores, np.searchsorted(names, labels[starts]), starts))
+    return out
+
+
+def _by_run(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The least row, part by part, of each run of rows. (`reduceat` takes several times as long for short runs.)"""
+    if len(starts) == len(values):
+        return values
+    out = np.empty((len(starts), values.shape[1]))
+    for n, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(values)])):
+        if b - a == 1:
+            out[n] = values[a]
+        else:
+            np.minimum.reduce(values[a:b], axis=0, out=out[n])
+    return out
+
+
+def _places(pairs, least, i, j, rows, columns) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of `pairs` with the value `least` inside the runs i and j; `rows` and `columns` bound all runs."""
+    tall, wide = np.diff(rows)[i], np.diff(columns)[j]
+    few = tall * wide <= FEW_PAIRS
+    found = []
+    for x, y, value in zip(i[~few].tolist(), j[~few].tolist(), least[~few].tolist()):
+        part = pairs[rows[x]:rows[x + 1], columns[y]:columns[y + 1]]
+        at = int((part == value).argmax())
+        found.append((rows[x] + at // part.shape[1], columns[y] + at % part.shape[1]))
+    found = np.array(found, np.int64).reshape(-1, 2)
+    size = (tall * wide)[few]
+    each = np.repeat(np.flatnonzero(few), size)
+    inside = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
+    row, column = rows[i[each]] + inside // wide[each], columns[j[each]] + inside % wide[each]
+    hit = pairs[row, column] == least[each]
+    return np.r_[found[:, 0], row[hit]], np.r_[found[:, 1], column[hit]]
+
+
+def _picked(least: np.ndarray) -> np.ndarray:
+    """Marks of those among the LISTED least of their row or of their column, ties included."""
     near = np.zeros(least.shape, bool)
     for matrix, marks in ((least, near), (least.T, near.T)):
         top = min(LISTED, matrix.shape[1]) - 1
         worst = np.partition(matrix, top, axis=1)[:, top]
         marks |= matrix <= worst[:, None]
-    return np.nonzero(near & np.isfinite(least))
+    return near & np.isfinite(least)

@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from assortment.functions.vectors import list_array
 from assortment.operators import clusters, condense, knn, labels, spanning
 from assortment.operators.components import connected_components
 from assortment.sources.lineage import cut
@@ -363,3 +365,46 @@ def test_reduced_vectors_keep_the_largest_directions(spark):
     short = np.array([r.embedding for r in clusters.reduce_dims(frame, 50).orderBy("product_id").collect()])
     _, _, directions = np.linalg.svd(whole - whole.mean(axis=0), full_matrices=False)
     assert np.allclose(np.abs(short), np.abs(whole @ directions[:50].T), atol=1e-6)
+
+
+def test_search_of_components_takes_equal_vectors_once(spark, monkeypatch):
+    """Sixty copies of each of eight vectors, one component each: eight rows search, each sent to few tasks."""
+    monkeypatch.setattr(spanning, "BLOCK_ROWS", 4)
+    rng = np.random.default_rng(13)
+    rows = pa.table({
+        "id": pa.array(range(480), pa.int64()), "embedding": list_array(np.repeat(rng.normal(size=(8, 5)), 60, axis=0)),
+        "core": np.tile(np.r_[0.2, np.full(59, 0.3)], 8),
+    })
+    labels = pa.table({"node": pa.array(range(480), pa.int64()), "a": np.repeat(np.arange(8) * 60, 60)})
+    rows, labels = spark.createDataFrame(rows), spark.createDataFrame(labels)
+    search = spanning._Search(rows, labels, None)
+    assert sorted(r.id for r in search.stored.collect()) == [60 * i for i in range(8)]
+    assert search.nearest(labels).count() == 8 * 7
+    left, right = search._sides(labels)
+    assert left.count() + right.count() == 8 * (search.blocks + 1) and search.blocks == 2
+
+
+@pytest.mark.parametrize("components", [3, 12, 200])
+def test_components_by_tiles(monkeypatch, components):
+    """The nearest others of each component of a block pair, against all pairs."""
+    monkeypatch.setattr(spanning, "TILE_ROWS", 16)
+    monkeypatch.setattr(spanning, "LISTED", 5)
+    rng = np.random.default_rng(components)
+    sides, parts = [], []
+    for first, n in ((0, 90), (1000, 70)):
+        vectors, cores = rng.normal(size=(n, 6)), np.round(0.3 * rng.random(n), 10)
+        labels = 7 * rng.integers(0, components, n)
+        sides.append(pa.table({"id": first + np.arange(n), "embedding": list_array(vectors), "core": cores, "a": labels}))
+        parts.append((vectors / np.linalg.norm(vectors, axis=1, keepdims=True), cores, labels))
+    (x, core_x, a), (y, core_y, b) = parts
+    weight = np.maximum(np.maximum(np.round(np.maximum(0.0, 1.0 - x @ y.T), 10), core_x[:, None]), core_y)
+    best = {}
+    for i, j in zip(*np.nonzero(a[:, None] != b)):
+        for pair in ((a[i], b[j]), (b[j], a[i])):
+            best[pair] = min(best.get(pair, 9.0), weight[i, j])
+    want = {c: sorted((w, d) for (e, d), w in best.items() if e == c)[:5] for c in {e for e, _ in best}}
+    got = {}
+    for r in spanning._component_distances(*sides).to_pylist():
+        assert weight[r["u"], r["v"] - 1000] == pytest.approx(r["weight"], abs=1e-9)
+        got.setdefault(r["a"], []).append((r["weight"], r["b"]))
+    assert {c: [d for _, d in sorted(v)] for c, v in got.items()} == {c: [d for _, d in v] for c, v in want.items()}
