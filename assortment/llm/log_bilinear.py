@@ -44,8 +44,10 @@ FIRST, SECOND = 0.9, 0.95
 NOISE = 16
 SHARDS = 64
 KINDS = 64
-#: Tokens that a task works on at a time, contexts per matrix product, and distinct words held while counting.
+#: Tokens that a task works on at a time, whose vectors it holds at once, contexts per matrix product, and distinct words
+#: held while counting.
 TOKENS = 2_000_000
+VECTORS = 1 << 16
 CONTEXTS = 4096
 HELD_WORDS = 300_000
 
@@ -315,7 +317,11 @@ class Model:
         """Natural log of each token's probability after its context number."""
         distinct, at = np.unique(contexts, return_inverse=True)
         vectors, totals = self.vectors(distinct), self.log_totals(distinct)
-        return np.einsum("ij,ij->i", vectors[at], self.token[tokens]) + self.bias[tokens] - totals[at]
+        out = self.bias[tokens]
+        for start in range(0, len(tokens), VECTORS):
+            part = slice(start, start + VECTORS)
+            out[part] += np.einsum("ij,ij->i", vectors[at[part]], self.token[tokens[part]])
+        return out - totals[at]
 
 
 def _chance(x: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -174,3 +175,19 @@ def test_without_training_rows(spark):
 def test_null_marks_are_learned_from(spark, null):
     got = lb.scored(documents(spark), F.lit(null).cast("boolean"), steps=1).collect()
     assert got[0].train_tokens == sum(len(tokens_of(t)) for _, t in HARD_TEXTS) and not any(r.held_out for r in got)
+
+
+def test_probabilities_hold_few_vectors_at_once():
+    """Many tokens in few contexts: vectors are looked up VECTORS tokens at a time, with the same results."""
+    rng = np.random.default_rng(3)
+    model = lb.Model.started(np.full(50, 0.02))
+    contexts, tokens = rng.integers(0, 51 ** 2, 600_000), rng.integers(0, 50, 600_000)
+    tracemalloc.start()
+    found = model.log_probabilities(contexts, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80_000_000  # 128 bytes a token and side at once would be 154 MB
+    some = slice(0, 600_000, 5_000)
+    logits = model.vectors(contexts[some]) @ model.token.T + model.bias
+    want = logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    assert found[some] == pytest.approx(want[np.arange(len(want)), tokens[some]], abs=1e-5)
