@@ -34,13 +34,18 @@ BLOCK_BYTES = 48 << 20
 CELL_ROWS = 2048
 #: Queries and rows of one matrix product.
 TILE = 256, 2048
-#: Neighbour descent: entries per list and direction, centres of a task, random rows per row, rounds at most, share of
-#: new entries at the end.
+#: Neighbour descent: entries of a list, cells that a row searches first, entries that meet per row and direction, random
+#: rows per row, rounds at most, share of new entries at the end.
+ENTRIES = 40
+PROBED = 6
 LISTED = 20
-CENTRES = 512
 RANDOM = 8
 ROUNDS = 20
 SETTLED = 0.01
+#: Least centres of a task in it, how many tasks there are beyond that, and its centres at most.
+CENTRES = 512
+MEETINGS = 24
+MOST_CENTRES = 16384
 DECIMALS = 10
 #: Likenesses that are less apart can have the same rounded distance.
 TIE = 2e-10
@@ -267,9 +272,12 @@ def _for_rows(nearest: DataFrame, queries: DataFrame, members: DataFrame, keep:
     return out.where(F.col("query") != F.col("id")) if exclude_self else out
 
 
-def probe_lists(queries: DataFrame, lists: DataFrame, k: int, pivots: np.ndarray, nprobe: int) -> DataFrame:
+def probe_lists(
+    queries: DataFrame, lists: DataFrame, k: int, pivots: np.ndarray, nprobe: int, of_each: int | None = None
+) -> DataFrame:
     """(query, id, distance, rank) from stored lists of (id, embedding, list_id): each query visits the lists of
-    its `nprobe` nearest pivots. Lists are spread over chunks of queries and blocks of rows of bounded size."""
+    its `nprobe` nearest pivots. Lists are spread over chunks of queries and blocks of rows of bounded size. `of_each`
+    bounds the rows that one list gives to a query."""
     probed = list_choice(F.col("embedding"), pivots, nprobe)
     asked = directed(queries, pivots.shape[1]).select(F.col("id").alias("query"), "embedding", probed.alias("lists"))
     asked = cut(asked)
@@ -290,7 +298,7 @@ def probe_lists(queries: DataFrame, lists: DataFrame, k: int, pivots: np.ndarray
     )
     keys = ["list_id", "block", "chunk"]
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return _top(pairs.applyInArrow(_block_search(k), RESULT), k)
+    return _top(pairs.applyInArrow(_block_search(of_each or k), RESULT), k)
 
 
 def list_choice(vector, pivots: np.ndarray, nprobe: int):
@@ -328,12 +336,14 @@ def knn_join(
 def descent(base: DataFrame, k: int, rounds: int = ROUNDS) -> DataFrame:
     """(query, id, distance, rank): nearly the k nearest other rows of each row, by neighbour descent.
 
-    Lists start from the blocks of nearby pivots. In a round each row brings its neighbours, and the rows that have it
-    as one, to meet each other; where a pair is nearer than what one of them has listed, it is listed. Only pairs with a
-    neighbour that is new since the last round meet, LISTED new and as many old ones per row and direction, picked by a
-    hash, and a few random rows. Rounds end when less than SETTLED of the entries are new. Rows meet in tasks that hold the rows around some
-    centres, so a row is sent to as many of them as it has centres, whatever the size of the table. A row's entries are
-    those of the same columns and rules as in `knn_join`; they are the same for any partitions.
+    Lists start from the cells of the PROBED nearest pivots. In a round each row brings its neighbours, and the rows that
+    have it as one, to meet each other; where a pair is nearer than what one of them has listed, it is listed. Only pairs
+    with a neighbour that is new since the last round meet, LISTED new and as many old ones per row and direction, picked
+    by a hash, and a few random rows. Rounds end when less than SETTLED of the entries are new. Rows meet in tasks that
+    hold the rows around some centres: MEETINGS tasks, to each of which a row is sent once, until a task would pass
+    MOST_CENTRES; so many neighbours at most has a row, whatever the size of the table. Lists are longer than `k`, as short
+    ones miss more neighbours the larger the table is. A row's entries are those of the same columns and rules as in
+    `knn_join`; they are the same for any partitions.
     """
     base = directed(base, common_length(base))
     members = cut(_copies(base, k + 1))
@@ -341,21 +351,51 @@ def descent(base: DataFrame, k: int, rounds: int = ROUNDS) -> DataFrame:
     rows = stored.count()
     if not rows:
         return base.sparkSession.createDataFrame([], RESULT + ", rank int")
-    listed = max(k, LISTED) + 1
-    placed = cut(cell_blocks(stored, choose_pivots(stored, rows), CENTRES)[0].select("id", "embedding", "block"))
-    near = _apart(placed).withColumnRenamed("id", "query").groupBy("block").cogroup(placed.groupBy("block"))
-    # Rows alone in their block meet none, so all are listed with themselves first.
-    lists = near.applyInArrow(_block_search(listed), RESULT)
-    lists = cut(_top(lists, listed).drop("rank").withColumn("fresh", F.col("query") != F.col("id")))
+    listed = max(2 * k, ENTRIES) + 1
+    pivots = choose_pivots(stored, rows)
+    tagged = cut(tag_cells(stored, pivots).drop("gap"))
+    placed = _centre_blocks(tagged, pivots, rows)
+    cells = tagged.withColumnRenamed("cell", "list_id")
+    lists = probe_lists(tagged.select("id", "embedding"), cells, listed, pivots, PROBED, max(k, LISTED) + 1)
+    lists = cut(lists.select("query", "id", "distance", (F.col("query") != F.col("id")).alias("fresh")))
     for number in range(rounds):
         if lists.where("fresh").count() <= SETTLED * rows * listed:
             break
         lists = cut(_closer(lists, placed, listed, rows, number))
-    return _top(_for_rows(_top(lists.drop("fresh"), listed), base, members, k + 1, True), k)
+    # Every vector has a copy, so more than k + 1 vectors are not asked for.
+    return _top(_for_rows(_top(lists.drop("fresh"), k + 1), base, members, k + 1, True), k)
+
+
+def _centre_blocks(tagged: DataFrame, pivots: np.ndarray, rows: int) -> DataFrame:
+    """(id, embedding, block): blocks of equal size, each of cells near one another."""
+    blocks = min(-(-rows // CENTRES), max(MEETINGS, -(-rows // MOST_CENTRES)))
+    figures = tagged.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()  # one row per pivot
+    held = dict(zip(figures.cell.tolist(), figures.n.tolist()))
+    places, first = [], 0
+    for cell in _chain(pivots):
+        if cell in held:
+            places.append((cell, first, held[cell]))
+            first += held[cell]
+    places = tagged.sparkSession.createDataFrame(places, "cell int, first long, n long")
+    within = F.pmod(F.xxhash64("id", F.lit(2)), F.col("n"))
+    block = F.floor((F.col("first") + within) * blocks / rows).cast("int")
+    return tagged.join(F.broadcast(places), "cell").select("id", "embedding", block.alias("block"))
+
+
+def _chain(pivots: np.ndarray) -> list[int]:
+    """The numbers of the pivots, each followed by the nearest of those left."""
+    left, order = np.ones(len(pivots), bool), [0]
+    for _ in range(len(pivots) - 1):
+        left[order[-1]] = False
+        order.append(int(np.where(left, pivots @ pivots[order[-1]], -np.inf).argmax()))
+    return order
 
 
 def _closer(lists: DataFrame, placed: DataFrame, listed: int, rows: int, number: int) -> DataFrame:
-    """One round: the lists with what was found nearer."""
+    """One round: the lists with what was found nearer.
+
+    Entries and pairs are dealt once, by the column that all steps up to the next cut go by.
+    """
     others = lists.where("query <> id")
     # Some RANDOM rows besides, other ones each round, so that no part of the graph is cut off.
     bucket = F.pmod(F.xxhash64("id", F.lit(number)), F.lit(-(-rows // RANDOM))).alias("bucket")
@@ -367,7 +407,7 @@ def _closer(lists: DataFrame, placed: DataFrame, listed: int, rows: int, number:
     ]
     both = reduce(DataFrame.unionByName, (df.withColumn("way", F.lit(i)) for i, df in enumerate(ways)))
     few = Window.partitionBy("centre", "way", "fresh").orderBy(F.xxhash64("centre", "member", F.lit(number)), "member")
-    met = both.withColumn("place", F.row_number().over(few)).where(F.col("place") <= LISTED)
+    met = both.repartition("centre").withColumn("place", F.row_number().over(few)).where(F.col("place") <= LISTED)
     met = met.groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
     met = cut(met.join(placed.select(F.col("id").alias("centre"), "block"), "centre"))
     # A vector goes once to each block that has centres around it.
@@ -375,10 +415,12 @@ def _closer(lists: DataFrame, placed: DataFrame, listed: int, rows: int, number:
         F.when(F.count(F.lit(1)) >= listed, F.max("distance")).otherwise(2.0).alias("worst")
     )
     rows = placed.select("id", "embedding").join(worst, "id")
-    sent = _apart(met.select("block", F.col("member").alias("id")).distinct().join(rows, "id"))
+    asked = met.select("block", F.col("member").alias("id")).repartition("id").distinct()
+    sent = _apart(asked.join(rows, "id"))
     found = met.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_meetings(listed), RESULT)
     both = lists.select("query", "id", "distance", F.lit(0).alias("new")).unionByName(found.withColumn("new", F.lit(1)))
-    both = both.groupBy("query", "id").agg(F.min("distance").alias("distance"), F.min("new").alias("new"))
+    both = both.repartition("query").groupBy("query", "id")
+    both = both.agg(F.min("distance").alias("distance"), F.min("new").alias("new"))
     return _top(both, listed).select("query", "id", "distance", (F.col("new") == 1).alias("fresh"))
 
 
@@ -389,10 +431,11 @@ def _meetings(listed: int):
         out = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())]).empty_table()
         if not len(met) or not len(sent):
             return out
-        sent, met = sent.sort_by("id"), met.sort_by([("centre", "ascending"), ("member", "ascending")])
         ids, units = _columns(sent, "id")
-        worst = sent["worst"].to_numpy()
-        at, fresh, centre = np.searchsorted(ids, met["member"].to_numpy()), met["fresh"].to_numpy(), met["centre"].to_numpy()
+        worst, by = sent["worst"].to_numpy(), np.argsort(ids)
+        met = met.sort_by([("centre", "ascending"), ("member", "ascending")])
+        at = by[np.searchsorted(ids, met["member"].to_numpy(), sorter=by)]
+        fresh, centre = met["fresh"].to_numpy(), met["centre"].to_numpy()
         starts = np.flatnonzero(np.r_[True, centre[1:] != centre[:-1], True])
         queries, found, distances = [], [], []
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):

@@ -137,6 +137,28 @@ def test_vectors_sent_by_descent_stay_flat(spark, monkeypatch):
         assert large < 1.5 * small and large <= 4 * knn.LISTED + 3 * knn.RANDOM
 
 
+def test_descent_finds_neighbours_among_many_rows_and_sends_a_vector_to_few_tasks(spark, monkeypatch):
+    """12 000 rows in 64 dimensions without structure, where lists of 20 entries find too few."""
+    n, sent = 12000, []
+
+    def counted(df):
+        out = cut(df)
+        if "centre" in df.columns:
+            sent.append(out.select("block", "member").distinct().count())
+        return out
+
+    monkeypatch.setattr(knn, "cut", counted)
+    monkeypatch.setattr(knn, "CENTRES", 64)
+    units = np.random.default_rng(3).normal(size=(n, 64))
+    rows = cut(spark.createDataFrame([(i, u.tolist()) for i, u in enumerate(units)], VECTORS))
+    got = {(r["query"], r["id"]) for r in knn.descent(rows, 15).where("query % 50 = 0").collect()}
+    asked, unit = range(0, n, 50), units / np.linalg.norm(units, axis=1, keepdims=True)
+    near = np.argsort(-(unit[::50] @ unit.T), axis=1)[:, 1:16]
+    want = {(q, i) for q, row in zip(asked, near.tolist()) for i in row}
+    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+    assert sent and all(s <= 24 * n for s in sent)
+
+
 def test_fewer_rows_than_k_and_empty_sides(spark):
     base = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], VECTORS)
     assert found(knn.knn_join(base, base, 5, exclude_self=True)) == {1: [(2, 1.0)], 2: [(1, 1.0)]}
