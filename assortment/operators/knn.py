@@ -15,7 +15,7 @@ most frequent one of the base, the shorter on a tie.
 """
 
 from functools import reduce
-from math import isqrt
+from math import isqrt, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +52,13 @@ TIE = 2e-10
 RESULT = "query long, id long, distance double"
 
 
-def parts(rows, least: int, length: int):
-    """How many blocks `rows` vectors (a number or a column) make: `least` rows each up to GRID blocks, then GRID until
+def parts(rows, least: int, length: int, grid: int = GRID):
+    """How many blocks `rows` vectors (a number or a column) make: `least` rows each up to `grid` blocks, then `grid` until
     a block would pass BLOCK_BYTES."""
     most = max(1, BLOCK_BYTES // (8 * length))
     if isinstance(rows, Column):
-        return F.least(F.ceil(rows / least), F.greatest(F.lit(GRID), F.ceil(rows / most))).cast("int")
-    return max(1, min(-(-rows // least), max(GRID, -(-rows // most))))
+        return F.least(F.ceil(rows / least), F.greatest(F.lit(grid), F.ceil(rows / most))).cast("int")
+    return max(1, min(-(-rows // least), max(grid, -(-rows // most))))
 
 
 def nearest_rows(asked_ids, asked, ids, units, k: int):
@@ -211,10 +211,13 @@ def cell_blocks(base: DataFrame, pivots: np.ndarray, block_rows: int = BLOCK_ROW
 
 def _dealt(queries: DataFrame, base: DataFrame, rows: int, length: int, pivots, nprobe) -> tuple[DataFrame, DataFrame]:
     """Queries and base rows by (block, chunk)."""
-    chunks = parts(queries.count(), CHUNK_ROWS, length)
+    asked = max(1, queries.count())
+    # Where queries are more than rows, the grid has fewer blocks and more chunks: each block sends k rows of each query.
+    grid = max(1, round(GRID * sqrt(min(1, rows / asked)))) if nprobe is None else GRID
+    chunks = parts(asked, CHUNK_ROWS, length, GRID * GRID // grid)
     chunk = F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int")
     if nprobe is None:
-        blocks = parts(rows, BLOCK_ROWS, length)
+        blocks = parts(rows, BLOCK_ROWS, length, grid)
         left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         right = base.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     else:
@@ -259,11 +262,15 @@ def _block_join(queries: DataFrame, base: DataFrame, k: int, exclude_self: bool,
 
 
 def _for_rows(nearest: DataFrame, queries: DataFrame, members: DataFrame, keep: int, exclude_self: bool) -> DataFrame:
-    """Back from distinct vectors to rows: at most `keep` copies of each of the `keep` vectors count."""
+    """Back from distinct vectors to rows: at most `keep` copies of each of the `keep` vectors count. A vector with `keep`
+    rows nearer than itself gives none."""
     same = ["h1", "h2"]
-    copies = members.select(*same, F.col("id").alias("copy_id"))
-    copies = members.where("copy = 1").select("id", *same).join(copies, same).drop(*same)
-    nearest = nearest.drop("rank").join(copies, "id").select("query", F.col("copy_id").alias("id"), "distance")
+    copies = members.groupBy(*same).agg(F.min("id").alias("id"), F.collect_list("id").alias("copies"))
+    nearest = nearest.drop("rank").join(copies.select("id", "copies"), "id")
+    up_to = F.sum(F.size("copies")).over(Window.partitionBy("query").orderBy("distance"))
+    level = F.sum(F.size("copies")).over(Window.partitionBy("query", "distance"))
+    nearest = nearest.withColumns({"up_to": up_to, "level": level}).where(F.col("up_to") - F.col("level") < keep)
+    nearest = nearest.select("query", F.explode("copies").alias("id"), "distance")
     nearest = _top(nearest, keep).drop("rank")
     ids = _keyed(queries).select("id", *same)
     firsts = ids.groupBy(*same).agg(F.min("id").alias("query"))

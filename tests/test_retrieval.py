@@ -159,6 +159,61 @@ def test_descent_finds_neighbours_among_many_rows_and_sends_a_vector_to_few_task
     assert sent and all(s <= 24 * n for s in sent)
 
 
+def test_equal_texts_of_a_log_are_searched_once_and_all_answered(spark, monkeypatch):
+    """Forty rows of three texts: two with the same vector but other prices, one without a price; one has no vector."""
+    n, searched = 60, []
+    clean = spark.range(n).select(
+        F.col("id").alias("product_id"), F.lit("a").alias("name"), F.lit("b").alias("brand"), F.lit("c").alias("category"),
+        F.lit("d").alias("department"), F.col("id").cast("double").alias("retail_price"),
+    )
+    # Twenty copies of three vectors; distances to the first grow with id % 3.
+    vectors = spark.createDataFrame([(i, [1.0, float(i % 3)]) for i in range(n)], "product_id long, embedding array<double>")
+    texts = [("shoes under 30", [1.0, 0.0]), ("shoes under 40", [1.0, 0.0]), ("hat", [1.0, 2.0]), ("none", None)]
+    rows = [(q, *texts[q % 4]) for q in range(40)]
+    asked = spark.createDataFrame(rows, "query_id long, query string, embedding array<double>").repartition(5)
+    groups = clean.select("product_id", F.lit("e").alias("cluster_label"))
+    told = clean.where("product_id = 0").select(
+        "product_id", F.lit("f").alias("description_enriched"), F.lit(None).cast("timestamp").alias("description_created_at")
+    )
+    true = retrieval._nearest_batch
+
+    def counted(vectors, asked, *others):
+        searched.append(asked.count())
+        return true(vectors, asked, *others)
+
+    monkeypatch.setattr(retrieval, "_nearest_batch", counted)
+    found = retrieval.search_log(asked, vectors, clean, groups, told, 4)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.product_id, r.max_price, r.cluster_label, r.description_enriched))
+    near = {0: [0, 3, 6, 9], 1: [0, 3, 6, 9], 2: [2, 5, 8, 11]}
+    limit = {0: 30.0, 1: 40.0, 2: None}
+    assert got == {
+        q: [(r + 1, p, limit[q % 4], "e", "f" if p == 0 else None) for r, p in enumerate(near[q % 4])]
+        for q in range(40) if q % 4 < 3
+    }
+    assert searched == [4]
+
+
+def test_copies_behind_enough_nearer_rows_are_not_told_apart(spark):
+    """Rows of many copies come whole and in order, ties of distance between vectors by id."""
+    points = [[1.0, 0.0], [1.0, 0.1], [1.0, -0.1], [1.0, 3.0]]
+    base = [(i, points[(i * 7) % 4]) for i in range(80)]
+    frame = spark.createDataFrame(base, VECTORS).repartition(5)
+    asked = spark.createDataFrame([(1000, [2.0, 0.0]), (1001, [1.0, 0.1])], VECTORS)
+    for k in (5, 21, 30, 70):
+        want = brute_force([(1000, [2.0, 0.0]), (1001, [1.0, 0.1])], base, k)
+        got = {}
+        for r in knn.knn_join(asked, frame, k).orderBy("query", "rank").collect():
+            got.setdefault(r["query"], []).append(r["id"])
+        assert got == {q: [i for i, _ in rows] for q, rows in want.items()}
+
+
+def test_many_queries_of_few_rows_are_dealt_to_few_blocks():
+    assert knn.parts(60_000, knn.BLOCK_ROWS, 64) == 12 and knn.parts(60_000, knn.BLOCK_ROWS, 64, 2) == 2
+    assert knn.parts(1_600_000, knn.CHUNK_ROWS, 64, 72) == 72 and knn.parts(20_000_000, knn.CHUNK_ROWS, 64, 72) == 204
+
+
 def test_fewer_rows_than_k_and_empty_sides(spark):
     base = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], VECTORS)
     assert found(knn.knn_join(base, base, 5, exclude_self=True)) == {1: [(2, 1.0)], 2: [(1, 1.0)]}
