@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -12,7 +14,7 @@ from assortment.functions.vectors import has_vector
 from assortment.operators import condense, knn
 from assortment.operators.components import connected_components
 from assortment.operators.spanning import spanning_forest, spanning_tree
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, shuffled
 
 ALGORITHM = "reachability-tree"
 SEARCHED_CELLS = 8
@@ -58,7 +60,7 @@ def reachability_edges(graph: DataFrame, cores: DataFrame) -> DataFrame:
     b = F.greatest("product_id", "neighbour_id").alias("b")
     pairs = graph.select(a, b, "distance").groupBy("a", "b").agg(F.min("distance").alias("distance"))
     for end in ("a", "b"):
-        pairs = pairs.join(cores.select(F.col("product_id").alias(end), F.col("core").alias("core_" + end)), end)
+        pairs = pairs.join(shuffled(cores.select(F.col("product_id").alias(end), F.col("core").alias("core_" + end))), end)
     return pairs.select("a", "b", F.greatest("core_a", "core_b", "distance").alias("weight"))
 
 
@@ -84,12 +86,13 @@ def select_clusters(
 def _selected(tree: DataFrame, cores: DataFrame, min_cluster_size: int, allow_single: bool) -> DataFrame:
     found, joins = condense.condensed(tree, cores.select(F.col("product_id").alias("node")), min_cluster_size)
     chosen = found.chosen(allow_single)
-    kept = sorted(set(chosen[chosen >= 0].tolist()), key=lambda c: found.smallest[c])
-    number = {c: i for i, c in enumerate(kept)}
-    places = cores.sparkSession.createDataFrame(
-        [(c, number[k], found.start[k], c == k) for c, k in enumerate(chosen.tolist()) if k >= 0],
-        "cluster long, cluster_id long, start double, own boolean",
-    )
+    inside = np.flatnonzero(chosen >= 0)
+    chosen = chosen[inside]
+    kept, at = np.unique(chosen, return_inverse=True)
+    number = np.argsort(np.argsort(np.array(found.smallest)[kept], kind="stable"))
+    places = cores.sparkSession.createDataFrame(pa.table({
+        "cluster": inside, "cluster_id": number[at], "start": np.array(found.start)[chosen], "own": inside == chosen,
+    }))
     probability = F.when(F.col("own"), F.col("start") / F.col("weight")).otherwise(1.0)
     return joins.join(places, "cluster").select(
         F.col("node").alias("product_id"), "cluster_id", probability.alias("cluster_probability")

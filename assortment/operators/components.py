@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, shuffled
 
 HOPS = 2
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def connected_components(
+    nodes: DataFrame, edges: DataFrame, keys: tuple[str, ...] = (), many: bool = False
+) -> DataFrame:
     """(*keys, node, component): component = smallest node that is reachable.
 
     `nodes` holds (*keys, node), `edges` (*keys, a, b); `keys` name independent graphs that are
@@ -17,9 +19,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ..
     minimum is combined in the map tasks and equal edges are merged before the next round, so a
     node with very many edges shrinks to one pointer. Rounds end when no edge is left.
 
-    Edges and pointers of a round are written tables, so a lost executor costs one round at most.
+    Edges and pointers of a round are written tables, so a lost executor costs one round at most. With `many` nodes
+    pointers are never broadcast, however small their files are.
     """
-    keys = list(keys)
+    keys, joined = list(keys), shuffled if many else lambda df: df
     edges = cut(_between(edges, keys))
     steps = []
     while not edges.isEmpty():
@@ -28,18 +31,18 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ..
         to = to.select(*keys, F.col("a").alias("node"), F.least("a", "to").alias("to"))
         for _ in range(HOPS):
             further = to.select(*keys, F.col("node").alias("to"), F.col("to").alias("_next"))
-            to = to.join(further, [*keys, "to"]).select(*keys, "node", F.col("_next").alias("to"))
+            to = to.join(joined(further), [*keys, "to"]).select(*keys, "node", F.col("_next").alias("to"))
         to = cut(to)
         steps.append(to)
         for end in ("a", "b"):
             moved = to.withColumnsRenamed({"node": end, "to": "_to"})
-            edges = edges.join(moved, [*keys, end]).drop(end).withColumnRenamed("_to", end)
+            edges = edges.join(joined(moved), [*keys, end]).drop(end).withColumnRenamed("_to", end)
         edges = cut(_between(edges, keys))
 
     found = nodes.select(*keys, "node", F.col("node").alias("component"))
     for to in steps:
         moved = to.withColumnsRenamed({"node": "component", "to": "_to"})
-        found = found.join(moved, [*keys, "component"], "left").select(
+        found = found.join(joined(moved), [*keys, "component"], "left").select(
             *keys, "node", F.coalesce("_to", "component").alias("component")
         )
     return cut(found)

@@ -13,7 +13,7 @@ from assortment.functions.text import fill, strip
 from assortment.operators.calls import REPLIES, Ledger, in_groups, reply_key, retried
 from assortment.operators.embed import token_count
 from assortment.operators.numbering import with_position
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, shuffled
 from assortment.sources.tables import Catalogue
 
 CALL_ROWS = 20
@@ -31,7 +31,7 @@ def pending_enrichment(clean: DataFrame, clustered: DataFrame, enriched: DataFra
     products = clean.select("product_id", "name", "brand", "category", "department")
     waiting = products.join(enriched.select("product_id"), "product_id", "left_anti")
     clusters = clustered.select("product_id", "cluster_id", "cluster_label")
-    return waiting.join(clusters, "product_id", "left")
+    return waiting.join(shuffled(clusters), "product_id", "left")
 
 
 def description_prompt(rows: DataFrame) -> DataFrame:

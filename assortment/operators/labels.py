@@ -9,7 +9,7 @@ from assortment import fixed
 from assortment.functions.text import fill, tidy_label, title_case, tokens
 from assortment.operators.enrich import generate_text
 from assortment.operators.views import real_clusters
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, shuffled
 
 LABEL_WORDS = 3
 PHRASE_WORDS = 3
@@ -47,7 +47,7 @@ def word_labels(clustered: DataFrame, clean: DataFrame) -> DataFrame:
 
     Counts are made in the map tasks, so a hot cluster or word sends one row per task and word.
     """
-    members = real_clusters(clustered).select("cluster_id", "product_id")
+    members = shuffled(real_clusters(clustered).select("cluster_id", "product_id"))
     texts = clean.select("product_id", "name", "category")
     words = members.join(texts, "product_id").select(
         "cluster_id", F.explode(tokens(F.concat_ws(" ", "name", "category"))).alias("word")

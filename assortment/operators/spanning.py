@@ -13,13 +13,15 @@ number of components by several times, until one is left. Each row goes to as ma
 number does not grow until their bytes reach a bound (`knn.parts`).
 """
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assortment.operators import knn
-from assortment.sources.lineage import cut
+from assortment.sources.lineage import cut, shuffled
 
 #: Edges that one sort takes on, and components that a component lists.
 LOCAL_EDGES = 1 << 18
@@ -32,15 +34,16 @@ HOPS = 3
 TREE = "u long, v long, weight double"
 
 
-def sure_merges(a, b, weight, sure: dict[int, float]) -> tuple[list[int], dict[int, int]]:
-    """Positions of the edges (a, b) that merge, lightest first, and the component each node ends in.
+def sure_merges(a, b, weight, listed, far) -> tuple[array, np.ndarray, np.ndarray]:
+    """Positions of the edges (a, b) that merge, lightest first, all nodes, and the component each of them ends in.
 
-    `sure` holds how far a node's list reaches. An edge merges if one of its two components is sure of it; what they
-    are sure of together is the smaller of the two.
+    `far` is how far the lists of the `listed` nodes reach; those of others have no end. An edge merges if one of its two
+    components is sure of it; what they are sure of together is the smaller of the two.
     """
     nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
-    root, reach = list(range(len(nodes))), [sure.get(n, np.inf) for n in nodes.tolist()]
-    ends, kept = places.reshape(2, -1), []
+    ends, kept, reach = places.reshape(2, -1), array("q"), np.full(len(nodes), np.inf)
+    reach[np.searchsorted(nodes, listed)] = far
+    root, reach = array("q", range(len(nodes))), array("d", reach.tobytes())
 
     def find(n: int) -> int:
         while root[n] != n:
@@ -49,31 +52,31 @@ def sure_merges(a, b, weight, sure: dict[int, float]) -> tuple[list[int], dict[i
         return n
 
     order = np.lexsort((b, a, weight))
-    for at, x, y, w in zip(order.tolist(), ends[0][order].tolist(), ends[1][order].tolist(), weight[order].tolist()):
+    left, right = (array("q", ends[side][order].tobytes()) for side in (0, 1))
+    for at, x, y, w in zip(order, left, right, array("d", weight[order].tobytes())):
         x, y = find(x), find(y)
         if x != y and w <= max(reach[x], reach[y]):
             x, y = min(x, y), max(x, y)
             root[y], reach[x] = x, min(reach[x], reach[y])
             kept.append(at)
-    names = nodes.tolist()
-    return kept, {names[i]: names[find(i)] for i in range(len(names))}
+    return kept, nodes, nodes[np.array(array("q", map(find, range(len(nodes)))), np.int64)]
 
 
 def _round(edges: DataFrame, sure: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One round over (a, b, weight, u, v): the chosen (u, v, weight), and (node, to) of the components that move."""
     swapped = edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight", "u", "v")
     best = edges.unionByName(swapped).groupBy("a").agg(F.min(F.struct("weight", "u", "v", "b")).alias("e"))
-    best = best.join(sure, "a", "left").where(F.col("e.weight") <= F.coalesce("reach", F.lit(float("inf"))))
+    best = best.join(shuffled(sure), "a", "left").where(F.col("e.weight") <= F.coalesce("reach", F.lit(float("inf"))))
     best = cut(best.select("a", "e.*"))
     to = best.select("a", F.col("b").alias("to"))
     back = to.select(F.col("a").alias("to"), F.col("to").alias("back"))
     # Two components that choose the same edge would point at each other: the smaller one stays.
     mutual = (F.col("back") == F.col("a")) & (F.col("a") < F.col("to"))
-    to = to.join(back, "to", "left").select("a", F.when(mutual, F.col("a")).otherwise(F.col("to")).alias("to"))
+    to = to.join(shuffled(back), "to", "left").select("a", F.when(mutual, F.col("a")).otherwise(F.col("to")).alias("to"))
     for _ in range(HOPS):
         further = to.select(F.col("a").alias("to"), F.col("to").alias("next"))
-        to = to.join(further, "to", "left").select("a", F.coalesce("next", "to").alias("to"))
-    return best.select("u", "v", "weight"), cut(to)
+        to = to.join(shuffled(further), "to", "left").select("a", F.coalesce("next", "to").alias("to"))
+    return best.select("u", "v", "weight"), shuffled(cut(to))
 
 
 def _moved(df: DataFrame, to: DataFrame, column: str) -> DataFrame:
@@ -104,12 +107,12 @@ def _merged(edges: DataFrame, sure: DataFrame, labels: DataFrame) -> tuple[list[
         rows = edges.toArrow()  # LOCAL_EDGES at most
         a, b, weight, u, v = (rows[c].to_numpy() for c in ("a", "b", "weight", "u", "v"))
         ends = edges.select(F.explode(F.array("a", "b")).alias("a")).distinct()
-        reach = {r.a: r.reach for r in sure.join(ends, "a", "left_semi").collect()}  # of the ends of these edges
-        kept, roots = sure_merges(a, b, weight, reach)
-        spark = edges.sparkSession
-        if kept:
+        reach = sure.select("a", "reach").join(ends, "a", "left_semi").toArrow()  # of the ends of these edges
+        kept, nodes, roots = sure_merges(a, b, weight, reach["a"].to_numpy(), reach["reach"].to_numpy())
+        spark, kept = edges.sparkSession, np.array(kept, np.int64)
+        if len(kept):
             chosen.append(spark.createDataFrame(pa.table({"u": u[kept], "v": v[kept], "weight": weight[kept]})))
-            to = spark.createDataFrame(pa.table({"a": list(roots), "to": list(roots.values())}))
+            to = spark.createDataFrame(pa.table({"a": nodes, "to": roots}))
             labels = cut(_moved(labels, to, "a"))
     return chosen, labels
 
@@ -142,7 +145,7 @@ def spanning_tree(vectors: DataFrame, graph: DataFrame, cores: DataFrame, edges:
     labels = cores.select(F.col("product_id").alias("node"), F.col("product_id").alias("a"))
     chosen, labels = _merged(own, cut(radius), labels)
     rows = vectors.select(F.col("product_id").cast("long").alias("id"), "embedding").join(
-        cores.select(F.col("product_id").alias("id"), "core"), "id"
+        shuffled(cores.select(F.col("product_id").alias("id"), "core")), "id"
     )
     search = None
     while (left := labels.select("a").distinct().count()) > 1:
@@ -199,7 +202,7 @@ class _Search:
 
 
 def _labelled(labels: DataFrame) -> DataFrame:
-    return labels.select(F.col("node").alias("id"), "a")
+    return shuffled(labels.select(F.col("node").alias("id"), "a"))
 
 
 def _component_distances(asked: pa.Table, stored: pa.Table) -> pa.Table:

@@ -48,3 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
     path = work_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """`df` for joins that shuffle it: for tables with a row per product, or nearly.
+
+    Catalyst takes the bytes of files for those of rows. Columns of few values make small files of very many rows, that
+    the driver would then collect and build for a broadcast.
+    """
+    return df.hint("merge")

@@ -177,6 +177,48 @@ def test_small_steps_give_the_same(spark, monkeypatch):
     assert selected(clusters.select_clusters(*tables(spark, edges, cores), min_cluster_size=4)) == level_clusters(edges, cores, 4)
 
 
+def steps_of(monkeypatch, edges):
+    """The sizes of the steps that the driver takes in, steps being of so many edges."""
+    taken, merge = [], condense.merge
+    monkeypatch.setattr(condense, "STEP_EDGES", edges)
+    monkeypatch.setattr(condense, "merge", lambda table, *rest: taken.append(len(table)) or merge(table, *rest))
+    return taken
+
+
+@pytest.mark.parametrize("size", [4, 30])
+def test_edges_of_one_weight_are_not_gathered(spark, monkeypatch, size):
+    """Most edges have one of four weights: components grow, start as clusters and meet, many at once."""
+    rng = random.Random(size)
+    ids = rng.sample(range(10_000), 400)
+    weights = [0.0, 0.1, 0.1, 0.2, 0.2, 0.3, 0.3, None]
+    edges = [(ids[rng.randrange(max(0, n - 25), n)], ids[n], rng.choice(weights)) for n in range(1, len(ids)) if n % 90]
+    edges = [(min(a, b), max(a, b), rng.random() if w is None else w) for a, b, w in edges]
+    want = level_clusters(edges, ids, size)
+    taken = steps_of(monkeypatch, 20)
+    got = selected(clusters.select_clusters(*tables(spark, edges, dict.fromkeys(ids, 0.0)), min_cluster_size=size))
+    assert got == want and len({c for c, _ in want.values()}) > 2
+    assert taken and max(taken) <= 25
+
+
+def test_copies_of_vectors_are_not_gathered(spark, monkeypatch):
+    """Edges between copies have no length: those of 40 are a cluster at once, those of 12 wait for others."""
+    rng = np.random.default_rng(2)
+    knots = rng.standard_normal((6, 8))
+    near = np.repeat(knots, 5, axis=0) + 0.05 * rng.standard_normal((30, 8))
+    taken = steps_of(monkeypatch, 30)
+    want = held_against_plain(spark, rng.permutation(np.r_[np.repeat(knots, [40, 40, 40, 12, 12, 12], axis=0), near]))
+    assert len({c for c, _ in want.values()}) > 2 and max(taken) <= 37
+
+
+def test_tables_of_rows_are_not_broadcast(spark):
+    """Cores of few values make small files, whatever the number of rows."""
+    rows = spark.range(3000).select(F.col("id").alias("product_id"), F.lit(0.0).alias("core"))
+    graph = rows.select("product_id", ((F.col("product_id") + 1) % 3000).alias("neighbour_id"), F.lit(0.0).alias("distance"))
+    edges = clusters.reachability_edges(cut(graph), cut(rows))
+    assert "BroadcastHashJoin" not in edges._jdf.queryExecution().executedPlan().toString()
+    assert edges.count() == 3000
+
+
 def test_forest_has_the_least_weights(spark, monkeypatch):
     rng = random.Random(5)
     edges = {(min(a, b), max(a, b)): rng.randrange(9) / 10 for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(900)) if a != b}
